@@ -8,19 +8,24 @@ from pyspark.sql import Column, functions as F, types as T
 def float_text(value: Column) -> Column:
     """Decimal text of a double in the notation of Python's ``str``.
 
-    Spark's own cast agrees for zero and for magnitudes in [1e-3, 1e7); outside of them it
-    switches to exponents earlier and writes them differently, so only those are rewritten.
+    Spark's own cast agrees for zero and for magnitudes in [1e-3, 1e7). The rare rest is
+    rewritten in a lambda, which Spark calls instead of inlining: inlined, it would push the
+    generated code of a few columns past the size the JVM still compiles.
     """
-    plain = value.cast("string")
     size = F.abs(value)
+    usual = (size >= 1e-3) & (size < 1e7) | (size == 0)
+    return F.when(usual, value.cast("string")).otherwise(F.transform(F.array(value), _unusual_text)[0])
+
+
+def _unusual_text(value: Column) -> Column:
+    plain, size = value.cast("string"), F.abs(value)
     positional = F.regexp_replace(plain.cast("decimal(38,21)").cast("string"), r"(\.\d+?)0*$", "$1")
     exponent = F.regexp_replace(plain, r"\.0E", "E")
     exponent = F.regexp_replace(exponent, r"E(?=\d)", "e+")
     exponent = F.regexp_replace(exponent, "E-", "e-")
     exponent = F.regexp_replace(exponent, r"(?<=e[+-])(?=\d$)", "0")
     return (
-        F.when((size >= 1e-3) & (size < 1e7) | (size == 0), plain)
-        .when(F.isnan(value), "nan")
+        F.when(F.isnan(value), "nan")
         .when(value == float("inf"), "inf")
         .when(value == float("-inf"), "-inf")
         .when((size >= 1e-4) & (size < 1e16), positional)

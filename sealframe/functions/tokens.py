@@ -50,10 +50,20 @@ def seal(text: Column, key: Column, method: str, *, iv: Column | None = None,
     return F.when(text.isNotNull(), _to_token(signed))
 
 
-def open_token(token: Column, key: Column, method: str) -> Column:
-    """Text of a token; a wrong tag, MAC or version fails the query."""
+def token_bytes(token: Column) -> Column:
+    """Bytes of a token; text that is no Base64 fails the query."""
+    return F.unbase64(_from_url_safe(token))
+
+
+def try_token_bytes(token: Column) -> Column:
+    """Bytes of a token, none (which no method accepts) for text that is no Base64."""
+    raw = F.try_to_binary(_from_url_safe(token), F.lit("base64"))
+    return F.when(token.isNotNull(), F.coalesce(raw, F.lit(b"")))
+
+
+def open_bytes(raw: Column, key: Column, method: str) -> Column:
+    """Text of a token's bytes; a wrong tag, MAC or version fails the query."""
     check_method(method)
-    raw = F.unbase64(_from_url_safe(token))
     if method == "gcm":
         return F.aes_decrypt(raw, key["whole"], F.lit("GCM")).cast("string")
     if method == "cbc":
@@ -61,21 +71,20 @@ def open_token(token: Column, key: Column, method: str) -> Column:
     sealed = F.substring(raw, 10, F.length(raw) - 9 - MAC_BYTES)
     text = F.aes_decrypt(sealed, key["sealing"], F.lit("CBC"), F.lit("PKCS")).cast("string")
     return (
-        F.when(token.isNull(), F.lit(None).cast("string"))
+        F.when(raw.isNull(), F.lit(None).cast("string"))
         .when(_fernet_intact(raw, key), text)
         .otherwise(F.raise_error(F.lit("invalid token: version or HMAC does not match")))
     )
 
 
-def is_intact(token: Column, key: Column, method: str) -> Column:
-    """Whether a token is unchanged: true or false, null for a null token. Never fails."""
+def is_intact(raw: Column, key: Column, method: str) -> Column:
+    """Whether a token is unchanged, from its bytes: true or false, null for null. Never fails."""
     check_method(method, authenticated=True)
-    raw = F.try_to_binary(_from_url_safe(token), F.lit("base64"))
     if method == "gcm":
         intact = F.try_aes_decrypt(raw, key["whole"], F.lit("GCM")).isNotNull()
     else:
-        intact = F.coalesce(_fernet_intact(raw, key), F.lit(False))
-    return F.when(token.isNotNull(), intact)
+        intact = _fernet_intact(raw, key)
+    return F.when(raw.isNotNull(), intact)
 
 
 def token_length(text_bytes: Column, method: str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sealframe.functions.keys import KEY, with_key
 from sealframe.functions.text import cell, cell_text
-from sealframe.functions.tokens import check_method, open_token, seal
+from sealframe.functions.tokens import check_method, open_bytes, seal, token_bytes
 
 
 def encrypt_table(df: DataFrame, key: bytes, method: str = "gcm", *, hide_nulls: bool = False) -> DataFrame:
@@ -27,10 +27,10 @@ def decrypt_table(df: DataFrame, key: bytes, method: str = "gcm",
     """Every token as its text, listed columns as doubles; listed names that are not there
     are skipped. A changed token (not for ``cbc``) or text that is no number fails the query."""
     check_method(method)
-    opened = {name: open_token(cell(name), F.col(KEY), method) for name in df.columns}
-    return with_key(df, key).select(
-        *[(_number(text, name) if name in numeric_columns else text).alias(name) for name, text in opened.items()]
-    )
+    # Decoded in a projection of its own: a method may look at the bytes more than once.
+    raw = with_key(df, key).select(KEY, *[token_bytes(cell(c)).alias(c) for c in df.columns])
+    opened = {c: open_bytes(cell(c), F.col(KEY), method) for c in df.columns}
+    return raw.select(*[(_number(text, c) if c in numeric_columns else text).alias(c) for c, text in opened.items()])
 
 
 def _number(text: Column, name: str) -> Column:

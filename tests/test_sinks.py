@@ -1,0 +1,129 @@
+"""Sinks and the two jobs that end in them."""
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F, types as T
+
+from sealframe.layout import FLOWERS
+from sealframe.operators.cipher import decrypt_table, encrypt_table
+from sealframe.plans.flows import Target, run_encrypted, run_plain
+from sealframe.session import shared_folder, spread
+from sealframe.sinks.csv import read_csv_sink, sink_csv, sink_csv_encrypted
+from sealframe.sinks.tables import check_name, jdbc_options, sink_table, sink_table_encrypted
+from sealframe.sources.csv import scan_csv_headerless
+from sealframe.sources.tables import read_back
+
+FLOWER_ROWS = "5.1,3.5,1.4,0.2,Iris-setosa\n4.9,3.0,1.4,0.2,Iris-setosa\n7.0,3.2,4.7,1.4,Iris-versicolor\n"
+
+
+def rows(frame):
+    return sorted((tuple(r) for r in frame.collect()), key=repr)
+
+
+def test_csv_keeps_every_text(spark):
+    texts = ["plain", " blanks ", 'a "quote"', "comma, too", "back\\slash", "æøå", "two\nlines"]
+    frame = spark.createDataFrame([(t, float(i)) for i, t in enumerate(texts)], "t string, x double")
+    path = sink_csv(frame, shared_folder(spark), "a.csv")
+    assert path.endswith("/transform_a.csv")
+    assert rows(read_csv_sink(spark, path, frame.schema, multi_line=True)) == rows(frame)
+    first = spark.read.text(path).first().value
+    assert first == "t,x"
+
+
+def test_csv_is_replaced(spark):
+    folder = shared_folder(spark)
+    for n in (5, 2):
+        path = sink_csv(spark.range(n), folder, "a.csv")
+    assert read_csv_sink(spark, path, "id long").count() == 2
+
+
+def test_encrypted_csv_holds_tokens_only(spark, key):
+    frame = spark.createDataFrame([("secret text", 5.25)], "t string, x double")
+    path = sink_csv_encrypted(frame, shared_folder(spark), "a.csv", key)
+    stored = "\n".join(r.value for r in spark.read.text(path).collect())
+    assert stored.startswith("t,x\n") and "secret" not in stored and "5.25" not in stored
+
+
+def test_table_types_and_replacement(spark, key):
+    frame = spark.createDataFrame([(1.5, "a"), (2.5, "b")], "x double, s string")
+    location = shared_folder(spark)
+    name = sink_table(frame, "sink_checks", "plain", location=location)
+    types = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE {name}").collect()}
+    assert types == {"x": "double", "s": "varchar(50)"}
+    sink_table(frame.limit(1), "sink_checks", "plain", location=location)
+    assert read_back(spark, "sink_checks", "plain", ["s", "x"]).columns == ["s", "x"]
+    assert spark.table(name).count() == 1
+    sealed = sink_table_encrypted(frame, "sink_checks", "sealed", key, location=location)
+    types = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE {sealed}").collect()}
+    assert types == {"x": "varchar(255)", "s": "varchar(255)"}
+    assert rows(decrypt_table(read_back(spark, "sink_checks", "sealed", ["x", "s"]), key, "gcm", ["x"])) == rows(frame)
+
+
+@pytest.mark.parametrize(("method", "most"), [("gcm", 161), ("cbc", 159), ("fernet", 127)])
+def test_overlong_cells_are_refused(spark, key, method, most):
+    location = shared_folder(spark)
+    fits = spark.createDataFrame([("x" * most,)], "t string")
+    sink_table_encrypted(fits, "sink_checks", "wide", key, method, location=location)
+    too_long = spark.createDataFrame([("x" * (most + 1),)], "t string")
+    with pytest.raises(PySparkException, match="LIMIT"):
+        sink_table_encrypted(too_long, "sink_checks", "wide", key, method, location=location)
+    sink_table_encrypted(too_long, "sink_checks", "wide", key, method, token_width=None, location=location)
+
+
+@pytest.mark.parametrize("name", ["", "1a", "a-b", "a.b", "a b", "t; DROP TABLE x", "`t`"])
+def test_unsafe_names(spark, name):
+    with pytest.raises(ValueError, match="unsafe"):
+        check_name(name)
+    with pytest.raises(ValueError, match="unsafe"):
+        sink_table(spark.range(1), "sink_checks", name)
+    with pytest.raises(ValueError, match="unsafe"):
+        sink_table(spark.range(1), name, "t")
+
+
+def test_jdbc_columns():
+    options = jdbc_options(FLOWERS.schema, 50, 4)
+    assert options["createTableColumnTypes"].startswith("sepal_length DOUBLE, ")
+    assert options["createTableColumnTypes"].endswith("species VARCHAR(50)")
+    assert options["numPartitions"] == "4"
+    sealed = T.StructType([T.StructField(c, T.StringType()) for c in FLOWERS.columns])
+    assert jdbc_options(sealed, 255, 4)["createTableColumnTypes"].count("VARCHAR(255)") == 5
+
+
+def test_spread_shuffles_small_input_only(spark, tmp_path):
+    path = str(tmp_path / "small")
+    spark.range(0, 1000, 1, 1).write.parquet(path)
+    small = spark.read.parquet(path)
+    assert "RoundRobinPartitioning" in spread(small)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in spread(small, split_bytes=1)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("method", ["plain", "gcm", "cbc", "fernet"])
+def test_jobs(spark, key, tmp_path, method):
+    (tmp_path / "iris.csv").write_text(FLOWER_ROWS)
+    source = scan_csv_headerless(spark, str(tmp_path / "iris.csv"), FLOWERS)
+    folder = shared_folder(spark)
+    target = Target("job_checks", f"flowers_{method}", folder, "iris.csv", f"{folder}/db")
+    args = (source, FLOWERS, "Iris-setosa", target)
+    stored = run_plain(*args) if method == "plain" else run_encrypted(*args, key, method)
+    expected = [(4.9, 3.0, 1.4, 0.2, "Iris-setosa"), (5.1, 3.5, 1.4, 0.2, "Iris-setosa")]
+    assert (stored.count, stored.csv_path) == (2, f"{folder}/transform_iris.csv")
+    assert rows(stored.rows) == expected
+    in_csv = read_csv_sink(spark, stored.csv_path, FLOWERS.schema if method == "plain" else stored.at_rest.schema)
+    assert rows(in_csv) == rows(stored.at_rest)
+    if method != "plain":
+        assert rows(decrypt_table(in_csv, key, method, FLOWERS.measures)) == expected
+    with stored:
+        charts = stored.charts().collect()
+    assert {(r.x, r.y) for r in charts if r.chart == "scatter"} == {(5.1, 1.4), (4.9, 1.4)}
+    assert sum(r.n for r in charts if r.chart == "histogram") == 2
+    assert {r.item: r.y for r in charts if r.series == "sepal_width"}["median"] == 3.25
+    assert not stored.rows.is_cached
+
+
+def test_two_evaluations_differ_one_stored_does_not(spark, key):
+    frame = spark.createDataFrame([("a",)], "t string")
+    tokens = encrypt_table(frame, key)
+    assert tokens.first().t != tokens.first().t
+    path = f"{shared_folder(spark)}/tokens"
+    tokens.write.parquet(path)
+    assert spark.read.parquet(path).first() == spark.read.parquet(path).where(F.col("t").isNotNull()).first()
