@@ -14,7 +14,8 @@ def encrypt_table(df: DataFrame, key: bytes, method: str = "gcm", *, hide_nulls:
 
     The result is random: each action seals anew. Store it before comparing or joining it,
     and shuffle before sealing, never after, because a task that is run again would place
-    its new tokens elsewhere.
+    its new tokens elsewhere. Columns that are the same expression of the same input share
+    one token within a row; stored columns never do.
     """
     check_method(method)
     return with_key(df, key).select(

@@ -80,9 +80,15 @@ def test_round_trip_of_awkward_texts(spark, key, method):
         assert len(token) % 4 == 0
 
 
+@pytest.mark.parametrize("method", METHODS)
+def test_constant_column_is_not_folded_into_one_token(spark, key, method):
+    tokens = encrypt_table(spark.range(0, 500, 1, 4).select(F.lit("same").alias("a")), key, method)
+    assert tokens.distinct().count() == 500
+
+
 @pytest.mark.parametrize("method", METHODS)
 def test_every_cell_gets_its_own_token(spark, key, method):
-    frame = spark.range(0, 500, 1, 4).select(F.lit("same").alias("a"), F.lit("same").alias("b"))
+    frame = spark.createDataFrame([("same", "same")] * 500, "a string, b string")
     tokens = encrypt_table(frame, key, method)
     assert tokens.select(F.explode(F.array("a", "b")).alias("t")).distinct().count() == 1000
 
@@ -93,14 +99,16 @@ def test_every_cell_gets_its_own_token(spark, key, method):
     {"spark.sql.subexpressionElimination.enabled": "false", "spark.sql.optimizer.collapseProjectAlwaysInline": "true"},
     {"spark.sql.codegen.factoryMode": "NO_CODEGEN", "spark.sql.codegen.wholeStage": "false"},
 ])
-def test_fernet_signs_the_body_it_stores(spark, key, conf):
+def test_fernet_signs_the_body_it_stores(spark, key, conf, tmp_path):
     """The body has a random IV and is used twice: whatever the planner does, it must be one."""
     before = {name: spark.conf.get(name, None) for name in conf}
     try:
         for name, value in conf.items():
             spark.conf.set(name, value)
         frame = spark.range(300).select(F.col("id").cast("string").alias("t"))
-        opened = decrypt_table(encrypt_table(frame, key, "fernet"), key, "fernet")
+        tokens = stored(encrypt_table(frame, key, "fernet"), tmp_path)
+        opened = decrypt_table(tokens, key, "fernet")
+        assert tamper_report(tokens, key, "fernet").first().bad_cells == 0
         assert sorted(r.t for r in opened.collect()) == sorted(str(i) for i in range(300))
     finally:
         for name, value in before.items():
@@ -115,12 +123,12 @@ def test_numbers_come_back_as_the_same_doubles(spark, key):
 
 def test_text_of_doubles_is_pythons(spark):
     random.seed(7)
-    numbers = EDGE_NUMBERS + [random.uniform(-1, 1) * 10 ** random.randint(-12, 20) for _ in range(2000)]
+    numbers = EDGE_NUMBERS + [random.uniform(-1, 1) * 10 ** random.randint(-12, 15) for _ in range(2000)]
     rows = spark.createDataFrame([(x,) for x in numbers], "x double").select(float_text(F.col("x")).alias("t")).collect()
-    # Java 17 sometimes writes one digit more than needed; the number it names is the same.
+    # Java 17 sometimes writes a digit more than needed, mostly above 2**53; the number is the same.
     assert all(float(r.t) == x or math.isnan(x) for r, x in zip(rows, numbers))
     same = sum(r.t == str(x) for r, x in zip(rows, numbers))
-    assert same >= 0.98 * len(numbers)
+    assert same >= 0.99 * len(numbers)
     assert [r.t for r in rows[: len(EDGE_NUMBERS)]] == [str(x) for x in EDGE_NUMBERS]
 
 
