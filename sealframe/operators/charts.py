@@ -81,9 +81,10 @@ class Box:
         return F.lit(self.q1 - reach), F.lit(self.q3 + reach)
 
     def beyond(self) -> Column:
+        """Beyond a fence, and no NaN: Spark orders NaN after infinity. A scan takes it whole."""
         v = cell(self.measure).cast("double")
         low, high = self.fences
-        return present(v) & ((v < low) | (v > high))
+        return (v < low) | ((v > high) & (v <= float("inf")))
 
 
 def boxes(df: DataFrame, measures: list[str] | tuple[str, ...]) -> list[Box]:

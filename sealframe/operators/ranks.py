@@ -132,5 +132,7 @@ def _hits(slots: DataFrame) -> list[Row]:
 def _interpolate(found: dict[tuple[str, int], float], series: str, position: float) -> float:
     below, above = found[series, math.floor(position)], found[series, math.ceil(position)]
     share, step = position - math.floor(position), above - below
+    if not share:
+        return below
     # From the nearer neighbour, as numeric libraries do.
     return above - step * (1 - share) if share >= 0.5 else below + step * share

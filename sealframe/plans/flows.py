@@ -31,28 +31,31 @@ class Target:
 
 @dataclass(frozen=True)
 class Stored:
-    """What a job left behind: ``at_rest`` as stored, ``rows`` readable."""
+    """What a job left behind: ``at_rest`` as stored, ``rows`` readable, ``measured`` the measures.
+
+    As a context it keeps the readable measures while several charts are made, so that each
+    cell is opened once. Executors spill them to their own disks: set
+    ``spark.io.encryption.enabled``.
+    """
 
     table: str
     csv_path: str
     count: int
     at_rest: DataFrame
     rows: DataFrame
-    layout: Layout
+    measured: DataFrame
 
     def charts(self) -> DataFrame:
         """Scatter of the first and third measure, histogram of the fourth, a box for each."""
-        x, _, y, histogram = self.layout.measures[:4]
-        return chart_table(self.rows, x, y, histogram, self.layout.measures)
+        x, _, y, histogram = self.measured.columns[:4]
+        return chart_table(self.measured, x, y, histogram, self.measured.columns)
 
     def __enter__(self) -> Stored:
-        """Keep the readable rows while several charts are made, so that each cell is opened
-        once. Executors spill them to their own disks: set ``spark.io.encryption.enabled``."""
-        self.rows.persist(StorageLevel.MEMORY_AND_DISK)
+        self.measured.persist(StorageLevel.MEMORY_AND_DISK)
         return self
 
     def __exit__(self, *_) -> None:
-        self.rows.unpersist()
+        self.measured.unpersist()
 
 
 def run_plain(source: DataFrame, layout: Layout, category: str, target: Target) -> Stored:
@@ -61,7 +64,7 @@ def run_plain(source: DataFrame, layout: Layout, category: str, target: Target)
     table = sink_table(wanted, target.database, target.table, location=target.location)
     stored = read_back(source.sparkSession, target.database, target.table, layout.columns)
     path = sink_csv(stored, target.csv_folder, target.source_name)
-    return Stored(table, path, stored.count(), stored, stored, layout)
+    return Stored(table, path, stored.count(), stored, stored, project_columns(stored, list(layout.measures)))
 
 
 def run_encrypted(source: DataFrame, layout: Layout, category: str, target: Target, key: bytes,
@@ -73,4 +76,4 @@ def run_encrypted(source: DataFrame, layout: Layout, category: str, target: Targ
     stored = read_back(source.sparkSession, target.database, target.table, layout.columns)
     path = sink_csv(stored, target.csv_folder, target.source_name)
     rows = decrypt_table(spread(stored), key, method, layout.measures)
-    return Stored(table, path, stored.count(), stored, rows, layout)
+    return Stored(table, path, stored.count(), stored, rows, project_columns(rows, list(layout.measures)))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from sealframe.functions.text import cell_text
 from sealframe.functions.tokens import token_length
 from sealframe.operators.cipher import encrypt_table
+from sealframe.session import shared_folder
 
 # Widths of the text columns of stored tables.
 PLAIN_TEXT_WIDTH = 50
@@ -58,6 +59,9 @@ def sink_jdbc(df: DataFrame, url: str, table: str, *, text_width: int = PLAIN_TE
               connections: int = 8, properties: dict[str, str] | None = None) -> None:
     """Drop, create and fill a database table over at most ``connections`` connections.
 
+    Where the database itself may be missing, ask for it in the URL
+    (``createDatabaseIfNotExist=true`` in MySQL's).
+
     Each task commits its own rows, so a task that is run again after its commit was lost
     from sight would store them twice: the rows are counted afterwards.
     """
@@ -76,14 +80,20 @@ def sink_jdbc_encrypted(df: DataFrame, url: str, table: str, key: bytes, method:
                         token_width: int = TOKEN_WIDTH, connections: int = 8,
                         properties: dict[str, str] | None = None) -> None:
     """The same with every cell a token. Databases may cut long values silently, so the token
-    lengths are derived from the plaintext first, before anything is sealed or dropped."""
+    lengths are derived from the plaintext first, before anything is sealed or dropped.
+
+    The tokens are staged in the shared folder: sealing keeps all cores, not one per connection,
+    and a task that is run again loads the same tokens.
+    """
     longest = df.select(
         *[F.max(token_length(F.octet_length(cell_text(f.name, f.dataType)), method)).alias(f.name) for f in df.schema]
     ).first()
     wide = {name: n for name, n in longest.asDict().items() if n is not None and n > token_width}
     if wide:
         raise ValueError(f"tokens longer than {token_width} characters: {wide}")
-    sink_jdbc(encrypt_table(df, key, method), url, table, text_width=token_width,
+    staged = f"{shared_folder(df.sparkSession)}/tokens"
+    encrypt_table(df, key, method).write.parquet(staged, compression="zstd")
+    sink_jdbc(df.sparkSession.read.parquet(staged), url, table, text_width=token_width,
               connections=connections, properties=properties)
 
 

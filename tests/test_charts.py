@@ -38,6 +38,19 @@ def test_quantiles(spark, shape):
     np.testing.assert_allclose(found.values, np.percentile(SHAPES[shape], [100 * p for p in probabilities]), rtol=1e-15)
 
 
+def test_quantiles_next_to_infinities(spark):
+    values = [float("-inf")] * 2 + [1.0, 2.0, 4.0] + [float("inf")] * 2
+    found = exact_quantiles(frame_of(spark, values), ["x"], (0.0, 0.5, 0.625, 1.0))["x"]
+    assert found.values == (float("-inf"), 2.0, 3.5, float("inf"))
+
+
+def test_outlier_condition_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "values")
+    frame_of(spark, SHAPES["far outliers"]).write.parquet(path)
+    plan = box_outliers(spark.read.parquet(path), ["x"])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(LessThan(x," in plan
+
+
 def box_of(values):
     """The documented rules of box plots, in numpy."""
     q1, median, q3 = np.percentile(values, [25, 50, 75])
@@ -68,13 +81,10 @@ def test_boxes_of_several_measures_skip_missing_values(spark):
     assert box_outliers(frame, ["b"]).count() == 0
 
 
-def test_a_hot_value_is_one_partial_row_per_task(spark):
-    plan = exact_plan(spark.range(100).select((F.col("id") % 2).cast("double").alias("x")))
-    assert plan.index("partial_count") > plan.index("Exchange")
-
-
-def exact_plan(frame):
-    return scatter_points(frame.withColumn("y", F.col("x")), "x", "y")._jdf.queryExecution().executedPlan().toString()
+def test_points_are_counted_before_the_shuffle(spark):
+    frame = spark.range(100).select((F.col("id") % 2).cast("double").alias("x"), F.lit(1.0).alias("y"))
+    plan = scatter_points(frame, "x", "y")._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange") < plan.index("partial_count")
 
 
 @pytest.mark.parametrize("shape", [s for s in SHAPES if s not in ("neighbouring doubles", "huge")])

@@ -117,7 +117,7 @@ def test_jobs(spark, key, tmp_path, method):
     assert {(r.x, r.y) for r in charts if r.chart == "scatter"} == {(5.1, 1.4), (4.9, 1.4)}
     assert sum(r.n for r in charts if r.chart == "histogram") == 2
     assert {r.item: r.y for r in charts if r.series == "sepal_width"}["median"] == 3.25
-    assert not stored.rows.is_cached
+    assert not stored.measured.is_cached
 
 
 def test_two_evaluations_differ_one_stored_does_not(spark, key):
