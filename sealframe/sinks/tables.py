@@ -32,7 +32,8 @@ def sink_table(df: DataFrame, database: str, table: str, *, text_width: int | No
 
     Spark checks the width while it writes and fails on a longer cell, so no pass over the
     data is needed first. ``None`` stores text of any length. Like any drop and create, the
-    replacement is not atomic.
+    replacement is not atomic. Files stay in a fixed place below the database's location and
+    are overwritten, so a run also replaces what a session without a lasting catalog left.
     """
     spark = df.sparkSession
     name = f"{check_name(database)}.{check_name(table)}"
@@ -43,8 +44,9 @@ def sink_table(df: DataFrame, database: str, table: str, *, text_width: int | No
     ]
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     # Tokens are Base64: only an entropy coder shortens them.
-    spark.catalog.createTable(name, source="parquet", schema=T.StructType(fields), compression="zstd")
-    df.write.insertInto(name)
+    place = f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{table}"
+    spark.catalog.createTable(name, path=place, source="parquet", schema=T.StructType(fields), compression="zstd")
+    df.write.insertInto(name, overwrite=True)
     return name
 
 

@@ -88,8 +88,7 @@ def test_points_are_counted_before_the_shuffle(spark):
 
 
 @pytest.mark.parametrize("shape", [s for s in SHAPES if s not in ("neighbouring doubles", "huge")])
-@pytest.mark.parametrize("bins", [1, 10, 37])
-def test_histogram(spark, shape, bins):
+def test_histogram(spark, shape, bins=10):
     counts, edges = np.histogram(SHAPES[shape], bins)
     rows = histogram_bins(frame_of(spark, SHAPES[shape]), "x", bins).orderBy("bin").collect()
     assert [r.bin for r in rows] == list(range(bins))
@@ -98,6 +97,11 @@ def test_histogram(spark, shape, bins):
     assert [r.n for r in rows] == counts.tolist()
 
 
+@pytest.mark.parametrize("bins", [1, 37, 1000])
+def test_histogram_with_other_numbers_of_bins(spark, bins):
+    test_histogram(spark, "continuous", bins)
+
+
 def test_histogram_values_on_edges(spark):
     values = np.concatenate([np.round(np.arange(0, 101) * 0.01, 2)] * 3)
     rows = histogram_bins(frame_of(spark, values), "x").orderBy("bin").collect()

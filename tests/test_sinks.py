@@ -9,9 +9,9 @@ from sealframe.operators.cipher import decrypt_table, encrypt_table
 from sealframe.plans.flows import Target, run_encrypted, run_plain
 from sealframe.session import shared_folder, spread
 from sealframe.sinks.csv import read_csv_sink, sink_csv, sink_csv_encrypted
-from sealframe.sinks.tables import check_name, jdbc_options, sink_table, sink_table_encrypted
+from sealframe.sinks.tables import check_name, jdbc_options, sink_jdbc_encrypted, sink_table, sink_table_encrypted
 from sealframe.sources.csv import scan_csv_headerless
-from sealframe.sources.tables import read_back
+from sealframe.sources.tables import read_back, read_back_jdbc
 
 FLOWER_ROWS = "5.1,3.5,1.4,0.2,Iris-setosa\n4.9,3.0,1.4,0.2,Iris-setosa\n7.0,3.2,4.7,1.4,Iris-versicolor\n"
 
@@ -59,6 +59,22 @@ def test_table_types_and_replacement(spark, key):
     assert rows(decrypt_table(read_back(spark, "sink_checks", "sealed", ["x", "s"]), key, "gcm", ["x"])) == rows(frame)
 
 
+def test_table_replaces_files_the_catalog_forgot(spark):
+    location = shared_folder(spark)
+    sink_table(spark.range(5).select(F.col("id").cast("double").alias("old")), "forgetful", "t", location=location)
+    spark.sql("DROP TABLE forgetful.t")
+    sink_table(spark.createDataFrame([("a",)], "new string"), "forgetful", "t", location=location)
+    assert rows(read_back(spark, "forgetful", "t", ["new"])) == [("a",)]
+
+
+def test_failed_jdbc_checks_touch_nothing(spark, key):
+    frame = spark.createDataFrame([("x" * 162, 1.0)], "t string, x double")
+    with pytest.raises(ValueError, match="longer than 255.*'t': 256"):
+        sink_jdbc_encrypted(frame, "jdbc:none:", "t", key)
+    with pytest.raises(ValueError, match="unsafe"):
+        read_back_jdbc(spark, "jdbc:none:", "t; DROP TABLE t", ["x"])
+
+
 @pytest.mark.parametrize(("method", "most"), [("gcm", 161), ("cbc", 159), ("fernet", 127)])
 def test_overlong_cells_are_refused(spark, key, method, most):
     location = shared_folder(spark)
