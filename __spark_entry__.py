@@ -37,9 +37,8 @@ DATABASE = "sealframe_checks"
 
 
 def entry(spark: SparkSession) -> DataFrame:
-    rows = _category(spark, "/root/testdata/sf0.001")
-    tokens = encrypt_table(spread(rows), KEY)
-    return box_stats(decrypt_table(tokens, KEY, numeric_columns=MEASURES), MEASURES)
+    """Filter, seal, store, read back, open, chart."""
+    return _job_encrypted(spark, "/root/testdata/sf0.001")
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -10,7 +10,9 @@ Like ``approxQuantile`` this runs when called. Measures with few digits need one
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -27,7 +29,7 @@ PARTS = 1 << 20
 
 
 SPANS = pa.schema([
-    ("span_series", pa.string()), ("n", pa.int64()), ("lo", pa.float64()), ("hi", pa.float64()),
+    ("span", pa.int32()), ("of", pa.string()), ("n", pa.int64()), ("lo", pa.float64()), ("hi", pa.float64()),
     ("wanted", pa.list_(pa.struct([("rank", pa.int64()), ("skip", pa.int64())]))),
 ])
 
@@ -103,17 +105,17 @@ def _finer_pass(df: DataFrame, picks: list[Row], cut: Column) -> list[Row]:
     wanted: dict[tuple, list[dict]] = {}
     for p in picks:
         wanted.setdefault((p.series, p.n, p.lo, p.hi), []).append({"rank": p.rank, "skip": p.skip})
-    names = ["span_series", "n", "lo", "hi", "wanted"]
-    rows = [dict(zip(names, (*span, ranks))) for span, ranks in wanted.items()]
+    rows = [dict(zip(SPANS.names, (i, *span, ranks))) for i, (span, ranks) in enumerate(wanted.items())]
     spans = df.sparkSession.createDataFrame(pa.Table.from_pylist(rows, schema=SPANS))
-    span = ["series", "n", "lo", "hi", "wanted"]
-    inside = (F.col("series") == F.col("span_series")) & F.col("v").between(F.col("lo"), F.col("hi"))
+    # Constant bounds first: they reach the scan and leave few rows to unpivot.
+    inside = functools.reduce(operator.or_, [cell(c).cast("double").between(lo, hi) for c, _, lo, hi in wanted])
     slots = (
-        _long(df, sorted({p.series for p in picks}))
-        .join(F.broadcast(spans), inside)
-        .groupBy(*span, cut.alias("slot"))
+        _long(df.where(inside), sorted({p.series for p in picks}))
+        .join(F.broadcast(spans), (F.col("series") == F.col("of")) & F.col("v").between(F.col("lo"), F.col("hi")))
+        .groupBy("span", cut.alias("slot"))
         .agg(*_extent())
-        .withColumn("before", F.sum("rows").over(Window.partitionBy(*span).orderBy("slot")) - F.col("rows"))
+        .withColumn("before", F.sum("rows").over(Window.partitionBy("span").orderBy("slot")) - F.col("rows"))
+        .join(F.broadcast(spans.select("span", F.col("of").alias("series"), "n", "wanted")), "span")
     )
     return _hits(slots)
 

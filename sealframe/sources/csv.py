@@ -17,35 +17,38 @@ def scan_csv(spark: SparkSession, path: str | list[str], layout: Layout) -> Data
 
 
 def scan_csv_headerless(spark: SparkSession, path: str | list[str], layout: Layout) -> DataFrame:
-    """Files with or without a header line, told apart file by file.
+    """Files with or without a header line, told apart file by file when this is called.
 
     A first line that starts with the first column name, in any case and after blanks, is a
-    header. Every file is read as if it had one, which drops its first row; the first rows of
-    the files without a header are parsed on their own and added back. Telling them apart is
-    a second pass over the text that keeps one row per file; use ``scan_csv`` where all files
-    are known to have headers.
+    header. Telling them apart is a pass over the text that keeps one flag per file; the
+    driver, which lists the files anyway, gets the flags. Use ``scan_csv`` where all files are
+    known to have headers.
     """
-    rows = scan_csv(spark, path, layout)
-    line = F.col("value")
-    # Only the split at offset 0 holds a file's first line, and within it ids follow the lines.
-    starts = (
-        spark.read.text(path)
-        .where(F.col("_metadata.file_block_start") == 0)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.monotonically_increasing_id().alias("place"),
-            line,
-        )
-        .groupBy("file")
-        .agg(
-            F.min_by(line, "place").alias("first_line"),
-            F.min_by(F.when(F.trim(line) != "", line), F.when(F.trim(line) != "", F.col("place"))).alias("first_row"),
-        )
-    )
-    has_header = F.startswith(F.lower(F.trim(F.col("first_line"))), F.lit(layout.columns[0].lower()))
-    lost = (
-        starts.where(~has_header & F.col("first_row").isNotNull())
-        .select(F.from_csv("first_row", layout.ddl).alias("row"))
-        .select("row.*")
+    headed = _has_header(spark, path, layout).collect()
+    with_header = [r.file for r in headed if r.headed]
+    without = [r.file for r in headed if not r.headed]
+    rows = spark.read.schema(layout.schema)
+    if not without:
+        return rows.csv(path, header=True)
+    if not with_header:
+        return rows.csv(path, header=False)
+    # A condition on the file's path alone leaves files out of the scan.
+    few, many = sorted([with_header, without], key=len)
+    file = F.col("_metadata.file_path")
+    kinds = [(file.isin(few), few is with_header), (~file.isin(few), many is with_header)]
+    parts = [rows.csv(path, header=header).where(chosen) for chosen, header in kinds]
+    return parts[0].unionByName(parts[1])
+
+
+def _has_header(spark: SparkSession, path: str | list[str], layout: Layout) -> DataFrame:
+    """One row ``(file, headed)`` per file that has a line."""
+    start = F.lower(F.regexp_replace("value", r"(?U)^\s+", ""))
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("offset"),
+        F.startswith(start, F.lit(layout.columns[0].lower())).alias("is_header"),
+        F.monotonically_increasing_id().alias("place"),
     )
-    return rows.unionByName(lost)
+    # Only the split at offset 0 holds a file's first line, and within it ids follow the lines.
+    # A flag and a number fit a hash aggregate, which a line of text would not.
+    return lines.where("offset = 0").groupBy("file").agg(F.min_by("is_header", "place").alias("headed"))

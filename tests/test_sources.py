@@ -7,7 +7,7 @@ from urllib.parse import urlparse
 
 from sealframe.layout import FLOWERS
 from sealframe.operators.rows import filter_category, preview, project_columns
-from sealframe.sources.csv import scan_csv, scan_csv_headerless
+from sealframe.sources.csv import _has_header, scan_csv, scan_csv_headerless
 from sealframe.sources.urls import url_manifest
 
 HEADER = "sepal_length,sepal_width,petal_length,petal_width,species\n"
@@ -43,16 +43,18 @@ def test_faulty_rows(spark, tmp_path):
 def test_headers_are_found_file_by_file(spark, tmp_path):
     """With or without a header, every file gives the rows it gives once a header is there."""
     bodies = {
+        "windows.csv": ROWS.replace("\n", "\r\n"), "windows_headed.csv": (HEADER + ROWS).replace("\n", "\r\n"),
         "plain.csv": ROWS, "faults.csv": FAULTS, "headed.csv": HEADER + ROWS, "shouting.csv": "  " + HEADER.upper() + ROWS,
         "twice.csv": HEADER + HEADER + ROWS, "inside.csv": ROWS + HEADER, "blank.csv": "\n" + ROWS, "late.csv": "\n" + HEADER + ROWS,
         "short.csv": "1.0,2.0\n", "no_newline.csv": "6.0,1.0,1.0,1.0,Iris-setosa", "only_header.csv": HEADER, "empty.csv": "",
+        "tabbed.csv": "\t\u00a0" + HEADER + ROWS, "blank_tab.csv": " \t\n\n" + ROWS, "blank_lines.csv": "\n\n\n",
     }
     expected = []
     for name, body in bodies.items():
         write(tmp_path, name, body)
         folder = tmp_path / f"fixed-{name}"
         folder.mkdir()
-        headed = body.split("\n")[0].strip().lower().startswith("sepal_length")
+        headed = body.replace("\r\n", "\n").split("\n")[0].strip().lower().startswith("sepal_length")
         expected += rows(scan_csv(spark, write(folder, name, body if headed else HEADER + body), FLOWERS))
     got = rows(scan_csv_headerless(spark, [str(tmp_path / n) for n in bodies], FLOWERS))
     assert got == sorted(expected, key=repr)
@@ -71,6 +73,31 @@ def test_first_lines_of_files_cut_into_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_each_file_is_read_once_and_flags_are_hashed(spark, tmp_path):
+    paths = [write(tmp_path, f"{n} [x].csv", (HEADER if n < 2 else "") + ROWS) for n in range(5)]
+    flags = _has_header(spark, str(tmp_path), FLOWERS)
+    plan = flags._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("HashAggregate") == 2
+    assert flags.where("headed").count() == 2
+    frame = scan_csv_headerless(spark, str(tmp_path), FLOWERS)
+    assert frame.count() == 3 * len(paths)
+    scans = frame._jdf.queryExecution().executedPlan().collectLeaves()
+    read = []
+    for i in range(scans.size()):
+        scan = scans.apply(i)
+        scan.execute().count()
+        read.append(scan.metrics().apply("numFiles").value())
+    assert sorted(read) == [2, 3]
+
+
+def test_files_of_one_kind_need_no_union(spark, tmp_path):
+    for n in range(3):
+        write(tmp_path, f"{n}.csv", ROWS)
+    frame = scan_csv_headerless(spark, str(tmp_path), FLOWERS)
+    assert frame.count() == 9
+    assert "Union" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
 def test_filter_reaches_the_scan(spark, tmp_path):
     frame = filter_category(scan_csv(spark, write(tmp_path, "a.csv", HEADER + ROWS), FLOWERS), "species", "Iris-setosa")
     plan = frame._jdf.queryExecution().executedPlan().toString()
