@@ -42,11 +42,10 @@ def scan_csv_headerless(spark: SparkSession, path: str | list[str], layout: Layo
 
 def _has_header(spark: SparkSession, path: str | list[str], layout: Layout) -> DataFrame:
     """One row ``(file, headed)`` per file that has a line."""
-    start = F.lower(F.regexp_replace("value", r"(?U)^\s+", ""))
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("offset"),
-        F.startswith(start, F.lit(layout.columns[0].lower())).alias("is_header"),
+        F.rlike("value", F.lit(rf"(?iU)^\s*\Q{layout.columns[0]}\E")).alias("is_header"),
         F.monotonically_increasing_id().alias("place"),
     )
     # Only the split at offset 0 holds a file's first line, and within it ids follow the lines.
