@@ -184,6 +184,13 @@ def test_wrong_key(spark, key, method):
         decrypt_table(tokens, other, method).collect()
 
 
+@pytest.mark.parametrize("method", METHODS)
+@pytest.mark.parametrize("text", ["not base64!", "AAA=A", "A", "====", ""])
+def test_text_that_is_no_token_is_refused(spark, key, method, text):
+    with pytest.raises(PySparkException):
+        decrypt_table(spark.createDataFrame([(text,)], "x string"), key, method).collect()
+
+
 def test_cbc_cannot_report_tampering(spark, key):
     with pytest.raises(ValueError, match="integrity"):
         tamper_report(spark.createDataFrame([("x",)], "x string"), key, "cbc")
