@@ -6,6 +6,7 @@ not (counts, lengths) or open the tokens again; their SQL is over the plaintext.
 
 from __future__ import annotations
 
+import importlib
 import os
 import uuid
 from collections.abc import Callable
@@ -167,7 +168,7 @@ def _job_encrypted(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "scan_csv": _scan_csv,
         "scan_csv_headerless": _scan_csv_headerless,
         "read_back": _read_back,
@@ -198,6 +199,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "job_plain": _job_plain,
         "job_encrypted": _job_encrypted,
     }
+    return found | (_corpus().queries() if _corpus() else {})
+
+
+def _corpus():
+    """The queries of the corpus package, where that package is there."""
+    try:
+        return importlib.import_module("sealframe.llm.queries")
+    except ModuleNotFoundError as missing:
+        if missing.name in ("sealframe.llm", "sealframe.llm.queries", "corpus_pipeline"):
+            return None
+        raise
 
 
 # Oracles
@@ -309,7 +321,7 @@ _URL_MANIFEST = r"""
 def oracle_sql() -> dict[str, str]:
     sizes = {m: _sizes("lineitem", COLUMNS, m) for m in METHODS}
     charts = _charts()
-    return {
+    found = {
         "scan_csv": _ALL,
         "scan_csv_headerless": _ALL,
         "read_back": _ALL,
@@ -342,3 +354,4 @@ def oracle_sql() -> dict[str, str]:
         "job_plain": charts,
         "job_encrypted": charts,
     }
+    return found | (_corpus().oracle_sql() if _corpus() else {})
