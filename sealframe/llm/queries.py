@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sealframe.llm import quality_rules as rules
+from sealframe.llm.mixing import mix
 from sealframe.llm.shared import kept, read
+from sealframe.llm.url_filter import filter_urls, rule_table
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,11 +18,66 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+# Target shares of the mixed corpus; the other sources share the rest as they stand.
+MIX_WEIGHTS = {"src0": 0.2, "src1": 0.1, "src2": 0.1, "src3": 0.02}
+MIX_SEED = 17
+
+
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read(spark, sf_dir, "documents"), MIX_WEIGHTS, MIX_SEED)
+
+
+_SOURCE_MIX = """
+    WITH docs AS (SELECT *, coalesce(length(text), 0) + 1 AS size,
+                         CASE WHEN source IN ('src0', 'src1', 'src2', 'src3') THEN source ELSE '' END AS g,
+                         coalesce(CAST(doc_id AS VARCHAR), 't' || md5(coalesce(text, ''))) AS name,
+                         coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, ''))) AS plain FROM documents),
+    weights(g, share) AS (VALUES ('src0', 0.2::DOUBLE), ('src1', 0.1::DOUBLE), ('src2', 0.1::DOUBLE), ('src3', 0.02::DOUBLE),
+                                 ('', 1 - (0.2::DOUBLE + 0.1 + 0.1 + 0.02))),
+    rates AS (SELECT g, share * (SELECT CAST(sum(size) AS DOUBLE) FROM docs) / CAST(sum(size) AS DOUBLE) AS rate
+              FROM docs JOIN weights USING (g) GROUP BY g, share),
+    steps AS (SELECT g, CAST(k AS INTEGER) AS k, sum(exp(-rate + k * ln(rate) - CASE WHEN k < 2 THEN 0 ELSE lgamma(k + 1) END))
+                     OVER (PARTITION BY g ORDER BY k) AS p FROM rates, range(200) AS r(k)),
+    drawn AS (SELECT d.*, CAST('0x' || substr(md5('17:' || name), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE AS u FROM docs d),
+    counted AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, d.plain,
+                       (SELECT count(*) FROM steps s WHERE s.g = d.g AND s.p <= d.u) AS n FROM drawn d)
+    SELECT doc_id, text, lang, source, n_chars, CAST(copy AS INTEGER) AS copy,
+           CAST('0x' || substr(md5('17s:' || plain || ':' || copy), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE AS place
+    FROM (SELECT *, unnest(range(n)) AS copy FROM counted)"""
+
+
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    return filter_urls(pages, rule_table(spark, URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
+
+
+_URL_FILTERS = r"""
+    WITH rules(verdict, host, path) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+            ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+    parts AS (SELECT row_number() OVER () AS i, page_id,
+                     coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'),
+                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+                     coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path FROM pages),
+    hits AS (SELECT i, r.host || r.path AS rule, verdict,
+                    row_number() OVER (PARTITION BY i ORDER BY length(r.host || r.path) DESC, length(r.host) DESC, verdict DESC) AS n
+             FROM parts p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
+    SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN hits USING (i)
+    WHERE coalesce(n, 1) = 1"""
+
+
 def queries():
     return {
+        "op2_source_mix": op2_source_mix,
+        "op6_url_filters": op6_url_filters,
         "op8_quality_rules": op8_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_source_mix": _SOURCE_MIX,
+        "op6_url_filters": _URL_FILTERS,
+    }
