@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sealframe.llm import quality_rules as rules
+from sealframe.llm.id_files import read_ids, write_ids
 from sealframe.llm.mixing import mix
 from sealframe.llm.shared import kept, read
 from sealframe.llm.url_filter import filter_urls, rule_table
+from sealframe.session import shared_folder
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +21,15 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+END_ID = 2
+
+
+def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/ids"
+    write_ids(read(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), END_ID)
+    return read_ids(spark, path)
+
+
 # Target shares of the mixed corpus; the other sources share the rest as they stand.
 MIX_WEIGHTS = {"src0": 0.2, "src1": 0.1, "src2": 0.1, "src3": 0.02}
 MIX_SEED = 17
@@ -70,6 +82,7 @@ _URL_FILTERS = r"""
 
 def queries():
     return {
+        "op1_token_ids": op1_token_ids,
         "op2_source_mix": op2_source_mix,
         "op6_url_filters": op6_url_filters,
         "op8_quality_rules": op8_quality_rules,
