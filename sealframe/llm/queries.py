@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sealframe.llm import quality_rules as rules
 from sealframe.llm.id_files import read_ids, write_ids
 from sealframe.llm.mixing import mix
-from sealframe.llm.shared import kept, read
+from sealframe.llm.packing import pack_documents
+from sealframe.llm.shared import kept, read, with_package
 from sealframe.llm.url_filter import filter_urls, rule_table
 from sealframe.session import shared_folder
 
@@ -58,6 +61,10 @@ _SOURCE_MIX = """
     FROM (SELECT *, unnest(range(n)) AS copy FROM counted)"""
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), END_ID)
+
+
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
 
@@ -80,13 +87,15 @@ _URL_FILTERS = r"""
     WHERE coalesce(n, 1) = 1"""
 
 
-def queries():
-    return {
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found = {
         "op1_token_ids": op1_token_ids,
         "op2_source_mix": op2_source_mix,
+        "op3_packing": op3_packing,
         "op6_url_filters": op6_url_filters,
         "op8_quality_rules": op8_quality_rules,
     }
+    return {name: with_package(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 from sealframe.session import shared_folder
@@ -28,3 +33,21 @@ def kept(df: DataFrame) -> DataFrame:
 def partitions(spark: SparkSession) -> int:
     """The session's shuffle partitions: the operator's groups grow with them, as a cluster's set-up does."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def with_package(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``query(spark, ...)`` with Python workers that find this package beside the driver's copy.
+
+    Where the executors have the package elsewhere, or from ``--py-files``, this changes nothing.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+
+    @wraps(query)
+    def run(spark: SparkSession, *more, **named) -> DataFrame:
+        found = spark.sparkContext.environment
+        paths = [p for p in found.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if root not in paths:
+            found["PYTHONPATH"] = os.pathsep.join([*paths, root])
+        return query(spark, *more, **named)
+
+    return run
