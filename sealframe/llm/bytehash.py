@@ -67,3 +67,40 @@ def span_hashes(buffer: np.ndarray, start: np.ndarray, end: np.ndarray, table: n
     np.cumsum(table[buffer] * up[:len(buffer)], out=sums[1:])
     # The length enters too.
     return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(_U))
+
+
+# Words are separated by space and the control characters from tab to carriage return.
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+
+
+def word_spans(buffer: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text number of every word, in order."""
+    inside = ~SPACE[buffer]
+    texts = np.diff(offsets) > 0
+    begins, ends = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1]
+    ends[:-1] &= ~inside[1:]
+    # Words do not run from one text into the next.
+    first, last = offsets[:-1][texts], offsets[1:][texts] - 1
+    begins[first], ends[last] = inside[first], inside[last]
+    start = np.flatnonzero(begins)
+    return start, np.flatnonzero(ends) + 1, np.searchsorted(offsets, start, "right") - 1
+
+
+def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every ``size`` words in a row, by the first; the last ``size`` - 1 are of no use."""
+    n = max(0, len(words) - size + 1)
+    total = np.zeros(n, _U)
+    for j in range(size):
+        total += words[j:j + n] * _U(pow(MIX[1][1], 2 * j + 1, 1 << 64))
+    return mix(total)
+
+
+def distinct_per_text(owner: np.ndarray, hashes: np.ndarray, texts: int) -> np.ndarray:
+    """How many different hashes each text has."""
+    order = np.lexsort((hashes, owner))
+    o, h = owner[order], hashes[order]
+    new = np.ones(len(o), bool)
+    new[1:] = (o[1:] != o[:-1]) | (h[1:] != h[:-1])
+    return np.bincount(o[new], minlength=texts)

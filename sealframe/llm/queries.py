@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sealframe.llm import quality_rules as rules
+from sealframe.llm.classifier import measured, scored, trained
 from sealframe.llm.id_files import read_ids, write_ids
 from sealframe.llm.mixing import mix
 from sealframe.llm.packing import pack_documents
@@ -87,6 +88,11 @@ _URL_FILTERS = r"""
     WHERE coalesce(n, 1) = 1"""
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = kept(measured(read(spark, sf_dir, "documents")))
+    return scored(stats, trained(stats, read(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "op1_token_ids": op1_token_ids,
@@ -94,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_packing": op3_packing,
         "op6_url_filters": op6_url_filters,
         "op8_quality_rules": op8_quality_rules,
+        "op9_quality_classifier": op9_quality_classifier,
     }
     return {name: with_package(query) for name, query in found.items()}
 
