@@ -13,6 +13,7 @@ from sealframe.llm.id_files import read_ids, write_ids
 from sealframe.llm.mixing import mix
 from sealframe.llm.packing import pack_documents
 from sealframe.llm.shared import kept, read, with_package
+from sealframe.llm.topk import top_k
 from sealframe.llm.url_filter import filter_urls, rule_table
 from sealframe.session import shared_folder
 
@@ -66,6 +67,21 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), END_ID)
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), lambda i: i % 50 == 0)
+
+
+_TOP_K = """
+    WITH points AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+                    FROM embeddings
+                    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+                      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+               FROM points q JOIN points c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+    ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
 
@@ -98,6 +114,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_ids": op1_token_ids,
         "op2_source_mix": op2_source_mix,
         "op3_packing": op3_packing,
+        "op4_exact_top_k": op4_exact_top_k,
         "op6_url_filters": op6_url_filters,
         "op8_quality_rules": op8_quality_rules,
         "op9_quality_classifier": op9_quality_classifier,
@@ -108,5 +125,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_source_mix": _SOURCE_MIX,
+        "op4_exact_top_k": _TOP_K,
         "op6_url_filters": _URL_FILTERS,
     }
