@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sealframe.llm import quality_rules as rules
 from sealframe.llm.classifier import measured, scored, trained
+from sealframe.llm.html_text import main_text
 from sealframe.llm.id_files import read_ids, write_ids
 from sealframe.llm.mixing import mix
 from sealframe.llm.packing import pack_documents
@@ -109,6 +110,10 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(stats, trained(stats, read(spark, sf_dir, "labels")))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(read(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "op1_token_ids": op1_token_ids,
@@ -118,6 +123,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_url_filters": op6_url_filters,
         "op8_quality_rules": op8_quality_rules,
         "op9_quality_classifier": op9_quality_classifier,
+        "op10_html_text": op10_html_text,
     }
     return {name: with_package(query) for name, query in found.items()}
 
