@@ -12,6 +12,7 @@ from sealframe.llm.classifier import measured, scored, trained
 from sealframe.llm.html_text import main_text
 from sealframe.llm.id_files import read_ids, write_ids
 from sealframe.llm.mixing import mix
+from sealframe.llm.ngram_join import jaccard_classes
 from sealframe.llm.packing import pack_documents
 from sealframe.llm.shared import kept, read, with_package
 from sealframe.llm.topk import top_k
@@ -83,6 +84,10 @@ _TOP_K = """
     SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
 
@@ -120,6 +125,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_source_mix": op2_source_mix,
         "op3_packing": op3_packing,
         "op4_exact_top_k": op4_exact_top_k,
+        "op5_ngram_jaccard": op5_ngram_jaccard,
         "op6_url_filters": op6_url_filters,
         "op8_quality_rules": op8_quality_rules,
         "op9_quality_classifier": op9_quality_classifier,
