@@ -14,12 +14,17 @@ from sealframe.llm.id_files import read_ids, write_ids
 from sealframe.llm.mixing import mix
 from sealframe.llm.ngram_join import jaccard_classes
 from sealframe.llm.packing import pack_documents
+from sealframe.llm.passages import repeated_passages
 from sealframe.llm.shared import kept, read, with_package
 from sealframe.llm.topk import top_k
 from sealframe.llm.url_filter import filter_urls, rule_table
 from sealframe.session import shared_folder
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("tie")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     risk = rules.Risk()
     measured = kept(rules.measures(read(spark, sf_dir, "documents")).drop("text", "source", "n_chars"))
@@ -127,6 +132,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_exact_top_k": op4_exact_top_k,
         "op5_ngram_jaccard": op5_ngram_jaccard,
         "op6_url_filters": op6_url_filters,
+        "op7_substring_dedup": op7_substring_dedup,
         "op8_quality_rules": op8_quality_rules,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_html_text": op10_html_text,
