@@ -47,17 +47,20 @@ class Passage:
     margin: int = 32
 
 
-def seeds(column, how: Passage) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, text number and first word of the winnowed seeds of an Arrow column of texts.
+def seeds(column, how: Passage) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Key, text number, first word of the winnowed seeds of an Arrow column of texts, and the first
+    word of the text's first seed with the same words.
 
-    Of every ``window`` runs in a row the one with the smallest hash is taken, of a text with fewer the smallest.
+    Of every ``window`` runs in a row the one with the smallest hash is taken, of a text with fewer the
+    smallest. The n-th seed of a text with the same words has a key for n, so that texts which repeat
+    themselves are matched repetition by repetition.
     """
     buffer, offsets = bytehash.text_buffer(column)
     start, end, owner = bytehash.word_spans(buffer, offsets)
     texts = len(offsets) - 1
     runs = bytehash.window_hashes(bytehash.span_hashes(buffer, start, end, LOWER_BYTES), how.seed)
     if not len(runs):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     whole = owner[:len(runs)] == owner[how.seed - 1:]
     text, runs = owner[:len(runs)][whole], runs[whole]
     first_word = np.searchsorted(owner, np.arange(texts))
@@ -73,7 +76,14 @@ def seeds(column, how: Passage) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     begin = np.cumsum(count) - count
     for t in np.flatnonzero((count > 0) & (count < how.window)):
         taken[begin[t] + runs[begin[t]:begin[t] + count[t]].argmin()] = True
-    return runs[taken], text[taken], word[taken]
+    runs, text, word = runs[taken], text[taken], word[taken]
+    order = np.lexsort((word, runs, text))
+    runs, text, word = runs[order], text[order], word[order]
+    new = np.ones(len(runs), bool)
+    new[1:] = (runs[1:] != runs[:-1]) | (text[1:] != text[:-1])
+    lead = np.flatnonzero(new)[np.cumsum(new) - 1]
+    turn = (np.arange(len(runs)) - lead).astype(np.uint64)
+    return np.where(turn > 0, bytehash.mix(runs + turn), runs), text, word, word[lead]
 
 
 class Fenwick:
@@ -148,6 +158,19 @@ FOUND = "batch bigint, docs binary, words binary, to_docs binary, to_words binar
 CHAINS = "doc bigint, start int, end int, to_doc bigint, to_start int, to_end int, straight boolean"
 
 
+def _find(docs: np.ndarray, words: np.ndarray, doc: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Where (doc, word) is among the given pairs, or -1."""
+    if not len(docs) or not len(doc):
+        return np.full(len(doc), -1)
+    # Document numbers of this batch are few, so a pair fits one integer.
+    names, code = np.unique(docs, return_inverse=True)
+    at = np.minimum(np.searchsorted(names, doc), len(names) - 1)
+    pairs, asked = code * (1 << 32) + words, at * (1 << 32) + word
+    order = np.argsort(pairs, kind="stable")
+    place = np.minimum(np.searchsorted(pairs[order], asked), len(pairs) - 1)
+    return np.where((pairs[order][place] == asked) & (names[at] == doc), order[place], -1)
+
+
 def chained(rows: DataFrame, how: Passage) -> DataFrame:
     """Chains of every document of ``rows`` (key, text) with earlier ones.
 
@@ -164,15 +187,17 @@ def chained(rows: DataFrame, how: Passage) -> DataFrame:
             nonlocal number
             batch = base + number
             number += 1
-            key, doc, word = (np.concatenate(c) for c in zip(*held))
+            key, doc, word, base_word = (np.concatenate(c) for c in zip(*held))
             order = np.lexsort((word, doc, key))
-            key, doc, word = key[order], doc[order], word[order]
+            key, doc, word, base_word = key[order], doc[order], word[order], base_word[order]
             new = np.ones(len(key), bool)
             new[1:] = key[1:] != key[:-1]
             lead = np.flatnonzero(new)[np.cumsum(new) - 1]
             other = np.flatnonzero(~new)
-            # The batch's later occurrences, each with the batch's first one.
-            own = np.stack([doc[other], word[other], doc[lead[other]], word[lead[other]]]).astype("<i8").tobytes()
+            # The batch's later occurrences, each with the batch's first one; and repetitions in a text.
+            again = np.flatnonzero(word != base_word)
+            own = np.concatenate([[len(other)], doc[other], word[other], doc[lead[other]], word[lead[other]],
+                                  doc[again], word[again], base_word[again]]).astype("<i8").tobytes()
             none = pa.array([None], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array([batch % buckets], pa.int32()), pa.array([batch], pa.int64()), none, none, none, pa.array([own], pa.binary())], names=names)
             key, doc, word = key[new], doc[new], word[new]
@@ -187,9 +212,9 @@ def chained(rows: DataFrame, how: Passage) -> DataFrame:
 
         for batch in batches:
             for first, part in bytehash.slices(batch.column(1)):
-                hashes, text, word = seeds(part, how)
-                held.append((hashes, batch.column(0).slice(first, len(part)).to_numpy()[text], word))
-                size += len(hashes)
+                key, text, word, base_word = seeds(part, how)
+                held.append((key, batch.column(0).slice(first, len(part)).to_numpy()[text], word, base_word))
+                size += len(key)
                 if size >= FLUSH:
                     yield from flush()
                     held, size = [], 0
@@ -223,23 +248,20 @@ def chained(rows: DataFrame, how: Passage) -> DataFrame:
             return np.concatenate([np.frombuffer(x or b"", kind) for x in table.column(name).to_pylist()]).astype(np.int64)
 
         doc, word, to_doc, to_word = joined("docs", "<i8"), joined("words", "<i4"), joined("to_docs", "<i8"), joined("to_words", "<i4")
-        own = next(np.frombuffer(x, "<i8") for x in table.column("own").to_pylist() if x is not None).reshape(4, -1)
-        # The batch's later occurrences go where its first one went.
-        if own.shape[1] and len(doc):
-            order = np.lexsort((word, doc))
-            places = np.stack([doc[order], word[order]], axis=1)
-            asked = np.stack([own[2], own[3]], axis=1)
-            kind = np.dtype([("doc", "<i8"), ("word", "<i8")])
-            at = np.searchsorted(np.ascontiguousarray(places).view(kind).ravel(), np.ascontiguousarray(asked).view(kind).ravel())
-            at = np.minimum(at, len(places) - 1)
-            hit = (places[at] == asked).all(axis=1)
-            to = np.where(hit, to_doc[order][at], own[2]), np.where(hit, to_word[order][at], own[3])
-        else:
-            to = own[2], own[3]
-        doc, word = np.concatenate([doc, own[0]]), np.concatenate([word, own[1]])
+        own = next(np.frombuffer(x, "<i8") for x in table.column("own").to_pylist() if x is not None)
+        later, again = own[1:1 + 4 * own[0]].reshape(4, -1), own[1 + 4 * own[0]:].reshape(3, -1)
+        # The batch's later occurrences go where its first one went, or to it.
+        at = _find(doc, word, later[2], later[3])
+        to = [np.where(at >= 0, t[at], l) if len(t) else l for t, l in ((to_doc, later[2]), (to_word, later[3]))]
+        doc, word = np.concatenate([doc, later[0]]), np.concatenate([word, later[1]])
         to_doc, to_word = np.concatenate([to_doc, to[0]]), np.concatenate([to_word, to[1]])
         other = doc != to_doc
         doc, word, to_doc, to_word = doc[other], word[other], to_doc[other], to_word[other]
+        # A repetition that no other document has goes where the text's first one went.
+        at = _find(doc, word, again[0], again[2])
+        alone = (_find(doc, word, again[0], again[1]) < 0) & (at >= 0)
+        doc, word = np.concatenate([doc, again[0][alone]]), np.concatenate([word, again[1][alone]])
+        to_doc, to_word = np.concatenate([to_doc, to_doc[at[alone]]]), np.concatenate([to_word, to_word[at[alone]]])
         order = np.lexsort((word, to_doc, doc))
         doc, word, to_doc, to_word = doc[order], word[order], to_doc[order], to_word[order]
         cut = np.flatnonzero((np.diff(doc) != 0) | (np.diff(to_doc) != 0)) + 1
@@ -309,7 +331,8 @@ def _slices(rows: DataFrame, found: DataFrame, how: Passage) -> DataFrame:
                                     words[first:x["end"] + how.margin].tobytes()))
                 yield _batch(out, SLICES)
 
-    return lists.join(rows, "key").select("doc_id", "tie", "text", "asked").mapInArrow(cut, SLICES)
+    # Lists grow with the documents, so they are not broadcast where they happen to be few.
+    return lists.hint("merge").join(rows, "key").select("doc_id", "tie", "text", "asked").mapInArrow(cut, SLICES)
 
 
 def repeated_passages(docs: DataFrame, how: Passage = Passage()) -> DataFrame:
@@ -375,7 +398,7 @@ def without_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
     passages stay as they are, null and empty ones too."""
     spans = passages.groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).agg(
         F.array_sort(F.collect_list(F.struct("start_word", "end_word"))).alias("_spans"))
-    joined = docs.join(spans, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_tie")), "left").drop("_id", "_tie")
+    joined = docs.join(spans.hint("merge"), F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_tie")), "left").drop("_id", "_tie")
     schema = docs.schema
     place = docs.columns.index("text")
 
