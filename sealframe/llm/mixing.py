@@ -70,19 +70,20 @@ def copies(rate: dict[str | None, float], seed: int, weights: dict[str, float])
     return F.size(F.filter(steps, lambda p: p <= u))
 
 
-def mix(docs: DataFrame, weights: dict[str, float], seed: int = 17, total: float | None = None) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, float], seed: int = 17, total: float | None = None, copy: str = "copy", place: str = "place") -> DataFrame:
     """``docs`` (with doc_id, text, source) replicated to the target weights, in a global random order.
 
-    Adds ``copy`` (from 0) and ``place``, the random number by which the output is ordered inside
-    its partitions; partitions are themselves a hash of it. Sizes count characters, one more per
+    Adds the columns ``copy`` (from 0) and ``place``, the random number by which the output is ordered
+    inside its partitions; partitions are themselves a hash of it. Sizes count characters, one more per
     document so that empty texts can be drawn too. Repeated rows with the same id draw the same
-    count. Columns named copy and place are replaced. Empty input gives an empty result.
+    count. Columns of the two names are replaced. Empty input gives an empty result.
     """
-    docs = docs.drop("copy", "place")
+    docs = docs.drop(copy, place)
     size = (F.coalesce(F.length("text"), F.lit(0)) + 1).cast("double")
     rate = rates(docs, weights, size, total)
     # The input has no row where no source has a rate.
     times = copies(rate, seed, weights) if rate else F.lit(0)
-    taken = docs.withColumn("copy", times).where("copy > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copy") - 1)))
-    key = F.concat_ws(":", F.lit(f"{seed}s"), F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit("")))), F.col("copy").cast("string"))
-    return taken.withColumn("place", uniform(key)).repartition("place").sortWithinPartitions("place")
+    taken = docs.withColumn(copy, times).where(F.col(copy) > 0).withColumn(copy, F.explode(F.sequence(F.lit(0), F.col(copy) - 1)))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))
+    key = F.concat_ws(":", F.lit(f"{seed}s"), name, F.col(copy).cast("string"))
+    return taken.withColumn(place, uniform(key)).repartition(place).sortWithinPartitions(place)

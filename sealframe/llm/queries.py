@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,22 +34,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-END_ID = 2
-
-
 def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/ids"
-    write_ids(read(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), END_ID)
+    write_ids(read(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), corpus_pipeline.END_ID)
     return read_ids(spark, path)
 
 
-# Target shares of the mixed corpus; the other sources share the rest as they stand.
-MIX_WEIGHTS = {"src0": 0.2, "src1": 0.1, "src2": 0.1, "src3": 0.02}
-MIX_SEED = 17
-
-
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(read(spark, sf_dir, "documents"), MIX_WEIGHTS, MIX_SEED)
+    return mix(read(spark, sf_dir, "documents"), corpus_pipeline.WEIGHTS, corpus_pipeline.SEED)
 
 
 _SOURCE_MIX = """
@@ -71,7 +64,7 @@ _SOURCE_MIX = """
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), END_ID)
+    return pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), corpus_pipeline.END_ID)
 
 
 def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,13 +129,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_html_text": op10_html_text,
+        "pipeline": corpus_pipeline.run,
     }
     return {name: with_package(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    found = {
         "op2_source_mix": _SOURCE_MIX,
         "op4_exact_top_k": _TOP_K,
         "op6_url_filters": _URL_FILTERS,
     }
+    return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
