@@ -15,14 +15,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sealframe.functions.keys import KEY as KEY_COLUMN, with_key
 from sealframe.functions.text import cell, cell_text
-from sealframe.functions.tokens import METHODS, seal
+from sealframe.functions.tokens import METHODS, open_bytes, seal, token_bytes
 from sealframe.layout import ORDER_LINES
 from sealframe.operators.charts import box_outliers, box_stats, histogram_bins, scatter_points
 from sealframe.operators.cipher import decrypt_table, encrypt_table
 from sealframe.operators.integrity import tamper_report, token_size_report
 from sealframe.operators.rows import count_rows, filter_category, preview, project_columns
 from sealframe.plans.flows import Target, run_encrypted, run_plain
-from sealframe.session import shared_folder, spread
+from sealframe.session import shared_folder, staging_folder
 from sealframe.sinks.csv import read_csv_sink, sink_csv, sink_csv_encrypted
 from sealframe.sinks.tables import sink_table, sink_table_encrypted
 from sealframe.sources.csv import scan_csv, scan_csv_headerless
@@ -46,6 +46,11 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _parts(spark: SparkSession) -> int:
+    """The given tables are single files, so cell work asks for the session's partitions."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project_columns(_read(spark, sf_dir, "lineitem"), COLUMNS)
 
@@ -64,12 +69,17 @@ def _scan_csv(spark, sf_dir):
     return scan_csv(spark, path, ORDER_LINES)
 
 
-def _scan_csv_headerless(spark, sf_dir):
+def _raw_csv(spark, sf_dir):
+    """Lines as they come from outside, of some files with and some without a header."""
     lines, folder = _lines(spark, sf_dir), shared_folder(spark)
     is_a = F.col(ORDER_LINES.category) == CATEGORY
     lines.where(is_a).write.csv(f"{folder}/bare", header=False)
     lines.where(~is_a).write.csv(f"{folder}/headed", header=True)
-    return scan_csv_headerless(spark, [f"{folder}/bare", f"{folder}/headed"], ORDER_LINES)
+    return [f"{folder}/bare", f"{folder}/headed"]
+
+
+def _scan_csv_headerless(spark, sf_dir):
+    return scan_csv_headerless(spark, _raw_csv(spark, sf_dir), ORDER_LINES)
 
 
 def _read_back(spark, sf_dir):
@@ -79,24 +89,45 @@ def _read_back(spark, sf_dir):
 
 
 def _encrypt(method: str):
-    """What can be said about random tokens: how many, how long, of which shape."""
-    return lambda spark, sf_dir: token_size_report(encrypt_table(spread(_lines(spark, sf_dir)), KEY, method))
+    """What can be said about random tokens: how many, how long, of which shape, and how many of the
+    cells open as what they were."""
+    def query(spark, sf_dir):
+        lines = _lines(spark, sf_dir)
+        sealed = [seal(cell_text(f.name, f.dataType), F.col(KEY_COLUMN), method).alias(f"t{i}") for i, f in enumerate(lines.schema)]
+        plain = [cell_text(f.name, f.dataType).alias(f"p{i}") for i, f in enumerate(lines.schema)]
+        # Both are stored, as a token that is looked at twice would be sealed twice.
+        path = f"{shared_folder(spark)}/tokens"
+        with_key(lines.repartition(_parts(spark)), KEY).select(*sealed, *plain).write.parquet(path, compression="zstd")
+        tokens = with_key(spark.read.parquet(path), KEY)
+        opened = tokens.select(*[(open_bytes(token_bytes(cell(f"t{i}")), F.col(KEY_COLUMN), method) == cell(f"p{i}")).alias(c) for i, c in enumerate(COLUMNS)])
+        same = opened.agg(*[F.count_if(cell(c)).alias(c) for c in COLUMNS]).unpivot([], COLUMNS, "column", "opened")
+        sizes = token_size_report(tokens.select(*[cell(f"t{i}").alias(c) for i, c in enumerate(COLUMNS)]))
+        return sizes.join(same, "column")
+    return query
 
 
 def _decrypt(method: str):
     def query(spark, sf_dir):
-        tokens = encrypt_table(spread(_lines(spark, sf_dir)), KEY, method)
+        tokens = encrypt_table(_lines(spark, sf_dir), KEY, method, partitions=_parts(spark))
         return decrypt_table(tokens, KEY, method, MEASURES)
     return query
 
 
 def _encrypt_table(spark, sf_dir):
-    return token_size_report(encrypt_table(spread(_read(spark, sf_dir, "documents")), KEY))
+    return token_size_report(encrypt_table(_read(spark, sf_dir, "documents"), KEY, partitions=_parts(spark)))
 
 
 def _decrypt_table(spark, sf_dir):
-    tokens = encrypt_table(spread(_read(spark, sf_dir, "orders")), KEY)
-    return decrypt_table(tokens, KEY, "gcm", ["o_orderkey", "o_custkey", "o_totalprice", "no_such_column"])
+    tokens = encrypt_table(_read(spark, sf_dir, "orders"), KEY, partitions=_parts(spark))
+    return decrypt_table(tokens, KEY, "gcm", {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double", "no_such_column": "double"})
+
+
+def _slices(spark, sf_dir):
+    """A key of its own for every order status; the status stays readable."""
+    keys = {status: os.urandom(32) for status in ("F", "O", "P")}
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    tokens = encrypt_table(orders, keys, partitions=_parts(spark), slice_column="o_orderstatus")
+    return decrypt_table(tokens, keys, "gcm", {"o_orderkey": "bigint", "o_totalprice": "double"}, slice_column="o_orderstatus")
 
 
 def _tamper(method: str):
@@ -105,10 +136,10 @@ def _tamper(method: str):
         lines = project_columns(_read(spark, sf_dir, "lineitem"), [*COLUMNS, "l_linestatus"])
         path = f"{shared_folder(spark)}/tokens"
         sealed = [seal(cell_text(f.name, f.dataType), F.col(KEY_COLUMN), method).alias(f.name) for f in lines.schema]
-        with_key(spread(lines), KEY).select(*sealed, F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status")) \
+        with_key(lines.repartition(_parts(spark)), KEY).select(*sealed, F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status")) \
             .write.parquet(path, compression="zstd")
         changed = {"l_tax": F.col("flag") == "R", "l_discount": F.col("status") == "O"}
-        stored = spread(spark.read.parquet(path))
+        stored = spark.read.parquet(path)
         return tamper_report(stored.select(*[
             F.when(changed[f.name], _flip(cell(f.name))).otherwise(cell(f.name)).alias(f.name)
             if f.name in changed else cell(f.name) for f in lines.schema
@@ -122,8 +153,8 @@ def _flip(token):
 
 def _token_sizes(spark, sf_dir):
     """All three methods side by side, one scan."""
-    lines = spread(_lines(spark, sf_dir))
-    tokens = with_key(lines, KEY).select(*[
+    lines = _lines(spark, sf_dir)
+    tokens = with_key(lines.repartition(_parts(spark)), KEY).select(*[
         seal(cell_text(f.name, f.dataType), F.col(KEY_COLUMN), method).alias(f"{f.name}_{method}")
         for method in METHODS for f in lines.schema
     ])
@@ -136,10 +167,29 @@ def _sink_csv(spark, sf_dir):
 
 
 def _sink_csv_encrypted(spark, sf_dir):
-    rows = spread(_category(spark, sf_dir))
-    path = sink_csv_encrypted(rows, shared_folder(spark), "lineitem.csv", KEY)
+    path = sink_csv_encrypted(_category(spark, sf_dir), shared_folder(spark), "lineitem.csv", KEY, partitions=_parts(spark))
     tokens = read_csv_sink(spark, path, ", ".join(f"{c} string" for c in COLUMNS))
-    return decrypt_table(spread(tokens), KEY, "gcm", MEASURES)
+    return decrypt_table(tokens, KEY, "gcm", MEASURES)
+
+
+def _texts(spark, sf_dir):
+    """Orders with empty and with missing texts."""
+    priority = F.when(F.col("o_orderpriority") == "5-LOW", "").when(F.col("o_orderpriority") != "1-URGENT", F.col("o_orderpriority"))
+    odd = F.when(F.col("o_custkey") % 3 == 0, F.concat(F.lit("\\N"), F.col("o_orderstatus"))).when(F.col("o_custkey") % 3 == 1, F.lit("\\N"))
+    return _read(spark, sf_dir, "orders").select("o_orderkey", priority.alias("priority"), odd.alias("odd"))
+
+
+def _csv_texts(spark, sf_dir):
+    texts = _texts(spark, sf_dir)
+    return read_csv_sink(spark, sink_csv(texts, shared_folder(spark), "orders.csv"), texts.schema)
+
+
+def _csv_one_column(spark, sf_dir):
+    """Tables of one column keep their rows without a text, plain and sealed."""
+    texts, folder = _texts(spark, sf_dir).select("priority"), shared_folder(spark)
+    plain = read_csv_sink(spark, sink_csv(texts, folder, "plain.csv"), texts.schema)
+    tokens = read_csv_sink(spark, sink_csv_encrypted(texts, folder, "sealed.csv", KEY, partitions=_parts(spark)), texts.schema)
+    return plain.unionByName(decrypt_table(tokens, KEY)).groupBy("priority").agg(F.count("*").alias("n"))
 
 
 def _sink_table(spark, sf_dir):
@@ -150,21 +200,28 @@ def _sink_table(spark, sf_dir):
 
 def _sink_table_encrypted(spark, sf_dir):
     target = _target(spark)
-    sink_table_encrypted(spread(_category(spark, sf_dir)), target.database, target.table, KEY, location=target.location)
-    return decrypt_table(spread(read_back(spark, target.database, target.table, COLUMNS)), KEY, "gcm", MEASURES)
+    sink_table_encrypted(_category(spark, sf_dir), target.database, target.table, KEY, location=target.location, partitions=_parts(spark))
+    return decrypt_table(read_back(spark, target.database, target.table, COLUMNS), KEY, "gcm", MEASURES)
+
+
+def _charts_of(spark, run, sf_dir):
+    """From raw files to charts. The charts outlive the job's rows, table and files."""
+    path = f"{shared_folder(spark)}/charts"
+    with staging_folder(spark) as folder:
+        target = Target(DATABASE, f"t_{uuid.uuid4().hex}", folder, "lineitem.csv", f"{folder}/{DATABASE}")
+        with run(scan_csv_headerless(spark, _raw_csv(spark, sf_dir), ORDER_LINES), target) as stored:
+            stored.charts().write.parquet(path)
+        spark.sql(f"DROP TABLE {stored.table}")
+        spark.sql(f"DROP DATABASE IF EXISTS {DATABASE} CASCADE")
+    return spark.read.parquet(path)
 
 
 def _job_plain(spark, sf_dir):
-    return run_plain(_read(spark, sf_dir, "lineitem"), ORDER_LINES, CATEGORY, _target(spark)).charts()
+    return _charts_of(spark, lambda rows, target: run_plain(rows, ORDER_LINES, CATEGORY, target), sf_dir)
 
 
 def _job_encrypted(spark, sf_dir):
-    stored = run_encrypted(_read(spark, sf_dir, "lineitem"), ORDER_LINES, CATEGORY, _target(spark), KEY)
-    with stored:
-        # The rows are dropped on return; the charts outlive them in the shared folder.
-        path = f"{shared_folder(spark)}/charts"
-        stored.charts().write.parquet(path)
-    return spark.read.parquet(path)
+    return _charts_of(spark, lambda rows, target: run_encrypted(rows, ORDER_LINES, CATEGORY, target, KEY, partitions=_parts(spark)), sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -185,11 +242,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "decrypt_fernet": _decrypt("fernet"),
         "encrypt_table": _encrypt_table,
         "decrypt_table": _decrypt_table,
+        "key_per_slice": _slices,
         "tamper_report": _tamper("gcm"),
         "tamper_report_fernet": _tamper("fernet"),
         "token_size_report": _token_sizes,
         "sink_csv": _sink_csv,
         "sink_csv_encrypted": _sink_csv_encrypted,
+        "sink_csv_texts": _csv_texts,
+        "sink_csv_one_column": _csv_one_column,
         "sink_table": _sink_table,
         "sink_table_encrypted": _sink_table_encrypted,
         "scatter_points": lambda spark, d: scatter_points(_category(spark, d), "l_quantity", "l_discount"),
@@ -318,8 +378,14 @@ _URL_MANIFEST = r"""
     FROM named"""
 
 
+_TEXTS = """
+    SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN '' WHEN o_orderpriority <> '1-URGENT' THEN o_orderpriority END AS priority,
+           CASE WHEN o_custkey % 3 = 0 THEN '\\N' || o_orderstatus WHEN o_custkey % 3 = 1 THEN '\\N' END AS odd FROM orders"""
+
+
 def oracle_sql() -> dict[str, str]:
-    sizes = {m: _sizes("lineitem", COLUMNS, m) for m in METHODS}
+    # Every cell opens as what it was.
+    sizes = {m: f"SELECT *, cells AS opened FROM ({_sizes('lineitem', COLUMNS, m)})" for m in METHODS}
     charts = _charts()
     found = {
         "scan_csv": _ALL,
@@ -338,13 +404,15 @@ def oracle_sql() -> dict[str, str]:
         "decrypt_fernet": _ALL,
         "encrypt_table": _sizes("documents", ["doc_id", "text", "lang", "source", "n_chars"], "gcm"),
         "decrypt_table": """
-            SELECT CAST(o_orderkey AS DOUBLE) AS o_orderkey, CAST(o_custkey AS DOUBLE) AS o_custkey, o_orderstatus,
-                   o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders""",
+            SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders""",
+        "key_per_slice": "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders",
         "tamper_report": _tampered(),
         "tamper_report_fernet": _tampered(),
         "token_size_report": " UNION ALL ".join(_sizes("lineitem", COLUMNS, m, f"_{m}") for m in METHODS),
         "sink_csv": _A,
         "sink_csv_encrypted": _A,
+        "sink_csv_texts": _TEXTS,
+        "sink_csv_one_column": f"SELECT priority, 2 * count(*) AS n FROM ({_TEXTS}) GROUP BY priority",
         "sink_table": _A,
         "sink_table_encrypted": _A,
         "scatter_points": f"SELECT l_quantity, l_discount, count(*) AS n FROM ({_A}) GROUP BY 1, 2",

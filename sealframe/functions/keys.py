@@ -8,6 +8,8 @@ import binascii
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from sealframe.functions.text import cell
+
 # The key size, and the block size and pad bytes of HMAC-SHA256 (RFC 2104).
 KEY_BYTES = 32
 HMAC_BLOCK = 64
@@ -32,22 +34,40 @@ def check_key(key: bytes) -> bytes:
     return bytes(key)
 
 
-def with_key(df: DataFrame, key: bytes) -> DataFrame:
+# One key, or a key for each value (as text) of a slice column.
+Keys = bytes | dict[str, bytes]
+
+
+def with_key(df: DataFrame, key: Keys, slice_column: str | None = None) -> DataFrame:
     """``df`` with the column ``KEY``: a struct of the key and the parts derived from it.
 
     A literal key would be printed in plans, the UI and event logs, and would let the
     optimizer fold a constant cell into one shared token. A scalar subquery over a local
-    relation prints only its column names, is not foldable and needs no join.
+    relation prints only its column names, is not foldable and needs no join. With
+    ``slice_column`` it is a map; a value without a key fails the query, a null one too.
     """
+    keys = {"": key} if slice_column is None else key
+    if not isinstance(keys, dict) or not keys:
+        raise ValueError("a slice column needs a key for each of its values")
+    parts = {name: _parts(value) for name, value in keys.items()}
+    fields = list(next(iter(parts.values())))
+    table = pa.table({"slice": pa.array(list(parts), pa.string())} | {f: pa.array([p[f] for p in parts.values()], pa.binary()) for f in fields})
+    material = df.sparkSession.createDataFrame(table)
+    if slice_column is None:
+        return df.select("*", material.select(F.struct(*fields)).scalar().alias(KEY))
+    pairs = material.agg(F.map_from_entries(F.collect_list(F.struct("slice", F.struct(*fields).alias("parts"))))).scalar()
+    found = F.try_element_at(pairs, cell(slice_column).cast("string"))
+    missing = F.raise_error(F.lit(f"no key for a value of {slice_column}"))
+    return df.select("*", F.coalesce(found, missing.cast(f"struct<{','.join(f'{f}:binary' for f in fields)}>")).alias(KEY))
+
+
+def _parts(key: bytes) -> dict[str, bytes]:
     key = check_key(key)
     signing, sealing = key[:16], key[16:]
     padded = signing.ljust(HMAC_BLOCK, b"\0")
-    parts = {
+    return {
         "whole": key,
         "sealing": sealing,
         "inner": bytes(b ^ INNER_PAD for b in padded),
         "outer": bytes(b ^ OUTER_PAD for b in padded),
     }
-    table = pa.table({name: pa.array([value], pa.binary()) for name, value in parts.items()})
-    material = df.sparkSession.createDataFrame(table).select(F.struct(*parts)).scalar()
-    return df.select("*", material.alias(KEY))

@@ -42,10 +42,15 @@ def cell_text(name: str, dtype: T.DataType, hide_nulls: bool = False) -> Column:
     """Plaintext of the cells of column ``name``.
 
     A null stays null, hence visible at rest, unless ``hide_nulls`` turns it into the text
-    of a missing value (``nan`` in numeric columns, ``None`` elsewhere).
+    of a missing value (``nan`` in numeric columns, ``None`` elsewhere). A float has the text of
+    the double with its shortest digits. Binary columns have no text and are refused.
     """
+    if isinstance(dtype, T.BinaryType):
+        raise TypeError(f"column {name} is binary; encode it as text first")
     if isinstance(dtype, T.DoubleType):
         text = float_text(cell(name))
+    elif isinstance(dtype, T.FloatType):
+        text = float_text(cell(name).cast("string").cast("double"))
     elif isinstance(dtype, T.BooleanType):
         text = F.initcap(cell(name).cast("string"))
     else:

@@ -63,14 +63,14 @@ def try_token_bytes(token: Column) -> Column:
 
 
 def open_bytes(raw: Column, key: Column, method: str) -> Column:
-    """Text of a token's bytes; a wrong tag, MAC or version fails the query."""
+    """Text of a token's bytes; a wrong tag, MAC or version, or bytes that are no text, fail the query."""
     check_method(method)
     if method == "gcm":
-        return F.aes_decrypt(raw, key["whole"], F.lit("GCM")).cast("string")
+        return _text(F.aes_decrypt(raw, key["whole"], F.lit("GCM")))
     if method == "cbc":
-        return F.aes_decrypt(raw, key["whole"], F.lit("CBC"), F.lit("PKCS")).cast("string")
+        return _text(F.aes_decrypt(raw, key["whole"], F.lit("CBC"), F.lit("PKCS")))
     sealed = F.substring(raw, 10, F.length(raw) - 9 - MAC_BYTES)
-    text = F.aes_decrypt(sealed, key["sealing"], F.lit("CBC"), F.lit("PKCS")).cast("string")
+    text = _text(F.aes_decrypt(sealed, key["sealing"], F.lit("CBC"), F.lit("PKCS")))
     return (
         F.when(raw.isNull(), F.lit(None).cast("string"))
         .when(_fernet_intact(raw, key), text)
@@ -78,6 +78,10 @@ def open_bytes(raw: Column, key: Column, method: str) -> Column:
     )
 
 
+def _text(opened: Column) -> Column:
+    return F.validate_utf8(opened.cast("string"))
+
+
 def is_intact(raw: Column, key: Column, method: str) -> Column:
     """Whether a token is unchanged, from its bytes: true or false, null for null. Never fails."""
     check_method(method, authenticated=True)

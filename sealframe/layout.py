@@ -9,8 +9,18 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class Layout:
+    """``scatter`` and ``histogram`` name the measures of the charts: by default the first and the third,
+    and the last. Where there are fewer, the last one stands in."""
+
     measures: tuple[str, ...]
     category: str
+    scatter: tuple[str, str] | None = None
+    histogram: str | None = None
+
+    @property
+    def chart_columns(self) -> tuple[str, str, str]:
+        x, y = self.scatter or (self.measures[0], self.measures[min(2, len(self.measures) - 1)])
+        return x, y, self.histogram or self.measures[-1]
 
     @property
     def columns(self) -> list[str]:

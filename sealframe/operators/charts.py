@@ -26,6 +26,42 @@ def scatter_points(df: DataFrame, x: str, y: str) -> DataFrame:
     return points.groupBy(cell(x), cell(y)).agg(F.count("*").alias("n"))
 
 
+@dataclass(frozen=True)
+class Bins:
+    """Equal-width bins between two finite values."""
+
+    lo: float
+    hi: float
+    bins: int
+
+    @classmethod
+    def over(cls, column: str, least: float | None, most: float | None, bins: int) -> Bins:
+        """A constant column gets a range of one around its value, an empty one that from 0 to 1."""
+        lo, hi = (0.0, 1.0) if least is None else (least, most)
+        if lo == hi:
+            lo, hi = lo - 0.5, hi + 0.5
+        if not math.isfinite((hi - lo) / bins):
+            raise ValueError(f"the range [{lo}, {hi}] of {column} is not finite")
+        return cls(lo, hi, bins)
+
+    @property
+    def width(self) -> float:
+        return (self.hi - self.lo) / self.bins
+
+    def edge(self, i: Column) -> Column:
+        return F.when(i == self.bins, F.lit(self.hi)).otherwise(i * F.lit(self.width) + F.lit(self.lo))
+
+    def edges(self) -> list[float]:
+        return [self.hi if i == self.bins else i * self.width + self.lo for i in range(self.bins + 1)]
+
+    def bin_of(self, v: Column) -> Column:
+        # The quotient can miss an edge by one rounding; the edges decide.
+        guess = F.least(F.floor((v - self.lo) / self.width), F.lit(self.bins - 1))
+        too_high = (v < self.edge(guess)).cast("bigint")
+        too_low = ((v >= self.edge(guess + 1)) & (guess < self.bins - 1)).cast("bigint")
+        return guess - too_high + too_low
+
+
 def histogram_bins(df: DataFrame, column: str, bins: int = BINS) -> DataFrame:
     """Equal-width bins over the range of the column; the last one includes its right edge.
 
@@ -34,31 +70,12 @@ def histogram_bins(df: DataFrame, column: str, bins: int = BINS) -> DataFrame:
     """
     v = F.col("v")
     values = df.select(cell(column).cast("double").alias("v")).where(present(v))
-    lo, hi = values.agg(F.min(v), F.max(v)).first()
-    if lo is None:
-        lo, hi = 0.0, 1.0
-    if lo == hi:
-        lo, hi = lo - 0.5, hi + 0.5
-    width = (hi - lo) / bins
-    if not math.isfinite(width):
-        raise ValueError(f"the range [{lo}, {hi}] of {column} is not finite")
-
-    def edge(i: Column) -> Column:
-        return F.when(i == bins, F.lit(hi)).otherwise(i * F.lit(width) + F.lit(lo))
-
-    # The quotient can miss an edge by one rounding; the edges decide.
-    guess = F.col("guess")
-    too_high = (v < edge(guess)).cast("bigint")
-    too_low = ((v >= edge(guess + 1)) & (guess < bins - 1)).cast("bigint")
-    counts = (
-        values.select("v", F.least(F.floor((v - lo) / width), F.lit(bins - 1)).alias("guess"))
-        .groupBy((guess - too_high + too_low).alias("bin"))
-        .agg(F.count("*").alias("n"))
-    )
+    scale = Bins.over(column, *values.agg(F.min(v), F.max(v)).first(), bins)
+    counts = values.groupBy(scale.bin_of(v).alias("bin")).agg(F.count("*").alias("n"))
     bin_ = F.col("bin")
     every = df.sparkSession.range(0, bins, 1, 1).select(F.col("id").alias("bin"))
     return every.join(F.broadcast(counts), "bin", "left").select(
-        "bin", edge(bin_).alias("left_edge"), edge(bin_ + 1).alias("right_edge"),
+        "bin", scale.edge(bin_).alias("left_edge"), scale.edge(bin_ + 1).alias("right_edge"),
         F.coalesce("n", F.lit(0)).alias("n"),
     )
 
@@ -72,6 +89,8 @@ class Box:
     q1: float | None
     median: float | None
     q3: float | None
+    least: float | None = None
+    most: float | None = None
 
     @property
     def fences(self) -> tuple[Column, Column]:
@@ -90,28 +109,31 @@ class Box:
 def boxes(df: DataFrame, measures: list[str] | tuple[str, ...]) -> list[Box]:
     """The box of every measure, one small object each."""
     found = exact_quantiles(df, measures, QUARTILES)
-    return [Box(m, found[m].n, *found[m].values) for m in measures]
+    return [Box(m, found[m].n, *found[m].values, found[m].least, found[m].most) for m in measures]
 
 
 def box_stats(df: DataFrame, measures: list[str] | tuple[str, ...], known: list[Box] | None = None) -> DataFrame:
     """Per measure: rows, quartiles, whiskers at the last value within reach, outliers beyond."""
-    columns = []
-    for i, box in enumerate(boxes(df, measures) if known is None else known):
-        v = cell(box.measure).cast("double")
-        low, high = box.fences
-        q1, median, q3 = (F.lit(q).cast("double") for q in (box.q1, box.median, box.q3))
-        columns.append(F.struct(
-            F.lit(box.measure).alias("measure"),
-            F.lit(box.n).cast("bigint").alias("n"),
-            q1.alias("q1"), median.alias("median"), q3.alias("q3"),
-            # A whisker never ends inside the box.
-            F.least(F.min(F.when(present(v) & (v >= low), v)), q1).alias("whisker_low"),
-            F.greatest(F.max(F.when(present(v) & (v <= high), v)), q3).alias("whisker_high"),
-            F.count_if(box.beyond()).alias("outliers"),
-        ).alias(f"box{i}"))
+    known = boxes(df, measures) if known is None else known
+    columns = [_box_struct(box).alias(f"box{i}") for i, box in enumerate(known)]
     return df.agg(*columns).select(F.inline(F.array(*[f"box{i}" for i in range(len(columns))])))
 
 
+def _box_struct(box: Box) -> Column:
+    v = cell(box.measure).cast("double")
+    low, high = box.fences
+    q1, median, q3 = (F.lit(q).cast("double") for q in (box.q1, box.median, box.q3))
+    return F.struct(
+        F.lit(box.measure).alias("measure"),
+        F.lit(box.n).cast("bigint").alias("n"),
+        q1.alias("q1"), median.alias("median"), q3.alias("q3"),
+        # A whisker never ends inside the box.
+        F.least(F.min(F.when(present(v) & (v >= low), v)), q1).alias("whisker_low"),
+        F.greatest(F.max(F.when(present(v) & (v <= high), v)), q3).alias("whisker_high"),
+        F.count_if(box.beyond()).alias("outliers"),
+    )
+
+
 def box_outliers(df: DataFrame, measures: list[str] | tuple[str, ...], known: list[Box] | None = None) -> DataFrame:
     """Distinct values beyond the whiskers per measure and how often each occurs."""
     known = boxes(df, measures) if known is None else known
@@ -130,19 +152,31 @@ def box_outliers(df: DataFrame, measures: list[str] | tuple[str, ...], known: li
     )
 
 
-def chart_table(df: DataFrame, x: str, y: str, histogram: str, measures: list[str] | tuple[str, ...]) -> DataFrame:
-    """All charts of a table in one long frame ``(chart, series, item, x, y, n)``."""
-    known = boxes(df, measures)
+CHARTS = "chart string, series string, item string, x double, y double, n bigint"
+
 
-    def part(frame: DataFrame, chart: str, series: Column, item: Column, x: Column, y: Column) -> DataFrame:
-        return frame.select(F.lit(chart).alias("chart"), series.alias("series"), item.alias("item"),
+def chart_table(df: DataFrame, x: str, y: str, histogram: str, measures: list[str] | tuple[str, ...], bins: int = BINS) -> DataFrame:
+    """All charts of a table in one long frame ``(chart, series, item, x, y, n)``.
+
+    Reads the table once for the quartiles (up to twice more for measures with many digits, then
+    only their open spans), once for whiskers and bins together, and once each for points and
+    outliers when the result is used. The bins' range comes with the quartiles.
+    """
+    known = {box.measure: box for box in boxes(df, list(dict.fromkeys([*measures, histogram])))}
+    scale = Bins.over(histogram, known[histogram].least, known[histogram].most, bins)
+    v = cell(histogram).cast("double")
+    at = scale.bin_of(v)
+    # One row of a size that only the numbers of measures and bins decide.
+    found = df.agg(F.array(*[_box_struct(known[m]) for m in measures]).alias("boxes"),
+                   F.array(*[F.count_if(present(v) & (at == i)) for i in range(bins)]).alias("bins")).first()
+    edges = scale.edges()
+    small = [("histogram", histogram, "bin", left, right, n) for left, right, n in zip(edges, edges[1:], found["bins"])]
+    small += [("box", b["measure"], item, None, b[item], b["n"]) for b in found["boxes"] for item in ("q1", "median", "q3", "whisker_low", "whisker_high")]
+
+    def part(frame: DataFrame, chart: str, series: Column, item: str, x: Column, y: Column) -> DataFrame:
+        return frame.select(F.lit(chart).alias("chart"), series.alias("series"), F.lit(item).alias("item"),
                             x.cast("double").alias("x"), y.cast("double").alias("y"), "n")
 
-    points = part(scatter_points(df, x, y), "scatter", F.lit(f"{x}|{y}"), F.lit("point"), cell(x), cell(y))
-    bars = part(histogram_bins(df, histogram), "histogram", F.lit(histogram), F.lit("bin"),
-                F.col("left_edge"), F.col("right_edge"))
-    stats = box_stats(df, measures, known).unpivot(
-        ["measure", "n"], ["q1", "median", "q3", "whisker_low", "whisker_high"], "item", "y")
-    stats = part(stats, "box", F.col("measure"), F.col("item"), F.lit(None), F.col("y"))
-    beyond = part(box_outliers(df, measures, known), "box", F.col("measure"), F.lit("outlier"), F.lit(None), F.col("value"))
-    return points.unionByName(bars).unionByName(stats).unionByName(beyond)
+    points = part(scatter_points(df, x, y), "scatter", F.lit(f"{x}|{y}"), "point", cell(x), cell(y))
+    beyond = part(box_outliers(df, measures, [known[m] for m in measures]), "box", F.col("measure"), "outlier", F.lit(None), F.col("value"))
+    return points.unionByName(df.sparkSession.createDataFrame(small, CHARTS)).unionByName(beyond)

@@ -4,36 +4,59 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sealframe.functions.keys import KEY, with_key
+from sealframe.functions.keys import KEY, Keys, with_key
 from sealframe.functions.text import cell, cell_text
 from sealframe.functions.tokens import check_method, open_bytes, seal, token_bytes
+from sealframe.session import dealt
 
 
-def encrypt_table(df: DataFrame, key: bytes, method: str = "gcm", *, hide_nulls: bool = False) -> DataFrame:
+def encrypt_table(df: DataFrame, key: Keys, method: str = "gcm", *, hide_nulls: bool = False,
+                  partitions: int | None = None, slice_column: str | None = None) -> DataFrame:
     """Every cell of every column as a token; column names stay clear.
 
     The result is random: each action seals anew. Store it before comparing or joining it,
     and shuffle before sealing, never after, because a task that is run again would place
-    its new tokens elsewhere. Columns that are the same expression of the same input share
-    one token within a row; stored columns never do.
+    its new tokens elsewhere; ``partitions`` asks for such a shuffle. Columns that are the same
+    expression of the same input share one token within a row; stored columns never do.
+
+    With ``slice_column``, ``key`` has a key for the text of each of its values, and the column itself
+    stays clear, so that the rows can be opened again.
     """
     check_method(method)
-    return with_key(df, key).select(
-        *[seal(cell_text(f.name, f.dataType, hide_nulls), F.col(KEY), method).alias(f.name) for f in df.schema]
-    )
+    keyed = with_key(dealt(df, partitions), key, slice_column)
+    return keyed.select(*[
+        cell(f.name) if f.name == slice_column else seal(cell_text(f.name, f.dataType, hide_nulls), F.col(KEY), method).alias(f.name)
+        for f in df.schema
+    ])
+
 
+def decrypt_table(df: DataFrame, key: Keys, method: str = "gcm",
+                  numeric_columns: list[str] | tuple[str, ...] | dict[str, str] = (), *, slice_column: str | None = None) -> DataFrame:
+    """Every token as its text, listed columns as numbers; listed names that are not there are skipped.
 
-def decrypt_table(df: DataFrame, key: bytes, method: str = "gcm",
-                  numeric_columns: list[str] | tuple[str, ...] = ()) -> DataFrame:
-    """Every token as its text, listed columns as doubles; listed names that are not there
-    are skipped. A changed token (not for ``cbc``) or text that is no number fails the query."""
+    A list means doubles; a dictionary names a type for each column (``{"id": "bigint"}``), so that
+    long integers keep their digits. A changed token (for ``cbc`` only where the text is no longer
+    valid) or text that is no number of the type fails the query.
+    """
     check_method(method)
+    types = numeric_columns if isinstance(numeric_columns, dict) else dict.fromkeys(numeric_columns, "double")
+    sealed = [c for c in df.columns if c != slice_column]
     # Decoded in a projection of its own: a method may look at the bytes more than once.
-    raw = with_key(df, key).select(KEY, *[token_bytes(cell(c)).alias(c) for c in df.columns])
-    opened = {c: open_bytes(cell(c), F.col(KEY), method) for c in df.columns}
-    return raw.select(*[(_number(text, c) if c in numeric_columns else text).alias(c) for c, text in opened.items()])
+    raw = with_key(df, key, slice_column).select(KEY, *[(token_bytes(cell(c)) if c in sealed else cell(c)).alias(c) for c in df.columns])
+    opened = {c: open_bytes(cell(c), F.col(KEY), method) if c in sealed else cell(c) for c in df.columns}
+    return raw.select(*[(_number(text, c, types[c]) if c in types and c in sealed else text).alias(c) for c, text in opened.items()])
+
+
+# The texts of numbers. Spark's cast would also take 5d, 1f and 0x1p3.
+INTEGER = r"^[+-]?[0-9]+$"
+NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+SPECIAL = r"^([+-]?inf|nan)$"
 
 
-def _number(text: Column, name: str) -> Column:
-    bad = F.when(text.isNotNull(), F.raise_error(F.lit(f"not a number in column {name}")))
-    return F.coalesce(text.try_cast("double"), bad.cast("double"))
+def _number(text: Column, name: str, type_: str) -> Column:
+    if type_ in ("double", "float"):
+        shape = F.rlike(text, F.lit(f"{NUMBER}|{SPECIAL}"))
+    else:
+        shape = F.rlike(text, F.lit(NUMBER if type_.startswith("decimal") else INTEGER))
+    bad = F.when(text.isNotNull(), F.raise_error(F.lit(f"not a number of type {type_} in column {name}")))
+    return F.coalesce(F.when(shape, text.try_cast(type_)), bad.cast(type_))

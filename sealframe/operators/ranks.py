@@ -20,11 +20,13 @@ from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from sealframe.functions.text import cell
 
-# The coarse scale is linear up to 2**-SMALL and then logarithmic, with slots about 1/4096 wide
-# relative to the value: at most some three million slots for all doubles, thousands in practice.
-SMALL = 30
-SLOTS_PER_E = 4096
-# Parts a slot is cut into. Above 2**-SMALL a part then spans at most about 2**20 doubles.
+# The coarse scale is logarithmic for every double but zero, which is a slot of its own: slots are
+# about 1/1024 wide relative to the value, so there are some 750,000 for each sign at most.
+SLOTS_PER_E = 1024
+# Whole numbers beyond the logarithms of the smallest and of the largest double.
+LEAST_LOG, MOST_LOG = -745, 710
+# Parts a slot is cut into. A slot has at most about 2**43 doubles, fewer among the subnormal ones,
+# so a part has at most about 2**23: that is what the last pass orders.
 PARTS = 1 << 20
 
 
@@ -40,6 +42,8 @@ class Quantiles:
 
     n: int
     values: tuple[float | None, ...]
+    least: float | None = None
+    most: float | None = None
 
 
 def present(v: Column) -> Column:
@@ -51,9 +55,8 @@ def exact_quantiles(df: DataFrame, columns: list[str] | tuple[str, ...],
                     probabilities: list[float] | tuple[float, ...]) -> dict[str, Quantiles]:
     """Quantiles of double columns, interpolated linearly between neighbouring values."""
     found: dict[tuple[str, int], float] = {}
-    totals: dict[str, int] = {}
     picks = _coarse_pass(df, columns, probabilities)
-    totals.update((pick.series, pick.n) for pick in picks)
+    totals = {pick.series: (pick.n, pick.least, pick.most) for pick in picks}
     v, lo, hi = F.col("v"), F.col("lo"), F.col("hi")
     for cut in (F.floor((v - lo) / (hi - lo) * PARTS), v):
         found.update(((p.series, p.rank), p.lo) for p in picks if p.lo == p.hi)
@@ -63,9 +66,9 @@ def exact_quantiles(df: DataFrame, columns: list[str] | tuple[str, ...],
         picks = _finer_pass(df, picks, cut)
     found.update(((p.series, p.rank), p.lo) for p in picks)
     return {
-        c: Quantiles(n, tuple(_interpolate(found, c, p * (n - 1)) if n else None for p in probabilities))
+        c: Quantiles(n, tuple(_interpolate(found, c, p * (n - 1)) if n else None for p in probabilities), least, most)
         for c in columns
-        for n in [totals.get(c, 0)]
+        for n, least, most in [totals.get(c, (0, None, None))]
     }
 
 
@@ -85,7 +88,8 @@ def _extent() -> list[Column]:
 def _coarse_pass(df: DataFrame, columns, probabilities) -> list[Row]:
     """The slot of every wanted rank: at most two rows per column and probability."""
     v, n = F.col("v"), F.col("n")
-    scale = F.floor(F.signum(v) * F.log1p(F.abs(v) * float(1 << SMALL)) * float(SLOTS_PER_E))
+    size = F.floor(F.least(F.log(F.abs(v)), F.lit(float(MOST_LOG))) * float(SLOTS_PER_E)) - LEAST_LOG * SLOTS_PER_E + 1
+    scale = F.when(v > 0, size).when(v < 0, -size).otherwise(0)
     positions = [F.lit(float(p)) * (n - 1) for p in probabilities]
     ranks = F.array_distinct(F.array(*[side(p) for p in positions for side in (F.floor, F.ceil)]))
     by_series = Window.partitionBy("series")
@@ -94,10 +98,12 @@ def _coarse_pass(df: DataFrame, columns, probabilities) -> list[Row]:
         .groupBy("series", scale.alias("slot"))
         .agg(*_extent())
         .withColumn("n", F.sum("rows").over(by_series))
+        .withColumn("least", F.min("slot_lo").over(by_series))
+        .withColumn("most", F.max("slot_hi").over(by_series))
         .withColumn("before", F.sum("rows").over(by_series.orderBy("slot")) - F.col("rows"))
         .withColumn("wanted", F.transform(ranks, lambda r: F.struct(r.alias("rank"), r.alias("skip"))))
     )
-    return _hits(slots)
+    return _hits(slots, "least", "most")
 
 
 def _finer_pass(df: DataFrame, picks: list[Row], cut: Column) -> list[Row]:
@@ -120,13 +126,13 @@ def _finer_pass(df: DataFrame, picks: list[Row], cut: Column) -> list[Row]:
     return _hits(slots)
 
 
-def _hits(slots: DataFrame) -> list[Row]:
+def _hits(slots: DataFrame, *more: str) -> list[Row]:
     skip, before = F.col("want.skip"), F.col("before")
     return (
         slots.withColumn("want", F.explode("wanted"))
         .where((before <= skip) & (skip < before + F.col("rows")))
         .select("series", "n", "want.rank", F.col("slot_lo").alias("lo"), F.col("slot_hi").alias("hi"),
-                (skip - before).alias("skip"))
+                (skip - before).alias("skip"), *more)
         .collect()
     )
 

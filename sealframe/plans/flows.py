@@ -7,14 +7,14 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+from sealframe.functions.keys import Keys
 from sealframe.functions.tokens import check_method
 from sealframe.layout import Layout
 from sealframe.operators.charts import chart_table
 from sealframe.operators.cipher import decrypt_table
-from sealframe.operators.rows import filter_category, project_columns
-from sealframe.session import spread
+from sealframe.operators.rows import filter_category, preview, project_columns
 from sealframe.sinks.csv import sink_csv
-from sealframe.sinks.tables import sink_table, sink_table_encrypted
+from sealframe.sinks.tables import PLAIN_TEXT_WIDTH, TOKEN_WIDTH, sink_table, sink_table_encrypted
 from sealframe.sources.tables import read_back
 
 
@@ -44,11 +44,15 @@ class Stored:
     at_rest: DataFrame
     rows: DataFrame
     measured: DataFrame
+    layout: Layout
 
     def charts(self) -> DataFrame:
-        """Scatter of the first and third measure, histogram of the fourth, a box for each."""
-        x, _, y, histogram = self.measured.columns[:4]
-        return chart_table(self.measured, x, y, histogram, self.measured.columns)
+        """The layout's scatter and histogram, a box for each measure."""
+        return chart_table(self.measured, *self.layout.chart_columns, self.measured.columns)
+
+    def previews(self, n: int = 2) -> tuple[DataFrame, DataFrame]:
+        """Some rows as stored, and some as they read."""
+        return preview(self.at_rest, n), preview(self.rows, n)
 
     def __enter__(self) -> Stored:
         self.measured.persist(StorageLevel.MEMORY_AND_DISK)
@@ -58,22 +62,22 @@ class Stored:
         self.measured.unpersist()
 
 
-def run_plain(source: DataFrame, layout: Layout, category: str, target: Target) -> Stored:
+def run_plain(source: DataFrame, layout: Layout, category: str, target: Target, *, text_width: int | None = PLAIN_TEXT_WIDTH) -> Stored:
     """The source is scanned once, into the table; all else reads the far smaller table."""
     wanted = project_columns(filter_category(source, layout.category, category), layout.columns)
-    table = sink_table(wanted, target.database, target.table, location=target.location)
+    table = sink_table(wanted, target.database, target.table, text_width=text_width, location=target.location)
     stored = read_back(source.sparkSession, target.database, target.table, layout.columns)
     path = sink_csv(stored, target.csv_folder, target.source_name)
-    return Stored(table, path, stored.count(), stored, stored, project_columns(stored, list(layout.measures)))
+    return Stored(table, path, stored.count(), stored, stored, project_columns(stored, list(layout.measures)), layout)
 
 
-def run_encrypted(source: DataFrame, layout: Layout, category: str, target: Target, key: bytes,
-                  method: str = "gcm") -> Stored:
+def run_encrypted(source: DataFrame, layout: Layout, category: str, target: Target, key: Keys, method: str = "gcm", *,
+                  token_width: int | None = TOKEN_WIDTH, partitions: int | None = None) -> Stored:
     """The same with sealed cells. Each cell is sealed once: the CSV holds the table's tokens."""
     check_method(method)
     wanted = project_columns(filter_category(source, layout.category, category), layout.columns)
-    table = sink_table_encrypted(spread(wanted), target.database, target.table, key, method, location=target.location)
+    table = sink_table_encrypted(wanted, target.database, target.table, key, method, token_width=token_width, location=target.location, partitions=partitions)
     stored = read_back(source.sparkSession, target.database, target.table, layout.columns)
     path = sink_csv(stored, target.csv_folder, target.source_name)
-    rows = decrypt_table(spread(stored), key, method, layout.measures)
-    return Stored(table, path, stored.count(), stored, rows, project_columns(rows, list(layout.measures)))
+    rows = decrypt_table(stored, key, method, layout.measures)
+    return Stored(table, path, stored.count(), stored, rows, project_columns(rows, list(layout.measures)), layout)

@@ -4,15 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 PROVIDER_ORDER = Path(__file__).resolve().parent.parent / "conf" / "cipher-providers.properties"
 
-# Bytes per core below which a shuffle is cheaper than idle cores: one default file split.
-SPLIT_BYTES = 128 * 1024 * 1024
-
 
 def cipher_options() -> dict[str, str]:
     """Driver options for cell work, which in local mode are the executor's too.
@@ -25,16 +24,14 @@ def cipher_options() -> dict[str, str]:
     return {"spark.driver.extraJavaOptions": f"-Djava.security.properties={PROVIDER_ORDER} -XX:+UseParallelGC"}
 
 
-def spread(df: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """Give CPU-bound cell work one partition per core where the scan yields fewer.
+def dealt(df: DataFrame, partitions: int | None) -> DataFrame:
+    """``df`` in so many partitions, or as it was read where none are asked for.
 
-    Small files and single row groups arrive as one partition however many cores there are.
-    Input that fills every core with whole splits is left as read: no shuffle at scale.
-    The round-robin shuffle sits before the cipher, on rows a retried task reproduces.
+    Cell work is bound by the processor: a table that comes as fewer partitions than there are cores
+    is worth a shuffle before the cipher, on rows that a retried task reproduces. Only the caller
+    knows that, so nothing is guessed from sizes or cores.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * split_bytes else df
+    return df if partitions is None else df.repartition(partitions)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -48,5 +45,15 @@ def shared_folder(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = Path(tempfile.mkdtemp(prefix="sealframe-")).as_uri()
-        context.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+@contextmanager
+def staging_folder(spark: SparkSession) -> Iterator[str]:
+    """A shared folder that is removed at the end, whether or not the work succeeded."""
+    folder = shared_folder(spark)
+    try:
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

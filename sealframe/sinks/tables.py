@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from sealframe.functions.keys import Keys
 from sealframe.functions.text import cell_text
 from sealframe.functions.tokens import token_length
 from sealframe.operators.cipher import encrypt_table
-from sealframe.session import shared_folder
+from sealframe.session import staging_folder
 
 # Widths of the text columns of stored tables.
 PLAIN_TEXT_WIDTH = 50
@@ -15,14 +16,20 @@ TOKEN_WIDTH = 255
 
 
 def check_name(name: str) -> str:
-    if not name.isidentifier():
-        raise ValueError(f"unsafe database or table name: {name!r}")
+    """Letters, digits and underscores of ASCII, which is what Spark's catalog takes; refused before
+    anything is created."""
+    if not (name.isascii() and name.isidentifier()):
+        raise ValueError(f"{name!r} is no plain name of a database or table")
     return name
 
 
+def quoted(database: str, table: str) -> str:
+    return f"`{check_name(database)}`.`{check_name(table)}`"
+
+
 def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
     """Create the database if it is missing; ``location`` must be reachable by every executor."""
-    place = "" if location is None else " LOCATION '" + location.replace("'", "\\'") + "'"
+    place = "" if location is None else " LOCATION '" + location.replace("\\", "\\\\").replace("'", "\\'") + "'"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{check_name(database)}`{place}")
 
 
@@ -36,7 +43,7 @@ def sink_table(df: DataFrame, database: str, table: str, *, text_width: int | No
     are overwritten, so a run also replaces what a session without a lasting catalog left.
     """
     spark = df.sparkSession
-    name = f"{check_name(database)}.{check_name(table)}"
+    name = quoted(database, table)
     ensure_database(spark, database, location)
     fields = [
         T.StructField(f.name, T.VarcharType(text_width) if text_width and isinstance(f.dataType, T.StringType) else f.dataType)
@@ -44,16 +51,16 @@ def sink_table(df: DataFrame, database: str, table: str, *, text_width: int | No
     ]
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     # Tokens are Base64: only an entropy coder shortens them.
-    place = f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{table}"
+    place = f"{spark.catalog.getDatabase(f'`{database}`').locationUri.rstrip('/')}/{table}"
     spark.catalog.createTable(name, path=place, source="parquet", schema=T.StructType(fields), compression="zstd")
     df.write.insertInto(name, overwrite=True)
     return name
 
 
-def sink_table_encrypted(df: DataFrame, database: str, table: str, key: bytes, method: str = "gcm", *,
-                         token_width: int | None = TOKEN_WIDTH, location: str | None = None) -> str:
+def sink_table_encrypted(df: DataFrame, database: str, table: str, key: Keys, method: str = "gcm", *,
+                         token_width: int | None = TOKEN_WIDTH, location: str | None = None, partitions: int | None = None) -> str:
     """The same with every cell a token and every column VARCHAR(``token_width``)."""
-    tokens = encrypt_table(df, key, method)
+    tokens = encrypt_table(df, key, method, partitions=partitions)
     return sink_table(tokens, database, table, text_width=token_width, location=location)
 
 
@@ -64,39 +71,42 @@ def sink_jdbc(df: DataFrame, url: str, table: str, *, text_width: int = PLAIN_TE
     Where the database itself may be missing, ask for it in the URL
     (``createDatabaseIfNotExist=true`` in MySQL's).
 
-    Each task commits its own rows, so a task that is run again after its commit was lost
-    from sight would store them twice: the rows are counted afterwards.
+    The rows are staged in the shared folder first: the query keeps all its tasks, is run once, and
+    a task that loads again loads the same rows. Each task commits its own rows, so one that is run
+    again after its commit was lost from sight would store them twice: the database counts afterwards.
     """
-    rows = df.count()
-    (
-        df.write.mode("overwrite")
-        .options(**jdbc_options(df.schema, text_width, connections))
-        .jdbc(url, check_name(table), properties=properties or {})
-    )
-    stored = df.sparkSession.read.jdbc(url, table, properties=properties or {}).count()
-    if stored != rows:
-        raise RuntimeError(f"{table}: {stored} rows stored, {rows} expected; write it again")
-
-
-def sink_jdbc_encrypted(df: DataFrame, url: str, table: str, key: bytes, method: str = "gcm", *,
+    check_name(table)
+    with staging_folder(df.sparkSession) as staged:
+        df.write.parquet(staged, compression="zstd")
+        _load(df.sparkSession.read.schema(df.schema).parquet(staged), url, table, text_width, connections, properties or {})
+
+
+def _load(rows: DataFrame, url: str, table: str, text_width: int, connections: int, properties: dict[str, str]) -> None:
+    rows.write.mode("overwrite").options(**jdbc_options(rows.schema, text_width, connections)).jdbc(url, table, properties=properties)
+    stored = rows.sparkSession.read.jdbc(url, count_query(table), properties=properties).first()[0]
+    expected = rows.count()
+    if stored != expected:
+        raise RuntimeError(f"{table}: {stored} rows stored, {expected} expected; write it again")
+
+
+def count_query(table: str) -> str:
+    """A derived table that the database itself makes of one row."""
+    return f"(SELECT count(*) AS n FROM {check_name(table)}) counted"
+
+
+def sink_jdbc_encrypted(df: DataFrame, url: str, table: str, key: Keys, method: str = "gcm", *,
                         token_width: int = TOKEN_WIDTH, connections: int = 8,
-                        properties: dict[str, str] | None = None) -> None:
+                        properties: dict[str, str] | None = None, partitions: int | None = None) -> None:
     """The same with every cell a token. Databases may cut long values silently, so the token
-    lengths are derived from the plaintext first, before anything is sealed or dropped.
-
-    The tokens are staged in the shared folder: sealing keeps all cores, not one per connection,
-    and a task that is run again loads the same tokens.
-    """
+    lengths are derived from the plaintext first, before anything is sealed or dropped."""
     longest = df.select(
         *[F.max(token_length(F.octet_length(cell_text(f.name, f.dataType)), method)).alias(f.name) for f in df.schema]
     ).first()
     wide = {name: n for name, n in longest.asDict().items() if n is not None and n > token_width}
     if wide:
         raise ValueError(f"tokens longer than {token_width} characters: {wide}")
-    staged = f"{shared_folder(df.sparkSession)}/tokens"
-    encrypt_table(df, key, method).write.parquet(staged, compression="zstd")
-    sink_jdbc(df.sparkSession.read.parquet(staged), url, table, text_width=token_width,
-              connections=connections, properties=properties)
+    tokens = encrypt_table(df, key, method, partitions=partitions)
+    sink_jdbc(tokens, url, table, text_width=token_width, connections=connections, properties=properties)
 
 
 def jdbc_options(schema: T.StructType, text_width: int, connections: int) -> dict[str, str]:

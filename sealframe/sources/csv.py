@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Iterator
+from typing import IO
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sealframe.layout import Layout
@@ -16,38 +21,64 @@ def scan_csv(spark: SparkSession, path: str | list[str], layout: Layout) -> Data
     return spark.read.schema(layout.schema).csv(path, header=True)
 
 
-def scan_csv_headerless(spark: SparkSession, path: str | list[str], layout: Layout) -> DataFrame:
-    """Files with or without a header line, told apart file by file when this is called.
+def scan_csv_headerless(spark: SparkSession, path: str | list[str], layout: Layout, open_file: Callable[[str], IO[bytes]] | None = None) -> DataFrame:
+    """Files with or without a header line, told apart file by file.
 
     A first line that starts with the first column name, in any case and after blanks, is a
-    header. Telling them apart is a pass over the text that keeps one flag per file; the
-    driver, which lists the files anyway, gets the flags. Use ``scan_csv`` where all files are
-    known to have headers.
+    header. All files are scanned once as if they had one, and the first lines that were none are
+    added from a reading of only the beginning of each file. ``open_file`` opens a path in a store
+    that neither the executors' file system nor Arrow's file systems reach. Use ``scan_csv`` where
+    all files are known to have headers.
     """
-    headed = _has_header(spark, path, layout).collect()
-    with_header = [r.file for r in headed if r.headed]
-    without = [r.file for r in headed if not r.headed]
-    rows = spark.read.schema(layout.schema)
-    if not without:
-        return rows.csv(path, header=True)
-    if not with_header:
-        return rows.csv(path, header=False)
-    # A condition on the file's path alone leaves files out of the scan.
-    few, many = sorted([with_header, without], key=len)
-    file = F.col("_metadata.file_path")
-    kinds = [(file.isin(few), few is with_header), (~file.isin(few), many is with_header)]
-    parts = [rows.csv(path, header=header).where(chosen) for chosen, header in kinds]
-    return parts[0].unionByName(parts[1])
-
-
-def _has_header(spark: SparkSession, path: str | list[str], layout: Layout) -> DataFrame:
-    """One row ``(file, headed)`` per file that has a line."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("offset"),
-        F.rlike("value", F.lit(rf"(?iU)^\s*\Q{layout.columns[0]}\E")).alias("is_header"),
-        F.monotonically_increasing_id().alias("place"),
-    )
-    # Only the split at offset 0 holds a file's first line, and within it ids follow the lines.
-    # A flag and a number fit a hash aggregate, which a line of text would not.
-    return lines.where("offset = 0").groupBy("file").agg(F.min_by("is_header", "place").alias("headed"))
+    first = first_lines(spark, path, open_file)
+    is_header = F.rlike("first", F.lit(rf"(?iU)^\s*\Q{layout.columns[0]}\E"))
+    # The scan leaves out the first line that is not blank, whether or not it is the first.
+    bare = first.where(~is_header & F.col("line").isNotNull()).select(F.from_csv("line", layout.ddl).alias("row")).select("row.*")
+    return spark.read.schema(layout.schema).csv(path, header=True).unionByName(bare)
+
+
+# Bytes of a file that are asked for at once while its first line is looked for.
+CHUNK = 65_536
+
+
+def first_lines(spark: SparkSession, path: str | list[str], open_file: Callable[[str], IO[bytes]] | None = None) -> DataFrame:
+    """The ``first`` line of every file and the first ``line`` that is not blank, read from its beginning alone."""
+    files = spark.read.format("binaryFile").load(path).select("path")  # listed, not read
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for name in batch.column(0).to_pylist():
+                with (open_file or _open)(name) as file:
+                    found.append(_first_lines(file))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*found)] if found else [pa.array([], pa.string())] * 2, names=["first", "line"])
+
+    return files.mapInArrow(begin, "first string, line string")
+
+
+def _open(path: str) -> IO[bytes]:
+    if path.startswith("file:"):
+        return open("/" + path.removeprefix("file:").lstrip("/"), "rb")
+    from pyarrow.fs import FileSystem
+
+    system, place = FileSystem.from_uri(path)
+    return system.open_input_stream(place)
+
+
+def _first_lines(file: IO[bytes]) -> tuple[str | None, str | None]:
+    rest, first = b"", None
+    while True:
+        chunk = file.read(CHUNK)
+        # Lines end with a line feed, a carriage return or both; a pair may be cut by the chunk.
+        lines = re.split(rb"\r\n|\n|\r(?!\Z)" if chunk else rb"\r\n|\n|\r", rest + chunk)
+        for line in lines if not chunk else lines[:-1]:
+            first = line if first is None else first
+            if line.strip(BLANKS):
+                return first.decode("utf-8", "replace"), line.decode("utf-8", "replace")
+        if not chunk:
+            return (None if first is None else first.decode("utf-8", "replace")), None
+        rest = lines[-1]
+
+
+# Fixed value: what the CSV reader trims before it calls a line blank.
+BLANKS = bytes(range(0x21))

@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sealframe.functions.text import cell
-from sealframe.sinks.tables import check_name
+from sealframe.sinks.tables import check_name, quoted
 
 
 def read_back(spark: SparkSession, database: str, table: str, columns: list[str]) -> DataFrame:
     """The named columns of a catalog table, in that order."""
-    name = f"{check_name(database)}.{check_name(table)}"
-    return spark.read.table(name).select(*map(cell, columns))
+    return spark.read.table(quoted(database, table)).select(*map(cell, columns))
 
 
 def read_back_jdbc(spark: SparkSession, url: str, table: str, columns: list[str], *,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sealframe.functions.text import cell
+
 # The error codes of the manifest.
 NOT_HTTPS = "not_https"
 NO_FILE_NAME = "no_file_name"
@@ -19,11 +21,13 @@ def file_name(url: Column) -> Column:
 
 
 def url_manifest(df: DataFrame, url: str = "url") -> DataFrame:
-    """Per URL: whether it may be fetched, the file it would be stored as, else the reason."""
-    name = file_name(F.col(url))
-    https = F.startswith(F.lower(F.col(url)), F.lit("https://"))
+    """Per URL: whether it may be fetched, the file it would be stored as, else the reason. A null URL
+    may not be fetched and has no name."""
+    address = cell(url)
+    name = file_name(address)
+    https = F.coalesce(F.startswith(F.lower(address), F.lit("https://")), F.lit(False))
     return df.select(
-        F.col(url).alias("url"),
+        address.alias("url"),
         https.alias("is_https"),
         name.alias("file_name"),
         F.when(~https, NOT_HTTPS).when(name == "", NO_FILE_NAME).alias("error"),

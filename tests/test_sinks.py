@@ -4,12 +4,13 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F, types as T
 
-from sealframe.layout import FLOWERS
+from sealframe.layout import FLOWERS, Layout
 from sealframe.operators.cipher import decrypt_table, encrypt_table
 from sealframe.plans.flows import Target, run_encrypted, run_plain
-from sealframe.session import shared_folder, spread
+from sealframe.operators.integrity import tamper_report
+from sealframe.session import shared_folder, staging_folder
 from sealframe.sinks.csv import read_csv_sink, sink_csv, sink_csv_encrypted
-from sealframe.sinks.tables import check_name, jdbc_options, sink_jdbc_encrypted, sink_table, sink_table_encrypted
+from sealframe.sinks.tables import check_name, count_query, ensure_database, jdbc_options, sink_jdbc_encrypted, sink_table, sink_table_encrypted
 from sealframe.sources.csv import scan_csv_headerless
 from sealframe.sources.tables import read_back, read_back_jdbc
 
@@ -21,7 +22,7 @@ def rows(frame):
 
 
 def test_csv_keeps_every_text(spark):
-    texts = ["plain", " blanks ", 'a "quote"', "comma, too", "back\\slash", "æøå", "two\nlines"]
+    texts = ["", None, "\\N", "\\", "\\\\N", "N", "plain", " blanks ", 'a "quote"', "comma, too", "back\\slash", "æøå", "two\nlines"]
     frame = spark.createDataFrame([(t, float(i)) for i, t in enumerate(texts)], "t string, x double")
     path = sink_csv(frame, shared_folder(spark), "a.csv")
     assert path.endswith("/transform_a.csv")
@@ -30,6 +31,22 @@ def test_csv_keeps_every_text(spark):
     assert first == "t,x"
 
 
+@pytest.mark.parametrize("values", [["a", "", None], [None, None], ["", ""], [None]])
+def test_csv_of_one_column_keeps_its_rows(spark, key, values):
+    frame = spark.createDataFrame([(v,) for v in values], "t string")
+    assert rows(read_csv_sink(spark, sink_csv(frame, shared_folder(spark), "a.csv"), frame.schema)) == rows(frame)
+    sealed = sink_csv_encrypted(frame, shared_folder(spark), "a.csv", key)
+    assert rows(decrypt_table(read_csv_sink(spark, sealed, frame.schema), key)) == rows(frame)
+
+
+def test_csv_of_missing_numbers(spark):
+    frame = spark.createDataFrame([(None, None), (1.5, 2), (None, 3)], "x double, n bigint")
+    assert rows(read_csv_sink(spark, sink_csv(frame, shared_folder(spark), "a.csv", "\\x"), frame.schema, missing="\\x")) == rows(frame)
+    for bad in ("", "N", "\\", "\\\\N"):
+        with pytest.raises(ValueError):
+            sink_csv(frame, shared_folder(spark), "a.csv", bad)
+
+
 def test_csv_is_replaced(spark):
     folder = shared_folder(spark)
     for n in (5, 2):
@@ -71,7 +88,7 @@ def test_failed_jdbc_checks_touch_nothing(spark, key):
     frame = spark.createDataFrame([("x" * 162, 1.0)], "t string, x double")
     with pytest.raises(ValueError, match="longer than 255.*'t': 256"):
         sink_jdbc_encrypted(frame, "jdbc:none:", "t", key)
-    with pytest.raises(ValueError, match="unsafe"):
+    with pytest.raises(ValueError, match="no plain name"):
         read_back_jdbc(spark, "jdbc:none:", "t; DROP TABLE t", ["x"])
 
 
@@ -86,13 +103,13 @@ def test_overlong_cells_are_refused(spark, key, method, most):
     sink_table_encrypted(too_long, "sink_checks", "wide", key, method, token_width=None, location=location)
 
 
-@pytest.mark.parametrize("name", ["", "1a", "a-b", "a.b", "a b", "t; DROP TABLE x", "`t`"])
+@pytest.mark.parametrize("name", ["", "1a", "måling", "a-b", "a.b", "a b", "t; DROP TABLE x", "`t`"])
 def test_unsafe_names(spark, name):
-    with pytest.raises(ValueError, match="unsafe"):
+    with pytest.raises(ValueError, match="no plain name"):
         check_name(name)
-    with pytest.raises(ValueError, match="unsafe"):
+    with pytest.raises(ValueError, match="no plain name"):
         sink_table(spark.range(1), "sink_checks", name)
-    with pytest.raises(ValueError, match="unsafe"):
+    with pytest.raises(ValueError, match="no plain name"):
         sink_table(spark.range(1), name, "t")
 
 
@@ -105,12 +122,53 @@ def test_jdbc_columns():
     assert jdbc_options(sealed, 255, 4)["createTableColumnTypes"].count("VARCHAR(255)") == 5
 
 
-def test_spread_shuffles_small_input_only(spark, tmp_path):
-    path = str(tmp_path / "small")
-    spark.range(0, 1000, 1, 1).write.parquet(path)
-    small = spark.read.parquet(path)
-    assert "RoundRobinPartitioning" in spread(small)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in spread(small, split_bytes=1)._jdf.queryExecution().executedPlan().toString()
+def test_partitions_stay_as_they_were_read(spark, key):
+    frame = spark.range(0, 640, 1, 64).select(F.col("id").cast("string").alias("t"))
+    tokens = encrypt_table(frame, key)
+    for made in (tokens, decrypt_table(tokens, key), encrypt_table(frame, key, "fernet")):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and made.rdd.getNumPartitions() == 64
+    assert "Exchange hash" not in tamper_report(tokens, key)._jdf.queryExecution().executedPlan().toString()
+    assert encrypt_table(frame, key, partitions=5).rdd.getNumPartitions() == 5
+
+
+def test_names_that_are_keywords(spark):
+    location = shared_folder(spark)
+    frame = spark.createDataFrame([(1.5,)], "x double")
+    sink_table(frame, "select", "table", location=location)
+    assert rows(read_back(spark, "select", "table", ["x"])) == [(1.5,)]
+
+
+def test_location_with_quotes_and_backslashes(spark):
+    ensure_database(spark, "odd_place", f"{shared_folder(spark)}/it's")
+    assert "it's" in spark.catalog.getDatabase("odd_place").locationUri
+
+
+def test_staging_goes_away(spark):
+    def files(folder):
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+    with staging_folder(spark) as folder:
+        spark.range(3).write.parquet(folder)
+        assert files(folder)
+    assert not files(folder)
+    with pytest.raises(RuntimeError), staging_folder(spark) as folder:
+        spark.range(3).write.parquet(folder)
+        raise RuntimeError
+    assert not files(folder)
+
+
+def test_the_checkpoint_folder_of_the_caller_stays(spark):
+    before = spark.sparkContext.getCheckpointDir()
+    shared_folder(spark)
+    assert spark.sparkContext.getCheckpointDir() == before
+
+
+def test_the_database_counts():
+    assert count_query("t") == "(SELECT count(*) AS n FROM t) counted"
+    with pytest.raises(ValueError):
+        count_query("t; DROP TABLE t")
 
 
 @pytest.mark.parametrize("method", ["plain", "gcm", "cbc", "fernet"])
@@ -128,6 +186,9 @@ def test_jobs(spark, key, tmp_path, method):
     assert rows(in_csv) == rows(stored.at_rest)
     if method != "plain":
         assert rows(decrypt_table(in_csv, key, method, FLOWERS.measures)) == expected
+    at_rest, readable = stored.previews(1)
+    assert readable.count() == 1 and readable.first() in stored.rows.collect()
+    assert at_rest.first() in stored.at_rest.collect()
     with stored:
         charts = stored.charts().collect()
     assert {(r.x, r.y) for r in charts if r.chart == "scatter"} == {(5.1, 1.4), (4.9, 1.4)}
@@ -143,3 +204,18 @@ def test_two_evaluations_differ_one_stored_does_not(spark, key):
     path = f"{shared_folder(spark)}/tokens"
     tokens.write.parquet(path)
     assert spark.read.parquet(path).first() == spark.read.parquet(path).where(F.col("t").isNotNull()).first()
+
+
+def test_jobs_with_other_layouts_and_widths(spark, key):
+    """Two measures, charts by name, a category longer than the usual width."""
+    layout = Layout(("a", "b"), "c", scatter=("b", "a"), histogram="a")
+    long = "x" * 300
+    frame = spark.createDataFrame([(1.0, 2.0, long), (3.0, 4.0, long), (5.0, 6.0, "y")], layout.schema)
+    folder = shared_folder(spark)
+    plain = run_plain(frame, layout, long, Target("job_checks", "wide", folder, "a.csv", f"{folder}/db"), text_width=None)
+    sealed = run_encrypted(frame, layout, long, Target("job_checks", "wide_sealed", folder, "b.csv", f"{folder}/db"), key, token_width=1000)
+    for stored in (plain, sealed):
+        charts = stored.charts().collect()
+        assert {(r.series, r.x, r.y) for r in charts if r.chart == "scatter"} == {("b|a", 2.0, 1.0), ("b|a", 4.0, 3.0)}
+        assert {r.series for r in charts if r.chart == "histogram"} == {"a"}
+    assert Layout(("only",), "c").chart_columns == ("only", "only", "only")

@@ -1,13 +1,11 @@
 """CSV files with all their faults, and URLs."""
 
-import os
+import io
 import random
-import re
-from urllib.parse import urlparse
 
 from sealframe.layout import FLOWERS
 from sealframe.operators.rows import filter_category, preview, project_columns
-from sealframe.sources.csv import _has_header, scan_csv, scan_csv_headerless
+from sealframe.sources.csv import CHUNK, _first_lines, first_lines, scan_csv, scan_csv_headerless
 from sealframe.sources.urls import url_manifest
 
 HEADER = "sepal_length,sepal_width,petal_length,petal_width,species\n"
@@ -49,12 +47,14 @@ def test_headers_are_found_file_by_file(spark, tmp_path):
         "short.csv": "1.0,2.0\n", "no_newline.csv": "6.0,1.0,1.0,1.0,Iris-setosa", "only_header.csv": HEADER, "empty.csv": "",
         "tabbed.csv": "\t\u00a0" + HEADER + ROWS, "blank_tab.csv": " \t\n\n" + ROWS, "blank_lines.csv": "\n\n\n",
     }
+    # By hand: whose first line, blanks apart, begins with the first column's name.
+    with_header = {"windows_headed.csv", "headed.csv", "shouting.csv", "twice.csv", "only_header.csv", "tabbed.csv"}
     expected = []
     for name, body in bodies.items():
         write(tmp_path, name, body)
         folder = tmp_path / f"fixed-{name}"
         folder.mkdir()
-        headed = body.replace("\r\n", "\n").split("\n")[0].strip().lower().startswith("sepal_length")
+        headed = name in with_header
         expected += rows(scan_csv(spark, write(folder, name, body if headed else HEADER + body), FLOWERS))
     got = rows(scan_csv_headerless(spark, [str(tmp_path / n) for n in bodies], FLOWERS))
     assert got == sorted(expected, key=repr)
@@ -73,29 +73,47 @@ def test_first_lines_of_files_cut_into_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
-def test_each_file_is_read_once_and_flags_are_hashed(spark, tmp_path):
-    paths = [write(tmp_path, f"{n} [x].csv", (HEADER if n < 2 else "") + ROWS) for n in range(5)]
-    flags = _has_header(spark, str(tmp_path), FLOWERS)
-    plan = flags._jdf.queryExecution().executedPlan().toString()
-    assert "SortAggregate" not in plan and plan.count("HashAggregate") == 2
-    assert flags.where("headed").count() == 2
-    frame = scan_csv_headerless(spark, str(tmp_path), FLOWERS)
-    assert frame.count() == 3 * len(paths)
-    scans = frame._jdf.queryExecution().executedPlan().collectLeaves()
-    read = []
-    for i in range(scans.size()):
-        scan = scans.apply(i)
-        scan.execute().count()
-        read.append(scan.metrics().apply("numFiles").value())
-    assert sorted(read) == [2, 3]
-
-
-def test_files_of_one_kind_need_no_union(spark, tmp_path):
-    for n in range(3):
-        write(tmp_path, f"{n}.csv", ROWS)
+class Counted(io.BytesIO):
+    """Counts the bytes that are asked for."""
+
+    asked = 0
+
+    def read(self, n=-1):
+        got = super().read(n)
+        self.asked += len(got)
+        return got
+
+
+def test_flags_read_the_beginning_of_a_file_only():
+    body = b"1.0,2.0,3.0,4.0,a\n" * 400_000
+    file = Counted(body)
+    assert _first_lines(file) == ("1.0,2.0,3.0,4.0,a",) * 2
+    assert file.asked <= CHUNK
+    long = Counted(b"x" * (3 * CHUNK) + b"\r\n" + body)
+    assert _first_lines(long) == ("x" * (3 * CHUNK),) * 2 and long.asked <= 5 * CHUNK
+
+
+def test_first_lines_over_chunk_edges():
+    for gap in range(CHUNK - 3, CHUNK + 3):
+        assert _first_lines(io.BytesIO(b" " * gap + b"\r\n\r\na,b\r\nc")) == (" " * gap, "a,b")
+        assert _first_lines(io.BytesIO(b"y" * gap + b"\r\n")) == ("y" * gap,) * 2
+    assert _first_lines(io.BytesIO(b"")) == ("", None)
+    assert _first_lines(io.BytesIO(b"\ra\r")) == ("", "a")
+
+
+def test_one_scan_of_all_files_and_no_list_of_paths(spark, tmp_path):
+    for n in range(5):
+        write(tmp_path, f"{n} [x].csv", (HEADER if n < 2 else "") + ROWS)
+    assert first_lines(spark, str(tmp_path)).count() == 5
     frame = scan_csv_headerless(spark, str(tmp_path), FLOWERS)
-    assert frame.count() == 9
-    assert "Union" not in frame._jdf.queryExecution().executedPlan().toString()
+    assert frame.count() == 15
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1 and "[x].csv" not in plan and "Exchange" not in plan
+
+
+def test_files_are_opened_as_told(spark, tmp_path):
+    path = write(tmp_path, "a.csv", ROWS)
+    assert scan_csv_headerless(spark, path, FLOWERS, lambda name: io.BytesIO(HEADER.encode())).count() == 2
 
 
 def test_filter_reaches_the_scan(spark, tmp_path):
@@ -106,21 +124,29 @@ def test_filter_reaches_the_scan(spark, tmp_path):
     assert project_columns(frame, ["species", "petal_width"]).columns == ["species", "petal_width"]
 
 
-def manifest(url):
-    """The rules of the manifest with Python's own URL parser."""
-    name = re.sub(r"[^A-Za-z0-9._-]", "_", os.path.basename(urlparse(url).path))
-    https = url.lower().startswith("https://")
-    return url, https, name, "not_https" if not https else "no_file_name" if not name else None
+# By hand: URL, file name, error.
+MANIFEST = [
+    ("https://h.org/d/iris.csv", "iris.csv", None), ("HTTPS://h.org/x/", "", "no_file_name"), ("http://h.org/a.csv", "a.csv", "not_https"),
+    ("https://h.org/b.csv;rm -rf", "b.csv", None), ("https://h.org/b;rm -rf.csv", "b", None), ("https://h.org/q%20x.csv?y=1#z", "q_20x.csv", None),
+    ("https://h.org", "", "no_file_name"), ("https://h.org/../../etc/passwd", "passwd", None), ("https://h.org/blå bær.csv", "bl__b_r.csv", None),
+    ("https://h.org/a;b/c;d;e", "c", None), ("https://h.org/a?x=/b/c.csv", "a", None), ("https://h.org/a#/b.csv", "a", None),
+    ("ftp://h.org/a.csv", "a.csv", "not_https"), ("https://", "", "no_file_name"), ("https:///only/path.csv", "path.csv", None),
+    ("https://h.org/a\tb.csv", "ab.csv", None), ("https://h.org/a\nb.csv", "ab.csv", None), ("https://h.org/$(id).csv", "__id_.csv", None),
+    ("https://h.org/;", "", "no_file_name"), ("https://h.org/.", ".", None), (None, None, "not_https"),
+]
 
 
 def test_urls(spark):
-    urls = [
-        "https://h.org/d/iris.csv", "HTTPS://h.org/x/", "http://h.org/a.csv", "https://h.org/b.csv;rm -rf", "https://h.org/b;rm -rf.csv",
-        "https://h.org/q%20x.csv?y=1#z", "https://h.org", "https://h.org/../../etc/passwd", "https://h.org/blå bær.csv",
-        "https://h.org/a;b/c;d;e", "https://h.org/a?x=/b/c.csv", "https://h.org/a#/b.csv", "ftp://h.org/a.csv", "https://",
-        "https:///only/path.csv", "https://h.org/a\tb.csv", "https://h.org/a\nb.csv", "https://h.org/$(id).csv", "https://h.org/;", "https://h.org/.",
-    ]
+    frame = url_manifest(spark.createDataFrame([(u,) for u, _, _ in MANIFEST], "`u.rl` string"), "u.rl")
+    assert rows(frame) == sorted([(u, bool(u) and u.lower().startswith("https:"), name, error) for u, name, error in MANIFEST], key=repr)
+
+
+def test_any_url_gives_a_safe_name(spark):
     random.seed(5)
-    urls += ["https://h.org/" + "".join(random.choice("ab/;?#._-%& é") for _ in range(12)) for _ in range(500)]
-    frame = url_manifest(spark.createDataFrame([(u,) for u in urls], "url string"))
-    assert rows(frame) == sorted(map(manifest, urls), key=repr)
+    urls = ["https://h.org/" + "".join(random.choice("ab/;?#._-%& é") for _ in range(12)) for _ in range(500)]
+    allowed = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._-")
+    for r in url_manifest(spark.createDataFrame([(u,) for u in urls], "url string")).collect():
+        assert set(r.file_name) <= allowed and (r.error == "no_file_name") == (r.file_name == "")
+        # Nothing of the query or fragment, and no more than the last segment.
+        path = r.url.removeprefix("https://h.org").split("?")[0].split("#")[0]
+        assert len(r.file_name) <= len(path.split("/")[-1])

@@ -261,3 +261,57 @@ def test_cell_text_of_other_types(spark):
     frame = spark.sql("SELECT true AS b, 7 AS i, DATE'2020-01-02' AS d, TIMESTAMP_NTZ'2020-01-02 03:04:05' AS t")
     texts = frame.select(*[cell_text(f.name, f.dataType).alias(f.name) for f in frame.schema]).first()
     assert tuple(texts) == ("True", "7", "2020-01-02", "2020-01-02 03:04:05")
+
+
+# What is opened is what was sealed, or fails
+
+
+def test_long_integers_keep_their_digits(spark, key):
+    frame = spark.createDataFrame([(2 ** 53 + 1, 1.5), (-(2 ** 63), None), (None, 2.0)], "n bigint, x double")
+    types = {"n": "bigint", "x": "double"}
+    opened = decrypt_table(encrypt_table(frame, key), key, "gcm", types)
+    assert [f.dataType.simpleString() for f in opened.schema] == ["bigint", "double"]
+    assert sorted(map(tuple, opened.collect()), key=repr) == sorted(map(tuple, frame.collect()), key=repr)
+
+
+@pytest.mark.parametrize("text,type_,value", [
+    ("1.5", "double", 1.5), ("-1e-05", "double", -1e-05), (".5", "double", 0.5), ("inf", "double", math.inf), ("12", "bigint", 12), ("+3", "int", 3), ("1.25", "decimal(5,2)", 1.25),
+])
+def test_texts_of_numbers(spark, key, text, type_, value):
+    tokens = encrypt_table(spark.createDataFrame([(text,)], "x string"), key)
+    assert float(decrypt_table(tokens, key, "gcm", {"x": type_}).first().x) == value
+
+
+@pytest.mark.parametrize("text,type_", [("5d", "double"), ("1f", "double"), ("0x1p3", "double"), ("", "double"), (" 1", "double"), ("1.0", "bigint"), ("9223372036854775808", "bigint")])
+def test_other_texts_are_refused(spark, key, text, type_):
+    tokens = encrypt_table(spark.createDataFrame([(text,)], "x string"), key)
+    with pytest.raises(PySparkException, match="not a number"):
+        decrypt_table(tokens, key, "gcm", {"x": type_}).collect()
+
+
+def test_text_that_is_not_valid_fails(spark, key):
+    """A changed IV character of cbc changes the text's first bytes."""
+    token = seal_one(spark, "plain text of two blocks", key, "cbc", iv=F.lit(bytes(16)))
+    changed = base64.urlsafe_b64encode(bytes([0x80]) + raw(token)[1:]).decode()
+    with pytest.raises(PySparkException, match="(?i)utf8"):
+        decrypt_table(spark.createDataFrame([(changed,)], "t string"), key, "cbc").collect()
+
+
+def test_floats_and_binary(spark, key):
+    frame = spark.createDataFrame([(1e10,), (0.1,), (1.5e-6,), (None,)], "x float")
+    assert [r.x for r in frame.select(cell_text("x", frame.schema["x"].dataType).alias("x")).collect()] == ["10000000000.0", "0.1", "1.5e-06", None]
+    with pytest.raises(TypeError, match="binary"):
+        encrypt_table(spark.createDataFrame([(b"a",)], "b binary"), key)
+
+
+def test_a_key_for_each_slice(spark):
+    keys = {"a": b"k" * 32, "b": b"l" * 32}
+    frame = spark.createDataFrame([("a", "one"), ("b", "two"), ("a", None)], "s string, t string")
+    tokens = encrypt_table(frame, keys, slice_column="s")
+    assert sorted(map(tuple, decrypt_table(tokens, keys, slice_column="s").collect()), key=repr) == sorted(map(tuple, frame.collect()), key=repr)
+    assert decrypt_table(tokens.where("s = 'b'").drop("s"), keys["b"]).first().t == "two"
+    for bad in ("c", None):
+        with pytest.raises(PySparkException, match="no key"):
+            encrypt_table(spark.createDataFrame([(bad, "x")], "s string, t string"), keys, slice_column="s").collect()
+    with pytest.raises(ValueError):
+        encrypt_table(frame, {}, slice_column="s")
