@@ -34,7 +34,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cutoffs = quality_rules.calibrate(quality_rules.labelled_rows(measured, read(spark, sf_dir, "labels")), risk)
     # The row apart, so that no measure takes the place of one of its columns.
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "text", "lang")
-    return quality_rules.verdicts(quality_rules.measures(rows), cutoffs, risk).where("kept").select("_row.*")
+    return quality_rules.only_kept(quality_rules.verdicts(quality_rules.measures(rows), cutoffs, risk)).select("_row.*")
 
 
 @with_package

@@ -146,6 +146,15 @@ def verdicts(measured: DataFrame, cutoffs: dict[tuple[str, str], int], risk: Ris
     return measured.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~rejected)
 
 
+def only_kept(judged: DataFrame) -> DataFrame:
+    """The rows whose verdict is to keep them.
+
+    The verdict passes through a generator: a condition on the column itself would be moved below
+    the measures, each of which would then be computed again for every element of the next.
+    """
+    return judged.withColumn("_kept", F.explode(F.array("kept"))).where("_kept").drop("_kept")
+
+
 def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with ``good``: whether all labels of its doc_id say quality 1. Others are left out.
 
