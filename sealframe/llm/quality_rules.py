@@ -33,6 +33,9 @@ class Risk:
     ladder: tuple[int, ...] = (950, 900, 800, 700, 600, 500, 400, 300, 250, 200, 150, 100, 75, 50, 40, 30, 20, 10)
 
 
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
 def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words as longs.
 
@@ -71,7 +74,11 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_repeat_words": covered,
         "_n_lines": F.size("_lines"),
     })
-    return out.drop("_words", "_windows", "_found", "_lines")
+    # The measures pass through a generator: a condition on one of them would else be moved below
+    # them all, and each would be computed again for every element of the next.
+    names = [*MEASURES, "_n_lines"]
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in names]
+    return out.select(*others, F.explode(F.array(F.struct(*names))).alias("_measured")).select(*others, "_measured.*")
 
 
 def base_failed() -> Column:
@@ -146,15 +153,6 @@ def verdicts(measured: DataFrame, cutoffs: dict[tuple[str, str], int], risk: Ris
     return measured.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~rejected)
 
 
-def only_kept(judged: DataFrame) -> DataFrame:
-    """The rows whose verdict is to keep them.
-
-    The verdict passes through a generator: a condition on the column itself would be moved below
-    the measures, each of which would then be computed again for every element of the next.
-    """
-    return judged.withColumn("_kept", F.explode(F.array("kept"))).where("_kept").drop("_kept")
-
-
 def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with ``good``: whether all labels of its doc_id say quality 1. Others are left out.
 
