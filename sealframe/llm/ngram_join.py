@@ -135,7 +135,7 @@ def shared_grams(
     One entry per gram and batch is shuffled: rows of a batch with the same gram are its own affair, so
     a gram that every document has costs an entry per batch.
     """
-    buckets = 2 * partitions(rows.sparkSession)
+    buckets, most = 2 * partitions(rows.sparkSession), FLUSH
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, number, held, size = TaskContext.get().partitionId() << 24, 0, [], 0
@@ -172,7 +172,7 @@ def shared_grams(
                 take = first(sizes)
                 held.append((table, grams[_per_row(sizes, take)], take))
                 size += int(take.sum())
-                if size >= FLUSH:
+                if size >= most:
                     yield from flush()
                     held, size = [], 0
         if held:

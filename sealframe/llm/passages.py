@@ -177,7 +177,7 @@ def chained(rows: DataFrame, how: Passage) -> DataFrame:
     A batch sends the first of its occurrences of a seed, and matches the others itself, so a seed
     that every document has costs a row per batch.
     """
-    buckets = 2 * partitions(rows.sparkSession)
+    buckets, most = 2 * partitions(rows.sparkSession), FLUSH
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in ENTRIES.split(", ")]
@@ -215,7 +215,7 @@ def chained(rows: DataFrame, how: Passage) -> DataFrame:
                 key, text, word, base_word = seeds(part, how)
                 held.append((key, batch.column(0).slice(first, len(part)).to_numpy()[text], word, base_word))
                 size += len(key)
-                if size >= FLUSH:
+                if size >= most:
                     yield from flush()
                     held, size = [], 0
         if size:

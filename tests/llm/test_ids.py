@@ -67,14 +67,14 @@ def test_codec_round_trip_from_every_checkpoint(n, kinds):
 
 
 def test_coded_size_is_near_the_entropy():
-    ids = np.random.default_rng(1).geometric(0.05, 200_000).astype("<u4")
+    ids = np.random.default_rng(1).geometric(0.05, 900_000).astype("<u4")
     p = np.bincount(ids)[np.unique(ids)] / len(ids)
     block = rans.encode(ids, rans.Table.of(ids))
-    assert len(block.words) * 32 < 1.02 * len(ids) * -(p * np.log2(p)).sum() + 64
+    assert len(block.words) * 32 < 1.01 * len(ids) * -(p * np.log2(p)).sum() + 64
 
 
 def test_a_changed_word_is_found():
-    ids = np.arange(5000, dtype="<u4") % 77
+    ids = np.arange(50_000, dtype="<u4") % 77
     table = rans.Table.of(ids)
     block = rans.encode(ids, table)
     block.words = block.words.copy()
