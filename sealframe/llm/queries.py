@@ -108,6 +108,44 @@ _URL_FILTERS = r"""
     WHERE coalesce(n, 1) = 1"""
 
 
+def _quality_rules_sql() -> str:
+    """The same measures over unnested words, and exact binomial sums for the cutoffs."""
+    risk = rules.Risk()
+    names = list(rules.rules())
+    tests = (len(risk.strata) + 1) * len(names) * len(risk.ladder)
+    strata, ladder = ", ".join(f"'{s}'" for s in risk.strata), ", ".join(f"({c})" for c in risk.ladder)
+    rate, doubt = risk.share / len(names), risk.doubt / tests
+    return rf"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t,
+                      regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents),
+    windows AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS x
+                FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
+    twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, x) AS n FROM windows) WHERE n > 1),
+    covered AS (SELECT r, count(DISTINCT i + j) AS n FROM twice, (VALUES (0), (1), (2)) AS v(j) GROUP BY r),
+    lines AS (SELECT r, count(*) AS n, count(*) - count(DISTINCT line) AS again
+              FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^ 	-]') GROUP BY r),
+    measured AS (SELECT d.r, doc_id, CASE WHEN lang IN ({strata}) THEN lang ELSE 'other' END AS stratum, CAST(len(w) AS BIGINT) AS n_words,
+                        CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+                        CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                        coalesce(lines.again, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words, coalesce(lines.n, 0) AS n_lines
+                 FROM d LEFT JOIN covered USING (r) LEFT JOIN lines USING (r)),
+    based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured),
+    valued AS (SELECT r, doc_id, stratum, base_failed, unnest([
+                   {{'rule': 'symbols', 'v': 1000 * n_symbols / CAST(greatest(word_chars, 1) AS DOUBLE)}},
+                   {{'rule': 'repeats', 'v': 1000 * n_repeat_words / CAST(greatest(n_words, 1) AS DOUBLE)}},
+                   {{'rule': 'lines', 'v': 1000 * n_dup_lines / CAST(greatest(n_lines, 1) AS DOUBLE)}}]) AS m FROM based),
+    good AS (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
+    counts AS (SELECT stratum, m.rule AS rule, cutoff, count(*) AS n, count(CASE WHEN m.v > cutoff THEN 1 END) AS k
+               FROM valued JOIN good USING (doc_id), (VALUES {ladder}) AS l(cutoff) WHERE NOT base_failed GROUP BY ALL),
+    passed AS (SELECT stratum, rule, cutoff FROM counts, unnest(range(k + 1)) AS u(j) GROUP BY stratum, rule, cutoff, n, k
+               HAVING k < n * {rate!r}::DOUBLE AND sum(exp(CASE WHEN j = 0 THEN 0 ELSE lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) END
+                          + j * ln({rate!r}::DOUBLE) + (n - j) * ln(1 - {rate!r}::DOUBLE))) <= {doubt!r}::DOUBLE),
+    cutoffs AS (SELECT stratum, rule, min(cutoff) AS cutoff FROM passed GROUP BY stratum, rule),
+    rejected AS (SELECT DISTINCT r FROM valued JOIN cutoffs ON valued.stratum = cutoffs.stratum AND m.rule = cutoffs.rule AND m.v > cutoff)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND r NOT IN (SELECT r FROM rejected) AS kept FROM based"""
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = kept(measured(read(spark, sf_dir, "documents")))
     return scored(stats, trained(stats, read(spark, sf_dir, "labels")))
@@ -139,5 +177,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_source_mix": _SOURCE_MIX,
         "op4_exact_top_k": _TOP_K,
         "op6_url_filters": _URL_FILTERS,
+        "op8_quality_rules": _quality_rules_sql(),
     }
     return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
