@@ -7,18 +7,18 @@ from pyspark.sql import DataFrame, functions as F
 from sealframe.llm.shared import kept
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, folder: str | None = None) -> DataFrame:
     """``node`` and ``root``, the smallest node it is connected to, for every node of ``links`` (a, b).
 
     Alternates two steps until nothing changes: every node tells its larger neighbours, then its
     smaller ones, the smallest node it knows. The number of links never grows, stars stay as they are,
     and long chains take a number of rounds that grows with the logarithm of their length. Each round
-    is written to the shared folder. A node's neighbours are only ever aggregated, so a hub does no harm.
+    is written to the shared folder, or below ``folder``. A node's neighbours are only ever aggregated, so a hub does no harm.
     """
-    edges = kept(_both(links.where("a <> b")).where("a > b").distinct())
+    edges = kept(_both(links.where("a <> b")).where("a > b").distinct(), folder)
     state = _state(edges)
     while state[0]:
-        edges = kept(_small(_large(edges)))
+        edges = kept(_small(_large(edges)), folder)
         after = _state(edges)
         if after == state:
             break

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from sealframe.llm import bytehash
 from sealframe.llm.components import components
 from sealframe.llm.shared import kept, partitions
+from sealframe.session import staging_folder
 
 LOWER = np.arange(256)
 LOWER[0x41:0x5B] += 0x20
@@ -463,24 +464,27 @@ def jaccard_classes(docs: DataFrame, limit: Limit = Limit()) -> DataFrame:
     """
     profile = kept(_profile(docs, limit))
     alive = profile.where("alive")
-    nodes = kept(alive.groupBy("node").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")).alias("first"), F.count(F.lit(1)).alias("rows"))
-        .select("node", F.col("first.key").alias("key"), F.col("first.doc_id").alias("doc_id"), "rows"))
-    sets = kept(_sets(docs, nodes, limit))
-    dense = kept(_dense(sets, limit))
-    own = kept(sets.select("node", "grams").join(dense.select("node", "num", "n"), "node"))
-    members = kept(_regions(dense).join(own.select(F.col("num").alias("x"), F.col("n").alias("size")), "x"))
-    sizes = members.groupBy("pivot").agg(F.sum("size").alias("m"))
-    large = sizes.where(F.col("m") > CELL).select("pivot")
-    stars = kept(_distances(members.join(large, "pivot", "left_semi"), own, limit))
-    near = stars.where("near").select(F.col("x").alias("a"), F.col("pivot").alias("b"))
-    links = kept(_small_links(members.join(large, "pivot", "left_anti"), own, limit).union(near).union(_large_links(stars, own, limit)))
-    roots = components(links).withColumnRenamed("node", "num")
-    named = dense.select("num", "node").join(roots, "num").select("node", "root").distinct().join(nodes.select("node", "doc_id"), "node")
-    least = named.groupBy("root").agg(F.min("doc_id").alias("least"), F.min("node").alias("component"))
-    classes = nodes.join(named.join(least, "root").select("node", "least", "component"), "node", "left").select(
-        "node", F.coalesce("least", "doc_id").alias("class"), F.coalesce("component", "node").alias("component"),
-        (F.col("component").isNotNull() | (F.col("rows") > 1)).alias("linked"))
+    with staging_folder(docs.sparkSession) as staged:
+        nodes = kept(alive.groupBy("node").agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")).alias("first"), F.count(F.lit(1)).alias("rows"))
+            .select("node", F.col("first.key").alias("key"), F.col("first.doc_id").alias("doc_id"), "rows"), staged)
+        sets = kept(_sets(docs, nodes, limit), staged)
+        dense = kept(_dense(sets, limit), staged)
+        own = kept(sets.select("node", "grams").join(dense.select("node", "num", "n"), "node"), staged)
+        members = kept(_regions(dense).join(own.select(F.col("num").alias("x"), F.col("n").alias("size")), "x"), staged)
+        sizes = members.groupBy("pivot").agg(F.sum("size").alias("m"))
+        large = sizes.where(F.col("m") > CELL).select("pivot")
+        stars = kept(_distances(members.join(large, "pivot", "left_semi"), own, limit), staged)
+        near = stars.where("near").select(F.col("x").alias("a"), F.col("pivot").alias("b"))
+        small = _small_links(members.join(large, "pivot", "left_anti"), own, limit)
+        links = kept(small.union(near).union(_large_links(stars, own, limit)), staged)
+        roots = components(links, staged).withColumnRenamed("node", "num")
+        named = dense.select("num", "node").join(roots, "num").select("node", "root").distinct().join(nodes.select("node", "doc_id"), "node")
+        least = named.groupBy("root").agg(F.min("doc_id").alias("least"), F.min("node").alias("component"))
+        # A table of its own: in the last join a node that a third of all rows have can then be split.
+        classes = kept(nodes.join(named.join(least, "root").select("node", "least", "component"), "node", "left").select(
+            "node", F.coalesce("least", "doc_id").alias("class"), F.coalesce("component", "node").alias("component"),
+            (F.col("component").isNotNull() | (F.col("rows") > 1)).alias("linked")))
     return profile.join(classes, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("class", "doc_id").alias("component_id"), "tie",
         F.coalesce("component", "node").alias("component"), F.coalesce("linked", F.lit(False)).alias("linked"))
@@ -494,10 +498,11 @@ def one_per_component(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """
     linked = classes.where("linked")
     rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tie")
-    winners = linked.groupBy("component").agg(F.min(rank).alias("winner"))
+    # Tables of their own, so that the joins can split a component or a row that is there very often.
+    winners = kept(linked.groupBy("component").agg(F.min(rank).alias("winner")))
     marks = linked.join(winners, "component").groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).agg(
         F.min(rank == F.col("winner")).alias("_stays"), (F.count(F.lit(1)) > 1).alias("_again")).where("not _stays or _again")
-    marked = docs.join(marks.hint("merge"), F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_tie")), "left") \
+    marked = docs.join(kept(marks).hint("merge"), F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_tie")), "left") \
         .where(F.coalesce("_stays", F.lit(True)))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     once = marked.where("_again").dropDuplicates(["_id", "_tie"]).select(*columns)

@@ -24,6 +24,7 @@ from sealframe.llm import bytehash
 from sealframe.llm.html_text import shared_lines
 from sealframe.llm.ngram_join import LOWER_BYTES
 from sealframe.llm.shared import kept, partitions
+from sealframe.session import staging_folder
 
 FLUSH = 1_000_000  # seeds that a task gathers before it ships them
 
@@ -346,15 +347,10 @@ def repeated_passages(docs: DataFrame, how: Passage = Passage()) -> DataFrame:
     """
     doc_id, tie = F.col("doc_id").cast("bigint"), F.xxhash64("text")
     rows = docs.select(F.coalesce(doc_id, tie).alias("key"), doc_id.alias("doc_id"), tie.alias("tie"), "text")
-    found = kept(chained(rows, how).withColumn("chain", F.monotonically_increasing_id()))
 
     def side(mine: str, *names: str):
         return F.max(F.when(F.expr(mine), F.struct(*names)))
 
-    pairs = _slices(rows, found, how).groupBy("chain").agg(
-        side("mine", "doc_id", "tie", "first", "start", "end", "straight", "words").alias("a"),
-        side("not mine", "doc_id", "start", "end", "words").alias("b")).where("a is not null and b is not null")
-
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -366,30 +362,39 @@ def repeated_passages(docs: DataFrame, how: Passage = Passage()) -> DataFrame:
                     out.append((doc, tie_, first + start, first + end, to, same))
             yield _batch(out, ALIGNED)
 
-    flat = pairs.select("a.doc_id", "a.tie", "a.first", F.col("a.start").alias("xa"), F.col("a.end").alias("xb"), "a.straight",
-                        F.col("a.words").alias("a_words"), F.col("b.doc_id").alias("to_doc"), F.col("b.start").alias("pa"), F.col("b.words").alias("b_words"))
-    spans = flat.mapInArrow(aligned, ALIGNED)
+    with staging_folder(docs.sparkSession) as staged:
+        found = kept(chained(rows, how).withColumn("chain", F.monotonically_increasing_id()), staged)
+        pairs = _slices(rows, found, how).groupBy("chain").agg(
+            side("mine", "doc_id", "tie", "first", "start", "end", "straight", "words").alias("a"),
+            side("not mine", "doc_id", "start", "end", "words").alias("b")).where("a is not null and b is not null")
+        spans = kept(_flat(pairs).mapInArrow(aligned, ALIGNED))
     # As many spans as a document has chains, which its own length bounds.
     lists = spans.groupBy("doc_id", "tie").agg(F.array_sort(F.collect_set(F.struct("start_word", "end_word", "from_doc", "same_words"))).alias("spans"))
+    return lists.mapInArrow(_merged, MERGED)
 
-    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for doc, tie_, items in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                for x in items:
-                    a, b, to, same = x["start_word"], x["end_word"], x["from_doc"], x["same_words"]
-                    if out and out[-1][:2] == [doc, tie_] and a < out[-1][3]:
-                        last = out[-1]
-                        # What the overlap holds is counted once.
-                        last[6] = min(max(last[3], b) - last[2], last[6] + max(0, same - max(0, min(last[3], b) - a)))
-                        last[3] = max(last[3], b)
-                        last[5] = to if last[5] is None else last[5] if to is None else min(to, last[5])
-                        last[4] = last[3] - last[2]
-                    else:
-                        out.append([doc, tie_, a, b, b - a, to, same])
-            yield _batch([tuple(r) for r in out], MERGED)
-
-    return lists.mapInArrow(merged, MERGED)
+
+def _flat(pairs: DataFrame) -> DataFrame:
+    return pairs.select("a.doc_id", "a.tie", "a.first", F.col("a.start").alias("xa"), F.col("a.end").alias("xb"), "a.straight",
+                        F.col("a.words").alias("a_words"), F.col("b.doc_id").alias("to_doc"), F.col("b.start").alias("pa"), F.col("b.words").alias("b_words"))
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The spans of each document with overlapping ones made one."""
+    for batch in batches:
+        out = []
+        for doc, tie_, items in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for x in items:
+                a, b, to, same = x["start_word"], x["end_word"], x["from_doc"], x["same_words"]
+                if out and out[-1][:2] == [doc, tie_] and a < out[-1][3]:
+                    last = out[-1]
+                    # What the overlap holds is counted once.
+                    last[6] = min(max(last[3], b) - last[2], last[6] + max(0, same - max(0, min(last[3], b) - a)))
+                    last[3] = max(last[3], b)
+                    last[5] = to if last[5] is None else last[5] if to is None else min(to, last[5])
+                    last[4] = last[3] - last[2]
+                else:
+                    out.append([doc, tie_, a, b, b - a, to, same])
+        yield _batch([tuple(r) for r in out], MERGED)
 
 
 def without_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:

@@ -83,7 +83,21 @@ _TOP_K = """
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_classes(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return jaccard_classes(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")
+
+
+_NGRAM_JACCARD = r"""
+    WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    grams AS (SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS x
+              FROM (SELECT r, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM d WHERE len(w) > 0)),
+    sizes AS (SELECT r, count(*) AS n FROM grams GROUP BY r),
+    pairs AS (SELECT a.r AS a, b.r AS b, count(*) AS k FROM grams a JOIN grams b ON a.x = b.x AND a.r < b.r GROUP BY ALL),
+    links AS (SELECT a, b FROM pairs JOIN sizes s ON s.r = a JOIN sizes t ON t.r = b WHERE 100 * k >= 75 * (s.n + t.n - k)),
+    ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reach(r, s) AS (SELECT r, r FROM d UNION SELECT reach.r, ways.b FROM reach JOIN ways ON reach.s = ways.a)
+    SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(e.doc_id) AS component_id
+    FROM d JOIN reach USING (r) JOIN d e ON e.r = reach.s LEFT JOIN sizes ON sizes.r = d.r GROUP BY d.r, d.doc_id"""
 
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
@@ -117,13 +131,15 @@ def _quality_rules_sql() -> str:
     rate, doubt = risk.share / len(names), risk.doubt / tests
     return rf"""
     WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t,
-                      regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents),
+                      regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w FROM documents),
     windows AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS x
                 FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
     twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, x) AS n FROM windows) WHERE n > 1),
     covered AS (SELECT r, count(DISTINCT i + j) AS n FROM twice, (VALUES (0), (1), (2)) AS v(j) GROUP BY r),
     lines AS (SELECT r, count(*) AS n, count(*) - count(DISTINCT line) AS again
-              FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^ 	-]') GROUP BY r),
+              FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^ 	-
+]') GROUP BY r),
     measured AS (SELECT d.r, doc_id, CASE WHEN lang IN ({strata}) THEN lang ELSE 'other' END AS stratum, CAST(len(w) AS BIGINT) AS n_words,
                         CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
                         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
@@ -176,6 +192,7 @@ def oracle_sql() -> dict[str, str]:
     found = {
         "op2_source_mix": _SOURCE_MIX,
         "op4_exact_top_k": _TOP_K,
+        "op5_ngram_jaccard": _NGRAM_JACCARD,
         "op6_url_filters": _URL_FILTERS,
         "op8_quality_rules": _quality_rules_sql(),
     }

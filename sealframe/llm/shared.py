@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 from functools import wraps
 from pathlib import Path
@@ -19,13 +20,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def kept(df: DataFrame) -> DataFrame:
+def kept(df: DataFrame, folder: str | None = None) -> DataFrame:
     """The rows as a table in the cluster's shared folder, which cuts the lineage.
 
-    A lost executor takes no rows with it, and what reads them does not compute them again.
+    A lost executor takes no rows with it, and what reads them does not compute them again. ``folder``
+    is one that is removed later (``staging_folder``), for rows that the result does not need.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/kept"
+    path = f"{folder}/{uuid.uuid4().hex}" if folder else f"{shared_folder(spark)}/kept"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
