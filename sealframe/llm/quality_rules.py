@@ -85,6 +85,9 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
+RULES = ("symbols", "repeats", "lines")
+
+
 def rules() -> dict[str, Column]:
     """The measures that have cutoffs, in thousandths from 0; larger is worse."""
     words, chars = F.greatest(F.col("n_words"), F.lit(1)), F.greatest(F.col("word_chars"), F.lit(1))

@@ -125,10 +125,9 @@ _URL_FILTERS = r"""
 def _quality_rules_sql() -> str:
     """The same measures over unnested words, and exact binomial sums for the cutoffs."""
     risk = rules.Risk()
-    names = list(rules.rules())
-    tests = (len(risk.strata) + 1) * len(names) * len(risk.ladder)
+    tests = (len(risk.strata) + 1) * len(rules.RULES) * len(risk.ladder)
     strata, ladder = ", ".join(f"'{s}'" for s in risk.strata), ", ".join(f"({c})" for c in risk.ladder)
-    rate, doubt = risk.share / len(names), risk.doubt / tests
+    rate, doubt = risk.share / len(rules.RULES), risk.doubt / tests
     return rf"""
     WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t,
                       regexp_extract_all(coalesce(text, ''), '[^ 	-
