@@ -30,11 +30,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     where they are applied, which is cheaper than to write all texts in between.
     """
     risk = quality_rules.Risk()
-    measured = kept(quality_rules.measures(docs.select("doc_id", "text", "lang")).drop("text"))
+    measured = kept(quality_rules.measures(docs, ["doc_id", "lang"]))
     cutoffs = quality_rules.calibrate(quality_rules.labelled_rows(measured, read(spark, sf_dir, "labels")), risk)
     # The row apart, so that no measure takes the place of one of its columns.
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "text", "lang")
-    return quality_rules.verdicts(quality_rules.measures(rows), cutoffs, risk).where("kept").select("_row.*")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text", "lang")
+    return quality_rules.verdicts(quality_rules.measures(rows, ["row", "lang"]), cutoffs, risk).where("kept").select("row.*")
 
 
 @with_package
@@ -52,7 +52,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @with_package
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated to the target shares of their sources, in a global random order."""
-    return mix(docs, WEIGHTS, SEED, copy="_copy", place="_place").drop("_copy", "_place")
+    return mix(docs, WEIGHTS, SEED, copy="__copy", place="__place").drop("__copy", "__place")
 
 
 @with_package

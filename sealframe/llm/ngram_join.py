@@ -500,10 +500,10 @@ def one_per_component(docs: DataFrame, classes: DataFrame) -> DataFrame:
     rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tie")
     # Tables of their own, so that the joins can split a component or a row that is there very often.
     winners = kept(linked.groupBy("component").agg(F.min(rank).alias("winner")))
-    marks = linked.join(winners, "component").groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).agg(
-        F.min(rank == F.col("winner")).alias("_stays"), (F.count(F.lit(1)) > 1).alias("_again")).where("not _stays or _again")
-    marked = docs.join(kept(marks).hint("merge"), F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_tie")), "left") \
-        .where(F.coalesce("_stays", F.lit(True)))
+    marks = linked.join(winners, "component").groupBy(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie")).agg(
+        F.min(rank == F.col("winner")).alias("__stays"), (F.count(F.lit(1)) > 1).alias("__again")).where("not __stays or __again")
+    marked = docs.join(kept(marks).hint("merge"), F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__tie")), "left") \
+        .where(F.coalesce("__stays", F.lit(True)))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    once = marked.where("_again").dropDuplicates(["_id", "_tie"]).select(*columns)
-    return marked.where("_again is null or not _again").select(*columns).union(once)
+    once = marked.where("__again").dropDuplicates(["__id", "__tie"]).select(*columns)
+    return marked.where("__again is null or not __again").select(*columns).union(once)

@@ -401,9 +401,9 @@ def without_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
     """``docs`` (with doc_id, text, n_chars) less the words of their ``passages``, the white space after
     each one included; n_chars is that of the new text. Documents without other words go; those without
     passages stay as they are, null and empty ones too."""
-    spans = passages.groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).agg(
-        F.array_sort(F.collect_list(F.struct("start_word", "end_word"))).alias("_spans"))
-    joined = docs.join(spans.hint("merge"), F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_tie")), "left").drop("_id", "_tie")
+    spans = passages.groupBy(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie")).agg(
+        F.array_sort(F.collect_list(F.struct("start_word", "end_word"))).alias("__spans"))
+    joined = docs.join(spans.hint("merge"), F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__tie")), "left").drop("__id", "__tie")
     schema = docs.schema
     place = docs.columns.index("text")
 
@@ -429,10 +429,10 @@ def without_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
                 keep.append(bool(text.strip(" \t\n\v\f\r")))
             columns = list(batch.columns[:-1])
             columns[place] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(keep)], names=[*batch.schema.names[:-1], "_keep"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(keep)], names=[*batch.schema.names[:-1], "__keep"])
 
-    out = joined.withColumn("_cut", F.col("_spans").isNotNull())
-    out = out.select(*[F.col(f"`{c}`") for c in docs.columns], "_cut", "_spans")
+    out = joined.withColumn("__cut", F.col("__spans").isNotNull())
+    out = out.select(*[F.col(f"`{c}`") for c in docs.columns], "__cut", "__spans")
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    out = out.mapInArrow(cut, f"{types}, _cut boolean, _keep boolean").where("_keep")
-    return out.withColumn("n_chars", F.when(F.col("_cut"), F.length("text").cast("bigint")).otherwise(F.col("n_chars"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    out = out.mapInArrow(cut, f"{types}, __cut boolean, __keep boolean").where("__keep")
+    return out.withColumn("n_chars", F.when(F.col("__cut"), F.length("text").cast("bigint")).otherwise(F.col("n_chars"))).select(*[F.col(f"`{c}`") for c in docs.columns])

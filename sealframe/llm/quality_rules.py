@@ -36,14 +36,19 @@ class Risk:
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def measures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words as longs.
+def measures(docs: DataFrame, keep: list[str] | None = None, text: str = "text") -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all by default) with n_words, word_chars, n_symbols,
+    n_dup_lines, n_repeat_words and _n_lines as numbers.
 
     A null text has none of anything. Columns of these names in ``docs`` are replaced. Repeated
     words are found within the row, by sorting its three-word windows, so nothing is shuffled and a
     very long text costs its length times the logarithm.
     """
-    content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    names = [*MEASURES, "_n_lines"]
+    # The row apart, so that what is computed on the way cannot take the place of its columns.
+    row = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep) if c not in names])
+    docs = docs.select(row.alias("_row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
+    content = F.col("_text")
     split = docs.withColumn("_words", F.filter(F.split(content, f"{SPACES}+"), lambda w: w != ""))
     n = F.size("_words")
     lines = F.filter(F.split(content, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
@@ -76,9 +81,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     })
     # The measures pass through a generator: a condition on one of them would else be moved below
     # them all, and each would be computed again for every element of the next.
-    names = [*MEASURES, "_n_lines"]
-    others = [F.col(f"`{c}`") for c in docs.columns if c not in names]
-    return out.select(*others, F.explode(F.array(F.struct(*names))).alias("_measured")).select(*others, "_measured.*")
+    return out.select("_row", F.explode(F.array(F.struct(*names))).alias("_measured")).select("_row.*", "_measured.*")
 
 
 def base_failed() -> Column:
@@ -161,5 +164,5 @@ def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Contradicting labels of a document count as not good. Null ids match nothing.
     """
-    good = labels.where("quality is not null").groupBy(F.col("doc_id").alias("_id")).agg((F.min("quality") == 1).alias("good"))
-    return docs.join(good, F.col("doc_id") == F.col("_id")).drop("_id")
+    good = labels.where("quality is not null").groupBy(F.col("doc_id").alias("__labelled")).agg((F.min("quality") == 1).alias("good"))
+    return docs.drop("good").join(good, F.col("doc_id") == F.col("__labelled")).drop("__labelled")

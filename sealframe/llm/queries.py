@@ -28,7 +28,7 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     risk = rules.Risk()
-    measured = kept(rules.measures(read(spark, sf_dir, "documents")).drop("text", "source", "n_chars"))
+    measured = kept(rules.measures(read(spark, sf_dir, "documents"), ["doc_id", "lang"]))
     cutoffs = rules.calibrate(rules.labelled_rows(measured, read(spark, sf_dir, "labels")), risk)
     return rules.verdicts(measured, cutoffs, risk).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

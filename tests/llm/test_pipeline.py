@@ -101,10 +101,10 @@ def test_odd_tables_run_through(spark, documents, rows):
 
 def test_extra_columns_stay(spark, documents):
     rows = [(i, " ".join(f"w{i}x{j}" for j in range(60))) for i in range(5)]
-    docs = documents(rows).selectExpr("*", "'a' as n_words", "'b' as copy", "'c' as tie", "'d' as node")
+    docs = documents(rows).selectExpr("*", "'a' as n_words", "'b' as copy", "'c' as tie", "'d' as node", "'e' as _words", "'f' as _id", "'g' as good")
     for name, stage in pipeline.STAGES[:-1]:
         docs = stage(spark, docs, SF_DIR)
-        assert docs.columns == [*COLUMNS, "n_words", "copy", "tie", "node"] and docs.first()["tie"] == "c"
+        assert docs.columns == [*COLUMNS, "n_words", "copy", "tie", "node", "_words", "_id", "good"] and docs.first()["tie"] == "c"
 
 
 def test_queries_are_registered():
