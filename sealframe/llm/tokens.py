@@ -80,7 +80,11 @@ class Encoder:
         begin, count = np.zeros(len(unique), np.int64), np.zeros(len(unique), np.int32)
         if known.any():
             begin[known], count[known] = self.starts[at[known]], self.lengths[at[known]]
+        # Long parts are seldom met again: they come last, and their ids end with this batch's.
         new = np.flatnonzero(~known)
+        long = (stop - start)[first[new]] > LONGEST
+        keep = new[~long]
+        new = np.concatenate([keep, new[long]])
         raw = buffer.tobytes()
         spans = list(zip(start[first[new]].tolist(), stop[first[new]].tolist()))
         fresh, lengths = self.encode([raw[a:b].decode() for a, b in spans])
@@ -99,12 +103,10 @@ class Encoder:
         shift = np.cumsum(sizes) - sizes
         target[place] = self.flat[np.repeat(begin[back] - shift, sizes) + np.arange(int(sizes.sum()))]
 
-        # Long parts are seldom met again: their ids end with this batch's.
-        keep = new[(stop - start)[first[new]] <= LONGEST]
         if len(self.hashes) + len(keep) > REMEMBERED:
             self.forget()
         elif len(keep):
-            self.used += len(fresh)
+            self.used += int(lengths[:len(keep)].sum())
             hashes = np.concatenate([self.hashes, unique[keep]])
             order = np.argsort(hashes, kind="stable")
             self.hashes = hashes[order]

@@ -54,6 +54,16 @@ def test_memory_is_bounded(monkeypatch):
         assert len(own.hashes) <= 50
 
 
+def test_long_parts_are_not_remembered():
+    own = Encoder(public_tokenizers.path(FILES[0]))
+    plain = Tokenizer.from_file(public_tokenizers.path(FILES[0]))
+    for i in range(6):
+        texts = [f"漢字{i}" * 400 + f" short{i} word", f"word x{i}"]
+        ids, offsets = own.ids(pa.array(texts), 2)
+        assert [ids[a:b].tolist()[:-1] for a, b in zip(offsets, offsets[1:])] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert own.used < 100
+
+
 @pytest.mark.parametrize("n,kinds", [(0, 1), (1, 1), (5, 3), (1023, 7), (1024, 7), (1025, 40_000), (300_000, 50_000), (600_000, 1)])
 def test_codec_round_trip_from_every_checkpoint(n, kinds):
     ids = (np.random.default_rng(n).zipf(1.2, n) % kinds).astype("<u4")
