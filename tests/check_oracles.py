@@ -53,6 +53,9 @@ def main() -> None:
     for name, query in contract.queries().items():
         if chosen and name not in chosen:
             continue
+        if name not in oracles:
+            print(f"     {name} has no SQL", flush=True)
+            continue
         start = time.time()
         try:
             problem = compare(spark, sf_dir, name, query, oracles[name])
