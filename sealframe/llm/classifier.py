@@ -166,7 +166,9 @@ def fit(rows: np.ndarray, labels: np.ndarray, how: Fit = Fit()) -> Trees:
         leaf = at - inner
         value = -how.rate * np.bincount(leaf, grad, leaves) / (np.bincount(leaf, hess, leaves) + how.penalty)
         raw = raw + value[leaf]
-        all_features.append(feature), all_cuts.append(cut), all_values.append(value)
+        all_features.append(feature)
+        all_cuts.append(cut)
+        all_values.append(value)
     return Trees(base, np.array(all_features), np.array(all_cuts), np.array(all_values))
 
 

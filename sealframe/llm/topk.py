@@ -40,7 +40,10 @@ class BallTree:
         # A little more than the rounded radius, so that bounds never fall short.
         radius = np.sqrt(((own - center) ** 2).sum(axis=1).max()) * (1 + 1e-9) + 1e-6
         node = len(self.centers)
-        self.centers.append(center), self.radii.append(radius), self.ranges.append((a, b)), self.children.append(None)
+        self.centers.append(center)
+        self.radii.append(radius)
+        self.ranges.append((a, b))
+        self.children.append(None)
         if b - a > LEAF:
             axis = np.argmax(own.max(axis=0) - own.min(axis=0))
             half = (b - a) // 2
