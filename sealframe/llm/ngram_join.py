@@ -461,6 +461,9 @@ def jaccard_classes(docs: DataFrame, limit: Limit = Limit()) -> DataFrame:
     null id take part in links; a component of theirs alone has a null id. Repeated rows stay
     repeated. Also ``tie`` (a hash of the text), ``component`` (the same for all rows of a component,
     whatever their ids) and ``linked``: whether it has any other row.
+
+    ``docs`` must give the same rows in the same order whenever a task reads them again, as a stored
+    table does: batches refer to rows by number.
     """
     profile = kept(_profile(docs, limit))
     alive = profile.where("alive")

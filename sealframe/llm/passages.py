@@ -343,7 +343,8 @@ def repeated_passages(docs: DataFrame, how: Passage = Passage()) -> DataFrame:
     counted from 0), n_words, from_doc (the earliest document that was found to have it) and
     same_words. Overlapping passages are one. Null and short texts have none. Rows with a null id are
     documents of their own, known by a hash of their text. Rows with the same id are one document: their
-    texts are not compared with each other.
+    texts are not compared with each other. ``docs`` must give the same rows in the same order whenever
+    a task reads them again, as a stored table does.
     """
     doc_id, tie = F.col("doc_id").cast("bigint"), F.xxhash64("text")
     rows = docs.select(F.coalesce(doc_id, tie).alias("key"), doc_id.alias("doc_id"), tie.alias("tie"), "text")
