@@ -18,6 +18,8 @@ BLOCK = 1 << 20
 CHECKPOINT = 1 << 18
 LOW = np.uint64(1 << 31)  # a state stays in [2 ** 31, 2 ** 63)
 WORD = np.uint64(32)
+# Symbols below this are counted and looked up in arrays, larger ones by sorting.
+DIRECT = 1 << 22
 
 
 @dataclass
@@ -31,7 +33,12 @@ class Table:
     @classmethod
     def of(cls, ids: np.ndarray) -> Table:
         """From counts; every symbol keeps a frequency of at least 1."""
-        symbols, counts = np.unique(ids, return_counts=True)
+        if len(ids) and ids.max() < DIRECT:
+            counts = np.bincount(ids)
+            symbols = np.flatnonzero(counts)
+            counts = counts[symbols]
+        else:
+            symbols, counts = np.unique(ids, return_counts=True)
         bits = min(max(len(symbols).bit_length() + 3, 12), 28)
         whole = 1 << bits
         freq = np.maximum(1, counts * whole // max(1, int(counts.sum()))).astype(np.int64)
@@ -72,7 +79,12 @@ class Block:
 def encode(ids: np.ndarray, table: Table) -> Block:
     freq = table.frequencies.astype(np.uint64)
     cum = np.cumsum(freq) - freq
-    index = np.searchsorted(table.symbols, ids)
+    if len(table.symbols) and table.symbols[-1] < DIRECT:
+        place = np.zeros(int(table.symbols[-1]) + 1, np.int32)
+        place[table.symbols] = np.arange(len(table.symbols))
+        index = place[ids]
+    else:
+        index = np.searchsorted(table.symbols, ids)
     bits, bound = np.uint64(table.bits), freq << np.uint64(63 - table.bits)
     x = np.full(LANES, LOW, np.uint64)
     steps, every = -(-len(ids) // LANES), CHECKPOINT // LANES

@@ -76,6 +76,12 @@ def test_codec_round_trip_from_every_checkpoint(n, kinds):
         assert (rans.decode(block, table, since) == ids[since * rans.CHECKPOINT:]).all()
 
 
+def test_large_symbols():
+    ids = np.random.default_rng(2).integers(0, 1 << 32, 3000, dtype=np.uint64).astype("<u4")
+    table = rans.Table.unpack(rans.Table.of(ids).pack())
+    assert (rans.decode(rans.encode(ids, table), table) == ids).all()
+
+
 def test_coded_size_is_near_the_entropy():
     ids = np.random.default_rng(1).geometric(0.05, 900_000).astype("<u4")
     p = np.bincount(ids)[np.unique(ids)] / len(ids)
