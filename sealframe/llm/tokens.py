@@ -2,13 +2,15 @@
 
 The tokenizers library splits a text into pieces before it looks for tokens. Where a single space
 stands between two letters, digits or marks from the ranges below, no piece reaches across it, so
-the parts of a text can be encoded on their own and repeated ones only once. The result is that of
-the whole text. Parts are told apart by 64-bit hashes.
+the parts of a text can be encoded on their own and repeated ones only once. A text with the content
+of an added token is one part, as the tokenizer looks for those before it splits. The result is that
+of the whole text. Parts are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from itertools import chain
 
 import numpy as np
@@ -33,8 +35,9 @@ REMEMBERED, LONGEST = 3_000_000, 64
 _encoders: dict[str, Encoder] = {}
 
 
-def parts(buffer: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where the parts of all texts start; a part ends where the next one or its text does."""
+def parts(buffer: np.ndarray, offsets: np.ndarray, uncut: np.ndarray) -> np.ndarray:
+    """Where the parts of all texts start; a part ends where the next one or its text does. The texts
+    with the numbers ``uncut`` are one part each."""
     edge = np.zeros(len(buffer) + 1, bool)
     edge[offsets] = True
     begins = np.zeros(len(buffer), bool)
@@ -45,15 +48,30 @@ def parts(buffer: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     begins[at[before & (PRINTABLE | LATIN_LEAD)[buffer[at + 1]]]] = True
     if len(buffer):
         begins[1:] |= LETTER[buffer[:-1]] & MARK[buffer[1:]]
+    for t in uncut.tolist():
+        begins[offsets[t] + 1:offsets[t + 1]] = False
     return np.flatnonzero(begins)
 
 
+def _added(tokenizer) -> re.Pattern[bytes] | None:
+    """The contents of a tokenizer's added tokens; those that are looked for in the normalized text in
+    any case and also as they are normalized."""
+    found = set()
+    for token in tokenizer.get_added_tokens_decoder().values():
+        if token.normalized and tokenizer.normalizer:
+            found |= {f"(?i:{re.escape(c)})" for c in (token.content, tokenizer.normalizer.normalize_str(token.content)) if c}
+        elif token.content:
+            found.add(re.escape(token.content))
+    return re.compile("|".join(sorted(found)).encode()) if found else None
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.added = _added(self.tokenizer)
         self.forget()
 
     def forget(self) -> None:
@@ -67,10 +85,18 @@ class Encoder:
         lengths = np.fromiter(map(len, found), np.int32, len(found))
         return np.fromiter(chain.from_iterable(found), "<u4", int(lengths.sum())), lengths
 
+    def uncut(self, raw: bytes, offsets: np.ndarray) -> np.ndarray:
+        """The numbers of the texts that may hold an added token."""
+        found = [m.span() for m in self.added.finditer(raw)] if self.added else []
+        # A hit over a text's end is none, but could hide one in either text.
+        ends = np.array([(a, b - 1) for a, b in found], np.int64).ravel()
+        return np.unique(np.searchsorted(offsets, ends, "right") - 1)
+
     def ids(self, column, end: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of an Arrow column of texts, each followed by ``end``, and the texts' offsets in them."""
         buffer, offsets = text_buffer(column)
-        start = parts(buffer, offsets)
+        raw = buffer.tobytes()
+        start = parts(buffer, offsets, self.uncut(raw, offsets))
         owner = np.searchsorted(offsets, start, "right") - 1
         stop = np.minimum(np.append(start[1:], len(buffer)), offsets[owner + 1]) if len(start) else start
         unique, first, back = np.unique(span_hashes(buffer, start, stop), return_index=True, return_inverse=True)
@@ -85,7 +111,6 @@ class Encoder:
         long = (stop - start)[first[new]] > LONGEST
         keep = new[~long]
         new = np.concatenate([keep, new[long]])
-        raw = buffer.tobytes()
         spans = list(zip(start[first[new]].tolist(), stop[first[new]].tolist()))
         fresh, lengths = self.encode([raw[a:b].decode() for a, b in spans])
         begin[new], count[new] = self.used + np.cumsum(lengths) - lengths, lengths

@@ -27,6 +27,19 @@ def test_odd_texts(file):
     assert [x.tolist() for x in document_ids(pa.array(ODD), path, 2)] == want
 
 
+ADDED = ["one <|endoftext|> two", "<|endoftext|>", "a<|startoftext|>b c", "<|endoftext|><|endoftext|> x", "cut <|endof", "text|> here", "<|endoftext|", "one two",
+         "x <|ENDOFTEXT|> y", "漢 <|endoftext|>é  b", "<|startoftext|> a!b <|endoftext|>\n c"]
+
+
+@pytest.mark.parametrize("file", FILES)
+def test_texts_with_added_tokens(file):
+    path = public_tokenizers.path(file)
+    plain = Tokenizer.from_file(path)
+    want = [plain.encode(t, add_special_tokens=False).ids + [2] for t in ADDED]
+    assert [x.tolist() for x in document_ids(pa.array(ADDED), path, 2)] == want
+    assert any(plain.token_to_id("<|endoftext|>") in x for x in want)
+
+
 @pytest.fixture(scope="module")
 def encoders():
     paths = [public_tokenizers.path(f) for f in FILES]
