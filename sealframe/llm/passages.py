@@ -3,7 +3,7 @@
 1. Seeds: the winnowed hashes of a text's runs of ``seed`` words. Every seed that several documents have is
    matched with its first occurrence (smallest document id), so the number of matches is that of the seeds.
 2. Chains: the matches of a document with one earlier document, merged to runs, are chained in
-   order by dynamic programming with gap costs over a Fenwick tree.
+   order by dynamic programming with gap costs, over all runs that end within the gap.
 3. Alignment: the words under each chain, and some on both sides, are aligned; the chain's passage is
    the stretch with the highest score around it.
 
@@ -12,6 +12,8 @@ Of a passage, all occurrences but that in the earliest document are reported.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -109,6 +111,33 @@ class Fenwick:
         return found
 
 
+class Nearest:
+    """The best (score, item) among the runs that end no more than ``gap`` words before a place. They
+    are put in the order of their ends in x."""
+
+    def __init__(self, gap: int):
+        self.gap = gap
+        # By their end in p: runs with falling scores, the best one first.
+        self.at: dict[int, deque[tuple[int, float, int]]] = {}
+
+    def put(self, x: int, p: int, score: float, item: int) -> None:
+        held = self.at.setdefault(p, deque())
+        while held and held[-1][1] <= score:
+            held.pop()
+        held.append((x, score, item))
+
+    def get(self, x: int, ends: list[int]) -> tuple[float, int]:
+        """Of those that end in p at one of ``ends``, for a place at ``x``."""
+        found = (-np.inf, -1)
+        for p in ends:
+            held = self.at.get(p)
+            while held and held[0][0] < x - self.gap:
+                held.popleft()
+            if held and held[0][1] > found[0]:
+                found = held[0][1:]
+        return found
+
+
 def chains(x: np.ndarray, p: np.ndarray, how: Passage) -> list[tuple[int, int, int, int, bool]]:
     """Chains of matches between word ``x`` of one text and word ``p`` of another: their spans in both,
     and whether all matches lie on one diagonal. Highest score first; no match is in two chains."""
@@ -122,20 +151,19 @@ def chains(x: np.ndarray, p: np.ndarray, how: Passage) -> list[tuple[int, int, i
         best = [[0]]
     else:
         ends = sorted({r[3] for r in runs})
-        place = {e: i for i, e in enumerate(ends)}
-        tree, score, before = Fenwick(len(ends)), [0.0] * len(runs), [-1] * len(runs)
+        near = Nearest(how.gap)
+        score, before = [0.0] * len(runs), [-1] * len(runs)
         done = sorted(range(len(runs)), key=lambda i: runs[i][1])
         at = 0
         for i, (xa, xb, pa_, pb) in enumerate(runs):
             while at < len(done) and runs[done[at]][1] <= xa:
                 j = done[at]
-                tree.put(place[runs[j][3]], score[j] + how.gap_cost * (runs[j][1] + runs[j][3]), j)
+                near.put(runs[j][1], runs[j][3], score[j] + how.gap_cost * (runs[j][1] + runs[j][3]), j)
                 at += 1
             score[i] = float(xb - xa)
-            to = int(np.searchsorted(ends, pa_, "right")) - 1
-            value, j = tree.get(to) if to >= 0 else (-np.inf, -1)
+            value, j = near.get(xa, ends[bisect_left(ends, pa_ - how.gap):bisect_right(ends, pa_)])
             value -= how.gap_cost * (xa + pa_)
-            if j >= 0 and value > 0 and xa - runs[j][1] <= how.gap and pa_ - runs[j][3] <= how.gap:
+            if j >= 0 and value > 0:
                 score[i], before[i] = score[i] + value, j
         best, used = [], [False] * len(runs)
         for i in sorted(range(len(runs)), key=lambda i: -score[i]):

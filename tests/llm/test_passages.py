@@ -121,6 +121,46 @@ def test_chains_skip_noise_and_keep_order():
     assert chains(np.array([5]), np.array([9]), how) == []
 
 
+def plain_chains(runs, how):
+    """Scores by trying all predecessors."""
+    score = []
+    for xa, xb, pa_, _ in runs:
+        best = 0.0
+        for j in range(len(score)):
+            gaps = xa - runs[j][1], pa_ - runs[j][3]
+            if min(gaps) >= 0 and max(gaps) <= how.gap:
+                best = max(best, score[j] - how.gap_cost * sum(gaps))
+        score.append(xb - xa + best)
+    return score
+
+
+def test_a_long_passage_does_not_hide_nearer_runs():
+    how = Passage()
+    long = np.arange(0, 200, 6)
+    # Six runs of an edited passage, a word longer each time, 100 words after an exact one of 200.
+    x = np.concatenate([long, 300 + 12 * np.arange(6)])
+    p = np.concatenate([long, 300 + 13 * np.arange(6)])
+    assert sorted(chains(x, p, how)) == [(0, 204, 0, 204, True), (300, 366, 300, 371, False)]
+
+
+def test_nearest_runs_are_those_of_trying_all():
+    how, draw = Passage(), random.Random(5)
+    for _ in range(200):
+        ends = sorted(draw.sample(range(150), 40))
+        runs = sorted((e - draw.randint(1, 5), e, q - 3, q) for e, q in ((e, draw.randint(3, 150)) for e in ends))
+        tree, score = passages.Nearest(how.gap), []
+        done, at = sorted(range(len(runs)), key=lambda i: runs[i][1]), 0
+        for i, (xa, xb, pa_, _) in enumerate(runs):
+            while at < len(done) and runs[done[at]][1] <= xa:
+                j = done[at]
+                tree.put(runs[j][1], runs[j][3], score[j] + how.gap_cost * (runs[j][1] + runs[j][3]), j)
+                at += 1
+            value, j = tree.get(xa, [q for q in range(pa_ - how.gap, pa_ + 1)])
+            value -= how.gap_cost * (xa + pa_)
+            score.append(xb - xa + (value if j >= 0 and value > 0 else 0))
+        assert np.allclose(score, plain_chains(runs, how))
+
+
 def test_alignment_stops_at_the_passage():
     a, b = np.arange(100), np.concatenate([np.arange(500, 520), np.arange(30, 80), np.arange(700, 720)])
     assert align(a, b, (40, 60, 30, 50), True, Passage()) == (30, 80, 50)
