@@ -5,7 +5,8 @@
 2. Chains: the matches of a document with one earlier document, merged to runs, are chained in
    order by dynamic programming with gap costs, over all runs that end within the gap.
 3. Alignment: the words under each chain, and some on both sides, are aligned; the chain's passage is
-   the stretch with the highest score around it.
+   the stretch with the highest score around it, or, where too few of its words agree, every stretch
+   within it that is a passage by itself.
 
 Of a passage, all occurrences but that in the earliest document are reported.
 """
@@ -146,7 +147,11 @@ def chains(x: np.ndarray, p: np.ndarray, how: Passage) -> list[tuple[int, int, i
     # Matches on a diagonal with no more than a gap between them are one run.
     cut = np.flatnonzero((np.diff(p - x) != 0) | (np.diff(x) > how.gap)) + 1
     first, last = np.concatenate([[0], cut]), np.concatenate([cut, [len(x)]]) - 1
-    runs = sorted(zip(x[first].tolist(), (x[last] + how.seed).tolist(), p[first].tolist(), (p[last] + how.seed).tolist()))
+    # Words between two matches of a run, other than those that winnowing leaves, cost what a gap does.
+    gaps = np.concatenate([[0], np.cumsum(np.maximum(0, np.diff(x) - max(how.seed, how.window)))])
+    own = (x[last] + how.seed - x[first] - (1 + 2 * how.gap_cost) * (gaps[last] - gaps[first])).tolist()
+    spans = zip(x[first].tolist(), (x[last] + how.seed).tolist(), p[first].tolist(), (p[last] + how.seed).tolist(), own)
+    runs = sorted(spans)
     if len(runs) == 1:
         best = [[0]]
     else:
@@ -155,12 +160,12 @@ def chains(x: np.ndarray, p: np.ndarray, how: Passage) -> list[tuple[int, int, i
         score, before = [0.0] * len(runs), [-1] * len(runs)
         done = sorted(range(len(runs)), key=lambda i: runs[i][1])
         at = 0
-        for i, (xa, xb, pa_, pb) in enumerate(runs):
+        for i, (xa, _, pa_, _, own) in enumerate(runs):
             while at < len(done) and runs[done[at]][1] <= xa:
                 j = done[at]
                 near.put(runs[j][1], runs[j][3], score[j] + how.gap_cost * (runs[j][1] + runs[j][3]), j)
                 at += 1
-            score[i] = float(xb - xa)
+            score[i] = own
             value, j = near.get(xa, ends[bisect_left(ends, pa_ - how.gap):bisect_right(ends, pa_)])
             value -= how.gap_cost * (xa + pa_)
             if j >= 0 and value > 0:
@@ -305,18 +310,20 @@ def chained(rows: DataFrame, how: Passage) -> DataFrame:
         .groupBy("batch").applyInArrow(chain, CHAINS)
 
 
-def align(a: np.ndarray, b: np.ndarray, at: tuple[int, int, int, int], straight: bool, how: Passage) -> tuple[int, int, int]:
-    """Start and end in ``a`` of the best stretch around the chain ``at`` (its spans in a and b), and
-    how many of its words agree. An equal word scores 1, another one -2 outside the chain."""
-    xa, xb, pa_, _ = at
+def agreement(a: np.ndarray, b: np.ndarray, shift: int, straight: bool) -> np.ndarray:
+    """Which words of ``a`` agree with the words of ``b`` that they are aligned with."""
+    same = np.zeros(len(a), bool)
     if straight:
-        shift = pa_ - xa
         low, high = max(0, -shift), min(len(a), len(b) - shift)
-        same = np.zeros(len(a), bool)
         same[low:high] = a[low:high] == b[low + shift:high + shift]
     else:
-        same = np.zeros(len(a), bool)
         same[[i for i, _ in shared_lines(a, b)]] = True
+    return same
+
+
+def around(same: np.ndarray, xa: int, xb: int) -> tuple[int, int, int]:
+    """Start and end of the best stretch that has the words from ``xa`` to ``xb``, and how many of its
+    words agree. An equal word scores 1, another one -2 outside of these."""
     score = np.where(same, 1, -2)
     left, right = np.cumsum(score[:xa][::-1]), np.cumsum(score[xb:])
     start = xa - (int(left.argmax()) + 1 if len(left) and left.max() > 0 else 0)
@@ -324,6 +331,64 @@ def align(a: np.ndarray, b: np.ndarray, at: tuple[int, int, int, int], straight:
     return start, end, int(same[start:end].sum())
 
 
+def align(a: np.ndarray, b: np.ndarray, at: tuple[int, int, int, int], straight: bool, how: Passage) -> tuple[int, int, int]:
+    """Start and end in ``a`` of the best stretch around the chain ``at`` (its spans in a and b), and
+    how many of its words agree."""
+    return around(agreement(a, b, at[2] - at[0], straight), *at[:2])
+
+
+def pieces(same: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """The stretches of highest score, one after the other, that score ``least`` or more."""
+    todo, found = [(0, len(same))], []
+    while todo:
+        a, b = todo.pop()
+        total = np.concatenate([[0], np.cumsum(np.where(same[a:b], 1, -2))])
+        gain = total - np.minimum.accumulate(total)
+        end = int(gain.argmax())
+        if gain[end] >= least:
+            start = end - int(total[end::-1].argmin())
+            found.append((a + start, a + end))
+            todo += [(a, a + start), (a + end, b)]
+    return sorted(found)
+
+
+def stretches(same: np.ndarray, how: Passage) -> list[tuple[int, int, int]]:
+    """The passages within aligned words: of all stretches from the start of a piece that scores as much
+    as a seed to the end of one, those with enough words and agreement, the best first, and then those
+    on both sides of it."""
+    if same.sum() < how.same * how.words:
+        return []
+    cuts, count = pieces(same, how.seed), np.concatenate([[0], np.cumsum(same)])
+    # The words that agree beyond the least part.
+    level = count - how.same * np.arange(len(count))
+    todo, found = [(0, len(cuts))], []
+    while todo:
+        low, high = todo.pop()
+        best, first, lead = (-np.inf, -1, -1), low, -1
+        for j in range(low, high):
+            while first <= j and cuts[j][1] - cuts[first][0] >= how.words:
+                if lead < 0 or level[cuts[first][0]] < level[cuts[lead][0]]:
+                    lead = first
+                first += 1
+            if lead >= 0:
+                best = max(best, (level[cuts[j][1]] - level[cuts[lead][0]], lead, j))
+        if best[0] >= -1e-9:
+            _, i, j = best
+            start, end = cuts[i][0], cuts[j][1]
+            found.append((start, end, int(count[end] - count[start])))
+            todo += [(low, i), (j + 1, high)]
+    return sorted(found)
+
+
+def passages_of(a: np.ndarray, b: np.ndarray, at: tuple[int, int, int, int], straight: bool, how: Passage) -> list[tuple[int, int, int]]:
+    """The passages in ``a`` under and around the chain ``at``: all of it, or else those within it."""
+    same = agreement(a, b, at[2] - at[0], straight)
+    start, end, n = around(same, *at[:2])
+    if end - start >= how.words and n >= how.same * (end - start):
+        return [(start, end, n)]
+    return stretches(same, how)
+
+
 SLICES = "chain bigint, mine boolean, doc_id bigint, tie bigint, first int, start int, end int, straight boolean, words binary"
 ALIGNED = "doc_id bigint, tie bigint, start_word int, end_word int, from_doc bigint, same_words int"
 MERGED = "doc_id bigint, tie bigint, start_word int, end_word int, n_words int, from_doc bigint, same_words int"
@@ -386,9 +451,7 @@ def repeated_passages(docs: DataFrame, how: Passage = Passage()) -> DataFrame:
             columns = [batch.column(i).to_pylist() for i in range(10)]
             for doc, tie_, first, xa, xb, straight, a, to, pa_, b in zip(*columns):
                 a, b = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
-                start, end, same = align(a, b, (xa, xb, pa_, 0), straight, how)
-                if end - start >= how.words and same >= how.same * (end - start):
-                    out.append((doc, tie_, first + start, first + end, to, same))
+                out += [(doc, tie_, first + start, first + end, to, same) for start, end, same in passages_of(a, b, (xa, xb, pa_, 0), straight, how)]
             yield _batch(out, ALIGNED)
 
     with staging_folder(docs.sparkSession) as staged:

@@ -161,6 +161,29 @@ def test_nearest_runs_are_those_of_trying_all():
         assert np.allclose(score, plain_chains(runs, how))
 
 
+def test_sparse_agreement_does_not_hide_a_passage(documents):
+    draw = random.Random(11)
+    rows, want = [], {}
+    for i in range(30):
+        passage, tails = words(draw, 60), [words(draw, 10) for _ in range(4)]
+        rows += [(i, " ".join(sum([[*words(draw, 20), *t] for t in tails], passage)))]
+        rows += [(100 + i, " ".join(sum([[*words(draw, 20), *t] for t in tails], words(draw, 15) + passage)))]
+        want[100 + i] = range(15, 75)
+    got = spans(repeated_passages(documents(rows)))
+    assert got.keys() == want.keys()
+    for i, covered in want.items():
+        assert any(a <= covered[0] and b > covered[-1] for a, b, _ in got[i])
+
+
+def test_stretches_of_a_span():
+    how = Passage()
+    marks = lambda *runs: np.concatenate([np.full(n, kind) for n, kind in runs])
+    assert passages.stretches(marks((60, True), (200, False), (55, True), (40, False), (49, True)), how) == [(0, 60, 60), (260, 315, 55)]
+    # Two pieces that are a passage only together; a piece that is too short; few equal words.
+    assert passages.stretches(marks((100, False), (40, True), (12, False), (8, True), (90, False), (45, True)), how) == [(100, 160, 48)]
+    assert passages.stretches(np.arange(400) % 2 == 0, how) == [] == passages.stretches(marks((45, True), (60, False)), how)
+
+
 def test_alignment_stops_at_the_passage():
     a, b = np.arange(100), np.concatenate([np.arange(500, 520), np.arange(30, 80), np.arange(700, 720)])
     assert align(a, b, (40, 60, 30, 50), True, Passage()) == (30, 80, 50)
