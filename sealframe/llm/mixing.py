@@ -10,11 +10,17 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Uniform numbers are 13 hex digits of a hash.
 DIGITS = 13
-MAX_RATE = 500.0
+# Up to this rate the distribution is summed from 0, above it around its mean.
+DIRECT = 500.0
+# The highest rate for an output size that the caller names.
+MAX_RATE = 1e6
+# Copies of a row that are made at one place where a source has a high rate.
+BLOCK = 1024
 
 
 def uniform(key: Column) -> Column:
@@ -34,14 +40,25 @@ def thresholds(rate: float) -> list[float]:
     return found
 
 
+def steps_around(rate: float) -> tuple[int, list[float]]:
+    """A number k and P(at most k), P(at most k + 1), ... for a rate above ``DIRECT``, over twelve standard
+    deviations and more on both sides of the mean; what lies beyond is below any uniform number's step."""
+    mode = int(rate)
+    width = min(mode, int(12 * math.sqrt(rate)) + 50)
+    up = np.cumprod(rate / np.arange(mode + 1, mode + width + 1))
+    down = np.cumprod((mode - np.arange(width)) / rate)
+    total = np.cumsum(np.concatenate([down[::-1], [1.0], up]))
+    return mode - width, (total / total[-1]).tolist()
+
+
 def rates(docs: DataFrame, weights: dict[str, float], size: Column, total: float | None = None) -> dict[str | None, float]:
     """Mean repetitions per source: target share of the output over the size that the source has.
 
     ``weights`` name the target shares of some sources; what they leave of 1 goes to all the other
     rows together (key None), null sources too. ``total`` is the wanted output in units of ``size``,
     by default that of the input. Sizes are summed map-side; one row per named source and one for the
-    rest come to the driver. A share whose rows have no size cannot be met and is left out. Shares
-    that need a rate above ``MAX_RATE`` raise.
+    rest come to the driver. A share whose rows have no size cannot be met and is left out. Any rate
+    is met for the input's own size; a ``total`` for which a rate is above ``MAX_RATE`` raises.
     """
     if any(w < 0 for w in weights.values()) or sum(weights.values()) > 1 + 1e-9:
         raise ValueError("weights are shares of 1")
@@ -50,7 +67,7 @@ def rates(docs: DataFrame, weights: dict[str, float], size: Column, total: float
     whole = sum(sizes.values()) if total is None else total
     share = {**weights, None: max(0.0, 1 - sum(weights.values()))}
     found = {s: share[s] * whole / n if n > 0 else 0.0 for s, n in sizes.items()}
-    if any(r > MAX_RATE for r in found.values()):
+    if total is not None and any(r > MAX_RATE for r in found.values()):
         raise ValueError(f"a source would have to be repeated more than {MAX_RATE:g} times")
     return found
 
@@ -64,10 +81,18 @@ def copies(rate: dict[str | None, float], seed: int, weights: dict[str, float])
     # A null id takes the text's hash, so that such documents do not all draw the same number.
     name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("t"), F.md5(F.coalesce("text", F.lit("")))))
     u = uniform(F.concat(F.lit(f"{seed}:"), name))
-    steps = F.lit(None).cast("array<double>")
+    steps, before = F.lit(None).cast("array<double>"), F.lit(0)
     for source, r in rate.items():
-        steps = F.when(_group(weights).eqNullSafe(F.lit(source)), F.array(*map(F.lit, thresholds(r)))).otherwise(steps)
-    return F.size(F.filter(steps, lambda p: p <= u))
+        mine = _group(weights).eqNullSafe(F.lit(source))
+        if r > DIRECT:
+            first, some = steps_around(r)
+            # One literal, however many numbers it has.
+            numbers = F.split(F.lit(",".join(map(repr, some))), ",").cast("array<double>")
+            before = F.when(mine, F.lit(first)).otherwise(before)
+        else:
+            numbers = F.array(*map(F.lit, thresholds(r)))
+        steps = F.when(mine, numbers).otherwise(steps)
+    return before + F.size(F.filter(steps, lambda p: p <= u))
 
 
 def mix(docs: DataFrame, weights: dict[str, float], seed: int = 17, total: float | None = None, copy: str = "copy", place: str = "place") -> DataFrame:
@@ -83,7 +108,22 @@ def mix(docs: DataFrame, weights: dict[str, float], seed: int = 17, total: float
     rate = rates(docs, weights, size, total)
     # The input has no row where no source has a rate.
     times = copies(rate, seed, weights) if rate else F.lit(0)
-    taken = docs.withColumn(copy, times).where(F.col(copy) > 0).withColumn(copy, F.explode(F.sequence(F.lit(0), F.col(copy) - 1)))
     name = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))
+
+    def repeated(rows: DataFrame) -> DataFrame:
+        return rows.withColumn(copy, times).where(F.col(copy) > 0)
+
+    one = F.explode(F.sequence(F.lit(0), F.col(copy) - 1))
+    high = [s for s, r in rate.items() if r > DIRECT]
+    if high:
+        # Few rows make many copies: their blocks are dealt out before the copies are made.
+        is_high = F.lit(False)
+        for s in high:
+            is_high = is_high | _group(weights).eqNullSafe(F.lit(s))
+        blocks = repeated(docs.where(is_high)).withColumn(place, F.explode(F.sequence(F.lit(0), F.col(copy) - 1, F.lit(BLOCK)))).repartition(F.col(place), name)
+        many = blocks.withColumn(copy, F.explode(F.sequence(F.col(place), F.least(F.col(place) + BLOCK, F.col(copy)) - 1))).drop(place)
+        taken = repeated(docs.where(~is_high)).withColumn(copy, one).unionByName(many)
+    else:
+        taken = repeated(docs).withColumn(copy, one)
     key = F.concat_ws(":", F.lit(f"{seed}s"), name, F.col(copy).cast("string"))
     return taken.withColumn(place, uniform(key)).repartition(place).sortWithinPartitions(place)

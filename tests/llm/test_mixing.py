@@ -2,10 +2,11 @@ import hashlib
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sealframe.llm.mixing import mix, rates, thresholds
+from sealframe.llm.mixing import mix, rates, steps_around, thresholds
 
 WEIGHTS = {"a": 0.5, "b": 0.1}
 
@@ -76,3 +77,21 @@ def test_thresholds_reach_one():
     for rate in (0.0, 1e-9, 0.3, 5.0, 80.0, 500.0):
         found = thresholds(rate)
         assert found == sorted(found) and found[-1] >= 1 - 1e-9
+
+
+def test_a_tiny_source_is_repeated_often(documents):
+    tiny = [(1, "", "en", "a"), (2, "é", "en", "a"), (3, "x" * 30_000, "en", "z"), (4, None, "en", None)]
+    out = mix(documents(tiny), {"a": 0.5}, 3)
+    assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == plain(tiny, {"a": 0.5}, 3)
+    copies = sorted(r["copy"] for r in out.where("doc_id = 2").collect())
+    assert copies == list(range(len(copies))) and 4500 < len(copies) < 5500
+    assert out.columns == mix(documents(rows()), WEIGHTS, 3).columns
+
+
+def test_sums_around_the_mean():
+    first, found = steps_around(501.0)
+    assert np.allclose(found[:200], (thresholds(501.0) + [1.0] * 400)[first:first + 200], atol=1e-12)
+    for rate in (501.0, 30_000.5, 1e7):
+        first, found = steps_around(rate)
+        assert found == sorted(found) and found[0] < 1e-16 and found[-1] == 1.0
+        assert abs(first + sum(p <= 0.5 for p in found) - rate) < 2
