@@ -6,19 +6,21 @@ from collections.abc import Callable
 
 import corpus_pipeline
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sealframe.llm import quality_rules as rules
 from sealframe.llm.classifier import measured, scored, trained
 from sealframe.llm.html_text import main_text
 from sealframe.llm.id_files import read_ids, write_ids
 from sealframe.llm.mixing import mix
+from sealframe.llm.negatives import hard_negatives
 from sealframe.llm.ngram_join import jaccard_classes
 from sealframe.llm.packing import pack_documents
 from sealframe.llm.passages import repeated_passages
 from sealframe.llm.shared import kept, read, with_package
 from sealframe.llm.topk import top_k
 from sealframe.llm.url_filter import filter_urls, rule_table
+from sealframe.llm.warc import read_pages, write_pages
 from sealframe.session import shared_folder
 
 
@@ -170,6 +172,44 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(read(spark, sf_dir, "pages"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(read(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0, label)
+
+
+_HARD_NEGATIVES = """
+    WITH p AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+               FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.r AS a, a.vec_id AS anchor_id, c.r, c.vec_id, a.label = c.label AS same,
+                 CAST(coalesce(list_sum(list_transform(list_zip(a.v, c.v), lambda x: x[1] * x[2])), 0) AS BIGINT) AS score
+          FROM p a JOIN p c ON a.vec_id % 100 = 0 AND a.r <> c.r AND len(a.v) = len(c.v)),
+    positives AS (SELECT a, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id, r) AS slot
+                  FROM s WHERE same QUALIFY slot <= 5)
+    SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.a, slot ORDER BY score DESC, vec_id, r) AS INTEGER) AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives p JOIN s ON p.a = s.a AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY rank <= 10"""
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/archive"
+    write_pages(read(spark, sf_dir, "pages"), path)
+    return read_pages(spark, path)
+
+
+_WARC = """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS x FROM pages),
+    digits AS (SELECT *, CAST(strlen(payload) AS BIGINT) AS payload_bytes, list_transform(range(32), lambda i:
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(x, 1 + 10 * CAST(i // 8 AS INTEGER), 10) AS BIGINT)
+                          >> CAST(35 - 5 * (i % 8) AS INTEGER)) & 31 AS INTEGER), 1)) AS b FROM p),
+    ranked AS (SELECT *, row_number() OVER w AS k, first_value(page_id) OVER w AS first_id FROM digits
+               WINDOW w AS (PARTITION BY payload ORDER BY page_id NULLS LAST))
+    SELECT page_id, payload_bytes, array_to_string(b, '') AS payload_digest, CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN k > 1 THEN first_id END AS refers_to FROM ranked"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "op1_token_ids": op1_token_ids,
@@ -182,6 +222,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_html_text": op10_html_text,
+        "op11_hard_negatives": op11_hard_negatives,
+        "op13_warc": op13_warc,
         "pipeline": corpus_pipeline.run,
     }
     return {name: with_package(query) for name, query in found.items()}
@@ -194,5 +236,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_ngram_jaccard": _NGRAM_JACCARD,
         "op6_url_filters": _URL_FILTERS,
         "op8_quality_rules": _quality_rules_sql(),
+        "op11_hard_negatives": _HARD_NEGATIVES,
+        "op13_warc": _WARC,
     }
     return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -1,0 +1,187 @@
+import base64
+import gzip
+import hashlib
+import io
+
+import pytest
+
+from sealframe.llm import warc
+from sealframe.llm.shared import shared_folder
+from sealframe.llm.warc import Condition, WarcReader, base32, header_fields, member, read_pages, read_warc, records, write_pages
+
+LONG = "<p>" + "äöü lange Seite " * 200_000
+ROWS = [
+    (3, "http://a.example/x", "same"), (1, "http://a.example/y", "same"), (2, None, "same"), (None, "http://n.example/", "same"),
+    (4, "http://a.example/ü\r\nEvil: 1", "other"), (5, "u", None), (6, "u", ""), (7, "u", "WARC/1.1\r\n\r\n"), (8, "u", LONG), (9, "u", LONG),
+    (10, "u", "twice"), (10, "u", "twice"), (None, "u", "nobody"), (None, "u", "nobody"), (11, "u", "\0 \x1f\x8b\x08"),
+]
+
+
+def plain(rows, least=0):
+    """Every row in order of its id, nulls last; the first of a payload is the response."""
+    first, out = {}, []
+    for page_id, _, html in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        payload = (html or "").encode()
+        again = len(payload) >= least and payload in first
+        digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        out.append((page_id, len(payload), digest, "revisit" if again else "response", first[payload] if again else None))
+        first.setdefault(payload, page_id)
+    return sorted(out, key=str)
+
+
+def archive(spark, rows, **more):
+    path = f"{shared_folder(spark)}/archive"
+    frame = spark.createDataFrame([(*r, "clash", 1) for r in rows], "page_id bigint, url string, html string, payload string, digest int").repartition(3)
+    frame.write.parquet(path + "-pages")
+    write_pages(spark.read.parquet(path + "-pages"), path, **more)
+    return path
+
+
+@pytest.mark.parametrize("least,hot", [(0, 0.001), (0, 0.9), (5, 0.001), (1, 0.2)])
+def test_pages(spark, monkeypatch, least, hot):
+    """Groups found by broadcast and by the join are the same."""
+    monkeypatch.setattr(warc, "HOT", hot)
+    assert sorted(map(tuple, read_pages(spark, archive(spark, ROWS, least=least)).collect()), key=str) == plain(ROWS, least)
+
+
+def test_no_pages(spark):
+    assert read_pages(spark, archive(spark, [])).collect() == []
+
+
+def test_payloads_and_headers_survive(spark):
+    path = archive(spark, ROWS, date="2024-05-06T07:08:09Z")
+    found = read_warc(spark, path, ["record_id", "type", "payload", "payload_bytes", "target_uri", "date", "headers"]).collect()
+    assert len(found) == len(ROWS) and {r["date"] for r in found} == {"2024-05-06T07:08:09Z"}
+    kept = {r["payload"].decode() for r in found if r["type"] == "response"}
+    assert kept == {h or "" for _, _, h in ROWS}
+    assert all(not r["payload"] and r["payload_bytes"] is not None for r in found if r["type"] == "revisit")
+    assert {r["target_uri"] for r in found} == {"http://a.example/x", "http://a.example/y", None, "http://n.example/", "http://a.example/ü%0D%0AEvil:%201", "u"}
+    assert not any("evil" in r["headers"] for r in found)
+
+
+def test_other_readers_can_read_it(spark):
+    path = archive(spark, ROWS)
+    system, root = warc.store(path)
+    text = b"".join(gzip.decompress(open(name, "rb").read()) for name, _ in warc.listed(system, root))
+    assert text.count(b"WARC/1.1\r\nWARC-Type: ") == len(ROWS)
+
+
+def test_conditions_reach_the_scan(spark):
+    path = archive(spark, ROWS)
+    found = read_warc(spark, path, ["type", "target_uri", "refers_to", "payload"]).where("type = 'response' AND target_uri LIKE 'http://a%' AND refers_to IS NULL")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Filter " not in plan and "Filter(" not in plan
+    assert sorted(bytes(r["payload"]) for r in found.collect()) == [b"other", b"same"]
+    either = read_warc(spark, path, ["type", "target_uri"]).where("type IN ('revisit', 'metadata')")
+    assert either.count() == sum(r[3] == "revisit" for r in plain(ROWS))
+    # What is not understood is left to Spark.
+    assert read_warc(spark, path, ["type"]).where("length(type) = 7").count() == either.count()
+
+
+def warcinfo(payload=b"x" * 50):
+    """Records as other programs write them: a folded field, an HTTP head, one that is no HTTP."""
+    http = b"HTTP/1.0 200 OK\r\nServer: s\r\n\r\n" + payload
+    return [
+        b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Type: application/warc-fields\r\nContent-Length: 6\r\n\r\na: b\r\n\r\n\r\n",
+        b"WARC/1.0\r\nwarc-type: response\r\nWARC-Target-URI: http://x/\r\n long\r\nContent-Type: Application/HTTP; msgtype=response\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(http), http),
+        b"WARC/1.0\r\nWARC-Type: resource\r\nContent-Type: text/plain\r\nContent-Length: 0\r\n\r\n\r\n\r\n",
+    ]
+
+
+FORMS = {
+    "plain": lambda parts: b"".join(parts),
+    "member per record": lambda parts: b"".join(gzip.compress(p) for p in parts),
+    "stated sizes": lambda parts: b"".join(member(p, 6) for p in parts),
+    "one member": lambda parts: gzip.compress(b"".join(parts)),
+    "sizes of two records": lambda parts: member(b"".join(parts[:2]), 6) + b"\0\0\0" + member(parts[2], 1),
+}
+
+
+@pytest.mark.parametrize("form", FORMS)
+@pytest.mark.parametrize("chunk", [1, 7, 1 << 18])
+def test_forms(monkeypatch, form, chunk):
+    monkeypatch.setattr(warc, "CHUNK", chunk)
+    file = io.BytesIO(FORMS[form](warcinfo()))
+    rows = list(records(file, [], ["type", "payload", "http_headers", "target_uri"]))
+    assert [r["type"] for r in rows] == ["warcinfo", "response", "resource"]
+    assert [r["payload"] for r in rows] == [b"a: b\r\n", b"x" * 50, b""]
+    assert rows[1]["http_headers"] == {"server": "s"} and rows[1]["target_uri"] == "http://x/ long"
+    for wanted in ("warcinfo", "response", "resource"):
+        file.seek(0)
+        assert [r["type"] for r in records(file, [Condition("type", values=(wanted,))], ["type"])] == [wanted]
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_unwanted_payloads_are_not_read(form):
+    """Blocks of other records are passed over, and of wanted ones where no column asks for them."""
+    parts = [*warcinfo(b"y" * 3_000_000), *warcinfo(b"z" * 100)]
+    counted = {}
+    rows = list(records(io.BytesIO(FORMS["plain" if form == "sizes of two records" else form](parts)), [Condition("type", values=("response",))], ["record_id", "payload_bytes"], counted))
+    assert [r["payload_bytes"] for r in rows] == [3_000_000, 100] and counted == {"records": 6, "read": 60}
+
+
+def test_stated_sizes_are_skipped_unseen():
+    """What a member holds after the header of an unwanted record is not even inflated."""
+    good, broken = member(warcinfo()[2], 6), bytearray(member(warcinfo(bytes(range(256)) * 9000)[1], 0))
+    broken[1_000_000] ^= 1
+    file = io.BytesIO(bytes(broken) + good)
+    assert [r["type"] for r in records(file, [Condition("type", values=("resource",))], ["type"])] == ["resource"]
+    file.seek(0)
+    with pytest.raises(Exception, match="incorrect data check"):
+        list(records(file, [], ["payload"]))
+
+
+@pytest.mark.parametrize("content,error", [(b"no archive at all" * 10, ValueError), (warcinfo()[1][:-20], EOFError), (warcinfo()[1][:30], EOFError), (gzip.compress(warcinfo()[1])[:-9], EOFError)])
+def test_broken_files(content, error):
+    with pytest.raises(error):
+        list(records(io.BytesIO(content), [], ["payload"]))
+
+
+def test_header_fields():
+    assert header_fields(b"WARC/1.1\r\nA: 1:2\r\n\tx\r\nB:\r\nnothing") == {"a": "1:2 x", "b": ""}
+
+
+def test_changed_payload_is_noticed(spark):
+    path = archive(spark, [(1, "u", "text"), (2, "u", "more")])
+    system, root = warc.store(path)
+    name = warc.listed(system, root)[0][0]
+    records_ = gzip.decompress(open(name, "rb").read())
+    with open(name, "wb") as file:
+        file.write(member(records_.replace(b"text\r\n", b"tEXt\r\n").replace(b"more\r\n", b"mOre\r\n"), 6))
+    with pytest.raises(Exception, match="does not match"):
+        read_pages(spark, path).collect()
+
+
+def test_only_what_was_committed_counts(spark):
+    path = archive(spark, ROWS)
+    system, root = warc.store(path)
+    before = warc.listed(system, root)
+    with open(f"{root}/part-of-a-lost-task.warc.gz", "wb") as file:
+        file.write(b"half a rec")
+    assert warc.listed(system, root) == before
+    rows = read_warc(spark, path, ["type", "record_id", "target_uri", "refers_to", "payload_digest", "payload_bytes", "payload"])
+    rows.write.format(warc.FORMAT).mode("append").save(path)
+    assert read_warc(spark, path, ["type"]).count() == 2 * len(ROWS)
+    kept = rows.where("type = 'revisit'").persist()
+    n = kept.count()
+    kept.write.format(warc.FORMAT).mode("overwrite").save(path)
+    assert read_warc(spark, path, ["type"]).count() == n
+
+
+def test_files_are_packed_and_rolled(spark):
+    path = f"{shared_folder(spark)}/archive"
+    spark.dataSource.register(warc.WarcSource)
+    rows = spark.range(100).selectExpr("'response' type", "'<urn:page:1:1>' record_id", "'u' target_uri", "cast(null as string) refers_to", "'sha1:' payload_digest",
+                                       "4L payload_bytes", "cast('text' as binary) payload").coalesce(1)
+    rows.write.format(warc.FORMAT).option("rollBytes", 2000).mode("overwrite").save(path)
+    system, root = warc.store(path)
+    sizes = [n for _, n in warc.listed(system, root)]
+    assert len(sizes) > 5 and max(sizes) < 3000
+    parts = WarcReader(None, {"path": path, "partitionBytes": 5000}).partitions()
+    assert sorted(n for p in parts for n in p.names) == sorted(n for n, _ in warc.listed(system, root)) and len(parts) < len(sizes)
+
+
+def test_base32(spark):
+    texts = [b"", b"a", bytes(range(256))]
+    frame = spark.createDataFrame([(hashlib.sha1(t).hexdigest(),) for t in texts], "h string")
+    assert [r[0] for r in frame.select(base32(frame.h)).collect()] == [base64.b32encode(hashlib.sha1(t).digest()).decode() for t in texts]
