@@ -176,13 +176,13 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 def _tiles(candidates: DataFrame, anchors: DataFrame, rules: Mining) -> DataFrame:
     """The heaps of every pair of tiles. Where anchors have no ``scores`` yet, their best rows of the same label (slot 0); else
     the best rows of other labels in the window of each score (slots from 1)."""
-    keys = ["size", "tile", "block"]
+    keys, strip = ["size", "tile", "block"], STRIP
 
     def matrix(table: pa.Table, name: str, size: int) -> np.ndarray:
         return table.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, size)
 
     def group(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        out = [x for x in _heaps(left, right, key[0].as_py(), matrix, rules)] if left.num_rows and right.num_rows else []
+        out = [x for x in _heaps(left, right, key[0].as_py(), matrix, rules, strip)] if left.num_rows and right.num_rows else []
         columns = list(zip(*out)) if out else [[]] * 5
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         return pa.table([pa.array(list(c), t) for c, t in zip(columns, kinds)], names=["anchor", "slot", "score", "vec_id", "row"])
@@ -192,7 +192,7 @@ def _tiles(candidates: DataFrame, anchors: DataFrame, rules: Mining) -> DataFram
     return candidates.groupBy(*keys).cogroup(right.groupBy(*[f"a_{c}" for c in keys])).applyInArrow(group, FOUND)
 
 
-def _heaps(left: pa.Table, right: pa.Table, size: int, matrix: Callable, rules: Mining) -> Iterator[tuple[int, int, int, int, int]]:
+def _heaps(left: pa.Table, right: pa.Table, size: int, matrix: Callable, rules: Mining, strip: int) -> Iterator[tuple[int, int, int, int, int]]:
     labels, ids, rows = (left.column(c).to_numpy() for c in ("label", "vec_id", "row"))
     own, anchor = right.column("a_label").to_numpy(), right.column("a_row").to_numpy()
     points, queries = integers(matrix(left, "v", size), rules.scale), integers(matrix(right, "a_v", size), rules.scale)
@@ -202,14 +202,14 @@ def _heaps(left: pa.Table, right: pa.Table, size: int, matrix: Callable, rules:
         heaps = Heaps(len(own), rules.positives)
         for label in np.unique(own):
             other = np.flatnonzero(labels == label)
-            for mine, scores in _strips(queries, np.flatnonzero(own == label), points[other]):
+            for mine, scores in _strips(queries, np.flatnonzero(own == label), points[other], strip):
                 for a, line in zip(mine, scores):
                     real = rows[other] != anchor[a]
                     heaps.push(a, line[real], ids[other][real], rows[other][real])
         for a, best in enumerate(heaps.kept):
             yield from ((int(anchor[a]), 0, *x) for x in best.tolist())
         return
-    for mine, scores in _strips(queries, np.arange(len(own)), points):
+    for mine, scores in _strips(queries, np.arange(len(own)), points, strip):
         for a, line in zip(mine, scores):
             heaps, different = Heaps(len(known[a]), rules.negatives), labels != own[a]
             for slot, positive in enumerate(known[a]):
@@ -221,7 +221,7 @@ def _heaps(left: pa.Table, right: pa.Table, size: int, matrix: Callable, rules:
                 yield from ((int(anchor[a]), slot + 1, *x) for x in best.tolist())
 
 
-def _strips(queries: np.ndarray, which: np.ndarray, points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _strips(queries: np.ndarray, which: np.ndarray, points: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The products of some queries at a time with all points."""
-    for i in range(0, len(which) if len(points) else 0, STRIP):
-        yield which[i:i + STRIP], product(queries[which[i:i + STRIP]], points)
+    for i in range(0, len(which) if len(points) else 0, size):
+        yield which[i:i + size], product(queries[which[i:i + size]], points)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sealframe.llm import quality_rules as rules
 from sealframe.llm.classifier import measured, scored, trained
+from sealframe.llm.collocations import collocations
 from sealframe.llm.html_text import main_text
 from sealframe.llm.id_files import read_ids, write_ids
 from sealframe.llm.mixing import mix
@@ -193,6 +194,32 @@ _HARD_NEGATIVES = """
     QUALIFY rank <= 10"""
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read(spark, sf_dir, "documents"))
+
+
+_COLLOCATIONS = r"""
+    WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+    pieces AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w
+               FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?
+-
+]')) AS piece FROM d)),
+    counts AS (SELECT lang, w[i:i + k - 1] AS g, k, count(*) AS f
+               FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, range(1, 6) AS s(k) WHERE len(w) >= k) GROUP BY ALL),
+    totals AS (SELECT lang, sum(f) AS n FROM counts WHERE k = 1 GROUP BY lang),
+    often AS (SELECT * FROM counts WHERE f >= 100),
+    within AS (SELECT lang, g[i:j] AS g, max(f) AS f FROM (SELECT lang, g, k, f, i, unnest(range(i + 1, k + 1)) AS j FROM (
+                   SELECT lang, g, k, f, unnest(range(1, k)) AS i FROM often WHERE k > 2)) WHERE j - i + 1 < k GROUP BY ALL),
+    kept AS (SELECT o.* FROM often o LEFT JOIN within w ON w.lang = o.lang AND w.g = o.g WHERE k > 1 AND 100 * coalesce(w.f, 0) < 100 * o.f),
+    cuts AS (SELECT lang, g, k, f, unnest(range(1, k)) AS c FROM kept),
+    scored AS (SELECT x.lang, array_to_string(x.g, ' ') AS phrase, x.f AS a, p.f AS l, q.f AS r, n, c,
+                      CAST(1000 * CAST(x.f AS HUGEINT) * n // (CAST(p.f AS HUGEINT) * q.f) AS BIGINT) AS score
+               FROM cuts x JOIN often p ON p.lang = x.lang AND p.g = x.g[1:c] JOIN often q ON q.lang = x.lang AND q.g = x.g[c + 1:] JOIN totals t ON t.lang = x.lang),
+    lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+    FROM lowest QUALIFY rank <= 2000"""
+
+
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/archive"
     write_pages(read(spark, sf_dir, "pages"), path)
@@ -223,6 +250,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality_classifier": op9_quality_classifier,
         "op10_html_text": op10_html_text,
         "op11_hard_negatives": op11_hard_negatives,
+        "op12_collocations": op12_collocations,
         "op13_warc": op13_warc,
         "pipeline": corpus_pipeline.run,
     }
@@ -237,6 +265,7 @@ def oracle_sql() -> dict[str, str]:
         "op6_url_filters": _URL_FILTERS,
         "op8_quality_rules": _quality_rules_sql(),
         "op11_hard_negatives": _HARD_NEGATIVES,
+        "op12_collocations": _COLLOCATIONS,
         "op13_warc": _WARC,
     }
     return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
