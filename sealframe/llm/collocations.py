@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
@@ -49,12 +50,13 @@ class Rules:
 
 
 # A batch of one language: its words, the number of every word in text order, how many words the piece has from
-# there on (``longest`` at most), and whether the phrase that was last looked at there may be frequent. Or a count.
-BATCH = "key bigint, lang string, dictionary array<string>, ids binary, room binary, live binary, words array<string>, n bigint"
+# there on (``longest`` at most), and whether the phrase that was last looked at there may be frequent. Or phrases of a
+# batch, their words parted by spaces, with their counts: those of one bucket.
+BATCH = "key bigint, lang string, dictionary array<string>, ids binary, room binary, live binary, bucket int, phrases array<string>, counts array<bigint>"
 ENTRIES = "bucket int, key bigint, hashes binary, counts binary"
 ANSWERS = "key bigint, bucket int, bits binary"
 KINDS = pa.schema([("key", pa.int64()), ("lang", pa.string()), ("dictionary", pa.list_(pa.string())), ("ids", pa.binary()), ("room", pa.binary()),
-                   ("live", pa.binary()), ("words", pa.list_(pa.string())), ("n", pa.int64())])
+                   ("live", pa.binary()), ("bucket", pa.int32()), ("phrases", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
 
 
 @dataclass
@@ -71,7 +73,7 @@ class Batch:
         return cls(row["key"], row["lang"], row["dictionary"], *(np.frombuffer(row[c], t) for c, t in (("ids", "<i4"), ("room", "u1"), ("live", "u1"))))
 
     def row(self) -> pa.RecordBatch:
-        full = [[self.key], [self.lang], None, [self.ids.astype("<i4").tobytes()], [self.room.tobytes()], [self.live.astype("u1").tobytes()], [None], [None]]
+        full = [[self.key], [self.lang], None, [self.ids.astype("<i4").tobytes()], [self.room.tobytes()], [self.live.astype("u1").tobytes()], [None], [None], [None]]
         arrays = [None if c is None else pa.array(c, f.type) for c, f in zip(full, KINDS)]
         arrays[2] = pa.ListArray.from_arrays(pa.array([0, len(self.dictionary)], pa.int32()), self.dictionary)
         return pa.RecordBatch.from_arrays(arrays, schema=KINDS)
@@ -97,16 +99,21 @@ class Batch:
             found.append(h)
         return places, found
 
-    def counts(self, size: int, at: np.ndarray) -> pa.RecordBatch:
-        """The words and the number of times of each phrase that starts at these places; told apart by its words."""
+    def counts(self, size: int, at: np.ndarray, hashes: np.ndarray, buckets: int) -> pa.RecordBatch:
+        """How often each phrase starts at these places, by the buckets of their hashes; told apart by its words."""
         key = self.ids[at].astype(np.int64)
         for j in range(1, size):
             if j > 1:
                 key = np.unique(key, return_inverse=True)[1]
             key = key * len(self.dictionary) + self.ids[at + j]
         _, first, n = np.unique(key, return_index=True, return_counts=True)
+        order = np.argsort(hashes[first], kind="stable")
+        first, n = first[order], n[order]
         words = self.dictionary.take(pa.array(self.ids[at[first][:, None] + np.arange(size)].ravel()))
-        return counted(self.lang, pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * size, pa.int32()), words), n)
+        phrases = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * size, pa.int32()), words), " ")
+        cuts = _edges(hashes[first], buckets)
+        full = np.flatnonzero(np.diff(cuts))
+        return counted(self.lang, full, np.append(cuts[full], len(n)), phrases, n)
 
     def narrowed(self, size: int, live: np.ndarray) -> Batch:
         """Only words of phrases of ``size`` words that start at a live place."""
@@ -129,10 +136,10 @@ def _room(last: np.ndarray, most: int) -> np.ndarray:
     return np.minimum(ends[np.searchsorted(ends, at)] - at + 1, most).astype(np.uint8) if len(last) else np.zeros(0, np.uint8)
 
 
-def counted(lang: str, words: pa.Array, n: np.ndarray) -> pa.RecordBatch:
-    rows = len(n)
-    return pa.RecordBatch.from_arrays([pa.nulls(rows, pa.int64()), pa.array([lang] * rows, pa.string()), *[pa.nulls(rows, f.type) for f in list(KINDS)[2:6]],
-                                       words, pa.array(n, pa.int64())], schema=KINDS)
+def counted(lang: str, buckets: np.ndarray, offsets: np.ndarray, phrases: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+    rows, ends = len(buckets), pa.array(offsets, pa.int32())
+    return pa.RecordBatch.from_arrays([pa.nulls(rows, pa.int64()), pa.array([lang] * rows, pa.string()), *[pa.nulls(rows, f.type) for f in list(KINDS)[2:6]], pa.array(buckets, pa.int32()),
+                                       pa.ListArray.from_arrays(ends, phrases), pa.ListArray.from_arrays(ends, pa.array(n, pa.int64()))], schema=KINDS)
 
 
 def words_of(texts: list[bytes], longest: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -162,7 +169,8 @@ def _batches(docs: DataFrame, rules: Rules) -> DataFrame:
                 dictionary, ids, room = words_of(texts, rules.longest)
                 if len(ids):
                     yield Batch(number, lang, dictionary, ids, room, np.ones(len(ids), np.uint8)).row()
-                    yield counted(lang, pa.array([[]], pa.list_(pa.string())), np.array([len(ids)]))
+                    # The phrase without words is every word's beginning.
+                    yield counted(lang, np.zeros(1, int), np.array([0, 1]), pa.array([""]), np.array([len(ids)]))
                     number += 1
 
         for batch in batches:
@@ -247,11 +255,11 @@ def _judged(batches: DataFrame, answers: DataFrame, sizes: tuple[int, ...], buck
                 a, b = cuts[bucket], cuts[bucket + 1]
                 good[a:b] = np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a)
             good = np.split(good[back], np.cumsum([len(p) for p in places])[:-1])
-            places = [p[g] for p, g in zip(places, good)]
-            out = [batch.counts(size, at) for size, at in zip(sizes, places) if len(at)]
+            places, found = [p[g] for p, g in zip(places, good)], [h[g] for h, g in zip(found, good)]
+            out = [batch.counts(size, at, h, buckets) for size, at, h in zip(sizes, places, found) if len(at)]
             rest = batch.narrowed(sizes[-1], places[-1])
             if last and len(at := rest.places(longest)):
-                out.append(rest.counts(longest, at))
+                out.append(rest.counts(longest, at, rest.hashes((longest,))[1][0], buckets))
             elif len(rest.ids) and not last:
                 out.append(rest.row())
         return pa.Table.from_batches(out, schema=KINDS)
@@ -264,9 +272,9 @@ def phrase_counts(docs: DataFrame, rules: Rules, folder: str) -> DataFrame:
     """lang, words and f of every phrase of 1 to ``longest`` words with ``least`` occurrences or more; without words, those of all
     words of a language."""
     found = kept(_batches(docs, rules), folder)
-    is_count = F.col("words").isNotNull()
+    is_count = F.col("phrases").isNotNull()
     counts = [found.where(is_count)]
-    words = counts[0].agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    words = counts[0].agg(F.coalesce(F.sum(F.col("counts")[0]), F.lit(0))).first()[0]
     # At most two hashes of eight bytes and their counts for every word.
     buckets = max(partitions(docs.sparkSession), -(-20 * words // BUCKET))
     for sizes in [(1, 2), *((m,) for m in range(3, rules.longest))] if rules.longest > 2 else [(1,)]:
@@ -274,10 +282,24 @@ def phrase_counts(docs: DataFrame, rules: Rules, folder: str) -> DataFrame:
         answers = _answers(_entries(batches, sizes, buckets, rules.least), rules.least)
         found = kept(_judged(batches, answers, sizes, buckets, rules.longest), folder)
         counts.append(found.where(is_count))
-    every = counts[0].select("lang", "words", "n")
+    every = counts[0]
     for more in counts[1:]:
-        every = every.unionByName(more.select("lang", "words", "n"))
-    return kept(every.groupBy("lang", "words").agg(F.sum("n").alias("f")).where((F.col("f") >= rules.least) | (F.size("words") == 0)), folder)
+        every = every.unionByName(more)
+    return kept(_summed(every.select("bucket", "lang", "phrases", "counts"), rules.least), folder)
+
+
+def _summed(counts: DataFrame, least: int) -> DataFrame:
+    """The sums over all batches. A phrase is in one bucket, and a batch sends each bucket one row for a length."""
+    def summed(table: pa.Table) -> pa.Table:
+        phrases, n = (table.column(c).combine_chunks() for c in ("phrases", "counts"))
+        langs = table.column("lang").combine_chunks().dictionary_encode().take(pc.list_parent_indices(phrases))
+        sums = pa.table([langs, phrases.flatten(), n.flatten()], names=["lang", "phrase", "n"]).group_by(["lang", "phrase"]).aggregate([("n", "sum")])
+        whole = pc.equal(sums.column("phrase"), "")
+        sums = sums.filter(pc.or_(pc.greater_equal(sums.column("n_sum"), least), whole))
+        return pa.table([sums.column("lang").cast(pa.string()), pc.split_pattern(sums.column("phrase"), " "), sums.column("n_sum")], names=["lang", "words", "f"])
+
+    found = counts.groupBy("bucket").applyInArrow(summed, "lang string, words array<string>, f bigint")
+    return found.withColumn("words", F.when(F.col("words")[0] == "", F.array().cast("array<string>")).otherwise(F.col("words")))
 
 
 STREAM = "lang string, words array<string>, f bigint, above array<bigint>, most bigint"

@@ -109,12 +109,13 @@ def test_equal_hashes(spark, monkeypatch):
     rows = made(1, texts=40)
     docs = frame(spark, rows)
     with module.staging_folder(spark) as folder:
-        batches = list(module._batches(docs, Rules()).where("words IS NULL").toArrow().to_batches())
+        batches = list(module._batches(docs, Rules()).where("phrases IS NULL").toArrow().to_batches())
     batch = next(module._read(iter(batches)))
     assert len(np.unique(batch.hashes((1, 2))[1][0])) <= 4
     at = batch.places(2)
-    counts = batch.counts(2, at)
+    counts = batch.counts(2, at, batch.hashes((2,))[1][0], 7)
     direct = Counter((batch.ids[i], batch.ids[i + 1]) for i in at)
-    assert sorted(counts.column("n").to_pylist()) == sorted(direct.values())
+    assert sorted(sum(counts.column("counts").to_pylist(), [])) == sorted(direct.values())
+    assert len(set(sum(counts.column("phrases").to_pylist(), []))) == len(direct) and counts.num_rows <= 4
     narrowed = batch.narrowed(2, at[::3])
     assert isinstance(narrowed.dictionary, pa.Array) and narrowed.live.sum() == len(at[::3])
