@@ -1,11 +1,17 @@
 """CSV files with all their faults, and URLs."""
 
+import bz2
+import gzip
 import io
 import random
+import zlib
+
+import pytest
 
 from sealframe.layout import FLOWERS
 from sealframe.operators.rows import filter_category, preview, project_columns
-from sealframe.sources.csv import CHUNK, _first_lines, first_lines, scan_csv, scan_csv_headerless
+from sealframe.sources import csv
+from sealframe.sources.csv import CHUNK, _first_lines, _open, _reached, _through_spark, first_lines, lines_of, scan_csv, scan_csv_headerless
 from sealframe.sources.urls import url_manifest
 
 HEADER = "sepal_length,sepal_width,petal_length,petal_width,species\n"
@@ -73,6 +79,36 @@ def test_first_lines_of_files_cut_into_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_compressed_files(spark, tmp_path):
+    """Each codec with and without a header, and one whose first lines are blank."""
+    for name, opened in {"gz": gzip.open, "bz2": bz2.open}.items():
+        for kind, text in {"bare": ROWS, "headed": HEADER + ROWS, "blank": "\n \t\n" + ROWS, "empty": ""}.items():
+            with opened(tmp_path / f"{kind}.csv.{name}", "wt") as file:
+                file.write(text)
+    (tmp_path / "deflated.csv.deflate").write_bytes(zlib.compress(ROWS.encode()))
+    frame = scan_csv_headerless(spark, str(tmp_path), FLOWERS)
+    assert frame.count() == 7 * 3 and frame.where("species IS NULL OR sepal_length IS NULL").count() == 0
+
+
+def test_a_store_that_only_spark_reads(spark, tmp_path):
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.cars.link./in", tmp_path.as_uri())
+    write(tmp_path, "a.csv", ROWS)
+    with gzip.open(tmp_path / "b.csv.gz", "wt") as file:
+        file.write(HEADER + ROWS)
+    assert scan_csv_headerless(spark, "viewfs://cars/in", FLOWERS).count() == 6
+    assert scan_csv_headerless(spark, ["viewfs://cars/in/a.csv", "viewfs://cars/in/b*"], FLOWERS).count() == 6
+
+
+def test_paths_with_marks(spark, tmp_path):
+    paths = [write(tmp_path, name, ROWS) for name in ("a,b.csv", "c d%20.csv", "\u00fc;=.csv")]
+    assert scan_csv_headerless(spark, paths, FLOWERS).count() == 9
+    (tmp_path / "below").mkdir()
+    write(tmp_path / "below", "unread.csv", ROWS)
+    write(tmp_path, "_hidden.csv", ROWS)
+    assert first_lines(spark, str(tmp_path)).count() == 3
+    assert first_lines(spark, f"{tmp_path}/{{a,c}}*").count() == 2
+
+
 class Counted(io.BytesIO):
     """Counts the bytes that are asked for."""
 
@@ -101,6 +137,40 @@ def test_first_lines_over_chunk_edges():
     assert _first_lines(io.BytesIO(b"\ra\r")) == ("", "a")
 
 
+def test_a_codec_is_inflated_no_further_than_needed(tmp_path):
+    """The rest of the file may even be broken."""
+    packed = gzip.compress(random.Random(1).randbytes(3_000_000).hex().replace("0", "\n").encode())
+    (tmp_path / "a.csv.gz").write_bytes(packed[:400_000] + b"broken" * 1000)
+    with _open(f"file:{tmp_path}/a.csv.gz") as file:
+        assert _first_lines(file)[0]
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 3, 65_536])
+def test_lines(monkeypatch, chunk):
+    monkeypatch.setattr(csv, "CHUNK", chunk)
+    cases = {b"": [], b"a": [b"a"], b"a\n": [b"a"], b"a\r\nb": [b"a", b"b"], b"\r\r\n\n": [b"", b"", b""], b"\ra\r": [b"", b"a"], b"a\n\r\nb\r": [b"a", b"", b"b"]}
+    for text, lines in cases.items():
+        assert list(lines_of(io.BytesIO(text))) == lines
+    assert _first_lines(io.BytesIO(b" \r\n\r\na,b\r\nc")) == (" ", "a,b")
+    assert _first_lines(io.BytesIO(b"")) == ("", None)
+
+
+def test_stores():
+    assert _reached("/a") and _reached(["file:/a", "file:///b"])
+    assert not _reached("viewfs://a/b") and not _reached(["/a", "unheardof://x"])
+
+
+def test_both_ways_agree(spark, tmp_path):
+    """Arrow's reading of beginnings and Spark's reading of all lines."""
+    texts = {"a": ROWS, "b": HEADER + ROWS, "c": "\n \t\r\n" + ROWS, "d": "\n\n", "e": "x", "f": "\u00fc" * 70_000 + "\r\rz"}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_text(text, encoding="utf-8", newline="")
+        with gzip.open(tmp_path / f"{name}2.csv.gz", "wt", encoding="utf-8", newline="") as file:
+            file.write(text)
+    one, other = (sorted(map(tuple, f(spark, str(tmp_path)).collect()), key=str) for f in (first_lines, _through_spark))
+    assert one == other and len(one) == 12
+
+
 def test_one_scan_of_all_files_and_no_list_of_paths(spark, tmp_path):
     for n in range(5):
         write(tmp_path, f"{n} [x].csv", (HEADER if n < 2 else "") + ROWS)
