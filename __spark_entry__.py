@@ -11,16 +11,18 @@ import os
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sealframe.functions.keys import KEY as KEY_COLUMN, with_key
 from sealframe.functions.text import cell, cell_text
 from sealframe.functions.tokens import METHODS, open_bytes, seal, token_bytes
 from sealframe.layout import ORDER_LINES
-from sealframe.operators.charts import box_outliers, box_stats, histogram_bins, scatter_points
+from sealframe.operators.charts import QUARTILES, box_outliers, box_stats, histogram_bins, scatter_points
 from sealframe.operators.cipher import decrypt_table, encrypt_table
 from sealframe.operators.integrity import tamper_report, token_size_report
 from sealframe.operators.rows import count_rows, filter_category, preview, project_columns
+from sealframe.operators.sketches import merge_sketches, rank_errors, sketch_measures, sketch_quantiles
 from sealframe.plans.flows import Target, run_encrypted, run_plain
 from sealframe.session import shared_folder, staging_folder
 from sealframe.sinks.csv import read_csv_sink, sink_csv, sink_csv_encrypted
@@ -35,6 +37,7 @@ MEASURES = list(ORDER_LINES.measures)
 COLUMNS = ORDER_LINES.columns
 CATEGORY = "A"
 DATABASE = "sealframe_checks"
+RANK_ERROR = 0.005
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -82,6 +85,15 @@ def _scan_csv_headerless(spark, sf_dir):
     return scan_csv_headerless(spark, _raw_csv(spark, sf_dir), ORDER_LINES)
 
 
+def _scan_csv_codecs(spark, sf_dir):
+    """The same of compressed files."""
+    lines, folder = _lines(spark, sf_dir), shared_folder(spark)
+    is_a = F.col(ORDER_LINES.category) == CATEGORY
+    lines.where(is_a).write.csv(f"{folder}/bare", header=False, compression="gzip")
+    lines.where(~is_a).write.csv(f"{folder}/headed", header=True, compression="bzip2")
+    return scan_csv_headerless(spark, [f"{folder}/bare", f"{folder}/headed"], ORDER_LINES)
+
+
 def _read_back(spark, sf_dir):
     target = _target(spark)
     sink_table(_lines(spark, sf_dir), target.database, target.table, location=target.location)
@@ -198,6 +210,28 @@ def _sink_table(spark, sf_dir):
     return read_back(spark, target.database, target.table, COLUMNS)
 
 
+def _sink_table_replaced(spark, sf_dir):
+    """A table of all lines is replaced by those of a category; the next write breaks off and changes nothing."""
+    target, lines = _target(spark), _category(spark, sf_dir)
+    sink_table(_lines(spark, sf_dir), target.database, target.table, location=target.location)
+    sink_table(lines, target.database, target.table, location=target.location)
+    broken = F.when(F.col("l_tax") == lines.agg(F.max("l_tax")).scalar(), F.raise_error(F.lit("broken off")).cast("double")).otherwise(F.col("l_tax"))
+    try:
+        sink_table(lines.withColumn("l_tax", broken), target.database, target.table, location=target.location)
+    except PySparkException as error:
+        if "broken off" not in str(error):
+            raise
+    return read_back(spark, target.database, target.table, COLUMNS)
+
+
+def _box_sketch(spark, sf_dir):
+    """Sketches of each line status are stored and merged; the ranks of what they say are then counted."""
+    lines, path = _read(spark, sf_dir, "lineitem"), f"{shared_folder(spark)}/sketches"
+    sketch_measures(lines, MEASURES, RANK_ERROR, by=["l_linestatus"]).write.parquet(path)
+    quantiles = sketch_quantiles(merge_sketches(spark.read.parquet(path)), QUARTILES)
+    return rank_errors(lines, quantiles, QUARTILES).select("measure", "probability", "n", (F.col("error") <= RANK_ERROR).alias("within"))
+
+
 def _sink_table_encrypted(spark, sf_dir):
     target = _target(spark)
     sink_table_encrypted(_category(spark, sf_dir), target.database, target.table, KEY, location=target.location, partitions=_parts(spark))
@@ -228,6 +262,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "scan_csv": _scan_csv,
         "scan_csv_headerless": _scan_csv_headerless,
+        "scan_csv_codecs": _scan_csv_codecs,
         "read_back": _read_back,
         "url_manifest": lambda spark, d: url_manifest(_read(spark, d, "pages")),
         "filter_category": _category,
@@ -251,10 +286,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sink_csv_texts": _csv_texts,
         "sink_csv_one_column": _csv_one_column,
         "sink_table": _sink_table,
+        "sink_table_replaced": _sink_table_replaced,
         "sink_table_encrypted": _sink_table_encrypted,
         "scatter_points": lambda spark, d: scatter_points(_category(spark, d), "l_quantity", "l_discount"),
         "histogram_bins": lambda spark, d: histogram_bins(_category(spark, d), "l_tax"),
         "box_stats": lambda spark, d: box_stats(_category(spark, d), MEASURES),
+        "box_sketch": _box_sketch,
         "box_outliers": lambda spark, d: box_outliers(_read(spark, d, "events"), ["value"]),
         "job_plain": _job_plain,
         "job_encrypted": _job_encrypted,
@@ -351,6 +388,12 @@ _BEYOND = """
         FROM fenced f JOIN values_ USING (measure) WHERE v < low OR v > high GROUP BY measure, v"""
 
 
+# Every quartile is within its error.
+_RANKS_KEPT = " UNION ALL ".join(
+    f"SELECT '{m}' AS measure, CAST({p} AS DOUBLE) AS probability, count({m}) AS n, TRUE AS within FROM lineitem" for m in MEASURES for p in QUARTILES
+)
+
+
 def _charts() -> str:
     stats = " UNION ALL ".join(
         f"SELECT 'box', measure, '{s}', NULL, {s}, n FROM boxes" for s in ("q1", "median", "q3", "whisker_low", "whisker_high")
@@ -390,6 +433,7 @@ def oracle_sql() -> dict[str, str]:
     found = {
         "scan_csv": _ALL,
         "scan_csv_headerless": _ALL,
+        "scan_csv_codecs": _ALL,
         "read_back": _ALL,
         "url_manifest": _URL_MANIFEST,
         "filter_category": _A,
@@ -414,10 +458,12 @@ def oracle_sql() -> dict[str, str]:
         "sink_csv_texts": _TEXTS,
         "sink_csv_one_column": f"SELECT priority, 2 * count(*) AS n FROM ({_TEXTS}) GROUP BY priority",
         "sink_table": _A,
+        "sink_table_replaced": _A,
         "sink_table_encrypted": _A,
         "scatter_points": f"SELECT l_quantity, l_discount, count(*) AS n FROM ({_A}) GROUP BY 1, 2",
         "histogram_bins": _histogram(_A, "l_tax"),
         "box_stats": f"WITH {_quartiles(_A, MEASURES)} {_BOX}",
+        "box_sketch": _RANKS_KEPT,
         "box_outliers": f"WITH {_quartiles('SELECT * FROM events', ['value'])} {_BEYOND}",
         "job_plain": charts,
         "job_encrypted": charts,

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sealframe.functions.text import cell
 from sealframe.operators.ranks import exact_quantiles, present
+from sealframe.operators.sketches import approximate_quantiles
 
 # Quartiles, the reach of the whiskers in interquartile ranges, bins.
 QUARTILES = (0.25, 0.5, 0.75)
@@ -106,15 +107,16 @@ class Box:
         return (v < low) | ((v > high) & (v <= float("inf")))
 
 
-def boxes(df: DataFrame, measures: list[str] | tuple[str, ...]) -> list[Box]:
-    """The box of every measure, one small object each."""
-    found = exact_quantiles(df, measures, QUARTILES)
+def boxes(df: DataFrame, measures: list[str] | tuple[str, ...], error: float | None = None) -> list[Box]:
+    """The box of every measure, one small object each. With a rank ``error`` the quartiles come from sketches, in one pass."""
+    found = exact_quantiles(df, measures, QUARTILES) if error is None else approximate_quantiles(df, measures, QUARTILES, error)
     return [Box(m, found[m].n, *found[m].values, found[m].least, found[m].most) for m in measures]
 
 
-def box_stats(df: DataFrame, measures: list[str] | tuple[str, ...], known: list[Box] | None = None) -> DataFrame:
-    """Per measure: rows, quartiles, whiskers at the last value within reach, outliers beyond."""
-    known = boxes(df, measures) if known is None else known
+def box_stats(df: DataFrame, measures: list[str] | tuple[str, ...], known: list[Box] | None = None, *, error: float | None = None) -> DataFrame:
+    """Per measure: rows, quartiles, whiskers at the last value within reach, outliers beyond. With a rank ``error``
+    the quartiles are approximate; whiskers and outliers are exact for these quartiles."""
+    known = boxes(df, measures, error) if known is None else known
     columns = [_box_struct(box).alias(f"box{i}") for i, box in enumerate(known)]
     return df.agg(*columns).select(F.inline(F.array(*[f"box{i}" for i in range(len(columns))])))
 
@@ -134,9 +136,9 @@ def _box_struct(box: Box) -> Column:
     )
 
 
-def box_outliers(df: DataFrame, measures: list[str] | tuple[str, ...], known: list[Box] | None = None) -> DataFrame:
+def box_outliers(df: DataFrame, measures: list[str] | tuple[str, ...], known: list[Box] | None = None, *, error: float | None = None) -> DataFrame:
     """Distinct values beyond the whiskers per measure and how often each occurs."""
-    known = boxes(df, measures) if known is None else known
+    known = boxes(df, measures, error) if known is None else known
     outside = F.lit(False)
     for box in known:
         outside = outside | box.beyond()

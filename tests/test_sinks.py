@@ -10,7 +10,7 @@ from sealframe.plans.flows import Target, run_encrypted, run_plain
 from sealframe.operators.integrity import tamper_report
 from sealframe.session import shared_folder, staging_folder
 from sealframe.sinks.csv import read_csv_sink, sink_csv, sink_csv_encrypted
-from sealframe.sinks.tables import check_name, count_query, ensure_database, jdbc_options, sink_jdbc_encrypted, sink_table, sink_table_encrypted
+from sealframe.sinks.tables import check_name, count_query, ensure_database, jdbc_options, sink_jdbc_encrypted, sink_table, sink_table_encrypted, sweep_versions
 from sealframe.sources.csv import scan_csv_headerless
 from sealframe.sources.tables import read_back, read_back_jdbc
 
@@ -84,6 +84,70 @@ def test_table_replaces_files_the_catalog_forgot(spark):
     assert rows(read_back(spark, "forgetful", "t", ["new"])) == [("a",)]
 
 
+def folders(spark, location, table):
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{location}/{table}.versions")
+    return len(path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path))
+
+
+@pytest.mark.parametrize("column", ["x", "other"])
+def test_a_failing_write_leaves_the_old_rows(spark, column):
+    """A task fails after others have written; the new rows have the same or other columns."""
+    location = shared_folder(spark)
+    sink_table(spark.range(5).select(F.col("id").cast("double").alias("x")), "replaced", "t", location=location)
+    bad = F.when(F.col("id") == 999, F.raise_error(F.lit("no such row")).cast("double")).otherwise(F.col("id").cast("double"))
+    with pytest.raises(PySparkException, match="no such row"):
+        sink_table(spark.range(0, 1000, 1, 8).select(bad.alias(column)), "replaced", "t", location=location)
+    assert rows(read_back(spark, "replaced", "t", ["x"])) == [(float(i),) for i in range(5)]
+    assert [t.name for t in spark.catalog.listTables("replaced")] == ["t"] and folders(spark, location, "t") == 1
+    spark.sql("DROP DATABASE replaced CASCADE")
+
+
+def test_a_failing_switch_leaves_the_old_rows(spark, monkeypatch):
+    location = shared_folder(spark)
+    sink_table(spark.createDataFrame([(1.0,)], "x double"), "switched", "t", location=location)
+    ask, failing = type(spark).sql, []
+
+    def sql(self, text, *more):
+        if " RENAME TO `switched`.`t`" in text and not failing:
+            failing.append(text)
+            raise RuntimeError("the catalog is away")
+        return ask(self, text, *more)
+
+    monkeypatch.setattr(type(spark), "sql", sql)
+    with pytest.raises(RuntimeError, match="away"):
+        sink_table(spark.createDataFrame([("a",)], "y string"), "switched", "t", location=location)
+    assert rows(read_back(spark, "switched", "t", ["x"])) == [(1.0,)]
+    assert [t.name for t in spark.catalog.listTables("switched")] == ["t"]
+    spark.sql("DROP DATABASE switched CASCADE")
+
+
+def test_readers_of_the_version_before_go_on(spark):
+    location = shared_folder(spark)
+    write = lambda n: sink_table(spark.range(n).select(F.col("id").cast("double").alias("x")), "versions", "t", location=location)
+    name = write(3)
+    old = spark.table(name)
+    write(4)
+    assert old.count() == 3 and spark.table(name).count() == 4
+    for n in (5, 6):
+        write(n)
+    assert spark.table(name).count() == 6 and folders(spark, location, "t") == 2
+    sink_table(spark.createDataFrame([("a",)], "y string"), "versions", "t", location=location)
+    assert rows(spark.table(name)) == [("a",)] and folders(spark, location, "t") == 2
+    spark.range(2).write.parquet(f"{location}/t.versions/version_of_a_dead_driver")
+    assert len(sweep_versions(spark, "versions", "t")) == 1 and folders(spark, location, "t") == 2
+    assert rows(spark.table(name)) == [("a",)]
+    spark.sql("DROP DATABASE versions CASCADE")
+
+
+def test_a_table_of_others_is_replaced_too(spark):
+    location = shared_folder(spark)
+    ensure_database(spark, "foreign_tables", location)
+    spark.range(4).write.saveAsTable("foreign_tables.t")
+    name = sink_table(spark.range(2).select(F.col("id")), "foreign_tables", "t", location=location)
+    assert spark.table(name).count() == 2
+    spark.sql("DROP DATABASE foreign_tables CASCADE")
+
+
 def test_failed_jdbc_checks_touch_nothing(spark, key):
     frame = spark.createDataFrame([("x" * 162, 1.0)], "t string, x double")
     with pytest.raises(ValueError, match="longer than 255.*'t': 256"):
