@@ -157,15 +157,17 @@ def box_outliers(df: DataFrame, measures: list[str] | tuple[str, ...], known: li
 CHARTS = "chart string, series string, item string, x double, y double, n bigint"
 
 
-def chart_table(df: DataFrame, x: str, y: str, histogram: str, measures: list[str] | tuple[str, ...], bins: int = BINS) -> DataFrame:
+def chart_table(df: DataFrame, x: str, y: str, histogram: str, measures: list[str] | tuple[str, ...], bins: int = BINS, *,
+                span: tuple[float | None, float | None] | None = None) -> DataFrame:
     """All charts of a table in one long frame ``(chart, series, item, x, y, n)``.
 
     Reads the table once for the quartiles (up to twice more for measures with many digits, then
     only their open spans), once for whiskers and bins together, and once each for points and
-    outliers when the result is used. The bins' range comes with the quartiles.
+    outliers when the result is used. The bins' range is ``span`` where it is known, else it comes with the
+    quartiles.
     """
-    known = {box.measure: box for box in boxes(df, list(dict.fromkeys([*measures, histogram])))}
-    scale = Bins.over(histogram, known[histogram].least, known[histogram].most, bins)
+    known = {box.measure: box for box in boxes(df, list(dict.fromkeys([*measures, *([] if span else [histogram])])))}
+    scale = Bins.over(histogram, *(span or (known[histogram].least, known[histogram].most)), bins)
     v = cell(histogram).cast("double")
     at = scale.bin_of(v)
     # One row of a size that only the numbers of measures and bins decide.

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sealframe.functions.keys import Keys
-from sealframe.functions.text import cell_text
+from sealframe.functions.text import cell, cell_text
 from sealframe.functions.tokens import token_length
 from sealframe.operators.cipher import encrypt_table
 from sealframe.session import staging_folder
@@ -182,16 +182,17 @@ def count_query(table: str) -> str:
 
 def sink_jdbc_encrypted(df: DataFrame, url: str, table: str, key: Keys, method: str = "gcm", *,
                         token_width: int = TOKEN_WIDTH, connections: int = 8,
-                        properties: dict[str, str] | None = None, partitions: int | None = None) -> None:
-    """The same with every cell a token. Databases may cut long values silently, so the token
+                        properties: dict[str, str] | None = None, partitions: int | None = None, slice_column: str | None = None) -> None:
+    """The same with every cell a token, but for a ``slice_column``. Databases may cut long values silently, so the token
     lengths are derived from the plaintext first, before anything is sealed or dropped."""
-    longest = df.select(
-        *[F.max(token_length(F.octet_length(cell_text(f.name, f.dataType)), method)).alias(f.name) for f in df.schema]
-    ).first()
+    longest = df.select(*[
+        F.max(F.char_length(cell(f.name).cast("string")) if f.name == slice_column else token_length(F.octet_length(cell_text(f.name, f.dataType)), method)).alias(f.name)
+        for f in df.schema
+    ]).first()
     wide = {name: n for name, n in longest.asDict().items() if n is not None and n > token_width}
     if wide:
         raise ValueError(f"tokens longer than {token_width} characters: {wide}")
-    tokens = encrypt_table(df, key, method, partitions=partitions)
+    tokens = encrypt_table(df, key, method, partitions=partitions, slice_column=slice_column)
     sink_jdbc(tokens, url, table, text_width=token_width, connections=connections, properties=properties)
 
 

@@ -261,6 +261,51 @@ def test_jobs(spark, key, tmp_path, method):
     assert not stored.measured.is_cached
 
 
+def jobs_of(spark, group, work):
+    context = spark.sparkContext
+    context.setJobGroup(group, group)
+    try:
+        return work(), len(context.statusTracker().getJobIdsForGroup(group))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("sealed", [False, True])
+def test_counts_and_ranges_cost_no_job(spark, key, sealed):
+    """One job writes the table, one the CSV; the count and the ranges come from the first."""
+    frame = spark.range(0, 1000, 1, 5).select((F.col("id") / 4).alias("a"), F.when(F.col("id") % 2 == 0, F.lit(float("nan"))).otherwise(F.col("id") + 0.5).alias("b"),
+                                              F.lit(None).cast("double").alias("c"), F.when(F.col("id") < 700, "x").alias("d"))
+    layout, folder = Layout(("a", "b", "c"), "d", histogram="a"), shared_folder(spark)
+    target = Target("job_checks", f"watched_{sealed}", folder, "a.csv", f"{folder}/db")
+    run = (lambda: run_encrypted(frame, layout, "x", target, key, partitions=3)) if sealed else (lambda: run_plain(frame, layout, "x", target))
+    run()  # the catalog has the table now
+    stored, jobs = jobs_of(spark, f"watched {sealed}", run)
+    # A shuffle before sealing is a job of its own where plans adapt.
+    assert jobs == (3 if sealed else 2)
+    assert stored.count == 700 and stored.ranges == {"a": (0.0, 174.75), "b": (1.5, 699.5), "c": (None, None)}
+    edges = [(r.x, r.y) for r in stored.charts().collect() if r.chart == "histogram"]
+    assert min(edges)[0] == 0.0 and max(edges)[1] == 174.75
+
+
+def test_slices_through_sinks_and_job(spark):
+    """Each category its own key, in the CSV, the table, the check and the job."""
+    keys = {c: bytes([i]) * 32 for i, c in enumerate("xy")}
+    frame = spark.createDataFrame([(1.5, "x"), (2.5, "y"), (None, "x")], "a double, d string")
+    folder = shared_folder(spark)
+    path = sink_csv_encrypted(frame, folder, "a.csv", keys, slice_column="d")
+    tokens = read_csv_sink(spark, path, "a string, d string")
+    assert rows(decrypt_table(tokens, keys, "gcm", ["a"], slice_column="d")) == rows(frame)
+    name = sink_table_encrypted(frame, "slice_checks", "t", keys, location=folder, slice_column="d")
+    stored = spark.table(name)
+    assert [tuple(r) for r in tamper_report(stored, keys, slice_column="d").collect()] == [("a", 2, 0)]
+    swapped = stored.withColumn("d", F.translate("d", "xy", "yx"))
+    assert [tuple(r) for r in tamper_report(swapped, keys, slice_column="d").collect()] == [("a", 2, 2)]
+    job = run_encrypted(frame, Layout(("a",), "d"), "x", Target("slice_checks", "job", folder, "b.csv"), keys, slice_column="d")
+    assert rows(job.rows) == [(1.5, "x"), (None, "x")] and {r.d for r in job.at_rest.collect()} == {"x"} and job.count == 2
+    with pytest.raises(ValueError, match="'d': 300"):
+        sink_jdbc_encrypted(spark.createDataFrame([(1.0, "x" * 300)], "a double, d string"), "jdbc:none:", "t", keys, slice_column="d")
+
+
 def test_two_evaluations_differ_one_stored_does_not(spark, key):
     frame = spark.createDataFrame([("a",)], "t string")
     tokens = encrypt_table(frame, key)
