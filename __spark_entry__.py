@@ -21,6 +21,7 @@ from sealframe.layout import ORDER_LINES
 from sealframe.operators.charts import QUARTILES, box_outliers, box_stats, histogram_bins, scatter_points
 from sealframe.operators.cipher import decrypt_table, encrypt_table
 from sealframe.operators.integrity import tamper_report, token_size_report
+from sealframe.operators.places import TAG, column_manifest, place_report, seal_in_place
 from sealframe.operators.rows import count_rows, filter_category, preview, project_columns
 from sealframe.operators.sketches import merge_sketches, rank_errors, sketch_measures, sketch_quantiles
 from sealframe.plans.flows import Target, run_encrypted, run_plain
@@ -159,6 +160,21 @@ def _tamper(method: str):
     return query
 
 
+def _place_report(spark, sf_dir):
+    """Stored orders in disorder: of every ten, the first has the price of the next one, the second its priority for its status,
+    the third is gone, the fourth there twice, and the fifth has lost its date."""
+    path, clear = f"{shared_folder(spark)}/sealed", ("o_orderkey",)
+    seal_in_place(_read(spark, sf_dir, "orders"), KEY, ["o_orderkey"], "orders", partitions=_parts(spark), clear=clear).write.parquet(path, compression="zstd")
+    stored = spark.read.parquet(path)
+    manifest = column_manifest(stored, KEY, clear=clear)
+    turn, price = F.col("o_orderkey") % 10, F.col("o_totalprice")
+    following = stored.where(turn == 2).select((F.col("o_orderkey") - 1).alias("o_orderkey"), price.alias("other_price"))
+    moved = stored.join(following, "o_orderkey", "left").where(turn != 3).select(
+        "o_orderkey", "o_custkey", F.when(turn == 2, F.col("o_orderpriority")).otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+        F.coalesce("other_price", price).alias("o_totalprice"), F.when(turn != 5, F.col("o_orderdate")).alias("o_orderdate"), "o_orderpriority", TAG)
+    return place_report(moved.unionByName(moved.where(turn == 4)), manifest, KEY, clear=clear)
+
+
 def _flip(token):
     return F.overlay(token, F.when(F.substring(token, 20, 1) == "A", "B").otherwise("A"), 20)
 
@@ -280,6 +296,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "key_per_slice": _slices,
         "tamper_report": _tamper("gcm"),
         "tamper_report_fernet": _tamper("fernet"),
+        "place_report": _place_report,
         "token_size_report": _token_sizes,
         "sink_csv": _sink_csv,
         "sink_csv_encrypted": _sink_csv_encrypted,
@@ -344,6 +361,20 @@ def _tampered() -> str:
     )
 
 
+def _disorder(column: str, bad: str) -> str:
+    """What each kind of disorder does to the cells of a column that has no nulls; ``bad`` moves cells."""
+    lost = "o_orderkey % 10 = 5" if column == "o_orderdate" else "FALSE"
+    return f"""
+        SELECT '{column}' AS "column", FALSE AS intact, count(*) - count_if(o_orderkey % 10 = 3 OR {lost}) + count_if(o_orderkey % 10 = 4) AS cells,
+               count_if({bad}) AS bad_cells, count_if(o_orderkey % 10 = 4) AS repeated, count_if(o_orderkey % 10 = 3 OR {lost} OR {bad}) AS missing
+        FROM orders"""
+
+
+_DISORDER = " UNION ALL ".join(_disorder(c, {
+    "o_totalprice": "o_orderkey % 10 = 1 AND o_orderkey + 1 IN (SELECT o_orderkey FROM orders)", "o_orderstatus": "o_orderkey % 10 = 2",
+}.get(c, "FALSE")) for c in ("o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"))
+
+
 def _histogram(source: str, column: str) -> str:
     return f"""
         WITH v AS (SELECT {column} AS v FROM ({source}) WHERE {column} IS NOT NULL AND NOT isnan({column})),
@@ -452,6 +483,7 @@ def oracle_sql() -> dict[str, str]:
         "key_per_slice": "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders",
         "tamper_report": _tampered(),
         "tamper_report_fernet": _tampered(),
+        "place_report": _DISORDER,
         "token_size_report": " UNION ALL ".join(_sizes("lineitem", COLUMNS, m, f"_{m}") for m in METHODS),
         "sink_csv": _A,
         "sink_csv_encrypted": _A,

@@ -38,8 +38,8 @@ def check_key(key: bytes) -> bytes:
 Keys = bytes | dict[str, bytes]
 
 
-def with_key(df: DataFrame, key: Keys, slice_column: str | None = None) -> DataFrame:
-    """``df`` with the column ``KEY``: a struct of the key and the parts derived from it.
+def with_key(df: DataFrame, key: Keys, slice_column: str | None = None, name: str = KEY) -> DataFrame:
+    """``df`` with the column ``KEY`` (or another ``name``): a struct of the key and the parts derived from it.
 
     A literal key would be printed in plans, the UI and event logs, and would let the
     optimizer fold a constant cell into one shared token. A scalar subquery over a local
@@ -54,11 +54,11 @@ def with_key(df: DataFrame, key: Keys, slice_column: str | None = None) -> DataF
     table = pa.table({"slice": pa.array(list(parts), pa.string())} | {f: pa.array([p[f] for p in parts.values()], pa.binary()) for f in fields})
     material = df.sparkSession.createDataFrame(table)
     if slice_column is None:
-        return df.select("*", material.select(F.struct(*fields)).scalar().alias(KEY))
+        return df.select("*", material.select(F.struct(*fields)).scalar().alias(name))
     pairs = material.agg(F.map_from_entries(F.collect_list(F.struct("slice", F.struct(*fields).alias("parts"))))).scalar()
     found = F.try_element_at(pairs, cell(slice_column).cast("string"))
     missing = F.raise_error(F.lit(f"no key for a value of {slice_column}"))
-    return df.select("*", F.coalesce(found, missing.cast(f"struct<{','.join(f'{f}:binary' for f in fields)}>")).alias(KEY))
+    return df.select("*", F.coalesce(found, missing.cast(f"struct<{','.join(f'{f}:binary' for f in fields)}>")).alias(name))
 
 
 def _parts(key: bytes) -> dict[str, bytes]:

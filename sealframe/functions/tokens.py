@@ -31,11 +31,13 @@ def check_method(method: str, *, authenticated: bool = False) -> str:
 
 
 def seal(text: Column, key: Column, method: str, *, iv: Column | None = None,
-         seconds: Column | None = None) -> Column:
-    """Token of ``text`` under the key struct of ``with_key``."""
+         seconds: Column | None = None, place: Column | None = None) -> Column:
+    """Token of ``text`` under the key struct of ``with_key``. A ``gcm`` token with a ``place`` opens with that place only."""
     check_method(method)
     if method == "gcm":
-        return _to_token(_encrypt(text, key["whole"], "GCM", "DEFAULT", iv))
+        return _to_token(_encrypt(text, key["whole"], "GCM", "DEFAULT", iv, place))
+    if place is not None:
+        raise ValueError("only gcm binds a token to its place")
     if method == "cbc":
         return _to_token(_encrypt(text, key["whole"], "CBC", "PKCS", iv))
     clock = F.unix_timestamp() if seconds is None else seconds
@@ -62,11 +64,11 @@ def try_token_bytes(token: Column) -> Column:
     return F.when(token.isNotNull(), F.coalesce(whole, F.lit(b"")))
 
 
-def open_bytes(raw: Column, key: Column, method: str) -> Column:
-    """Text of a token's bytes; a wrong tag, MAC or version, or bytes that are no text, fail the query."""
+def open_bytes(raw: Column, key: Column, method: str, *, place: Column | None = None) -> Column:
+    """Text of a token's bytes; a wrong tag, MAC, version or place, or bytes that are no text, fail the query."""
     check_method(method)
     if method == "gcm":
-        return _text(F.aes_decrypt(raw, key["whole"], F.lit("GCM")))
+        return _text(F.aes_decrypt(raw, key["whole"], F.lit("GCM"), F.lit("DEFAULT"), *([] if place is None else [place])))
     if method == "cbc":
         return _text(F.aes_decrypt(raw, key["whole"], F.lit("CBC"), F.lit("PKCS")))
     sealed = F.substring(raw, 10, F.length(raw) - 9 - MAC_BYTES)
@@ -78,6 +80,16 @@ def open_bytes(raw: Column, key: Column, method: str) -> Column:
     )
 
 
+def try_open(raw: Column, key: Column, *, place: Column) -> Column:
+    """Bytes of a ``gcm`` token at its place, null for one that is changed or in another place."""
+    return F.try_aes_decrypt(raw, key["whole"], F.lit("GCM"), F.lit("DEFAULT"), place)
+
+
+def keyed_digest(message: Column, key: Column) -> Column:
+    """HMAC-SHA256 of some bytes under the first half of the key."""
+    return _mac(message, key)
+
+
 def _text(opened: Column) -> Column:
     return F.validate_utf8(opened.cast("string"))
 
@@ -104,8 +116,8 @@ def token_length(text_bytes: Column, method: str) -> Column:
     return (4 * F.ceil(raw / 3)).cast("bigint")
 
 
-def _encrypt(text: Column, key: Column, mode: str, padding: str, iv: Column | None) -> Column:
-    options = [F.lit(mode), F.lit(padding)] + ([] if iv is None else [iv])
+def _encrypt(text: Column, key: Column, mode: str, padding: str, iv: Column | None, place: Column | None = None) -> Column:
+    options = [F.lit(mode), F.lit(padding)] + ([] if iv is None and place is None else [F.lit(b"") if iv is None else iv]) + ([] if place is None else [place])
     return F.aes_encrypt(text, key, *options)
 
 

@@ -44,7 +44,7 @@ def decrypt_table(df: DataFrame, key: Keys, method: str = "gcm",
     # Decoded in a projection of its own: a method may look at the bytes more than once.
     raw = with_key(df, key, slice_column).select(KEY, *[(token_bytes(cell(c)) if c in sealed else cell(c)).alias(c) for c in df.columns])
     opened = {c: open_bytes(cell(c), F.col(KEY), method) if c in sealed else cell(c) for c in df.columns}
-    return raw.select(*[(_number(text, c, types[c]) if c in types and c in sealed else text).alias(c) for c, text in opened.items()])
+    return raw.select(*[(as_number(text, c, types[c]) if c in types and c in sealed else text).alias(c) for c, text in opened.items()])
 
 
 # The texts of numbers. Spark's cast would also take 5d, 1f and 0x1p3.
@@ -53,7 +53,8 @@ NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 SPECIAL = r"^([+-]?inf|nan)$"
 
 
-def _number(text: Column, name: str, type_: str) -> Column:
+def as_number(text: Column, name: str, type_: str) -> Column:
+    """The text as a number of the type; text that is none fails the query."""
     if type_ in ("double", "float"):
         shape = F.rlike(text, F.lit(f"{NUMBER}|{SPECIAL}"))
     else:
