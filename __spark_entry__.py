@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sealframe.functions.keyring import KEY_ID, KeyRing
 from sealframe.functions.keys import KEY as KEY_COLUMN, with_key
 from sealframe.functions.text import cell, cell_text
 from sealframe.functions.tokens import METHODS, open_bytes, seal, token_bytes
@@ -39,6 +40,8 @@ COLUMNS = ORDER_LINES.columns
 CATEGORY = "A"
 DATABASE = "sealframe_checks"
 RANK_ERROR = 0.005
+# Far below what a key could seal, so that the given tables need several.
+CELLS_A_KEY = 20_000
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -143,6 +146,17 @@ def _slices(spark, sf_dir):
     return decrypt_table(tokens, keys, "gcm", {"o_orderkey": "bigint", "o_totalprice": "double"}, slice_column="o_orderstatus")
 
 
+def _key_ring(spark, sf_dir):
+    """Lines by their flag, each flag with as many stored keys as its cells need: cells and keys of each, and how many open."""
+    lines, ring = _lines(spark, sf_dir), KeyRing(spark, shared_folder(spark), KEY, CELLS_A_KEY)
+    path = sink_csv_encrypted(lines, shared_folder(spark), "lineitem.csv", ring, partitions=_parts(spark), slice_column="l_returnflag")
+    tokens = read_csv_sink(spark, path, ", ".join(f"{c} string" for c in [*COLUMNS, KEY_ID]))
+    per_key = decrypt_table(tokens, ring, "gcm", MEASURES).agg(F.count("*").alias("rows"), F.sum("l_quantity").alias("quantity"))
+    used = ring.usage(tokens).join(ring.keys().select(KEY_ID, "slice"), KEY_ID)
+    slices = used.groupBy(F.substring("slice", 2, 1).alias("l_returnflag")).agg(F.sum("cells").alias("cells"), (F.max("cells") <= CELLS_A_KEY).alias("kept"), (F.count("*") > 1).alias("several"))
+    return slices.crossJoin(per_key)
+
+
 def _tamper(method: str):
     """Store tokens, change one character in the tax of returned and the discount of open lines."""
     def query(spark, sf_dir):
@@ -294,6 +308,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "encrypt_table": _encrypt_table,
         "decrypt_table": _decrypt_table,
         "key_per_slice": _slices,
+        "key_ring": _key_ring,
         "tamper_report": _tamper("gcm"),
         "tamper_report_fernet": _tamper("fernet"),
         "place_report": _place_report,
@@ -481,6 +496,9 @@ def oracle_sql() -> dict[str, str]:
         "decrypt_table": """
             SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders""",
         "key_per_slice": "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders",
+        "key_ring": f"""
+            SELECT l_returnflag, CAST(5 * count(*) AS BIGINT) AS cells, TRUE AS kept, 5 * count(*) > {CELLS_A_KEY} AS several,
+                   (SELECT count(*) FROM lineitem) AS rows, (SELECT sum(l_quantity) FROM lineitem) AS quantity FROM lineitem GROUP BY l_returnflag""",
         "tamper_report": _tampered(),
         "tamper_report_fernet": _tampered(),
         "place_report": _DISORDER,

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import base64
 import binascii
+from typing import TYPE_CHECKING, Union
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sealframe.functions.text import cell
 
+if TYPE_CHECKING:
+    from sealframe.functions.keyring import KeyRing
+
 # The key size, and the block size and pad bytes of HMAC-SHA256 (RFC 2104).
 KEY_BYTES = 32
 HMAC_BLOCK = 64
@@ -34,8 +38,12 @@ def check_key(key: bytes) -> bytes:
     return bytes(key)
 
 
-# One key, or a key for each value (as text) of a slice column.
-Keys = bytes | dict[str, bytes]
+# One key, a key for each value (as text) of a slice column, or a ring of stored keys.
+Keys = Union[bytes, dict[str, bytes], "KeyRing"]
+
+
+def is_ring(key: Keys) -> bool:
+    return hasattr(key, "keyed")
 
 
 def with_key(df: DataFrame, key: Keys, slice_column: str | None = None, name: str = KEY) -> DataFrame:
@@ -44,12 +52,15 @@ def with_key(df: DataFrame, key: Keys, slice_column: str | None = None, name: st
     A literal key would be printed in plans, the UI and event logs, and would let the
     optimizer fold a constant cell into one shared token. A scalar subquery over a local
     relation prints only its column names, is not foldable and needs no join. With
-    ``slice_column`` it is a map; a value without a key fails the query, a null one too.
+    ``slice_column`` it is a map; a value without a key fails the query, a null one too. A ring joins its
+    table of keys instead.
     """
+    if is_ring(key):
+        return key.keyed(df, slice_column, name)
     keys = {"": key} if slice_column is None else key
     if not isinstance(keys, dict) or not keys:
         raise ValueError("a slice column needs a key for each of its values")
-    parts = {name: _parts(value) for name, value in keys.items()}
+    parts = {name: key_parts(value) for name, value in keys.items()}
     fields = list(next(iter(parts.values())))
     table = pa.table({"slice": pa.array(list(parts), pa.string())} | {f: pa.array([p[f] for p in parts.values()], pa.binary()) for f in fields})
     material = df.sparkSession.createDataFrame(table)
@@ -61,7 +72,8 @@ def with_key(df: DataFrame, key: Keys, slice_column: str | None = None, name: st
     return df.select("*", F.coalesce(found, missing.cast(f"struct<{','.join(f'{f}:binary' for f in fields)}>")).alias(name))
 
 
-def _parts(key: bytes) -> dict[str, bytes]:
+def key_parts(key: bytes) -> dict[str, bytes]:
+    """A key and what the methods derive from it."""
     key = check_key(key)
     signing, sealing = key[:16], key[16:]
     padded = signing.ljust(HMAC_BLOCK, b"\0")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sealframe.functions.keys import KEY, Keys, with_key
+from sealframe.functions.keyring import KEY_ID
+from sealframe.functions.keys import KEY, Keys, is_ring, with_key
 from sealframe.functions.text import cell, cell_text
 from sealframe.functions.tokens import check_method, open_bytes, seal, token_bytes
 from sealframe.session import dealt
@@ -20,14 +21,19 @@ def encrypt_table(df: DataFrame, key: Keys, method: str = "gcm", *, hide_nulls:
     expression of the same input share one token within a row; stored columns never do.
 
     With ``slice_column``, ``key`` has a key for the text of each of its values, and the column itself
-    stays clear, so that the rows can be opened again.
+    stays clear, so that the rows can be opened again. A ring counts the cells of each slice when this is called, and has the keys
+    it needs for one evaluation of the result; the slice column is sealed too, and the column ``key_id`` names each row's key.
     """
     check_method(method)
-    keyed = with_key(dealt(df, partitions), key, slice_column)
-    return keyed.select(*[
-        cell(f.name) if f.name == slice_column else seal(cell_text(f.name, f.dataType, hide_nulls), F.col(KEY), method).alias(f.name)
+    rows, ring = dealt(df, partitions), is_ring(key)
+    if ring:
+        if KEY_ID in df.columns:
+            raise ValueError(f"the column name {KEY_ID} is taken")
+        key.reserve(rows, slice_column, len(df.columns))
+    return with_key(rows, key, slice_column).select(*[
+        cell(f.name) if f.name == slice_column and not ring else seal(cell_text(f.name, f.dataType, hide_nulls), F.col(KEY), method).alias(f.name)
         for f in df.schema
-    ])
+    ], *([KEY_ID] if ring else []))
 
 
 def decrypt_table(df: DataFrame, key: Keys, method: str = "gcm",
@@ -40,11 +46,13 @@ def decrypt_table(df: DataFrame, key: Keys, method: str = "gcm",
     """
     check_method(method)
     types = numeric_columns if isinstance(numeric_columns, dict) else dict.fromkeys(numeric_columns, "double")
-    sealed = [c for c in df.columns if c != slice_column]
+    # A ring needs no slices to open: every row names its key.
+    sealed = [c for c in df.columns if c != (KEY_ID if is_ring(key) else slice_column)]
     # Decoded in a projection of its own: a method may look at the bytes more than once.
     raw = with_key(df, key, slice_column).select(KEY, *[(token_bytes(cell(c)) if c in sealed else cell(c)).alias(c) for c in df.columns])
     opened = {c: open_bytes(cell(c), F.col(KEY), method) if c in sealed else cell(c) for c in df.columns}
-    return raw.select(*[(as_number(text, c, types[c]) if c in types and c in sealed else text).alias(c) for c, text in opened.items()])
+    return raw.select(*[(as_number(text, c, types[c]) if c in types and c in sealed else text).alias(c)
+                        for c, text in opened.items() if c in sealed or not is_ring(key)])
 
 
 # The texts of numbers. Spark's cast would also take 5d, 1f and 0x1p3.

@@ -14,7 +14,7 @@ import hmac
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sealframe.functions.keys import KEY, Keys, with_key
+from sealframe.functions.keys import KEY, Keys, is_ring, with_key
 from sealframe.functions.text import cell, cell_text
 from sealframe.functions.tokens import keyed_digest, open_bytes, seal, token_bytes, try_open, try_token_bytes
 from sealframe.operators.cipher import as_number
@@ -28,6 +28,8 @@ ROW, CELL = "row", "cell"
 
 
 def _tag_keys(key: Keys) -> Keys:
+    if is_ring(key):
+        raise TypeError("places are bound with one key, or one for each slice")
     derive = lambda k: hmac.new(k, LABEL, hashlib.sha256).digest()
     return {name: derive(k) for name, k in key.items()} if isinstance(key, dict) else derive(key)
 
