@@ -432,10 +432,12 @@ COLUMNS = {c.split()[0]: c for c in (x.strip() for x in SCHEMA.replace("map<stri
 
 
 def read_warc(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """These columns of all records. Conditions on header columns that follow are pushed into the scan."""
+    """These columns of all records. Conditions on header columns that follow are pushed into the scan, whose partitions have the size
+    of Spark's own."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
-    return spark.read.format(FORMAT).schema(", ".join(COLUMNS[c].replace(";", ",") for c in columns)).load(path)
+    size = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return spark.read.format(FORMAT).option("partitionBytes", size).schema(", ".join(COLUMNS[c].replace(";", ",") for c in columns)).load(path)
 
 
 # Pages
