@@ -13,7 +13,13 @@ _U = np.uint64
 # One pseudo-random odd number per byte value, the same in every process.
 BYTES = np.random.Generator(np.random.PCG64(2024)).integers(0, 1 << 63, 256, dtype=_U) * _U(2) + _U(1)
 
-_powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, _U), np.ones(1, _U))
+# The polynomials are modulo a Mersenne prime, with two bases. Modulo a power of two, words like Thue and Morse's and
+# their complements would have the same hash whatever the base.
+PRIME_BITS = 31
+PRIME = _U((1 << PRIME_BITS) - 1)
+BASES = (BASE % int(PRIME), MIX[0][1] % int(PRIME))
+
+_powers: list[tuple[np.ndarray, np.ndarray]] = [(np.ones(1, np.uint32), np.ones(1, np.uint32))] * 2
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -23,16 +29,31 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(32))
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE ** i and its inverse modulo 2 ** 64 for i < n, kept per Python worker."""
+def folded(x: np.ndarray) -> np.ndarray:
+    """A number below twice the prime that is congruent to ``x``, which is below 2 ** 63."""
+    x = (x & PRIME) + (x >> _U(PRIME_BITS))
+    return (x & PRIME) + (x >> _U(PRIME_BITS))
+
+
+def reduced(x: np.ndarray) -> np.ndarray:
+    x = folded(x)
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each base its powers and their inverses modulo the prime, for exponents below n, kept per Python worker."""
     global _powers
-    if len(_powers[0]) < n:
+    if len(_powers[0][0]) < n:
         both = []
-        for base in (BASE, pow(BASE, -1, 1 << 64)):
-            a = np.full(n, base, _U)
-            a[0] = 1
-            both.append(np.cumprod(a))
-        _powers = both[0], both[1]
+        for base in BASES:
+            pair = []
+            for one in (base, pow(base, -1, int(PRIME))):
+                a = np.ones(1, _U)
+                while len(a) < n:
+                    a = np.concatenate([a, reduced(a * _U(pow(one, len(a), int(PRIME))))])
+                pair.append(a[:n].astype(np.uint32))
+            both.append(tuple(pair))
+        _powers = both
     return _powers
 
 
@@ -62,11 +83,14 @@ def slices(column, size: int = 4 << 20):
 
 def span_hashes(buffer: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray = BYTES) -> np.ndarray:
     """A hash of the bytes from each start to its end, wherever they stand."""
-    up, down = powers(len(buffer) + 1)
-    sums = np.zeros(len(buffer) + 1, _U)
-    np.cumsum(table[buffer] * up[:len(buffer)], out=sums[1:])
+    found = np.zeros(len(start), _U)
+    for part, (up, down) in enumerate(powers(len(buffer) + 1)):
+        numbers = (table >> _U(32 * part)) & PRIME
+        sums = np.zeros(len(buffer) + 1, _U)
+        np.cumsum(folded(numbers[buffer] * up[:len(buffer)]), out=sums[1:])
+        found = (found << _U(32)) | reduced(reduced(sums[end] - sums[start]) * down[start])
     # The length enters too.
-    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(_U))
+    return mix(found + (end - start).astype(_U) * _U(BASE))
 
 
 # Words are separated by space and the control characters from tab to carriage return.

@@ -4,7 +4,7 @@ The tokenizers library splits a text into pieces before it looks for tokens. Whe
 stands between two letters, digits or marks from the ranges below, no piece reaches across it, so
 the parts of a text can be encoded on their own and repeated ones only once. A text with the content
 of an added token is one part, as the tokenizer looks for those before it splits. The result is that
-of the whole text. Parts are told apart by 64-bit hashes.
+of the whole text. Parts are told apart by their bytes; hashes only find those met before.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import re
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
 from sealframe.llm.bytehash import slices, span_hashes, text_buffer
 
@@ -75,9 +76,11 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.hashes = np.zeros(0, np.uint64)  # sorted
+        self.hashes = np.zeros(0, np.uint64)  # sorted; of each part its ids and its bytes
         self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.bytes_at, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.flat, self.used = np.zeros(1 << 16, "<u4"), 0
+        self.bytes = np.zeros(0, np.uint8)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for i in range(0, len(texts), 8192)
@@ -99,20 +102,29 @@ class Encoder:
         start = parts(buffer, offsets, self.uncut(raw, offsets))
         owner = np.searchsorted(offsets, start, "right") - 1
         stop = np.minimum(np.append(start[1:], len(buffer)), offsets[owner + 1]) if len(start) else start
-        unique, first, back = np.unique(span_hashes(buffer, start, stop), return_index=True, return_inverse=True)
-
-        at = np.minimum(np.searchsorted(self.hashes, unique), max(len(self.hashes) - 1, 0))
-        known = self.hashes[at] == unique if len(self.hashes) else np.zeros(len(unique), bool)
-        begin, count = np.zeros(len(unique), np.int64), np.zeros(len(unique), np.int32)
-        if known.any():
-            begin[known], count[known] = self.starts[at[known]], self.lengths[at[known]]
+        # The parts cover all texts, so they are a column of their own; different ones are told apart by their bytes.
+        edges = pa.py_buffer(np.append(start, len(buffer)).astype(np.int64))
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, edges, pa.py_buffer(raw)]).dictionary_encode()
+        back = coded.indices.to_numpy()
+        text, ends = text_buffer(coded.dictionary.view(pa.large_string()))
+        at, size = ends[:-1], np.diff(ends)
+        hashes = span_hashes(text, at, ends[1:])
+
+        begin, count = np.zeros(len(at), np.int64), np.zeros(len(at), np.int32)
+        known = np.zeros(len(at), bool)
+        if len(self.hashes) and len(at):
+            place = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            known = (self.hashes[place] == hashes) & (self.sizes[place] == size)
+            maybe = np.flatnonzero(known)
+            known[maybe] = same_bytes(text, at[maybe], self.bytes, self.bytes_at[place[maybe]], size[maybe])
+            begin[known], count[known] = self.starts[place[known]], self.lengths[place[known]]
         # Long parts are seldom met again: they come last, and their ids end with this batch's.
         new = np.flatnonzero(~known)
-        long = (stop - start)[first[new]] > LONGEST
+        long = size[new] > LONGEST
         keep = new[~long]
         new = np.concatenate([keep, new[long]])
-        spans = list(zip(start[first[new]].tolist(), stop[first[new]].tolist()))
-        fresh, lengths = self.encode([raw[a:b].decode() for a, b in spans])
+        whole = text.tobytes()
+        fresh, lengths = self.encode([whole[a:b].decode() for a, b in zip(at[new].tolist(), ends[1:][new].tolist())])
         begin[new], count[new] = self.used + np.cumsum(lengths) - lengths, lengths
         while self.used + len(fresh) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), "<u4")])
@@ -132,14 +144,31 @@ class Encoder:
             self.forget()
         elif len(keep):
             self.used += int(lengths[:len(keep)].sum())
-            hashes = np.concatenate([self.hashes, unique[keep]])
+            hashes = np.concatenate([self.hashes, hashes[keep]])
             order = np.argsort(hashes, kind="stable")
             self.hashes = hashes[order]
             self.starts = np.concatenate([self.starts, begin[keep]])[order]
             self.lengths = np.concatenate([self.lengths, count[keep]])[order]
+            sizes = size[keep]
+            self.bytes_at = np.concatenate([self.bytes_at, len(self.bytes) + np.cumsum(sizes) - sizes])[order]
+            self.sizes = np.concatenate([self.sizes, sizes.astype(np.int32)])[order]
+            self.bytes = np.concatenate([self.bytes, text[spread(at[keep], sizes)]])
         return target, out_offsets
 
 
+def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of spans, one span after the other."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
+def same_bytes(a: np.ndarray, a_start: np.ndarray, b: np.ndarray, b_start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether spans of equal sizes, none of them empty, hold the same bytes."""
+    if not len(size):
+        return np.zeros(0, bool)
+    differ = a[spread(a_start, size)] != b[spread(b_start, size)]
+    return np.add.reduceat(differ, np.cumsum(size) - size, dtype=np.int64) == 0
+
+
 def encoder(path: str) -> Encoder:
     """One per Python worker and file."""
     if path not in _encoders:

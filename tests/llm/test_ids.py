@@ -133,3 +133,47 @@ def test_no_documents(documents, spark):
     path = f"{shared_folder(spark)}/ids"
     write_ids(documents([]), path, public_tokenizers.path(FILES[0]), 2)
     assert read_ids(spark, path).collect() == []
+
+
+def thue_morse(n):
+    """The word of n letters and its complement, which polynomials modulo powers of two do not tell apart."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [1 << k for k in range(4, 17)])
+def test_texts_that_simple_hashes_confuse(n):
+    from sealframe.llm.bytehash import span_hashes
+
+    one, other = thue_morse(n)
+    raw = np.frombuffer((one + other).encode(), np.uint8)
+    hashes = span_hashes(raw, np.array([0, n]), np.array([n, 2 * n]))
+    assert hashes[0] != hashes[1]
+
+
+@pytest.mark.parametrize("file", FILES)
+def test_parts_are_told_apart_by_their_bytes(file, monkeypatch):
+    """Whatever the hashes: all the same, or those of the odd words."""
+    from sealframe.llm import tokens
+
+    path = public_tokenizers.path(file)
+    plain = Tokenizer.from_file(path)
+    texts = [*thue_morse(4096), *ODD, *thue_morse(2048)]
+    want = [plain.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+    for hashed in (tokens.span_hashes, lambda buffer, start, end: np.zeros(len(start), np.uint64)):
+        monkeypatch.setattr(tokens, "span_hashes", hashed)
+        own = Encoder(path)
+        for _ in range(3):  # the second time from memory
+            ids, offsets = own.ids(pa.array(texts, pa.string()), 2)
+            assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == want
+
+
+def test_hashes_do_not_depend_on_the_place():
+    from sealframe.llm.bytehash import span_hashes
+
+    text = b"x" * 3 + b"same words" + b"y" * 100_000 + b"same words"
+    raw, at = np.frombuffer(text, np.uint8), np.array([3, len(text) - 10])
+    hashes = span_hashes(raw, at, at + 10)
+    assert hashes[0] == hashes[1] == span_hashes(np.frombuffer(b"same words", np.uint8), np.array([0]), np.array([10]))[0]
+    one = span_hashes(np.frombuffer(b"ab", np.uint8), np.array([0, 1, 0, 0]), np.array([1, 2, 2, 0]))
+    assert len(set(one.tolist())) == 4

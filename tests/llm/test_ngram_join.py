@@ -133,3 +133,11 @@ def test_components(spark, links):
             label = {k: new if v == old else v for k, v in label.items()}
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert got == label
+
+
+def test_words_that_simple_hashes_confuse(documents):
+    """A word of Thue and Morse and its complement are different n-grams."""
+    bits = [bin(i).count("1") % 2 for i in range(4096)]
+    one, other = ("".join(pair[b] for b in bits) for pair in ("ab", "ba"))
+    rows = jaccard_classes(documents([(1, one), (2, other), (3, f"a b c d {one}"), (4, f"a b c d {other}"), (5, one)])).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
