@@ -1,9 +1,12 @@
 """Passages that repeat across documents, exactly or with edits, by seeds, chains and alignment.
 
-1. Seeds: the winnowed hashes of a text's runs of ``seed`` words. Every seed that several documents have is
-   matched with its first occurrence (smallest document id), so the number of matches is that of the seeds.
+1. Seeds: the winnowed hashes of a text's runs of ``seed`` words, which edited passages still share, and of its runs of
+   ``long`` words, which only texts with all of these share. Every seed that several documents have is matched with its first
+   occurrence (smallest document id), so the number of matches is that of the seeds. A passage whose parts have first
+   occurrences of their own, in different documents, is found by its long seeds.
 2. Chains: the matches of a document with one earlier document, merged to runs, are chained in
-   order by dynamic programming with gap costs, over all runs that end within the gap.
+   order by dynamic programming with gap costs, the best run before each from a Fenwick tree that runs beyond
+   the gap leave.
 3. Alignment: the words under each chain, and some on both sides, are aligned; the chain's passage is
    the stretch with the highest score around it, or, where too few of its words agree, every stretch
    within it that is a passage by itself.
@@ -13,7 +16,6 @@ Of a passage, all occurrences but that in the earliest document are reported.
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,7 +38,8 @@ FLUSH = 1_000_000  # seeds that a task gathers before it ships them
 class Passage:
     """``words``: the shortest passage; ``same``: the least part of its words that agree.
 
-    ``seed`` and ``window``: every run of seed + window - 1 words that two texts share has a common seed.
+    ``seed``, ``long`` and ``window``: every run of seed + window - 1 words that two texts share has a common seed, and every one of
+    long + window - 1 words a common long seed.
     ``gap``: words that a chain may skip at once, ``gap_cost``: score that each takes. ``chain``: words
     that a chain spans at least. ``margin``: words around a chain that are aligned too.
     """
@@ -44,6 +47,7 @@ class Passage:
     words: int = 50
     same: float = 0.7
     seed: int = 6
+    long: int = 43
     window: int = 8
     gap: int = 32
     gap_cost: float = 0.25
@@ -53,32 +57,40 @@ class Passage:
 
 def seeds(column, how: Passage) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Key, text number, first word of the winnowed seeds of an Arrow column of texts, and the first
-    word of the text's first seed with the same words.
+    word of the text's first seed with the same words. Words of long seeds are given as -1 - word.
 
     Of every ``window`` runs in a row the one with the smallest hash is taken, of a text with fewer the
-    smallest. The n-th seed of a text with the same words has a key for n, so that texts which repeat
+    smallest (none for long seeds). The n-th seed of a text with the same words has a key for n, so that texts which repeat
     themselves are matched repetition by repetition.
     """
     buffer, offsets = bytehash.text_buffer(column)
     start, end, owner = bytehash.word_spans(buffer, offsets)
-    texts = len(offsets) - 1
-    runs = bytehash.window_hashes(bytehash.span_hashes(buffer, start, end, LOWER_BYTES), how.seed)
+    hashes = bytehash.span_hashes(buffer, start, end, LOWER_BYTES)
+    short, long = _winnowed(hashes, owner, len(offsets) - 1, how.seed, how.window, True), _winnowed(hashes, owner, len(offsets) - 1, how.long, how.window, False)
+    return tuple(np.concatenate([a, b if i < 2 else -1 - b]) for i, (a, b) in enumerate(zip(short, long)))
+
+
+def _winnowed(hashes: np.ndarray, owner: np.ndarray, texts: int, size: int, window: int, few: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The seeds of one size; ``few``: whether texts with less than ``window`` runs have one too."""
+    runs = bytehash.window_hashes(hashes, size)
     if not len(runs):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    whole = owner[:len(runs)] == owner[how.seed - 1:]
+    # Seeds of different sizes are different, whatever they hash to.
+    runs = runs if few else bytehash.mix(runs + np.uint64(size))
+    whole = owner[:len(runs)] == owner[size - 1:]
     text, runs = owner[:len(runs)][whole], runs[whole]
     first_word = np.searchsorted(owner, np.arange(texts))
     word = np.flatnonzero(whole) - first_word[text]
     taken = np.zeros(len(runs), bool)
-    if len(runs) >= how.window:
-        views = np.lib.stride_tricks.sliding_window_view(runs, how.window)
-        inside = text[:len(views)] == text[how.window - 1:]
+    if len(runs) >= window:
+        views = np.lib.stride_tricks.sliding_window_view(runs, window)
+        inside = text[:len(views)] == text[window - 1:]
         for a in range(0, len(views), 1 << 18):
             some = np.flatnonzero(inside[a:a + (1 << 18)]) + a
             taken[some + views[some].argmin(axis=1)] = True
     count = np.bincount(text, minlength=texts)
     begin = np.cumsum(count) - count
-    for t in np.flatnonzero((count > 0) & (count < how.window)):
+    for t in np.flatnonzero((count > 0) & (count < window)) if few else ():
         taken[begin[t] + runs[begin[t]:begin[t] + count[t]].argmin()] = True
     runs, text, word = runs[taken], text[taken], word[taken]
     order = np.lexsort((word, runs, text))
@@ -91,51 +103,62 @@ def seeds(column, how: Passage) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
 
 
 class Fenwick:
-    """The best (score, item) among the positions up to a given one."""
+    """The best (score, item) among the positions up to a given one. Items are put with rising ``x``, and those below a
+    least ``x`` can be left out."""
 
     def __init__(self, size: int):
-        self.best = [(-np.inf, -1)] * (size + 1)
+        # A node's items that may still be the best: with falling scores, the best one first.
+        self.best: list[deque[tuple[float, float, int]] | None] = [None] * (size + 1)
 
-    def put(self, at: int, score: float, item: int) -> None:
+    def put(self, at: int, score: float, item: int, x: float = 0) -> None:
         at += 1
         while at < len(self.best):
-            if score > self.best[at][0]:
-                self.best[at] = (score, item)
+            held = self.best[at] = self.best[at] or deque()
+            while held and held[-1][1] <= score:
+                held.pop()
+            held.append((x, score, item))
             at += at & -at
 
-    def get(self, to: int) -> tuple[float, int]:
+    def get(self, to: int, least: float = -np.inf) -> tuple[float, int]:
         to, found = to + 1, (-np.inf, -1)
         while to > 0:
-            if self.best[to][0] > found[0]:
-                found = self.best[to]
+            held = self.best[to]
+            while held and held[0][0] < least:
+                held.popleft()
+            if held and held[0][1] > found[0]:
+                found = held[0][1:]
             to -= to & -to
         return found
 
 
 class Nearest:
-    """The best (score, item) among the runs that end no more than ``gap`` words before a place. They
-    are put in the order of their ends in x."""
+    """The best (score, item) among the runs that end no more than ``gap`` words before a place in both texts. They
+    are put in the order of their ends in x.
+
+    End places in p are cut into blocks of gap + 1. Those within the gap of a place are the first ones of its block and the last
+    ones of the block before, so a block has a tree for either.
+    """
 
     def __init__(self, gap: int):
-        self.gap = gap
-        # By their end in p: runs with falling scores, the best one first.
-        self.at: dict[int, deque[tuple[int, float, int]]] = {}
+        self.gap, self.width = gap, gap + 1
+        self.blocks: dict[int, tuple[Fenwick, Fenwick]] = {}
 
     def put(self, x: int, p: int, score: float, item: int) -> None:
-        held = self.at.setdefault(p, deque())
-        while held and held[-1][1] <= score:
-            held.pop()
-        held.append((x, score, item))
-
-    def get(self, x: int, ends: list[int]) -> tuple[float, int]:
-        """Of those that end in p at one of ``ends``, for a place at ``x``."""
+        block, at = divmod(p, self.width)
+        if block not in self.blocks:
+            self.blocks[block] = Fenwick(self.width), Fenwick(self.width)
+        first, last = self.blocks[block]
+        first.put(at, score, item, x)
+        last.put(self.width - 1 - at, score, item, x)
+
+    def get(self, x: int, ends: range) -> tuple[float, int]:
+        """Of those that end in p at one of ``ends``, the places within the gap, for a place at ``x``."""
+        block, at = divmod(ends[-1], self.width)
         found = (-np.inf, -1)
-        for p in ends:
-            held = self.at.get(p)
-            while held and held[0][0] < x - self.gap:
-                held.popleft()
-            if held and held[0][1] > found[0]:
-                found = held[0][1:]
+        if block in self.blocks:
+            found = self.blocks[block][0].get(at, x - self.gap)
+        if at < self.width - 1 and block - 1 in self.blocks:
+            found = max(found, self.blocks[block - 1][1].get(self.width - 2 - at, x - self.gap))
         return found
 
 
@@ -155,7 +178,6 @@ def chains(x: np.ndarray, p: np.ndarray, how: Passage) -> list[tuple[int, int, i
     if len(runs) == 1:
         best = [[0]]
     else:
-        ends = sorted({r[3] for r in runs})
         near = Nearest(how.gap)
         score, before = [0.0] * len(runs), [-1] * len(runs)
         done = sorted(range(len(runs)), key=lambda i: runs[i][1])
@@ -166,7 +188,7 @@ def chains(x: np.ndarray, p: np.ndarray, how: Passage) -> list[tuple[int, int, i
                 near.put(runs[j][1], runs[j][3], score[j] + how.gap_cost * (runs[j][1] + runs[j][3]), j)
                 at += 1
             score[i] = own
-            value, j = near.get(xa, ends[bisect_left(ends, pa_ - how.gap):bisect_right(ends, pa_)])
+            value, j = near.get(xa, range(pa_ - how.gap, pa_ + 1))
             value -= how.gap_cost * (xa + pa_)
             if j >= 0 and value > 0:
                 score[i], before[i] = score[i] + value, j
@@ -187,6 +209,15 @@ def chains(x: np.ndarray, p: np.ndarray, how: Passage) -> list[tuple[int, int, i
     return found
 
 
+def _shortened(doc: np.ndarray, word: np.ndarray, to_doc: np.ndarray, to_word: np.ndarray, how: Passage) -> tuple[np.ndarray, ...]:
+    """Matches with every long seed as the seeds side by side that cover its words."""
+    long = word < 0
+    steps = np.append(np.arange(0, how.long - how.seed, how.seed), how.long - how.seed)
+    many = [np.repeat(a[long], len(steps)) for a in (doc, to_doc)]
+    words = [(-1 - a[long][:, None] + steps).ravel() for a in (word, to_word)]
+    return tuple(np.concatenate([a[~long], b]) for a, b in zip((doc, word, to_doc, to_word), (many[0], words[0], many[1], words[1])))
+
+
 ENTRIES = "bucket int, batch bigint, keys binary, docs binary, words binary, own binary"
 FOUND = "batch bigint, docs binary, words binary, to_docs binary, to_words binary, own binary"
 CHAINS = "doc bigint, start int, end int, to_doc bigint, to_start int, to_end int, straight boolean"
@@ -296,6 +327,7 @@ def chained(rows: DataFrame, how: Passage) -> DataFrame:
         alone = (_find(doc, word, again[0], again[1]) < 0) & (at >= 0)
         doc, word = np.concatenate([doc, again[0][alone]]), np.concatenate([word, again[1][alone]])
         to_doc, to_word = np.concatenate([to_doc, to_doc[at[alone]]]), np.concatenate([to_word, to_word[at[alone]]])
+        doc, word, to_doc, to_word = _shortened(doc, word, to_doc, to_word, how)
         order = np.lexsort((word, to_doc, doc))
         doc, word, to_doc, to_word = doc[order], word[order], to_doc[order], to_word[order]
         cut = np.flatnonzero((np.diff(doc) != 0) | (np.diff(to_doc) != 0)) + 1

@@ -188,3 +188,69 @@ def test_alignment_stops_at_the_passage():
     a, b = np.arange(100), np.concatenate([np.arange(500, 520), np.arange(30, 80), np.arange(700, 720)])
     assert align(a, b, (40, 60, 30, 50), True, Passage()) == (30, 80, 50)
     assert align(a, b, (40, 60, 30, 50), False, Passage()) == (30, 80, 50)
+
+
+def test_a_long_run_has_a_long_seed():
+    how, draw = Passage(), random.Random(12)
+    for _ in range(50):
+        run = words(draw, how.long + how.window - 1)
+        texts = [" ".join(words(draw, draw.randint(0, 30)) + run + words(draw, draw.randint(0, 30))) for _ in range(2)]
+        key, text, word, _ = seeds(pa.array(texts), how)
+        assert set(key[(text == 0) & (word < 0)].tolist()) & set(key[(text == 1) & (word < 0)].tolist())
+
+
+@pytest.mark.parametrize("parts", [(40, 40), (30, 30, 30), (20, 42, 20), (25, 25)])
+def test_passages_whose_parts_come_from_different_documents(documents, parts):
+    """Earlier documents have a part each; two later ones have all of them, and the second is found to repeat the first."""
+    draw, rows, want = random.Random(sum(parts)), [], {}
+    for i in range(100):
+        pieces = [words(draw, n) for n in parts]
+        for j, piece in enumerate(pieces):
+            rows.append((1000 * i + j, " ".join(words(draw, 15) + piece + words(draw, 15))))
+        for j in (500, 501):
+            rows.append((1000 * i + j, " ".join(words(draw, 9) + sum(pieces, []) + words(draw, 9))))
+        want[1000 * i + 501] = [(9, 9 + sum(parts), 1000 * i + 500)]
+    assert spans(repeated_passages(documents(rows))) == want
+
+
+def exact_runs(texts, least):
+    """By comparing every window of ``least`` words with those of all earlier texts: which words of each text are in one."""
+    seen, covered = set(), {}
+    for i, text in sorted(texts.items()):
+        own = {j: tuple(text[j:j + least]) for j in range(len(text) - least + 1)}
+        marks = {j + k for j, w in own.items() if w in seen for k in range(least)}
+        if marks:
+            covered[i] = marks
+        seen |= set(own.values())
+    return covered
+
+
+def first_holders(texts, size):
+    first = {}
+    for i, text in sorted(texts.items()):
+        for j in range(len(text) - size + 1):
+            first.setdefault(tuple(text[j:j + size]), i)
+    return first
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_exact_runs_of_random_documents(documents, seed):
+    """Texts glued from runs of each other, of any length. What is missed of the words that brute force finds in a repeated run of 50 is
+    known: an earlier document has a long seed of the run, but not all of its 50 words."""
+    draw, how = random.Random(seed), Passage()
+    texts = {0: words(draw, 300)}
+    for i in range(1, 150):
+        made = []
+        while len(made) < 250:
+            source = texts[draw.randrange(i)]
+            at, n = draw.randrange(len(source)), draw.choice([10, 20, 30, 38, 42, 50, 55, 80, 120])
+            made += source[at:at + n] if draw.random() < 0.7 else words(draw, draw.randint(1, 30))
+        texts[i] = made
+    want, seeds_of, runs_of = exact_runs(texts, 50), first_holders(texts, how.long), first_holders(texts, 50)
+    got = {i: {k for a, b, _ in found for k in range(a, b)} for i, found in spans(repeated_passages(documents([(i, " ".join(t)) for i, t in texts.items()]))).items()}
+    missed = [(i, k) for i, marks in want.items() for k in marks - got.get(i, set())]
+    assert len(missed) <= 0.015 * sum(map(len, want.values()))
+    for i, k in missed:
+        t = texts[i]
+        runs = [j for j in range(max(0, k - 49), k + 1) if j + 50 <= len(t) and runs_of[tuple(t[j:j + 50])] < i]
+        assert any(seeds_of[tuple(t[j + d:j + d + how.long])] < runs_of[tuple(t[j:j + 50])] for j in runs for d in range(50 - how.long + 1))
