@@ -57,7 +57,8 @@ _SOURCE_MIX = """
     rates AS (SELECT g, share * (SELECT CAST(sum(size) AS DOUBLE) FROM docs) / CAST(sum(size) AS DOUBLE) AS rate
               FROM docs JOIN weights USING (g) GROUP BY g, share),
     steps AS (SELECT g, CAST(k AS INTEGER) AS k, sum(exp(-rate + k * ln(rate) - CASE WHEN k < 2 THEN 0 ELSE lgamma(k + 1) END))
-                     OVER (PARTITION BY g ORDER BY k) AS p FROM rates, range(200) AS r(k)),
+                     OVER (PARTITION BY g ORDER BY k) AS p
+              FROM (SELECT g, rate, unnest(range(CAST(rate + 20 * sqrt(rate) + 100 AS BIGINT))) AS k FROM rates WHERE rate > 0)),
     drawn AS (SELECT d.*, CAST('0x' || substr(md5('17:' || name), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE AS u FROM docs d),
     counted AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, d.plain,
                        (SELECT count(*) FROM steps s WHERE s.g = d.g AND s.p <= d.u) AS n FROM drawn d)
@@ -133,15 +134,13 @@ def _quality_rules_sql() -> str:
     rate, doubt = risk.share / len(rules.RULES), risk.doubt / tests
     return rf"""
     WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t,
-                      regexp_extract_all(coalesce(text, ''), '[^ 	-
-]+') AS w FROM documents),
+                      regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
     windows AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS x
                 FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
     twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, x) AS n FROM windows) WHERE n > 1),
     covered AS (SELECT r, count(DISTINCT i + j) AS n FROM twice, (VALUES (0), (1), (2)) AS v(j) GROUP BY r),
     lines AS (SELECT r, count(*) AS n, count(*) - count(DISTINCT line) AS again
-              FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^ 	-
-]') GROUP BY r),
+              FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
     measured AS (SELECT d.r, doc_id, CASE WHEN lang IN ({strata}) THEN lang ELSE 'other' END AS stratum, CAST(len(w) AS BIGINT) AS n_words,
                         CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
                         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
