@@ -26,15 +26,15 @@ SEED = 17
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the cutoffs calibrated on the labelled ones among them.
 
-    The measures are computed once for the cutoffs, of which only numbers are kept, and once more
-    where they are applied, which is cheaper than to write all texts in between.
+    Documents and measures are written side by side, so that the measures are computed once; the calibration reads
+    them without the texts.
     """
     risk = quality_rules.Risk()
-    measured = kept(quality_rules.measures(docs, ["doc_id", "lang"]))
-    cutoffs = quality_rules.calibrate(quality_rules.labelled_rows(measured, read(spark, sf_dir, "labels")), risk)
     # The row apart, so that no measure takes the place of one of its columns.
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text", "lang")
-    return quality_rules.verdicts(quality_rules.measures(rows, ["row", "lang"]), cutoffs, risk).where("kept").select("row.*")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text", "lang", "doc_id")
+    measured = kept(quality_rules.measures(rows, ["row", "lang", "doc_id"]))
+    cutoffs = quality_rules.calibrate(quality_rules.labelled_rows(measured.drop("row"), read(spark, sf_dir, "labels")), risk)
+    return quality_rules.verdicts(measured, cutoffs, risk).where("kept").select("row.*")
 
 
 @with_package
