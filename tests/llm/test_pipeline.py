@@ -109,7 +109,7 @@ def test_extra_columns_stay(spark, documents):
 
 def test_queries_are_registered():
     names = [n for n in contract.queries() if re.match(r"op\d+_", n)]
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in names] == list(range(1, 11)) and "pipeline" in contract.queries()
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in names] == list(range(1, 14)) and "pipeline" in contract.queries()
 
 
 @pytest.mark.parametrize("name", queries.oracle_sql())
