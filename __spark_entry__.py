@@ -19,7 +19,7 @@ from sealframe.functions.keys import KEY as KEY_COLUMN, with_key
 from sealframe.functions.text import cell, cell_text
 from sealframe.functions.tokens import METHODS, open_bytes, seal, token_bytes
 from sealframe.layout import ORDER_LINES
-from sealframe.operators.charts import QUARTILES, box_outliers, box_stats, histogram_bins, scatter_points
+from sealframe.operators.charts import QUARTILES, box_outliers, box_stats, finest_level, histogram_bins, scatter_points, scatter_pyramid
 from sealframe.operators.cipher import decrypt_table, encrypt_table
 from sealframe.operators.integrity import tamper_report, token_size_report
 from sealframe.operators.places import TAG, column_manifest, place_report, seal_in_place
@@ -40,6 +40,8 @@ COLUMNS = ORDER_LINES.columns
 CATEGORY = "A"
 DATABASE = "sealframe_checks"
 RANK_ERROR = 0.005
+# Rows of a scatter plot of all lines.
+CELLS = 3000
 # Far below what a key could seal, so that the given tables need several.
 CELLS_A_KEY = 20_000
 
@@ -321,6 +323,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sink_table_replaced": _sink_table_replaced,
         "sink_table_encrypted": _sink_table_encrypted,
         "scatter_points": lambda spark, d: scatter_points(_category(spark, d), "l_quantity", "l_discount"),
+        "scatter_pyramid": lambda spark, d: scatter_pyramid(_lines(spark, d), "l_quantity", "l_extendedprice", CELLS),
         "histogram_bins": lambda spark, d: histogram_bins(_category(spark, d), "l_tax"),
         "box_stats": lambda spark, d: box_stats(_category(spark, d), MEASURES),
         "box_sketch": _box_sketch,
@@ -390,6 +393,27 @@ _DISORDER = " UNION ALL ".join(_disorder(c, {
 }.get(c, "FALSE")) for c in ("o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"))
 
 
+def _pyramid(table: str, x: str, y: str) -> str:
+    """Each point's cell of every level from the edges of the finest one, whose parts are merged; whole levels that fit."""
+    parts = 1 << finest_level(CELLS)
+
+    def part(v: str) -> str:
+        # The edges decide, not the rounded quotient.
+        edge = lambda i: f"CASE WHEN {i} = {parts} THEN {v}_hi ELSE ({i}) * {v}_w + {v}_lo END"
+        guess = f"least(CAST(floor(({v} - {v}_lo) / {v}_w) AS BIGINT), {parts - 1})"
+        return f"""{guess} - CASE WHEN {v} < {edge(guess)} THEN 1 ELSE 0 END
+                   + CASE WHEN {v} >= {edge(f'{guess} + 1')} AND {guess} < {parts - 1} THEN 1 ELSE 0 END"""
+
+    return f"""
+        WITH v AS (SELECT {x} AS x, {y} AS y FROM {table} WHERE {x} IS NOT NULL AND NOT isnan({x}) AND {y} IS NOT NULL AND NOT isnan({y})),
+        s AS (SELECT min(x) AS x_lo, max(x) AS x_hi, (max(x) - min(x)) / {parts} AS x_w, min(y) AS y_lo, max(y) AS y_hi, (max(y) - min(y)) / {parts} AS y_w FROM v),
+        c AS (SELECT {part('x')} AS cx, {part('y')} AS cy FROM v, s),
+        every AS (SELECT CAST(level AS INTEGER) AS level, cx // d AS cell_x, cy // d AS cell_y, d, count(*) AS n
+                  FROM c, (SELECT level, CAST(pow(2, {finest_level(CELLS)} - level) AS BIGINT) AS d FROM range({finest_level(CELLS) + 1}) AS r(level)) GROUP BY ALL),
+        fit AS (SELECT level FROM (SELECT level, sum(count(*)) OVER (ORDER BY level) AS upto FROM every GROUP BY level) WHERE upto <= {CELLS})
+        SELECT level, cell_x, cell_y, (cell_x * d) * x_w + x_lo AS x, (cell_y * d) * y_w + y_lo AS y, n FROM every JOIN fit USING (level), s"""
+
+
 def _histogram(source: str, column: str) -> str:
     return f"""
         WITH v AS (SELECT {column} AS v FROM ({source}) WHERE {column} IS NOT NULL AND NOT isnan({column})),
@@ -511,6 +535,7 @@ def oracle_sql() -> dict[str, str]:
         "sink_table_replaced": _A,
         "sink_table_encrypted": _A,
         "scatter_points": f"SELECT l_quantity, l_discount, count(*) AS n FROM ({_A}) GROUP BY 1, 2",
+        "scatter_pyramid": _pyramid("lineitem", "l_quantity", "l_extendedprice"),
         "histogram_bins": _histogram(_A, "l_tax"),
         "box_stats": f"WITH {_quartiles(_A, MEASURES)} {_BOX}",
         "box_sketch": _RANKS_KEPT,

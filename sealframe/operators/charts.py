@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sealframe.functions.text import cell
 from sealframe.operators.ranks import exact_quantiles, present
@@ -27,6 +27,38 @@ def scatter_points(df: DataFrame, x: str, y: str) -> DataFrame:
     return points.groupBy(cell(x), cell(y)).agg(F.count("*").alias("n"))
 
 
+def finest_level(most: int) -> int:
+    """The level up to which cells are looked at: some 4 to 16 times as many as may be returned."""
+    return math.ceil(math.log2(most) / 2) + 2
+
+
+def scatter_pyramid(df: DataFrame, x: str, y: str, most: int = 10_000) -> DataFrame:
+    """A scatter plot of any number of points in at most ``most`` rows: ``level``, ``cell_x``, ``cell_y``, the cell's lower
+    left corner ``x`` and ``y``, and ``n``, the exact number of points in it.
+
+    Level k cuts the range of each measure into 2 ** k equal parts, so a cell is four of the next level. Returned are the
+    cells that have points, of all levels from the coarsest on that fit into ``most`` together. Points without both values are not
+    drawn; the last cell includes the right edge; a constant measure gets a range of one around its value.
+
+    One pass for the ranges and one for the finest cells, which are counted map-side first and from which all others follow.
+    """
+    if most < 1:
+        raise ValueError("at least one cell is returned")
+    vx, vy, finest = cell(x).cast("double"), cell(y).cast("double"), finest_level(most)
+    points = df.select(vx.alias("vx"), vy.alias("vy")).where(present(vx) & present(vy))
+    ends = points.agg(F.min("vx"), F.max("vx"), F.min("vy"), F.max("vy")).first()
+    across, up = Bins.over(x, ends[0], ends[1], 1 << finest), Bins.over(y, ends[2], ends[3], 1 << finest)
+    cells = points.groupBy(across.bin_of(F.col("vx")).alias("cx"), up.bin_of(F.col("vy")).alias("cy")).agg(F.count("*").alias("n"))
+    levels = cells.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(finest))))
+    shrink = F.expr(f"bigint(pow(2, {finest} - level))")
+    every = levels.groupBy("level", F.floor(F.col("cx") / shrink).alias("cell_x"), F.floor(F.col("cy") / shrink).alias("cell_y")).agg(F.sum("n").alias("n"))
+    # One row per level: how many cells there are up to it.
+    upto = F.sum("some").over(Window.orderBy("level"))
+    fit = every.groupBy("level").agg(F.count("*").alias("some")).withColumn("upto", upto).where(F.col("upto") <= most).select("level")
+    edge = lambda bins, at: bins.edge(F.col(at) * shrink)
+    return every.join(F.broadcast(fit), "level").select("level", "cell_x", "cell_y", edge(across, "cell_x").alias("x"), edge(up, "cell_y").alias("y"), "n")
+
+
 @dataclass(frozen=True)
 class Bins:
     """Equal-width bins between two finite values."""

@@ -1,10 +1,14 @@
 """Chart statistics against numpy."""
 
+import collections
+import math
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sealframe.operators.charts import box_outliers, box_stats, histogram_bins, scatter_points
+from sealframe.operators.charts import Bins, box_outliers, box_stats, finest_level, histogram_bins, scatter_points, scatter_pyramid
 from sealframe.operators.ranks import exact_quantiles
 
 rng = np.random.default_rng(11)
@@ -157,3 +161,48 @@ def test_histogram_needs_a_finite_range(spark):
 def test_scatter_counts_overplotted_points(spark):
     frame = spark.createDataFrame([(1.0, 2.0), (1.0, 2.0), (3.0, None), (float("nan"), 1.0), (4.0, 5.0)], "x double, y double")
     assert sorted(tuple(r) for r in scatter_points(frame, "x", "y").collect()) == [(1.0, 2.0, 2), (4.0, 5.0, 1)]
+
+
+def plain_pyramid(points, most):
+    """Every point's cell at every level, by its own range of edges."""
+    points = [(x, y) for x, y in points if None not in (x, y) and x == x and y == y]
+    finest = finest_level(most)
+    scales = [Bins.over("v", min(v, default=None), max(v, default=None), 1 << finest) for v in ([p[0] for p in points], [p[1] for p in points])]
+
+    def at(scale, v):
+        return max(i for i in range(scale.bins) if v >= scale.edges()[i])
+
+    finest_cells = [tuple(at(s, v) for s, v in zip(scales, p)) for p in points]
+    out, total = [], 0
+    for level in range(finest + 1):
+        size = 1 << (finest - level)
+        cells = collections.Counter((cx // size, cy // size) for cx, cy in finest_cells)
+        total += len(cells)
+        if total > most:
+            break
+        out += [(level, cx, cy, scales[0].edges()[cx * size], scales[1].edges()[cy * size], n) for (cx, cy), n in cells.items()]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("most", [1, 7, 60, 400])
+@pytest.mark.parametrize("kind", ["spread", "line", "hot", "constant", "one", "none"])
+def test_pyramid(spark, most, kind):
+    draw = random.Random(most)
+    points = {
+        "spread": [(draw.uniform(-1, 1), draw.uniform(0, 1000)) for _ in range(300)] + [(None, 1.0), (1.0, None), (math.nan, 2.0), (0.0, math.nan)],
+        "line": [(i / 10, i * 3.0) for i in range(101)],
+        "hot": [(0.1, 0.2)] * 200 + [(draw.gauss(0, 1), draw.gauss(0, 1)) for _ in range(100)],
+        "constant": [(5.0, float(i)) for i in range(9)],
+        "one": [(2.0, 3.0)],
+        "none": [(None, None)],
+    }[kind]
+    frame = spark.createDataFrame(points, "`a.b` double, y double").repartition(3)
+    got = sorted(map(tuple, scatter_pyramid(frame, "a.b", "y", most).collect()))
+    assert got == plain_pyramid(points, most) and len(got) <= most
+    for level in {r[0] for r in got}:
+        assert sum(r[5] for r in got if r[0] == level) == len([p for p in points if None not in p and p[0] == p[0] and p[1] == p[1]])
+
+
+def test_pyramid_needs_room(spark):
+    with pytest.raises(ValueError):
+        scatter_pyramid(spark.range(1).selectExpr("1.0 x", "2.0 y"), "x", "y", 0)
