@@ -7,19 +7,12 @@ import numpy as np
 # Fixed odd multipliers and shifts of a well-known 64-bit finaliser.
 BASE = 0x9E3779B97F4A7C15
 MIX = ((31, 0xBF58476D1CE4E5B9), (29, 0x94D049BB133111EB))
-MASK = (1 << 64) - 1
 
 _U = np.uint64
-# One pseudo-random odd number per byte value, the same in every process.
-BYTES = np.random.Generator(np.random.PCG64(2024)).integers(0, 1 << 63, 256, dtype=_U) * _U(2) + _U(1)
-
-# The polynomials are modulo a Mersenne prime, with two bases. Modulo a power of two, words like Thue and Morse's and
-# their complements would have the same hash whatever the base.
-PRIME_BITS = 31
-PRIME = _U((1 << PRIME_BITS) - 1)
-BASES = (BASE % int(PRIME), MIX[0][1] % int(PRIME))
-
-_powers: list[tuple[np.ndarray, np.ndarray]] = [(np.ones(1, np.uint32), np.ones(1, np.uint32))] * 2
+# What each byte counts as.
+BYTES = np.arange(256, dtype=np.uint8)
+# Bytes of a span that are hashed one eight after the other; longer ones are hashed as the hashes of their blocks.
+BLOCK = 128
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -29,34 +22,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(32))
 
 
-def folded(x: np.ndarray) -> np.ndarray:
-    """A number below twice the prime that is congruent to ``x``, which is below 2 ** 63."""
-    x = (x & PRIME) + (x >> _U(PRIME_BITS))
-    return (x & PRIME) + (x >> _U(PRIME_BITS))
-
-
-def reduced(x: np.ndarray) -> np.ndarray:
-    x = folded(x)
-    return np.where(x >= PRIME, x - PRIME, x)
-
-
-def powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each base its powers and their inverses modulo the prime, for exponents below n, kept per Python worker."""
-    global _powers
-    if len(_powers[0][0]) < n:
-        both = []
-        for base in BASES:
-            pair = []
-            for one in (base, pow(base, -1, int(PRIME))):
-                a = np.ones(1, _U)
-                while len(a) < n:
-                    a = np.concatenate([a, reduced(a * _U(pow(one, len(a), int(PRIME))))])
-                pair.append(a[:n].astype(np.uint32))
-            both.append(tuple(pair))
-        _powers = both
-    return _powers
-
-
 def text_buffer(column) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of an Arrow string column; nulls are empty."""
     column = column.fill_null("").cast("large_string")
@@ -82,15 +47,30 @@ def slices(column, size: int = 4 << 20):
 
 
 def span_hashes(buffer: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray = BYTES) -> np.ndarray:
-    """A hash of the bytes from each start to its end, wherever they stand."""
-    found = np.zeros(len(start), _U)
-    for part, (up, down) in enumerate(powers(len(buffer) + 1)):
-        numbers = (table >> _U(32 * part)) & PRIME
-        sums = np.zeros(len(buffer) + 1, _U)
-        np.cumsum(folded(numbers[buffer] * up[:len(buffer)]), out=sums[1:])
-        found = (found << _U(32)) | reduced(reduced(sums[end] - sums[start]) * down[start])
-    # The length enters too.
-    return mix(found + (end - start).astype(_U) * _U(BASE))
+    """A hash of the bytes from each start to its end, wherever they stand, each taken for what ``table`` says."""
+    data = buffer if table is BYTES else table[buffer]
+    size = end - start
+    # The length enters first.
+    found = mix(size.astype(_U) + _U(BASE))
+    long = np.flatnonzero(size > BLOCK)
+    if len(long):
+        blocks = -(-size[long] // BLOCK)
+        ends = np.cumsum(blocks)
+        first = np.repeat(start[long], blocks) + BLOCK * (np.arange(ends[-1]) - np.repeat(ends - blocks, blocks))
+        parts = span_hashes(data, first, np.minimum(first + BLOCK, np.repeat(end[long], blocks)))
+        found[long] = mix(found[long] ^ span_hashes(parts.view(np.uint8), 8 * (ends - blocks), 8 * ends))
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[:len(data)] = data
+    eights = np.ndarray(len(data) + 1, "<u8", padded.data, strides=(1,))  # those that begin at each byte
+    at, done = np.flatnonzero((size > 0) & (size <= BLOCK)), 0
+    while len(at):
+        rest = np.minimum(size[at] - done, 8)
+        # Nothing of what comes after the span.
+        kept = eights[start[at] + done] << (8 * (8 - rest)).astype(_U)
+        found[at] = mix(found[at] ^ kept)
+        done += 8
+        at = at[size[at] > done]
+    return found
 
 
 # Words are separated by space and the control characters from tab to carriage return.

@@ -59,8 +59,8 @@ def seeds(column, how: Passage) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     """Key, text number, first word of the winnowed seeds of an Arrow column of texts, and the first
     word of the text's first seed with the same words. Words of long seeds are given as -1 - word.
 
-    Of every ``window`` runs in a row the one with the smallest hash is taken, of a text with fewer the
-    smallest (none for long seeds). The n-th seed of a text with the same words has a key for n, so that texts which repeat
+    Of every ``window`` runs in a row the one with the smallest hash is taken (all that have it), of a text with fewer the
+    first smallest (none for long seeds). The n-th seed of a text with the same words has a key for n, so that texts which repeat
     themselves are matched repetition by repetition.
     """
     buffer, offsets = bytehash.text_buffer(column)
@@ -83,11 +83,14 @@ def _winnowed(hashes: np.ndarray, owner: np.ndarray, texts: int, size: int, wind
     word = np.flatnonzero(whole) - first_word[text]
     taken = np.zeros(len(runs), bool)
     if len(runs) >= window:
-        views = np.lib.stride_tricks.sliding_window_view(runs, window)
-        inside = text[:len(views)] == text[window - 1:]
-        for a in range(0, len(views), 1 << 18):
-            some = np.flatnonzero(inside[a:a + (1 << 18)]) + a
-            taken[some + views[some].argmin(axis=1)] = True
+        # The smallest of every ``window`` in a row, by minima of ever more.
+        least, many = runs, 1
+        while many < window:
+            step = min(many, window - many)
+            least, many = np.minimum(least[:-step], least[step:]), many + step
+        inside = text[:len(least)] == text[window - 1:]
+        for j in range(window):
+            taken[j:j + len(least)] |= inside & (runs[j:j + len(least)] == least)
     count = np.bincount(text, minlength=texts)
     begin = np.cumsum(count) - count
     for t in np.flatnonzero((count > 0) & (count < window)) if few else ():
