@@ -9,9 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# Rules up to this many are broadcast: with paths of at most MAX_PATH characters they stay some MB.
-BROADCAST_RULES = 20_000
-MAX_PATH = 512
+from sealframe.llm.shared import kept
+
+# Rules up to this many, and characters of them, are broadcast.
+BROADCAST_RULES, BROADCAST_CHARS = 20_000, 4_000_000
+# A host and path that more than this part of all rows have is hot; there are fewer than 1 / HOT of them.
+HOT = 0.001
 # Copies of each rule, and parts of each URL's expressions, where there are more rules.
 SALTS = 64
 DEFAULT = "allow"
@@ -50,16 +53,15 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     A rule fits its host and all subdomains if the path starts with its own. The longest host and
     path together win, then the longer host, then ``block`` over ``allow``. A URL that no rule fits
     has a null rule and the default verdict. Rows meet their verdict in a shuffle, so ``pages`` should
-    hold only the columns that are wanted. A null URL or one without ``://`` has an empty host and
-    path and fits none. Repeated rows stay repeated. Rule paths longer than ``MAX_PATH`` raise.
+    hold only the columns that are wanted; those of the few hosts and paths that very many rows have meet it in a broadcast of fewer than 1,000 rows.
+    A null URL or one without ``://`` has an empty host and path and fits none. Repeated rows stay repeated. A URL is hashed for
+    every path length that any rule has, up to its own.
     """
-    spark = pages.sparkSession
     rules = rules.select("verdict", "rule", "host", "path").distinct()
-    # At most MAX_PATH + 1 numbers: the path lengths that any rule has.
-    lengths = sorted(r["n"] for r in rules.select(F.least(F.length("path"), F.lit(MAX_PATH + 1)).alias("n")).distinct().collect())
-    if lengths and lengths[-1] > MAX_PATH:
-        raise ValueError(f"a rule has a path of more than {MAX_PATH} characters")
-    few = rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES
+    # As many numbers as the longest path of a rule has characters at most.
+    lengths = sorted(r["n"] for r in rules.select(F.length("path").alias("n")).distinct().collect())
+    size = rules.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("rule")), F.lit(0)).alias("chars")).first()
+    few = size["n"] <= BROADCAST_RULES and size["chars"] <= BROADCAST_CHARS
 
     columns = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     rows = pages.select(
@@ -71,7 +73,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     expressions = F.flatten(F.transform(suffixes, lambda s: F.transform(
         prefixes, lambda n: _digest(s, F.substring(F.col("path"), F.lit(1), n)))))
     # Each different host and path is asked once, however many rows have it.
-    asked = rows.select("host", "path").distinct().select("host", "path", F.explode(expressions).alias("digest")).withColumn("short", _short(F.col("digest")))
+    different = rows.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"))
+    asked = different.select("host", "path", "n", F.explode_outer(expressions).alias("digest")).withColumn("short", _short(F.col("digest")))
 
     listed = rules.withColumn("rule_digest", _digest(F.col("host"), F.col("path"))).select(
         _short(F.col("rule_digest")).alias("short"), "rule_digest",
@@ -79,11 +82,19 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
             (F.length("host") + F.length("path")).alias("length"), F.length("host").alias("host_length"),
             (F.col("verdict") == "block").alias("blocks"), "rule", "verdict").alias("hit"))
     if few:
-        hits = asked.join(F.broadcast(listed), "short")
+        hits = asked.join(F.broadcast(listed), "short", "left")
     else:
         # A frequent host's expressions would all meet in one task, so they are dealt to SALTS.
         salted = listed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        hits = asked.withColumn("salt", F.pmod(F.xxhash64("host", "path"), F.lit(SALTS)).cast("int")).join(salted, ["short", "salt"])
-    best = hits.where(F.col("digest") == F.col("rule_digest")).groupBy("host", "path").agg(F.max("hit").alias("hit"))
-    return rows.join(best, ["host", "path"], "left").select(
-        "row.*", "host", "path", F.col("hit.rule").alias("rule"), F.coalesce("hit.verdict", F.lit(default)).alias("verdict"))
+        hits = asked.withColumn("salt", F.pmod(F.xxhash64("host", "path"), F.lit(SALTS)).cast("int")).join(salted, ["short", "salt"], "left")
+    fits = F.when(F.col("digest") == F.col("rule_digest"), F.col("hit"))
+    best = kept(hits.groupBy("host", "path").agg(F.max(fits).alias("hit"), F.max("n").alias("n")))
+    every = best.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    is_hot = F.col("n") > F.lit(HOT * every)
+    hot = best.where(is_hot).select(F.col("host").alias("hot_host"), F.col("path").alias("hot_path"), F.col("hit").alias("hot_hit"))
+    cold = best.where(~is_hot & F.col("hit").isNotNull()).select(F.concat("host", F.lit("\n"), "path").alias("key"), "hit")
+    told = rows.join(F.broadcast(hot), (F.col("host") == F.col("hot_host")) & (F.col("path") == F.col("hot_path")), "left")
+    # Hot rows get a key of their own, so that they spread.
+    key = F.when(F.col("hot_host").isNull(), F.concat("host", F.lit("\n"), "path")).otherwise(F.concat(F.lit("\n"), F.monotonically_increasing_id().cast("string")))
+    found = told.withColumn("key", key).join(cold, "key", "left").withColumn("hit", F.coalesce("hot_hit", "hit"))
+    return found.select("row.*", "host", "path", F.col("hit.rule").alias("rule"), F.coalesce("hit.verdict", F.lit(default)).alias("verdict"))

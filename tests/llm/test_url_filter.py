@@ -53,6 +53,19 @@ def test_empty_tables(spark):
     assert filter_urls(some, rule_table(spark, RULES).where("false")).first()["verdict"] == "allow"
 
 
-def test_too_long_a_rule(spark):
-    with pytest.raises(ValueError):
-        filter_urls(spark.createDataFrame([(1, "x")], "page_id bigint, url string"), rule_table(spark, [("block", "a.b/" + "x" * 600)]))
+def test_a_long_rule(spark):
+    """A path of any length is a rule."""
+    long = "x" * 600
+    pages = spark.createDataFrame([(1, f"http://c.a.b/{long}y"), (2, f"http://a.b/{long[1:]}"), (3, None)], "page_id bigint, url string")
+    got = {r["page_id"]: r["verdict"] for r in filter_urls(pages, rule_table(spark, [("block", f"a.b/{long}"), ("allow", "b/x")])).collect()}
+    assert got == {1: "block", 2: "allow", 3: "allow"}
+
+
+@pytest.mark.parametrize("hot", [0.0, 0.001, 0.3, 1.0])
+def test_common_urls(spark, monkeypatch, hot):
+    """Whichever URLs count as hot, those without a host among them."""
+    monkeypatch.setattr(url_filter, "HOT", hot)
+    urls = [None] * 200 + ["http://example.org/es/"] * 150 + ["http://a.com/x"] * 80 + URLS
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string").repartition(4)
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in filter_urls(pages, rule_table(spark, RULES)).collect()}
+    assert got == {i: plain(u) for i, u in enumerate(urls)}
