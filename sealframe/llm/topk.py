@@ -1,9 +1,10 @@
 """Exact top-k by integer inner product: a ball tree per shard, searched by branch and bound.
 
 Vectors are dealt to shards of bounded size, and so are the queries to blocks. A (shard, block) pair is
-one group: its task builds the shard's ball tree and visits leaves in the order of their upper bound
-|q| r + <q, c>, until the bound falls below the query's k-th best score. In a first round every query
-sees one shard only; the k-th score it finds there is the floor from which all other shards prune.
+one group: its task builds the shard's ball tree, lets each query read the leaf that promises most, and leaves out all
+subtrees whose upper bound (|q| r + <q, c>, or |q| times the longest point) is below the query's k-th best score. What is left is read in the
+order of the bounds. In a first round every query sees one shard only; the k-th score it finds there is the floor from
+which all other shards prune. Vectors without clusters have bounds above nearly all scores: then nearly all leaves are read.
 """
 
 from __future__ import annotations
@@ -19,74 +20,106 @@ from sealframe.llm.shared import kept
 SHARD = 16_384  # vectors of a shard, about
 BLOCK = 4_096  # queries of a block, about
 LEAF = 128
+PAIRS = 1 << 16  # queries and nodes that are compared at once
 HITS = "query bigint, query_id bigint, vec_id bigint, score bigint"
 # Integers up to this have exact sums in doubles.
 EXACT = float(1 << 53)
 
 
 class BallTree:
-    """Splits at the median of the axis of largest spread; identical points part by their order."""
+    """Halves at the median along the line between two points far apart, which parts clusters; identical points part by their order."""
 
     def __init__(self, points: np.ndarray):
         self.points = points
         self.order = np.arange(len(points))
-        self.centers, self.radii, self.ranges, self.children = [], [], [], []
+        self.centers, self.radii, self.longest, self.ranges, self.children = [], [], [], [], []
         self._build(0, len(points))
-        self.centers, self.radii = np.array(self.centers), np.array(self.radii)
+        self.centers, self.radii, self.longest = np.array(self.centers), np.array(self.radii), np.array(self.longest)
+        self.children = np.array([c or (-1, -1) for c in self.children])
 
     def _build(self, a: int, b: int) -> int:
         own = self.points[self.order[a:b]]
         center = own.mean(axis=0)
         # A little more than the rounded radius, so that bounds never fall short.
-        radius = np.sqrt(((own - center) ** 2).sum(axis=1).max()) * (1 + 1e-9) + 1e-6
+        away = ((own - center) ** 2).sum(axis=1)
         node = len(self.centers)
         self.centers.append(center)
-        self.radii.append(radius)
+        self.radii.append(np.sqrt(away.max()) * (1 + 1e-9) + 1e-6)
+        self.longest.append(np.sqrt((own ** 2).sum(axis=1).max()) * (1 + 1e-9) + 1e-6)
         self.ranges.append((a, b))
         self.children.append(None)
         if b - a > LEAF:
-            axis = np.argmax(own.max(axis=0) - own.min(axis=0))
+            far = own[away.argmax()]
+            line = own[((own - far) ** 2).sum(axis=1).argmax()] - far
             half = (b - a) // 2
-            self.order[a:b] = self.order[a:b][np.argpartition(own[:, axis], half)]
+            self.order[a:b] = self.order[a:b][np.argpartition(own @ line, half)]
             self.children[node] = self._build(a, a + half), self._build(a + half, b)
         return node
 
+    def upper(self, queries: np.ndarray, norms: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """An upper bound of the products of each query with the points of the node beside it: from the ball, and from the longest point."""
+        ball = (queries * self.centers[node]).sum(axis=1) + norms * self.radii[node]
+        found = np.minimum(ball, norms * self.longest[node])
+        return found + 1e-9 * np.abs(found) + 1e-6
+
     def bounds(self, queries: np.ndarray) -> tuple[np.ndarray, list[int]]:
         """Upper bounds of all leaves for all queries, each also bounded by its ancestors'; the leaves."""
-        norms = np.sqrt((queries ** 2).sum(axis=1))
-        upper = queries @ self.centers.T + norms[:, None] * self.radii[None, :]
-        upper += 1e-9 * np.abs(upper) + 1e-6
-        for node, pair in enumerate(self.children):
-            for child in pair or ():
-                upper[:, child] = np.minimum(upper[:, child], upper[:, node])
-        leaves = [n for n, pair in enumerate(self.children) if pair is None]
+        leaves = [n for n, pair in enumerate(self.children) if pair[0] < 0]
+        q, node, bound = self.reached(queries, np.full(len(queries), -np.inf))
+        upper = np.zeros((len(queries), len(self.children)))
+        upper[q, node] = bound
         return upper[:, leaves], leaves
 
+    def reached(self, queries: np.ndarray, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query number, leaf and bound of every leaf whose bound, and that of all nodes above it, is not below the query's floor.
+        What is below a node that falls short is not looked at."""
+        norms = np.sqrt((queries ** 2).sum(axis=1))
+        q, node, bound = np.arange(len(queries)), np.zeros(len(queries), np.int64), np.full(len(queries), np.inf)
+        done = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        while len(q):
+            bound = np.minimum(bound, np.concatenate([self.upper(queries[q[i:i + PAIRS]], norms[q[i:i + PAIRS]], node[i:i + PAIRS]) for i in range(0, len(q), PAIRS)]))
+            go = bound >= floor[q]
+            q, node, bound = q[go], node[go], bound[go]
+            leaf = self.children[node, 0] < 0
+            done.append((q[leaf], node[leaf], bound[leaf]))
+            q, node, bound = (np.repeat(x[~leaf], 2) for x in (q, node, bound))
+            node = self.children[node[::2]].ravel() if len(node) else node
+        return tuple(np.concatenate(x) for x in zip(*done))
+
+    def nearest(self, queries: np.ndarray) -> np.ndarray:
+        """A leaf for each query, found by going where the bound is higher."""
+        norms = np.sqrt((queries ** 2).sum(axis=1))
+        node = np.zeros(len(queries), np.int64)
+        while len(at := np.flatnonzero(self.children[node, 0] >= 0)):
+            left, right = self.children[node[at]].T
+            better = self.upper(queries[at], norms[at], left) >= self.upper(queries[at], norms[at], right)
+            node[at] = np.where(better, left, right)
+        return node
 
-def search(points: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+
+def search(points: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, floor: np.ndarray, k: int,
+           counted: dict[str, int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Query number, id and score of each query's best ``k`` at or above its floor, ties to small ids.
 
-    ``own`` is each query's id, whose points are left out. Scores are exact whatever their size.
+    ``own`` is each query's id, whose points are left out. Scores are exact whatever their size. Each query reads the leaf that
+    promises most first, and then, highest bound first, those that its k-th score so far does not rule out. ``counted`` gets how many
+    leaves were read and how many there were.
     """
     tree = BallTree(points)
-    upper, leaves = tree.bounds(queries)
     big = np.abs(points).max(initial=0) * np.abs(queries).max(initial=0) * points.shape[1] >= EXACT
-    turn = np.argsort(-upper, axis=1, kind="stable")
     best_score = np.full((len(queries), k), -np.inf)
     best_id = np.full((len(queries), k), np.iinfo(np.int64).max)
     exact: dict[tuple[int, int], int] = {}
-    floor = floor.copy()
-    alive = np.arange(len(queries))
-    for step in range(len(leaves)):
-        at = turn[alive, step]
-        # Strictly below the floor: an equal score may still win by its id.
-        go = upper[alive, at] >= floor[alive]
-        alive, at = alive[go], at[go]
-        if not len(alive):
-            break
-        for leaf in np.unique(at):
-            rows = alive[at == leaf]
-            a, b = tree.ranges[leaves[leaf]]
+    floor, read = floor.copy(), 0
+
+    def visit(rows_of: np.ndarray, at: np.ndarray) -> None:
+        nonlocal read
+        read += len(at)
+        order = np.argsort(at, kind="stable")
+        edges = np.flatnonzero(np.concatenate([[True], np.diff(at[order]) != 0, [True]]))
+        for low, high in zip(edges, edges[1:]):
+            rows = rows_of[order[low:high]]
+            a, b = tree.ranges[at[order[low]]]
             members = tree.order[a:b]
             if big:
                 scores = np.array([[sum(int(x) * int(y) for x, y in zip(queries[r], points[m])) for m in members] for r in rows], object)
@@ -102,6 +135,24 @@ def search(points: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.nda
             best_score[rows] = np.take_along_axis(joined, pick, axis=1)
             best_id[rows] = np.take_along_axis(names, pick, axis=1)
             floor[rows] = np.maximum(floor[rows], best_score[rows, k - 1])
+
+    first = tree.nearest(queries)
+    visit(np.arange(len(queries)), first)
+    # Strictly below the floor: an equal score may still win by its id.
+    q, leaf, bound = tree.reached(queries, floor)
+    other = leaf != first[q]
+    q, leaf, bound = q[other], leaf[other], bound[other]
+    order = np.lexsort((leaf, -bound, q))
+    q, leaf, bound = q[order], leaf[order], bound[order]
+    turn = np.arange(len(q)) - np.searchsorted(q, q)
+    for step in range(int(turn.max(initial=-1)) + 1):
+        at = np.flatnonzero(turn == step)
+        at = at[bound[at] >= floor[q[at]]]
+        if not len(at):
+            break
+        visit(q[at], leaf[at])
+    if counted is not None:
+        counted["read"], counted["leaves"] = read, len(queries) * int((tree.children[:, 0] < 0).sum())
     q, place = np.nonzero(best_score > -np.inf)
     found_ids = best_id[q, place]
     score = np.array([exact[x] for x in zip(q, found_ids)], object) if big else best_score[q, place].astype(np.int64)

@@ -68,3 +68,27 @@ def test_vectors(spark, monkeypatch, shard, block):
 
 def test_no_vectors(spark):
     assert top_k(spark.createDataFrame([], "vec_id bigint, embedding array<float>"), lambda i: i % 50 == 0).collect() == []
+
+
+def test_clustered_vectors_are_pruned():
+    """Fifty tight clusters: less than half of the leaves are read, and the result is that of trying all."""
+    draw = np.random.default_rng(12)
+    centers = draw.normal(0, 100, (50, 32))
+    points = np.concatenate([c + draw.normal(0, 2, (200, 32)) for c in centers]).round()
+    points = points[draw.permutation(len(points))]
+    ids, queries, counted = np.arange(len(points)), points[::50], {}
+    q, found, score = search(points, ids, queries, ids[::50], np.full(len(queries), -np.inf), 5, counted)
+    assert counted["read"] < 0.5 * counted["leaves"], counted
+    every = queries @ points.T
+    for i in range(len(queries)):
+        want = sorted((-int(s), int(j)) for j, s in enumerate(every[i]) if j != 50 * i)[:5]
+        assert sorted((-int(s), int(j)) for a, j, s in zip(q, found, score) if a == i) == want
+
+
+def test_a_floor_rules_subtrees_out():
+    draw = np.random.default_rng(13)
+    points = np.concatenate([draw.normal(0, 1, (2000, 8)), draw.normal(0, 1, (2000, 8)) + 50]).round()
+    tree, queries = BallTree(points), np.full((1, 8), 3.0)
+    every = tree.reached(queries, np.array([-np.inf]))
+    some = tree.reached(queries, np.array([1000.0]))
+    assert len(some[0]) <= 0.6 * len(every[0]) and len(every[0]) == (tree.children[:, 0] < 0).sum()
