@@ -55,17 +55,17 @@ def decrypt_table(df: DataFrame, key: Keys, method: str = "gcm",
                         for c, text in opened.items() if c in sealed or not is_ring(key)])
 
 
-# The texts of numbers. Spark's cast would also take 5d, 1f and 0x1p3.
+# The texts of numbers. Spark's cast would also take 5d, 1f and 0x1p3, so letters are looked at first; what has none
+# but e is left to the cast.
 INTEGER = r"^[+-]?[0-9]+$"
-NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+PLAIN = r"^[0-9eE+.-]+$"
 SPECIAL = r"^([+-]?inf|nan)$"
 
 
 def as_number(text: Column, name: str, type_: str) -> Column:
     """The text as a number of the type; text that is none fails the query."""
+    shape = F.rlike(text, F.lit(PLAIN if type_ in ("double", "float") or type_.startswith("decimal") else INTEGER))
     if type_ in ("double", "float"):
-        shape = F.rlike(text, F.lit(f"{NUMBER}|{SPECIAL}"))
-    else:
-        shape = F.rlike(text, F.lit(NUMBER if type_.startswith("decimal") else INTEGER))
+        shape = shape | F.rlike(text, F.lit(SPECIAL))
     bad = F.when(text.isNotNull(), F.raise_error(F.lit(f"not a number of type {type_} in column {name}")))
     return F.coalesce(F.when(shape, text.try_cast(type_)), bad.cast(type_))

@@ -315,3 +315,13 @@ def test_a_key_for_each_slice(spark):
             encrypt_table(spark.createDataFrame([(bad, "x")], "s string, t string"), keys, slice_column="s").collect()
     with pytest.raises(ValueError):
         encrypt_table(frame, {}, slice_column="s")
+
+
+@pytest.mark.parametrize("type_", ["double", "decimal(9,2)"])
+def test_signs_and_dots_alone_are_no_numbers(spark, key, type_):
+    for text in ("e", "1e", "--1", ".", "1-2", "+-3", "E5", "1e5e5", "1.2.3", "+", "-.e1"):
+        tokens = encrypt_table(spark.createDataFrame([(text,)], "x string"), key)
+        with pytest.raises(PySparkException, match="not a number"):
+            decrypt_table(tokens, key, "gcm", {"x": type_}).collect()
+    good = encrypt_table(spark.createDataFrame([("5.",), ("1e2",), ("+.5E+1",), ("-0",)], "x string"), key)
+    assert sorted(float(r.x) for r in decrypt_table(good, key, "gcm", {"x": type_}).collect()) == [0.0, 5.0, 5.0, 100.0]
