@@ -31,7 +31,7 @@ from sealframe.llm.ngram_join import LOWER_BYTES
 from sealframe.llm.shared import kept, partitions
 from sealframe.session import staging_folder
 
-FLUSH = 1_000_000  # seeds that a task gathers before it ships them
+FLUSH = 750_000  # seeds that a task gathers before it ships them
 
 
 @dataclass(frozen=True)
@@ -165,18 +165,24 @@ class Nearest:
         return found
 
 
-def chains(x: np.ndarray, p: np.ndarray, how: Passage) -> list[tuple[int, int, int, int, bool]]:
-    """Chains of matches between word ``x`` of one text and word ``p`` of another: their spans in both,
-    and whether all matches lie on one diagonal. Highest score first; no match is in two chains."""
+def chains(x: np.ndarray, p: np.ndarray, how: Passage, size: np.ndarray | None = None) -> list[tuple[int, int, int, int, bool]]:
+    """Chains of matches between words from ``x`` of one text and from ``p`` of another, each of ``size`` words (by default a
+    seed's): their spans in both, and whether all matches lie on one diagonal. Highest score first; no match is in two chains."""
+    size = np.full(len(x), how.seed) if size is None else size
     order = np.lexsort((x, p - x))
-    x, p = x[order], p[order]
-    # Matches on a diagonal with no more than a gap between them are one run.
-    cut = np.flatnonzero((np.diff(p - x) != 0) | (np.diff(x) > how.gap)) + 1
+    x, p, size = x[order], p[order], size[order]
+    # Matches on a diagonal with no more than a gap between them are one run. Words that winnowing leaves between two are none.
+    slack = max(how.seed, how.window)
+    line = np.concatenate([[0], np.cumsum(np.diff(p - x) != 0)]) << 33
+    reach = np.maximum.accumulate(line + x + np.maximum(size, slack)) - line
+    end = np.maximum.accumulate(line + x + size) - line
+    between = x[1:] - reach[:-1]
+    cut = np.flatnonzero((np.diff(line) != 0) | (between > how.gap - slack)) + 1
     first, last = np.concatenate([[0], cut]), np.concatenate([cut, [len(x)]]) - 1
-    # Words between two matches of a run, other than those that winnowing leaves, cost what a gap does.
-    gaps = np.concatenate([[0], np.cumsum(np.maximum(0, np.diff(x) - max(how.seed, how.window)))])
-    own = (x[last] + how.seed - x[first] - (1 + 2 * how.gap_cost) * (gaps[last] - gaps[first])).tolist()
-    spans = zip(x[first].tolist(), (x[last] + how.seed).tolist(), p[first].tolist(), (p[last] + how.seed).tolist(), own)
+    # Words between two matches of a run cost what a gap does.
+    gaps = np.concatenate([[0], np.cumsum(np.maximum(0, between))])
+    own = (end[last] - x[first] - (1 + 2 * how.gap_cost) * (gaps[last] - gaps[first])).tolist()
+    spans = zip(x[first].tolist(), end[last].tolist(), p[first].tolist(), (end[last] + (p - x)[last]).tolist(), own)
     runs = sorted(spans)
     if len(runs) == 1:
         best = [[0]]
@@ -212,15 +218,6 @@ def chains(x: np.ndarray, p: np.ndarray, how: Passage) -> list[tuple[int, int, i
     return found
 
 
-def _shortened(doc: np.ndarray, word: np.ndarray, to_doc: np.ndarray, to_word: np.ndarray, how: Passage) -> tuple[np.ndarray, ...]:
-    """Matches with every long seed as the seeds side by side that cover its words."""
-    long = word < 0
-    steps = np.append(np.arange(0, how.long - how.seed, how.seed), how.long - how.seed)
-    many = [np.repeat(a[long], len(steps)) for a in (doc, to_doc)]
-    words = [(-1 - a[long][:, None] + steps).ravel() for a in (word, to_word)]
-    return tuple(np.concatenate([a[~long], b]) for a, b in zip((doc, word, to_doc, to_word), (many[0], words[0], many[1], words[1])))
-
-
 ENTRIES = "bucket int, batch bigint, keys binary, docs binary, words binary, own binary"
 FOUND = "batch bigint, docs binary, words binary, to_docs binary, to_words binary, own binary"
 CHAINS = "doc bigint, start int, end int, to_doc bigint, to_start int, to_end int, straight boolean"
@@ -330,13 +327,16 @@ def chained(rows: DataFrame, how: Passage) -> DataFrame:
         alone = (_find(doc, word, again[0], again[1]) < 0) & (at >= 0)
         doc, word = np.concatenate([doc, again[0][alone]]), np.concatenate([word, again[1][alone]])
         to_doc, to_word = np.concatenate([to_doc, to_doc[at[alone]]]), np.concatenate([to_word, to_word[at[alone]]])
-        doc, word, to_doc, to_word = _shortened(doc, word, to_doc, to_word, how)
+        long = word < 0
+        size = np.where(long, how.long, how.seed)
+        word, to_word = np.where(long, -1 - word, word), np.where(long, -1 - to_word, to_word)
         order = np.lexsort((word, to_doc, doc))
-        doc, word, to_doc, to_word = doc[order], word[order], to_doc[order], to_word[order]
-        cut = np.flatnonzero((np.diff(doc) != 0) | (np.diff(to_doc) != 0)) + 1
-        edges = [0, *cut.tolist(), len(doc)] if len(doc) else []
-        out = [(int(doc[a]), *spans[:2], int(to_doc[a]), *spans[2:]) for a, b in zip(edges, edges[1:])
-               if word[b - 1] + how.seed - word[a] >= how.chain for spans in chains(word[a:b], to_word[a:b], how)]
+        doc, word, to_doc, to_word, size = doc[order], word[order], to_doc[order], to_word[order], size[order]
+        edges = np.flatnonzero(np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(to_doc) != 0)])) if len(doc) else np.zeros(0, np.int64)
+        ends = np.append(edges[1:], len(doc))
+        enough = (np.maximum.reduceat(word + size, edges) - word[edges] >= how.chain).tolist() if len(doc) else []
+        out = [(int(doc[a]), *spans[:2], int(to_doc[a]), *spans[2:]) for a, b, good in zip(edges.tolist(), ends.tolist(), enough) if good
+               for spans in chains(word[a:b], to_word[a:b], how, size[a:b])]
         cols = list(zip(*out)) if out else [[]] * 7
         kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
         return pa.table([pa.array(c, k) for c, k in zip(cols, kinds)], names=[c.split()[0] for c in CHAINS.split(", ")])
