@@ -1,7 +1,7 @@
 """Token-id files: whole texts as ids in ascending document order, coded in frames, and back.
 
-A dataset is a Parquet table with one row per frame, so it lies in any store Spark writes to and
-splits by row. Columns: ``part`` and ``first`` (ids before the frame in its part; parts are in order),
+A dataset is a Parquet table with one row per frame and one row group per row, so it lies in any store Spark writes to,
+splits into frames, and a writer holds one frame. Columns: ``part`` and ``first`` (ids before the frame in its part; parts are in order),
 ``n_ids``, ``doc_ids`` and ``counts`` (per document, with the end id), ``symbols`` (the frequency
 table) and ``blocks``. A frame closes at the end of a document after FRAME ids.
 """
@@ -62,7 +62,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end: int) -> None:
         if ids:
             yield _frame(part, first, doc_ids, ids)
 
-    rows.select("doc_id", "text").mapInArrow(frames, FRAMES).write.option("compression", "none").parquet(path)
+    rows.select("doc_id", "text").mapInArrow(frames, FRAMES).write \
+        .option("compression", "none").option("parquet.block.row.count.limit", 1).parquet(path)
 
 
 def decode_frame(row: dict) -> Iterator[np.ndarray]:
@@ -79,7 +80,7 @@ def decode_frame(row: dict) -> Iterator[np.ndarray]:
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and ids_crc32 of every document."""
-    frames = spark.read.schema(FRAMES).parquet(path)
+    frames = spark.read.schema(FRAMES).parquet(path)  # a task takes frames up to the size of Spark's partitions
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

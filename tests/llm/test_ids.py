@@ -177,3 +177,19 @@ def test_hashes_do_not_depend_on_the_place():
     assert hashes[0] == hashes[1] == span_hashes(np.frombuffer(b"same words", np.uint8), np.array([0]), np.array([10]))[0]
     one = span_hashes(np.frombuffer(b"ab", np.uint8), np.array([0, 1, 0, 0]), np.array([1, 2, 2, 0]))
     assert len(set(one.tolist())) == 4
+
+
+def test_a_row_group_for_each_frame(documents, spark, monkeypatch):
+    """Readers can take frames one by one, and writers need not hold more than one."""
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    from sealframe.llm import id_files
+
+    monkeypatch.setattr(id_files, "FRAME", 100)
+    path = f"{shared_folder(spark)}/ids"
+    write_ids(documents([(i, "some words " * 60) for i in range(40)]).coalesce(1), path, public_tokenizers.path(FILES[0]), 2)
+    found = [pq.ParquetFile(f).metadata for f in Path(path.removeprefix("file:").replace("//", "/")).glob("*.parquet")]
+    assert sum(m.num_row_groups for m in found) == sum(m.num_rows for m in found) == 40
+    assert sorted(r["doc_id"] for r in read_ids(spark, path).collect()) == list(range(40))
