@@ -87,3 +87,30 @@ def test_documents(documents):
 
 def test_no_documents(documents):
     assert pack_documents(documents([]), PATH, 2).collect() == []
+
+
+def test_nothing_is_padded_and_steps_go_over_tasks(documents):
+    """Every sequence is full; all steps of a context but its last have as many sequences, whichever tasks they come from."""
+    draw = random.Random(4)
+    rows = [(i, " ".join(f"w{draw.randint(0, 99)}" for _ in range(draw.choice([0, 5, 60, 300, 2500])))) for i in range(250)]
+    tiers = Tiers(longest=1024, shortest=128, step=4096, tail=1)
+    out = pack_documents(documents(rows).repartition(7), PATH, 2, tiers).collect()
+    lengths, contexts, steps = defaultdict(int), {}, defaultdict(set)
+    for r in out:
+        lengths[r["sequence_id"]] += r["length"]
+        contexts[r["sequence_id"]] = r["context"]
+        steps[r["step_id"]].add((r["sequence_id"], r["context"]))
+    assert all(lengths[s] == contexts[s] for s in lengths)
+    assert sum(c < 128 for c in contexts.values()) <= 7 * 7
+    for context in set(contexts.values()):
+        sizes = sorted(len(s) for s in steps.values() if {c for _, c in s} == {context})
+        assert sizes and all(n == 4096 // context for n in sizes[1:]) and sum(sizes) == sum(c == context for c in contexts.values())
+    assert all(len({c for _, c in s}) == 1 for s in steps.values())
+
+
+@pytest.mark.parametrize("n", [1, 7, 255, 300, 4097])
+def test_tails_are_powers_of_two(n):
+    packer = Packer(Tiers(tail=1))
+    packer.add(0, n)
+    packer.finish()
+    assert all(sum(p.length for p in w) == context for context, w in packer.done) and sum(c for c, _ in packer.done) == n
