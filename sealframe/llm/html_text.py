@@ -3,8 +3,8 @@
 A page is cut into lines (blocks). Lines in menus, headers, footers, sidebars, notices, adverts, forms
 and comments go by their elements and class names. Every page is then paired with the different page of its host whose URL path
 is nearest, both are aligned by a longest common subsequence of lines, and the lines they share are deleted as the site's
-template. Where a page marks its article, the lines in it are its own and are not deleted, shared or not, and the lines
-outside go, those too that no other page shares.
+template. That holds for every page; where one marks its article, the lines in it are its own and are given back, shared or not, and
+the lines outside go, those too that no other page shares.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -168,13 +169,14 @@ def _lines(page: str, forms: bool) -> list[tuple[str, int]]:
     return lines
 
 
-PARSED = "page_id bigint, url string, host string, path string, page binary, lines array<string>, hashes array<bigint>, marked boolean"
+PARSED = "page_id bigint, url string, host string, path string, page binary, lines binary, own array<boolean>, hashes array<bigint>, marked boolean"
 
 
 def parsed_pages(pages: DataFrame) -> DataFrame:
-    """Of every row of ``pages`` (page_id, url, html) the lines that may be returned, those of its article where it marks one, and
-    the hashes of all lines, which are compared; ``page`` is the same for rows of a host with the same lines."""
+    """Of every row of ``pages`` (page_id, url, html) the lines, packed, which of them its article owns, whether it marks one, and
+    the hashes of the lines, which are compared; ``page`` is the same for rows of a host with the same lines."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor().compress
         for batch in batches:
             ids, urls, hosts, paths, htmls = (batch.column(i) for i in range(5))
             # A few hundred pages at a time, so that their lines stay some MB.
@@ -183,9 +185,10 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
                 found = [page_blocks(h.as_py()) for h in htmls.slice(first, 256)]
                 names = [hashlib.md5("\n".join([h.as_py(), *lines]).encode()).digest() for h, (lines, _, _) in zip(some[2], found)]
                 yield pa.RecordBatch.from_arrays(
-                    [*some, pa.array(names, pa.binary()), pa.array([[x for x, own in zip(lines, owned) if own or not m] for lines, owned, m in found], pa.list_(pa.string())),
+                    [*some, pa.array(names, pa.binary()), pa.array([pack("\n".join(lines).encode()) for lines, _, _ in found], pa.binary()),  # no line has a break
+                     pa.array([owned for _, owned, _ in found], pa.list_(pa.bool_())),
                      pa.array([np.array([xxhash.xxh64_intdigest(x) for x in lines], np.uint64).view(np.int64) for lines, _, _ in found], pa.list_(pa.int64())),
-                     pa.array([m for _, _, m in found], pa.bool_())], names=["page_id", "url", "host", "path", "page", "lines", "hashes", "marked"])
+                     pa.array([m for _, _, m in found], pa.bool_())], names=["page_id", "url", "host", "path", "page", "lines", "own", "hashes", "marked"])
 
     url = F.col("url")
     return pages.select(F.col("page_id").cast("bigint"), "url", host_of(url).alias("host"), path_of(url).alias("path"), "html").mapInArrow(run, PARSED)
@@ -301,9 +304,22 @@ def main_text(pages: DataFrame) -> DataFrame:
     copies, or that are alone, lose no line to the comparison.
     """
     parsed = kept(parsed_pages(pages))
-    # The lines of a marked article stay, shared or not: only the other rows, whose lines are all compared, meet the findings.
-    rest = parsed.where("not marked").join(template_lines(parsed), "page", "left").select(
-        "page_id", "url", F.filter("lines", lambda line, i: ~F.array_contains(F.coalesce("shared", F.array().cast("array<int>")), i)).alias("lines"))
-    rows = parsed.where("marked").select("page_id", "url", "lines").unionByName(rest)
-    text = F.array_join("lines", " ")
-    return rows.select("page_id", "url", text.alias("text"), F.length(text).cast("bigint").alias("n_chars"))
+    # Every row meets the findings of its page. Texts travel packed.
+    met = parsed.join(template_lines(parsed), "page", "left").select("page_id", "url", "lines", "own", "marked", "shared")
+    rows = met.mapInArrow(_differing, "page_id bigint, url string, text string")
+    return rows.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+def _differing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines that a page does not share, and those of its article; of a page that marks one, only the latter."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        # Some at a time: unpacked, a batch is several times as large.
+        for first in range(0, batch.num_rows, 256):
+            ids, urls, *packed = (batch.column(i).slice(first, 256) for i in range(batch.num_columns))
+            texts = []
+            for lines, own, marked, shared in zip(*(c.to_pylist() for c in packed)):
+                gone = set(shared or ())
+                left = [(line, mine) for i, (line, mine) in enumerate(zip(unpack(lines).decode().split("\n"), own)) if mine or i not in gone]
+                texts.append(" ".join(line for line, mine in left if mine or not marked))
+            yield pa.RecordBatch.from_arrays([ids, urls, pa.array(texts, pa.string())], names=["page_id", "url", "text"])
