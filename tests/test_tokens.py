@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sealframe.functions.keys import KEY, decode_key, with_key
 from sealframe.functions.text import cell_text, float_text
-from sealframe.functions.tokens import METHODS, seal, token_length
+from sealframe.functions.tokens import METHODS, open_bytes, seal, token_bytes, token_length
 from sealframe.operators.cipher import decrypt_table, encrypt_table
 from sealframe.operators.integrity import tamper_report, token_size_report
 
@@ -325,3 +325,46 @@ def test_signs_and_dots_alone_are_no_numbers(spark, key, type_):
             decrypt_table(tokens, key, "gcm", {"x": type_}).collect()
     good = encrypt_table(spark.createDataFrame([("5.",), ("1e2",), ("+.5E+1",), ("-0",)], "x string"), key)
     assert sorted(float(r.x) for r in decrypt_table(good, key, "gcm", {"x": type_}).collect()) == [0.0, 5.0, 5.0, 100.0]
+
+
+# Cells of a row in one call of the cipher
+
+
+@pytest.mark.parametrize("method", ["cbc", "fernet"])
+def test_a_row_takes_one_call_of_the_cipher(spark, key, method):
+    """The set-up of a cipher is what a cell costs: rows of eight columns need one, not eight."""
+    frame = spark.createDataFrame([("x",) * 8], ", ".join(f"c{i} string" for i in range(8)))
+    tokens = encrypt_table(frame, key, method)
+    for made, call in ((tokens, "aes_encrypt"), (decrypt_table(tokens, key, method), "aes_decrypt")):
+        assert made._jdf.queryExecution().analyzed().toString().count(call) == 1
+
+
+@pytest.mark.parametrize("method", ["cbc", "fernet"])
+def test_each_cell_of_a_row_is_a_token_of_its_own(spark, key, method, tmp_path):
+    """Texts of all lengths about a block, with nulls, over more columns than a call takes; every token opens alone and in another place."""
+    draw, n = random.Random(4), 19
+    rows = [tuple(None if draw.random() < 0.3 else "æ" * draw.randint(0, 3) + "t" * draw.randint(0, 35) for _ in range(n)) for _ in range(60)] + [(None,) * n, ("",) * n]
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, " + ", ".join(f"`c.{i}` string" for i in range(n)))
+    tokens = stored(encrypt_table(frame, key, method), tmp_path)
+    got = decrypt_table(tokens, key, method, {"i": "int"}).orderBy("i").collect()
+    assert [tuple(r)[1:] for r in got] == rows
+    cells = [r for t in tokens.collect() for r in tuple(t)[1:] if r is not None]
+    assert len({raw(t)[9:25] if method == "fernet" else raw(t)[:16] for t in cells}) == len(cells)
+    draw.shuffle(cells)
+    alone = spark.createDataFrame([(t,) for t in cells], "t string")
+    assert sorted(r.t for r in decrypt_table(alone, key, method).collect()) == sorted(t for r in rows for t in r if t is not None)
+    for c in tokens.columns[1:]:
+        one = with_key(tokens.select(F.col(f"`{c}`").alias("t")), key).select(open_bytes(token_bytes(F.col("t")), F.col(KEY), method).alias("t"))
+        assert sorted(map(str, (r.t for r in one.collect()))) == sorted(str(r[int(c[2:])]) for r in rows)
+
+
+@pytest.mark.parametrize("at", [0, 1, 2])
+def test_a_wrong_pad_fails_wherever_the_cell_is(spark, key, at, tmp_path):
+    frame = spark.createDataFrame([("a", "b", "c")], "a string, b string, c string")
+    row = list(encrypt_table(frame, key, "cbc").first())
+    changed = bytearray(raw(row[at]))
+    changed[15] ^= 0x40  # of the IV, hence of the last byte of the pad
+    for bad in (bytes(changed), bytes(changed[:-1]), bytes(changed[:16])):
+        row[at] = base64.urlsafe_b64encode(bad).decode()
+        with pytest.raises(PySparkException):
+            decrypt_table(spark.createDataFrame([tuple(row)], frame.schema), key, "cbc").collect()
