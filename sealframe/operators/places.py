@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sealframe.functions.keys import KEY, Keys, is_ring, with_key
 from sealframe.functions.text import cell, cell_text
-from sealframe.functions.tokens import keyed_digest, open_bytes, seal, token_bytes, try_open, try_token_bytes
+from sealframe.functions.tokens import keyed_digest, keyed_digest_hex, open_bytes, seal, token_bytes, try_open, try_token_bytes
 from sealframe.operators.cipher import as_number
 from sealframe.session import dealt
 
@@ -87,6 +87,16 @@ def open_in_place(df: DataFrame, key: Keys, row_key: list[str] | tuple[str, ...]
         (as_number(cell(c), c, types[c]) if c in types and c in sealed else cell(c)).alias(c) for c in df.columns if c != TAG])
 
 
+def _digest_sum(digits: Column) -> Column:
+    """Sums of four numbers of 64 bits each; equal cells add up, where a bitwise sum would cancel them.
+
+    Each is taken in two halves, as decimals that Spark holds in a long while they are short.
+    """
+    half = [F.sum(F.conv(F.substring(digits, at, 8).cast("string"), 16, 10).cast("bigint").cast("decimal(12,0)")) for at in range(1, 65, 8)]
+    sums = [high * F.lit(2**32).cast("decimal(10,0)") + low for high, low in zip(half[::2], half[1::2])]
+    return F.concat_ws("-", *[F.coalesce(s, F.lit(0)).cast("string") for s in sums])
+
+
 def column_manifest(df: DataFrame, key: Keys, *, slice_column: str | None = None, clear: tuple[str, ...] = ()) -> DataFrame:
     """Per column of a stored table of ``seal_in_place``: rows, cells that are not null, and the digest of all cells.
 
@@ -94,14 +104,12 @@ def column_manifest(df: DataFrame, key: Keys, *, slice_column: str | None = None
     have to be taken again for the whole.
     """
     sealed = [c for c in df.columns if c not in (slice_column, TAG, *clear)]
-    made = []
-    for i, c in enumerate(sealed):
-        digest = F.hex(keyed_digest(_message(CELL, c, F.col(TAG), cell(c)).cast("binary"), F.col(TAG_KEY)))
-        # Sums of four numbers of 64 bits each; equal cells add up, where a bitwise sum would cancel them.
-        sums = [F.sum(F.conv(F.substring(digest, at, 16), 16, 10).cast("decimal(20,0)")) for at in (1, 17, 33, 49)]
-        whole = F.concat_ws("-", *[F.coalesce(s, F.lit(0)).cast("string") for s in sums])
-        made.append(F.struct(F.lit(c).alias("column"), F.count(F.lit(1)).alias("rows"), F.count(cell(c)).alias("cells"), whole.alias("digest")).alias(f"c{i}"))
-    totals = _keyed(df, key, slice_column).agg(*made)
+    # Digests in a projection of their own, as digits in bytes: parts of a text are found from its start, one character after the other.
+    digests = _keyed(df, key, slice_column).select(*[cell(c).isNotNull().alias(f"there{i}") for i, c in enumerate(sealed)], *[
+        keyed_digest_hex(_message(CELL, c, F.col(TAG), cell(c)).cast("binary"), F.col(TAG_KEY)).cast("binary").alias(f"digest{i}") for i, c in enumerate(sealed)])
+    made = [F.struct(F.lit(c).alias("column"), F.count(F.lit(1)).alias("rows"), F.count_if(F.col(f"there{i}")).alias("cells"), _digest_sum(F.col(f"digest{i}")).alias("digest")).alias(f"c{i}")
+            for i, c in enumerate(sealed)]
+    totals = digests.agg(*made)
     return totals.select(F.inline(F.array(*totals.columns)))
 
 

@@ -1,5 +1,8 @@
 """Tokens bound to their places, and what a check finds after cells have been moved, dropped and repeated."""
 
+import hashlib
+import hmac
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -126,3 +129,16 @@ def test_tokens_without_places_still_open(spark, key):
 
     tokens = encrypt_table(spark.createDataFrame([("a",)], "t string"), key)
     assert tamper_report(tokens, key).first().bad_cells == 0
+
+
+def test_digests_of_columns(spark, key):
+    """The sums that HMAC gives for each cell; they are taken from numbers, not from long decimals' texts (that failed before)."""
+    sealed = spark.createDataFrame([("t1", "x"), ("t2", None), ("t2", None), ("t3", "long")], f"{TAG} string, a string")
+    manifest = column_manifest(sealed, key)
+    tag_key = hmac.new(key, b"sealframe row tags", hashlib.sha256).digest()
+    part = lambda text: "-:" if text is None else f"{len(text)}:{text}"
+    # The first half signs.
+    digests = [hmac.new(tag_key[:16], "".join(map(part, ("cell", "a", tag, text))).encode(), hashlib.sha256).digest() for tag, text in sealed.collect()]
+    sums = [sum(int.from_bytes(d[at:at + 8]) for d in digests) for at in range(0, 32, 8)]
+    assert [tuple(r) for r in manifest.collect()] == [("a", 4, 2, "-".join(map(str, sums)))]
+    assert "as decimal(20,0)" not in manifest._jdf.queryExecution().executedPlan().toString()
