@@ -169,14 +169,13 @@ def _lines(page: str, forms: bool) -> list[tuple[str, int]]:
     return lines
 
 
-PARSED = "page_id bigint, url string, host string, path string, page binary, lines binary, own array<boolean>, hashes array<bigint>, marked boolean"
+PARSED = "page_id bigint, url string, host string, path string, page binary, lines string, own array<boolean>, hashes array<bigint>, marked boolean"
 
 
 def parsed_pages(pages: DataFrame) -> DataFrame:
-    """Of every row of ``pages`` (page_id, url, html) the lines, packed, which of them its article owns, whether it marks one, and
+    """Of every row of ``pages`` (page_id, url, html) the lines, one text, which of them its article owns, whether it marks one, and
     the hashes of the lines, which are compared; ``page`` is the same for rows of a host with the same lines."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor().compress
         for batch in batches:
             ids, urls, hosts, paths, htmls = (batch.column(i) for i in range(5))
             # A few hundred pages at a time, so that their lines stay some MB.
@@ -185,7 +184,7 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
                 found = [page_blocks(h.as_py()) for h in htmls.slice(first, 256)]
                 names = [hashlib.md5("\n".join([h.as_py(), *lines]).encode()).digest() for h, (lines, _, _) in zip(some[2], found)]
                 yield pa.RecordBatch.from_arrays(
-                    [*some, pa.array(names, pa.binary()), pa.array([pack("\n".join(lines).encode()) for lines, _, _ in found], pa.binary()),  # no line has a break
+                    [*some, pa.array(names, pa.binary()), pa.array(["\n".join(lines) for lines, _, _ in found], pa.string()),  # no line has a break
                      pa.array([owned for _, owned, _ in found], pa.list_(pa.bool_())),
                      pa.array([np.array([xxhash.xxh64_intdigest(x) for x in lines], np.uint64).view(np.int64) for lines, _, _ in found], pa.list_(pa.int64())),
                      pa.array([m for _, _, m in found], pa.bool_())], names=["page_id", "url", "host", "path", "page", "lines", "own", "hashes", "marked"])
@@ -304,12 +303,25 @@ def main_text(pages: DataFrame) -> DataFrame:
     copies, or that are alone, lose no line to the comparison.
     """
     parsed = kept(parsed_pages(pages))
-    # Every row meets the findings of its page. Texts travel packed.
-    met = parsed.join(template_lines(parsed), "page", "left").select("page_id", "url", "lines", "own", "marked", "shared")
+    # Every row meets the findings of its page. Texts travel packed, each alone; they are stored as they are, since a file's codec packs
+    # many together, and smaller.
+    texts = parsed.select("page_id", "url", "page", "lines", "own", "marked").mapInArrow(_packed, PACKED)
+    met = texts.join(template_lines(parsed), "page", "left").select("page_id", "url", "lines", "own", "marked", "shared")
     rows = met.mapInArrow(_differing, "page_id bigint, url string, text string")
     return rows.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+PACKED = "page_id bigint, url string, page binary, lines binary, own array<boolean>, marked boolean"
+LEVEL = 9
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = zstandard.ZstdCompressor(level=LEVEL).compress
+    for batch in batches:
+        lines = pa.array([pack(x.as_py().encode()) for x in batch.column("lines")], pa.binary())
+        yield batch.set_column(batch.schema.get_field_index("lines"), "lines", lines)
+
+
 def _differing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The lines that a page does not share, and those of its article; of a page that marks one, only the latter."""
     unpack = zstandard.ZstdDecompressor().decompress

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from sealframe.llm import html_text
@@ -164,3 +165,14 @@ def test_rows_of_marked_pages_come_from_the_comparison(spark, monkeypatch):
     monkeypatch.setattr(html_text, "_differing", counted)
     assert sorted(r["text"] for r in main_text(pages).collect()) == [f"common own {i}" for i in range(4)]
     assert met.value == 8  # of each page the site's line and the common one
+
+
+def test_stored_texts_are_packed_together(spark, tmp_path):
+    """Pages of the same words in other orders: a file's codec packs them smaller than one by one."""
+    draw = random.Random(3)
+    words = [f"word{draw.randrange(10 ** 9)}" for _ in range(200)]
+    rows = [(i, f"http://a.org/{i}", f"<p>{' '.join(draw.choices(words, k=60))}") for i in range(500)]
+    parsed = html_text.parsed_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)).select("lines")
+    parsed.write.option("compression", "zstd").parquet(str(tmp_path / "kept"))
+    alone = sum(len(zstandard.ZstdCompressor().compress(page_lines(html)[0][0].encode())) for _, _, html in rows)
+    assert sum(f.stat().st_size for f in (tmp_path / "kept").glob("*.parquet")) < 0.8 * alone
