@@ -38,10 +38,10 @@ def _marked(field: T.StructField):
 
 
 def sink_csv_encrypted(df: DataFrame, folder: str, source_name: str, key: Keys,
-                       method: str = "gcm", *, partitions: int | None = None, slice_column: str | None = None) -> str:
+                       method: str = "gcm", *, partitions: int | None = None, slice_column: str | None = None, batches: bool = False) -> str:
     """The same with every cell a token; the header stays readable, and so do the cells of a ``slice_column``, which have
-    a key for each value in ``key``."""
-    return sink_csv(encrypt_table(df, key, method, partitions=partitions, slice_column=slice_column), folder, source_name)
+    a key for each value in ``key``. ``batches`` as in ``encrypt_table``."""
+    return sink_csv(encrypt_table(df, key, method, partitions=partitions, slice_column=slice_column, batches=batches), folder, source_name)
 
 
 def read_csv_sink(spark: SparkSession, path: str, schema, multi_line: bool = False, missing: str = MISSING) -> DataFrame:
