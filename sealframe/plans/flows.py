@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from sealframe.functions.keyring import KEY_ID
 from sealframe.functions.keys import Keys, is_ring
 from sealframe.functions.text import cell
-from sealframe.functions.tokens import check_method
+from sealframe.functions.tokens import check_batches_method
 from sealframe.layout import Layout
 from sealframe.operators.charts import chart_table
 from sealframe.operators.cipher import decrypt_table
@@ -94,14 +94,15 @@ def run_plain(source: DataFrame, layout: Layout, category: str, target: Target,
 
 
 def run_encrypted(source: DataFrame, layout: Layout, category: str, target: Target, key: Keys, method: str = "gcm", *,
-                  token_width: int | None = TOKEN_WIDTH, partitions: int | None = None, slice_column: str | None = None) -> Stored:
+                  token_width: int | None = TOKEN_WIDTH, partitions: int | None = None, slice_column: str | None = None,
+                  batches: bool = False) -> Stored:
     """The same with sealed cells. Each cell is sealed once: the CSV holds the table's tokens. With a ``slice_column``, which is one of the
-    layout's and stays clear, ``key`` has a key for each of its values; or ``key`` is a ring."""
-    check_method(method)
+    layout's and stays clear, ``key`` has a key for each of its values; or ``key`` is a ring. ``batches`` as in ``encrypt_table``."""
+    check_batches_method(method, batches)
     wanted = dealt(project_columns(filter_category(source, layout.category, category), layout.columns), partitions)
     wanted, seen = _watched(wanted, layout)
-    table = sink_table_encrypted(wanted, target.database, target.table, key, method, token_width=token_width, location=target.location, slice_column=slice_column)
+    table = sink_table_encrypted(wanted, target.database, target.table, key, method, token_width=token_width, location=target.location, slice_column=slice_column, batches=batches)
     stored = read_back(source.sparkSession, target.database, target.table, [*layout.columns, *([KEY_ID] if is_ring(key) else [])])
     path = sink_csv(stored, target.csv_folder, target.source_name)
-    rows = decrypt_table(stored, key, method, layout.measures, slice_column=slice_column)
+    rows = decrypt_table(stored, key, method, layout.measures, slice_column=slice_column, batches=batches)
     return _stored(table, path, stored, rows, layout, seen)

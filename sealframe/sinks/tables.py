@@ -143,10 +143,10 @@ def sweep_versions(spark: SparkSession, database: str, table: str) -> list[str]:
 
 def sink_table_encrypted(df: DataFrame, database: str, table: str, key: Keys, method: str = "gcm", *,
                          token_width: int | None = TOKEN_WIDTH, location: str | None = None, partitions: int | None = None,
-                         slice_column: str | None = None) -> str:
+                         slice_column: str | None = None, batches: bool = False) -> str:
     """The same with every cell a token and every column VARCHAR(``token_width``). The cells of a ``slice_column`` stay clear, and
-    ``key`` has a key for each of its values."""
-    tokens = encrypt_table(df, key, method, partitions=partitions, slice_column=slice_column)
+    ``key`` has a key for each of its values. ``batches`` as in ``encrypt_table``."""
+    tokens = encrypt_table(df, key, method, partitions=partitions, slice_column=slice_column, batches=batches)
     return sink_table(tokens, database, table, text_width=token_width, location=location)
 
 
