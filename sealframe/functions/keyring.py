@@ -15,7 +15,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from sealframe.functions.keys import KEY, key_parts, with_key
 from sealframe.functions.text import cell
@@ -27,6 +27,9 @@ MOST_CELLS = 1 << 32
 # Fixed value: the bytes of each part of a key, in the order in which they are stored.
 PARTS = {"whole": 32, "sealing": 16, "inner": 64, "outer": 64}
 KEYS = "slice string, epoch int, part int, key_id string, wrapped string"
+# Keys, of some 350 bytes each, that every executor gets; runs of rows of one key that a partition gets of a slice, at least.
+SENT = 1 << 17
+RUNS = 16
 USES = "slice string, epoch int, cells bigint, fresh int"
 
 
@@ -44,10 +47,10 @@ class KeyRing:
     most: int = MOST_CELLS
     grow: bool = True
 
-    @property
-    def room(self) -> int:
-        """Cells to count on for each key: rows are dealt to the keys of a slice by a hash, so one has a few more than another."""
-        return max(1, math.floor(self.most - 8 * math.sqrt(self.most)))
+    def room(self, cells: int) -> int:
+        """Cells to count on for each key where a row has so many: rows are dealt to the keys of a slice by a hash, so one has a few more than
+        another. Eight standard deviations of the rows more are still within ``most``."""
+        return max(1, math.floor(cells * ((math.sqrt(64 + 4 * self.most / cells) - 8) / 2) ** 2))
 
     def keys(self) -> DataFrame:
         return self._stored("keys", KEYS)
@@ -71,12 +74,13 @@ class KeyRing:
         newest = self.keys().groupBy("slice", "epoch").agg(F.count(F.lit(1)).alias("parts")).groupBy("slice").agg(F.max(F.struct("epoch", "parts")).alias("newest"))
         used = self.uses().withColumnRenamed("cells", "used")
         state = asked.join(newest, "slice", "left").select("slice", "cells", "newest.*").join(used, ["slice", "epoch"], "left")
-        full = F.col("epoch").isNull() | (F.coalesce("used", F.lit(0)) + F.col("cells") > F.col("parts") * self.room)
+        room = self.room(max(1, cells))
+        full = F.col("epoch").isNull() | (F.coalesce("used", F.lit(0)) + F.col("cells") > F.col("parts") * room)
         if not self.grow:
             refused = [r["slice"] for r in state.where(full).select("slice").limit(10).collect()]
             if refused:
                 raise ValueError(f"no key has room for the cells of slices {refused}: at most {self.most} cells a key")
-        fresh = F.when(full, F.ceil(F.col("cells") / self.room).cast("int")).otherwise(0)
+        fresh = F.when(full, F.ceil(F.col("cells") / room).cast("int")).otherwise(0)
         # To the store first, then the keys that it asks for.
         plan = f"{shared_folder(self.spark)}/plan"
         state.select("slice", F.when(full, F.coalesce("epoch", F.lit(0)) + 1).otherwise(F.col("epoch")).cast("int").alias("epoch"), "cells", fresh.alias("fresh")).write.parquet(plan)
@@ -106,22 +110,34 @@ class KeyRing:
         plain = with_key(keys, self.master).withColumn("opened", opened)
         return plain.select("slice", "epoch", "part", KEY_ID, F.struct(*fields).alias(name))
 
-    def keyed(self, df: DataFrame, slice_column: str | None, name: str = KEY) -> DataFrame:
-        """``df`` with each row's key: the one that it names, or one of its slice's newest, and then its name too."""
+    def keyed(self, df: DataFrame, slice_column: str | None, name: str = KEY, partitions: int | None = None) -> DataFrame:
+        """``df`` with each row's key: the one that it names, or one of its slice's newest, and then its name too.
+
+        Rows of a key are neighbours in the result, so that those who take many rows at a time meet few keys. With ``partitions``, rows that
+        get a key are dealt to so many partitions, of which each has a few of the keys only.
+        """
         if KEY_ID in df.columns:
-            keys = self._bare(self.keys(), name).select(F.col(KEY_ID).alias("__key_id"), name)
-            found = df.join(keys, cell(KEY_ID) == F.col("__key_id"), "left").drop("__key_id")
+            stored = self.keys()
+            keys = _sent(stored, self._bare(stored, name).select(F.col(KEY_ID).alias("__key_id"), name))
+            found = df.join(keys, cell(KEY_ID) == F.col("__key_id"), "left").drop("__key_id").sortWithinPartitions(cell(KEY_ID))
             return found.withColumn(name, F.coalesce(name, _missing(F.lit("no key "), cell(KEY_ID), found.schema[name].dataType)))
         last = self.keys().groupBy("slice").agg(F.max("epoch").alias("last")).withColumnRenamed("slice", "of")
         newest = f"{shared_folder(self.spark)}/newest"  # wrapped; its size decides how it is joined
         self.keys().join(last, (F.col("slice") == F.col("of")) & (F.col("epoch") == F.col("last"))).select("slice", "epoch", "part", KEY_ID, "wrapped").write.parquet(newest)
-        keys = self._bare(self.spark.read.schema(KEYS).parquet(newest), name)
-        slices = keys.groupBy(F.col("slice").alias("__slice")).agg(F.collect_list(F.struct(KEY_ID, name)).alias("__keys"))
-        dealt = df.withColumn("__turn", F.xxhash64(F.monotonically_increasing_id()))
-        found = dealt.join(slices, _slice(slice_column) == F.col("__slice"), "left")
-        mine = F.get("__keys", F.pmod("__turn", F.size("__keys")).cast("int"))
-        picked = found.withColumn("__mine", mine).select(*map(cell, df.columns), F.col(f"__mine.{KEY_ID}").alias(KEY_ID), F.col(f"__mine.{name}").alias(name))
-        return picked.withColumn(name, F.coalesce(name, _missing(F.lit("no key was reserved for a slice"), F.lit(""), picked.schema[name].dataType)))
+        stored = self.spark.read.schema(KEYS).parquet(newest)
+        keys = _sent(stored, self._bare(stored, name).select(F.col("slice").alias("__of"), F.col("part").alias("__of_part"), F.col(KEY_ID).alias("__id"), F.col(name).alias("__bare")))
+        parts = stored.groupBy(F.col("slice").alias("__slice")).agg(F.count(F.lit(1)).alias("__parts"))
+        # A task that is run again deals rows to the same keys and partitions, in whatever order it reads them.
+        ordered = df if partitions is None else df.sortWithinPartitions(F.xxhash64(*[_hashable(f) for f in df.schema]))
+        dealt = ordered.withColumn("__turn", F.xxhash64(F.monotonically_increasing_id())).join(parts, _slice(slice_column) == F.col("__slice"), "left")
+        if partitions is not None:
+            # Where a slice has few keys, the rows of each go to several partitions.
+            runs = F.col("__parts") * F.ceil(F.lit(RUNS * partitions) / F.col("__parts"))
+            dealt = dealt.repartitionById(partitions, (F.pmod("__turn", runs) % partitions).cast("int"))
+        mine = (F.col("__slice") == F.col("__of")) & (F.pmod("__turn", "__parts") == F.col("__of_part"))
+        found = dealt.join(keys, mine, "left").sortWithinPartitions("__id")
+        bare = F.coalesce("__bare", _missing(F.lit("no key was reserved for a slice"), F.lit(""), found.schema["__bare"].dataType))
+        return found.select(*map(cell, df.columns), F.col("__id").alias(KEY_ID), bare.alias(name))
 
     def usage(self, stored: DataFrame) -> DataFrame:
         """key_id and cells (null ones do not count) of a stored table, to be held against ``most``."""
@@ -130,6 +146,16 @@ class KeyRing:
         return stored.groupBy(KEY_ID).agg(F.sum(cells).alias("cells"))
 
 
+def _sent(stored: DataFrame, keys: DataFrame) -> DataFrame:
+    """``keys``, made from those ``stored``, sent to every executor where they are few: as strings and structs they look larger to Spark than they are."""
+    return F.broadcast(keys) if stored.count() <= SENT else keys
+
+
+def _hashable(field: T.StructField) -> Column:
+    plain = T.NumericType, T.StringType, T.BooleanType, T.BinaryType, T.DateType, T.TimestampType, T.TimestampNTZType
+    return cell(field.name) if isinstance(field.dataType, plain) else cell(field.name).cast("string")
+
+
 def _missing(text: Column, more: Column, kind) -> Column:
     return F.raise_error(F.concat(text, F.coalesce(more, F.lit("")))).cast(kind)
 

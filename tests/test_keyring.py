@@ -119,3 +119,34 @@ def test_edges(ring, spark, frame):
         encrypt_table(spark.createDataFrame([("a",)], f"{KEY_ID} string"), ring)
     with pytest.raises(TypeError, match="places"):
         seal_in_place(frame, ring, ["x"], "t")
+
+
+def test_rows_of_a_key_are_neighbours(spark):
+    """Dealt to partitions, rows lie by their keys, of which a partition has few; opened ones too. A task that meets many keys in turn sets each up for a row or two."""
+    ring = KeyRing(spark, shared_folder(spark), os.urandom(32), most=1000)
+    frame = spark.range(0, 12000, 1, 6).select((F.col("id") / 4).alias("x"), F.when(F.col("id") % 2 == 0, "a").alias("s"))
+    tokens = encrypt_table(frame, ring, partitions=4, slice_column="s", batches=True).withColumn("p", F.spark_partition_id())
+    in_order = [list(map(tuple, part)) for part in tokens.select("p", KEY_ID).rdd.glom().collect()]
+    changes = sum(a != b for part in in_order for a, b in zip(part, part[1:]))
+    pairs = len({row for part in in_order for row in part})
+    assert 36 <= pairs <= 2 * 36 + 8 and changes == pairs - 4
+    assert all(2000 < len(part) < 4000 for part in in_order)
+    mixed = kept(encrypt_table(frame, ring, slice_column="s").repartition(3))
+    opened = [[row.k for row in part] for part in ring.keyed(mixed, None, "key").select(F.col(KEY_ID).alias("k")).rdd.glom().collect()]
+    assert all(sum(a != b for a, b in zip(part, part[1:])) == len(set(part)) - 1 for part in opened if part)
+
+
+def test_one_key_goes_to_all_partitions(spark):
+    ring = KeyRing(spark, shared_folder(spark), os.urandom(32))
+    frame = spark.range(0, 8000, 1, 1).select(F.col("id").alias("x"))
+    tokens = encrypt_table(frame, ring, partitions=8, batches=True)
+    assert all(700 < len(part) < 1300 for part in tokens.rdd.glom().collect()) and ring.keys().count() == 1
+
+
+def test_rows_of_many_cells_keep_within_a_key(spark):
+    """A row's cells come to one key together, so keys differ by more than they would with single cells."""
+    ring = KeyRing(spark, shared_folder(spark), os.urandom(32), most=2000)
+    frame = spark.range(0, 8000, 1, 4).select(*[F.col("id").alias(f"c{i}") for i in range(20)])
+    used = [r.cells for r in ring.usage(kept(encrypt_table(frame, ring, partitions=4, batches=True))).collect()]
+    assert sum(used) == 160_000 and max(used) <= 2000
+    assert all(KeyRing(spark, "", b"", most).room(n) + 8 * (n * KeyRing(spark, "", b"", most).room(n)) ** 0.5 <= most for most in (20_000, 1 << 32) for n in (1, 5, 100))
