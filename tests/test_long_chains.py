@@ -1,11 +1,14 @@
-"""cbc and fernet cells of many rows in one chain; sizes of tokens."""
+"""cbc and fernet cells of many rows in one chain; sizes of tokens; tables whose tokens are stored in waves."""
 
 import base64
+import uuid
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
+from sealframe import session
 from sealframe.functions.keyring import KEY_ID, KeyRing
 from sealframe.functions.keys import with_key
 from sealframe.operators.cipher import decrypt_table, encrypt_table, open_cells, seal_cells
@@ -116,3 +119,35 @@ def test_sizes_of_odd_texts(spark):
     assert [tuple(r) for r in token_size_report(frame.select("`a.b`").where("false")).collect()] == [("a.b", 0, None, None, 0, 0)]
     plan = token_size_report(frame.select("`a.b`"))._jdf.queryExecution().toString()
     assert "RLIKE" not in plan and "MapInArrow" in plan
+
+
+def bytes_below(folder):
+    return sum(p.stat().st_size for p in folder.rglob("*.parquet"))
+
+
+@pytest.mark.parametrize("name", ["tamper_report_fernet"])
+def test_tokens_of_a_wave_at_a_time(spark, tmp_path, monkeypatch, name):
+    """The tokens of whole tables filled the disk; now those of a wave are gone before the next, and every row is in one."""
+    flags, status = F.element_at(F.array(*map(F.lit, "ANR")), (F.col("id") % 3 + 1).cast("int")), F.when(F.col("id") % 2 == 0, "O").otherwise("F")
+    frame = spark.range(0, 3000, 1, 3).select(
+        (F.col("id") % 50).cast("double").alias("l_quantity"), F.when(F.col("id") % 7 > 0, F.col("id") / 7).alias("l_extendedprice"),
+        F.lit(0.5).alias("l_discount"), F.lit(0.25).alias("l_tax"), flags.alias("l_returnflag"), status.alias("l_linestatus"))
+    frame.unionByName(frame).write.parquet(str(tmp_path / "in" / "lineitem.parquet"))
+    for module in (entry, session):
+        monkeypatch.setattr(module, "shared_folder", lambda spark: f"{(tmp_path / 'shared').as_uri()}/{uuid.uuid4().hex}")
+    seen = []
+
+    def noted(operator):
+        def run(*given, **more):
+            seen.append(bytes_below(tmp_path / "shared"))
+            return operator(*given, **more)
+        return run
+
+    for operator in ("tamper_report", "token_size_report"):
+        monkeypatch.setattr(entry, operator, noted(getattr(entry, operator)))
+    monkeypatch.setattr(entry, "CELLS_A_WAVE", 10**9)
+    whole = rows(entry.queries()[name](spark, str(tmp_path / "in")))
+    assert len(seen) == 1 and {r[0]: r[1] for r in whole}["l_extendedprice"] == 6000 - 2 * 429
+    monkeypatch.setattr(entry, "CELLS_A_WAVE", 6000)
+    assert rows(entry.queries()[name](spark, str(tmp_path / "in"))) == whole
+    assert len(seen) >= 6 and max(seen[1:]) < 0.5 * seen[0] and bytes_below(tmp_path / "shared") < 0.1 * seen[0]
