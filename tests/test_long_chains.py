@@ -125,7 +125,7 @@ def bytes_below(folder):
     return sum(p.stat().st_size for p in folder.rglob("*.parquet"))
 
 
-@pytest.mark.parametrize("name", ["tamper_report_fernet"])
+@pytest.mark.parametrize("name", ["encrypt_fernet", "tamper_report_fernet"])
 def test_tokens_of_a_wave_at_a_time(spark, tmp_path, monkeypatch, name):
     """The tokens of whole tables filled the disk; now those of a wave are gone before the next, and every row is in one."""
     flags, status = F.element_at(F.array(*map(F.lit, "ANR")), (F.col("id") % 3 + 1).cast("int")), F.when(F.col("id") % 2 == 0, "O").otherwise("F")
