@@ -1,16 +1,20 @@
 """cbc and fernet cells of many rows in one chain; sizes of tokens; tables whose tokens are stored in waves."""
 
 import base64
+import random
 import uuid
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from sealframe import session
+from sealframe.functions import batches
 from sealframe.functions.keyring import KEY_ID, KeyRing
 from sealframe.functions.keys import with_key
+from sealframe.functions.tokens import try_token_bytes
 from sealframe.operators.cipher import decrypt_table, encrypt_table, open_cells, seal_cells
 from sealframe.operators.integrity import tamper_report, token_size_report
 from sealframe.session import shared_folder
@@ -117,10 +121,33 @@ def test_sizes_of_odd_texts(spark):
     formed = frame.agg(F.count_if(F.rlike(F.col("`a.b`"), F.lit(shape)) & (F.length("`a.b`") % 4 == 0))).first()[0]
     assert [tuple(r) for r in token_size_report(frame.select("`a.b`")).collect()] == [("a.b", 18, 0, 120, sum(len(t or "") for t in odd), formed)] and formed == 8
     assert [tuple(r) for r in token_size_report(frame.select("`a.b`").where("false")).collect()] == [("a.b", 0, None, None, 0, 0)]
+    bad = spark.sql("SELECT CAST(b AS STRING) AS t FROM VALUES (X'41C3'), (X'80808041'), (X'F5E282'), (X'F09F9880'), (X'C041E2') AS v(b)")
+    row = token_size_report(bad).first()
+    assert (row.shortest, row.longest, row.characters) == tuple(bad.agg(F.min(F.length("t")), F.max(F.length("t")), F.sum(F.length("t"))).first())
     plan = token_size_report(frame.select("`a.b`"))._jdf.queryExecution().toString()
     assert "RLIKE" not in plan and "MapInArrow" in plan
 
 
+def test_tokens_are_decoded_as_spark_does(spark):
+    """In workers, whole batches at a time where they are as written; of odd ones the same is taken and refused."""
+    made = random.Random(7)
+    parts = ["ABcd-_", "AB+/-_", "AB=", "AB= ", "AB \n\t\r", "AB\x0b\x0c\x1c\x85\u2003\xa0", "AB\u00e9", "AB*"]
+    odd = ["".join(made.choices(made.choice(parts) + "QRST", k=made.randrange(14))) + made.choice(["", "", "=", "==", "===", "\n", "= ", "=\n="]) for _ in range(2000)]
+    usual = [base64.urlsafe_b64encode(made.randbytes(made.randrange(9))).decode() for _ in range(50)] + [None]
+    for texts in (odd, usual, odd[:40] + usual, ["QUJD"] * 3, ["QQ=="] * 3, [None], []):
+        frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1).orderBy("i")
+        tokens = pa.array(texts, pa.string())
+        assert [r[0] for r in frame.select(try_token_bytes(F.col("t"))).collect()] == batches._decoded(tokens, True).to_pylist()
+        strict = F.try_to_binary(F.translate("t", "-_", "+/"), F.lit("base64"))
+        for text, found in zip(texts, frame.select(strict).collect()):
+            try:
+                got = batches._decoded(pa.array([text], pa.string()), False)[0].as_py()
+            except ValueError:
+                got = None
+            assert got == found[0], text
+    assert batches._encoded(pa.array([None, b"", b"a", b"\xfb\xff", b"abc"], pa.binary())).to_pylist() == [None, "", "YQ==", "-_8=", "YWJj"]
+
+
 def bytes_below(folder):
     return sum(p.stat().st_size for p in folder.rglob("*.parquet"))
 
